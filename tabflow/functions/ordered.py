@@ -24,19 +24,22 @@ def split_points(long: DataFrame, key: str, value: str, steps: int = BUCKET_STEP
 
     Only for groups that are bounded in number, such as the columns of a table or models.
     """
-    shares = [i / 2**steps for i in range(1, 2**steps)]
-    per_group = long.groupBy(key).agg(F.percentile_approx(value, shares, 10_000).alias("splits"))
+    shares = F.expr("array(" + ", ".join(f"{i / 2**steps}D" for i in range(1, 2**steps)) + ")")
+    per_group = long.groupBy(key).agg(F.percentile_approx(value, shares, F.lit(8 * 2**steps)).alias("splits"))
     return per_group.select(F.map_from_entries(F.collect_list(F.struct(key, "splits")))).scalar()
 
 
-def bucket_of(value: Column, splits: Column, steps: int = BUCKET_STEPS) -> Column:
-    """How many split points are <= value, by binary search over the sorted array."""
-    jumps = F.array(*[F.lit(2**i) for i in reversed(range(steps))])
-    return F.reduce(
-        jumps,
-        F.lit(0),
-        lambda at, jump: F.when(F.get(splits, at + jump - 1) <= value, at + jump).otherwise(at),
-    )
+def with_bucket(df: DataFrame, value: str, splits: Column, steps: int = BUCKET_STEPS) -> DataFrame:
+    """Add `_bucket`: how many of the sorted split points are <= the value.
+
+    A binary search written as one projection per step, so it stays in generated code.
+    """
+    out = df.withColumns({"_splits": splits, "_bucket": F.lit(0)})
+    for jump in (2**i for i in reversed(range(steps))):
+        at = F.col("_bucket")
+        reached = F.get("_splits", at + jump - 1) <= F.col(value)
+        out = out.withColumn("_bucket", at + F.when(reached, jump).otherwise(0))
+    return out.drop("_splits")
 
 
 def _bucket_totals(counts: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
@@ -109,7 +112,7 @@ def exact_quantiles(long: DataFrame, key: str, value: str, shares: list[float])
     clean = long.filter(F.col(value).isNotNull() & ~F.isnan(value)).select(key, value)
     splits = split_points(clean, key, value)
     counts = clean.groupBy(key, value).agg(F.count("*").alias("n"))
-    counts = counts.withColumn("_bucket", bucket_of(F.col(value), splits[F.col(key)]))
+    counts = with_bucket(counts, value, splits[F.col(key)])
     ranks = [F.lit(float(p)) for p in shares]
     found = order_statistics(
         counts, [key], value, "n", lambda total: F.array(*[F.greatest(p * total, F.lit(1.0)) for p in ranks])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabflow.functions.expressions import numeric_columns, text_columns
-from tabflow.functions.ordered import bucket_of, exact_quantiles, running_totals, split_points
+from tabflow.functions.ordered import exact_quantiles, running_totals, split_points, with_bucket
 from tabflow.functions.pvalues import chi_square_tail, kolmogorov_tail
 from tabflow.functions.state import melt
 
@@ -55,7 +55,7 @@ def drift_ks(reference: DataFrame, current: DataFrame, columns: list[str]) -> Da
     """Two-sample Kolmogorov-Smirnov test per numeric feature."""
     splits = split_points(_both(reference, current, columns, "double"), "feature", "value")
     counts = aligned_counts(reference, current, columns, "double")
-    counts = counts.withColumn("_bucket", bucket_of(F.col("value"), splits[F.col("feature")]))
+    counts = with_bucket(counts, "value", splits[F.col("feature")])
     curve = running_totals(counts, ["feature"], "value", ["ref", "cur"])
     gap = F.abs(F.col("ref_run").cast("double") / F.col("ref_all") - F.col("cur_run").cast("double") / F.col("cur_all"))
     # a feature without values on one side has no test
@@ -122,10 +122,8 @@ def drift_psi(reference: DataFrame, current: DataFrame, columns: list[str], bins
     state = reference_splits(reference, columns, bins, exact)
     splits = state.select(F.map_from_entries(F.collect_list(F.struct("feature", "splits")))).scalar()
     rows = _both(reference, current, columns, "double")
-    binned = rows.select(
-        "feature", bucket_of(F.col("value"), splits[F.col("feature")], PSI_STEPS).alias("bin"), "ref", "cur"
-    )
-    counts = binned.groupBy("feature", "bin").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
+    binned = with_bucket(rows, "value", splits[F.col("feature")], PSI_STEPS)
+    counts = binned.groupBy("feature", "_bucket").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
     # at most `bins` rows per feature from here on
     totals = counts.groupBy("feature").agg(F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"))
     totals = totals.filter((F.col("n_ref") > 0) & (F.col("n_cur") > 0))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabflow.functions.ordered import bucket_of, running_totals, split_points
+from tabflow.functions.ordered import running_totals, split_points, with_bucket
 from tabflow.functions.state import entries
 
 # Smallest accepted value of each metric, and the accuracy tiers.
@@ -29,7 +29,7 @@ def score_curve(df: DataFrame, label: str, score: str, model: Column | None = No
     counts = rows.groupBy("model", "score").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg")
     )
-    counts = counts.withColumn("_bucket", bucket_of(F.col("score"), splits[F.col("model")]))
+    counts = with_bucket(counts, "score", splits[F.col("model")])
     return running_totals(counts, ["model"], "score", ["pos", "neg"])
 
 
@@ -141,24 +141,22 @@ def evaluate(df: DataFrame, label: str, prediction: str, score: str | None = Non
     return report
 
 
-def binary_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """One row: accuracy, and precision, recall and f1 of the positive class, in one pass."""
+def binary_metrics(df: DataFrame, label: str, prediction: str, by: list[str] = ()) -> DataFrame:
+    """Accuracy, and precision, recall and f1 of the positive class, in one pass (per group)."""
     y, p = F.col(label) == 1, F.col(prediction) == 1
-    counted = df.agg(
+    counted = df.groupBy(*by).agg(
         F.count("*").alias("num_samples"),
         F.count_if(y & p).alias("tp"),
         F.count_if(~y & p).alias("fp"),
         F.count_if(y & ~p).alias("fn"),
         F.count_if(F.col(label) == F.col(prediction)).alias("hits"),
     )
-    precision = ratio(F.col("tp"), F.col("tp") + F.col("fp"))
-    recall = ratio(F.col("tp"), F.col("tp") + F.col("fn"))
-    f1 = ratio(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn"))
     return counted.select(
+        *by,
         ratio(F.col("hits"), F.col("num_samples")).alias("accuracy"),
-        f1.alias("f1_score"),
-        precision.alias("precision"),
-        recall.alias("recall"),
+        ratio(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")).alias("f1_score"),
+        ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
+        ratio(F.col("tp"), F.col("tp") + F.col("fn")).alias("recall"),
         "num_samples",
     )
 
