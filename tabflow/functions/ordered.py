@@ -19,14 +19,17 @@ BUCKET_STEPS = 8  # 2 ** 8 buckets per group
 Settle = Callable[[DataFrame], DataFrame]
 
 
-def split_points(long: DataFrame, key: str, value: str, steps: int = BUCKET_STEPS) -> Column:
-    """Scalar map: group -> approximately equal-frequency split points of its values.
+def split_points(counts: DataFrame, key: str, value: str, measures: list[str], steps: int = BUCKET_STEPS) -> Column:
+    """Scalar map: group -> split points with about equally many distinct values between them.
 
     Only for groups that are bounded in number, such as the columns of a table or models.
+    Every measure is read, so this plan reuses the shuffle of the counts themselves.
     """
     shares = F.expr("array(" + ", ".join(f"{i / 2**steps}D" for i in range(1, 2**steps)) + ")")
-    per_group = long.groupBy(key).agg(F.percentile_approx(value, shares, F.lit(8 * 2**steps)).alias("splits"))
-    return per_group.select(F.map_from_entries(F.collect_list(F.struct(key, "splits")))).scalar()
+    seen = sum((F.col(m) for m in measures), F.lit(0)) > 0
+    per_group = counts.filter(seen).groupBy(key)
+    splits = per_group.agg(F.percentile_approx(value, shares, F.lit(8 * 2**steps)).alias("splits"))
+    return splits.select(F.map_from_entries(F.collect_list(F.struct(key, "splits")))).scalar()
 
 
 def with_bucket(df: DataFrame, value: str, splits: Column, steps: int = BUCKET_STEPS) -> DataFrame:
@@ -42,6 +45,11 @@ def with_bucket(df: DataFrame, value: str, splits: Column, steps: int = BUCKET_S
     return out.drop("_splits")
 
 
+def bucketed(counts: DataFrame, key: str, value: str, measures: list[str]) -> DataFrame:
+    """Distinct values with the bucket that balances them inside their group."""
+    return with_bucket(counts, value, split_points(counts, key, value, measures)[F.col(key)])
+
+
 def _bucket_totals(counts: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
     """Per bucket: each measure inside it, before it, and in the whole group."""
     inside = counts.groupBy(*keys, "_bucket").agg(*[F.sum(m).alias(f"_in_{m}") for m in measures])
@@ -110,9 +118,7 @@ def exact_quantiles(long: DataFrame, key: str, value: str, shares: list[float])
     A quantile p is the smallest value whose cumulative share is at least p.
     """
     clean = long.filter(F.col(value).isNotNull() & ~F.isnan(value)).select(key, value)
-    splits = split_points(clean, key, value)
-    counts = clean.groupBy(key, value).agg(F.count("*").alias("n"))
-    counts = with_bucket(counts, value, splits[F.col(key)])
+    counts = bucketed(clean.groupBy(key, value).agg(F.count("*").alias("n")), key, value, ["n"])
     ranks = [F.lit(float(p)) for p in shares]
     found = order_statistics(
         counts, [key], value, "n", lambda total: F.array(*[F.greatest(p * total, F.lit(1.0)) for p in ranks])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabflow.functions.expressions import numeric_columns, text_columns
-from tabflow.functions.ordered import exact_quantiles, running_totals, split_points, with_bucket
+from tabflow.functions.ordered import bucketed, exact_quantiles, running_totals, with_bucket
 from tabflow.functions.pvalues import chi_square_tail, kolmogorov_tail
 from tabflow.functions.state import melt
 
@@ -53,9 +53,8 @@ def aligned_counts(reference: DataFrame, current: DataFrame, columns: list[str],
 
 def drift_ks(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov test per numeric feature."""
-    splits = split_points(_both(reference, current, columns, "double"), "feature", "value")
     counts = aligned_counts(reference, current, columns, "double")
-    counts = with_bucket(counts, "value", splits[F.col("feature")])
+    counts = bucketed(counts, "feature", "value", ["ref", "cur"])
     curve = running_totals(counts, ["feature"], "value", ["ref", "cur"])
     gap = F.abs(F.col("ref_run").cast("double") / F.col("ref_all") - F.col("cur_run").cast("double") / F.col("cur_all"))
     # a feature without values on one side has no test

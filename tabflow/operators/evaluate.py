@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabflow.functions.ordered import running_totals, split_points, with_bucket
+from tabflow.functions.ordered import bucketed, running_totals
 from tabflow.functions.state import entries
 
 # Smallest accepted value of each metric, and the accuracy tiers.
@@ -25,11 +25,10 @@ def score_curve(df: DataFrame, label: str, score: str, model: Column | None = No
         F.col(score).cast("double").alias("score"),
         F.col(label).cast("int").alias("label"),
     ).filter(F.col("score").isNotNull() & F.col("label").isNotNull())
-    splits = split_points(rows, "model", "score")
     counts = rows.groupBy("model", "score").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg")
     )
-    counts = with_bucket(counts, "score", splits[F.col("model")])
+    counts = bucketed(counts, "model", "score", ["pos", "neg"])
     return running_totals(counts, ["model"], "score", ["pos", "neg"])
 
 

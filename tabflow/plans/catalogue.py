@@ -1,4 +1,13 @@
 """All query modules; importing this fills the catalogue."""
 
-from tabflow.plans import evaluation, preparation, profiling, relational  # noqa: F401
+from tabflow.plans import (  # noqa: F401
+    evaluation,
+    files,
+    monitoring,
+    preparation,
+    profiling,
+    relational,
+    streams,
+    training,
+)
 from tabflow.plans.registry import CATALOGUE  # noqa: F401
