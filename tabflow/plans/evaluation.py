@@ -76,8 +76,8 @@ def class_calls(spark, root):
 CLASS_SQL = f"""{SCORED_SQL},
 c AS (SELECT l_returnflag AS label, CASE WHEN score > 0.7 THEN 'R' WHEN score > 0.3 THEN 'N' ELSE 'A' END AS prediction FROM scored),
 k AS (SELECT DISTINCT label AS class FROM c),
-t AS (SELECT class, count_if(label = class AND prediction = class) AS tp, count_if(label <> class AND prediction = class) AS fp,
-      count_if(label = class AND prediction <> class) AS fn, count_if(label = class) AS support FROM k, c GROUP BY class),
+t AS (SELECT class, count(*) FILTER (WHERE label = class AND prediction = class) AS tp, count(*) FILTER (WHERE label <> class AND prediction = class) AS fp,
+      count(*) FILTER (WHERE label = class AND prediction <> class) AS fn, count(*) FILTER (WHERE label = class) AS support FROM k, c GROUP BY class),
 pr AS (SELECT *, coalesce(tp::DOUBLE / nullif(tp + fp, 0), 0) AS precision, coalesce(tp::DOUBLE / nullif(tp + fn, 0), 0) AS recall FROM t),
 f AS (SELECT *, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0) AS f1 FROM pr)"""
 WEIGHTED = """sum(tp)::DOUBLE / sum(support) AS accuracy, sum(precision * support) / sum(support) AS precision,

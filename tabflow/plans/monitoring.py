@@ -27,7 +27,7 @@ END_DAY = "2024-01-20"
 
 @query(
     "monitor_window",
-    f"""WITH {EVENTS_SQL} SELECT CAST(ts AS DATE) AS day, count(*) AS num_predictions, count_if(prediction = 1) AS churn_count,
+    f"""WITH {EVENTS_SQL} SELECT CAST(ts AS DATE) AS day, count(*) AS num_predictions, count(*) FILTER (WHERE prediction = 1) AS churn_count,
 round(avg(probability), 6) AS avg_probability FROM scored_events
 WHERE CAST(ts AS DATE) BETWEEN DATE '{END_DAY}' - INTERVAL 7 DAY AND DATE '{END_DAY}' GROUP BY 1""",
 )
@@ -46,8 +46,8 @@ KS_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_orderkey"]
 
 
 def ks_sql(column: str) -> str:
-    return f"""(WITH c AS (SELECT CAST({column} AS DOUBLE) AS v, count_if(l_shipdate < TIMESTAMP '1998-01-01') AS r,
-  count_if(l_shipdate >= TIMESTAMP '1998-01-01') AS k FROM lineitem GROUP BY 1),
+    return f"""(WITH c AS (SELECT CAST({column} AS DOUBLE) AS v, count(*) FILTER (WHERE l_shipdate < TIMESTAMP '1998-01-01') AS r,
+  count(*) FILTER (WHERE l_shipdate >= TIMESTAMP '1998-01-01') AS k FROM lineitem GROUP BY 1),
 t AS (SELECT sum(r)::DOUBLE AS nr, sum(k)::DOUBLE AS nk FROM c),
 g AS (SELECT abs(sum(r) OVER (ORDER BY v) / nr - sum(k) OVER (ORDER BY v) / nk) AS gap, nr, nk FROM c, t),
 d AS (SELECT max(gap) AS s, max(nr) AS nr, max(nk) AS nk FROM g),
@@ -63,7 +63,7 @@ def drift_ks(spark, root):
     return rounded(drift.drift_ks(reference, current, KS_COLUMNS), 9)
 
 
-EVENT_SIDES = f"""sides AS (SELECT event_type, count_if(ts < TIMESTAMP '{SPLIT_DAY}') AS r, count_if(ts >= TIMESTAMP '{SPLIT_DAY}') AS k
+EVENT_SIDES = f"""sides AS (SELECT event_type, count(*) FILTER (WHERE ts < TIMESTAMP '{SPLIT_DAY}') AS r, count(*) FILTER (WHERE ts >= TIMESTAMP '{SPLIT_DAY}') AS k
   FROM events GROUP BY 1)"""
 # with five categories the tail of the chi-square distribution has a closed form
 CHI2_SQL = f"""{EVENT_SIDES},
@@ -85,8 +85,8 @@ def drift_chi2(spark, root):
 @query(
     "drift_psi",
     f"""WITH q AS (SELECT quantile_disc(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS s FROM events WHERE ts < TIMESTAMP '{SPLIT_DAY}'),
-b AS (SELECT len(list_filter(s, lambda x: x <= value)) AS bin, count_if(ts < TIMESTAMP '{SPLIT_DAY}') AS r,
-      count_if(ts >= TIMESTAMP '{SPLIT_DAY}') AS k FROM events, q GROUP BY 1),
+b AS (SELECT len(list_filter(s, lambda x: x <= value)) AS bin, count(*) FILTER (WHERE ts < TIMESTAMP '{SPLIT_DAY}') AS r,
+      count(*) FILTER (WHERE ts >= TIMESTAMP '{SPLIT_DAY}') AS k FROM events, q GROUP BY 1),
 sh AS (SELECT greatest(r::DOUBLE / (SELECT sum(r) FROM b), 0.0001) AS r, greatest(k::DOUBLE / (SELECT sum(k) FROM b), 0.0001) AS k FROM b)
 SELECT 'value' AS feature, round(sum((k - r) * ln(k / r)), 9) AS psi, sum((k - r) * ln(k / r)) > 0.2 AS drift_detected FROM sh""",
 )
@@ -96,8 +96,8 @@ def drift_psi(spark, root):
 
 
 VALUE_KS = f"""vk AS (SELECT max(abs(rs / nr - ks / nk)) AS s FROM (SELECT sum(r) OVER (ORDER BY value) AS rs, sum(k) OVER (ORDER BY value) AS ks,
-  sum(r) OVER ()::DOUBLE AS nr, sum(k) OVER ()::DOUBLE AS nk FROM (SELECT value, count_if(ts < TIMESTAMP '{SPLIT_DAY}') AS r,
-  count_if(ts >= TIMESTAMP '{SPLIT_DAY}') AS k FROM events GROUP BY 1)))"""
+  sum(r) OVER ()::DOUBLE AS nr, sum(k) OVER ()::DOUBLE AS nk FROM (SELECT value, count(*) FILTER (WHERE ts < TIMESTAMP '{SPLIT_DAY}') AS r,
+  count(*) FILTER (WHERE ts >= TIMESTAMP '{SPLIT_DAY}') AS k FROM events GROUP BY 1)))"""
 ID_KS = VALUE_KS.replace("vk AS", "ik AS").replace("value", "event_id")
 
 
@@ -105,7 +105,7 @@ ID_KS = VALUE_KS.replace("vk AS", "ik AS").replace("value", "event_id")
     "drift_score",
     f"""WITH {CHI2_SQL}, {VALUE_KS}, {ID_KS},
 hits AS (SELECT s > 0.3 AS hit, s AS w FROM vk UNION ALL SELECT s > 0.3, s FROM ik UNION ALL SELECT p < 0.05, 1 - p FROM chi_p)
-SELECT bool_or(hit) AS overall_drift_detected, count_if(hit) AS drifted_features,
+SELECT bool_or(hit) AS overall_drift_detected, count(*) FILTER (WHERE hit) AS drifted_features,
 round(coalesce(sum(w) FILTER (WHERE hit), 0) / 3.0::DOUBLE, 6) AS drift_score FROM hits""",
 )
 def drift_score(spark, root):
@@ -127,8 +127,8 @@ def drift_feature_types(spark, root):
 
 
 PERFORMANCE_SQL = f"""{PREDICTIONS_SQL},
-m AS (SELECT count(*)::DOUBLE AS n, count_if(label = 1 AND prediction = 1)::DOUBLE AS tp, count_if(label = 0 AND prediction = 1)::DOUBLE AS fp,
-  count_if(label = 1 AND prediction = 0)::DOUBLE AS fn, count_if(label = prediction)::DOUBLE AS hits FROM joined),
+m AS (SELECT count(*)::DOUBLE AS n, count(*) FILTER (WHERE label = 1 AND prediction = 1)::DOUBLE AS tp, count(*) FILTER (WHERE label = 0 AND prediction = 1)::DOUBLE AS fp,
+  count(*) FILTER (WHERE label = 1 AND prediction = 0)::DOUBLE AS fn, count(*) FILTER (WHERE label = prediction)::DOUBLE AS hits FROM joined),
 curve AS (SELECT pos, neg, sum(neg) OVER (ORDER BY score) AS below FROM (SELECT score, sum(label)::DOUBLE AS pos, sum(1 - label)::DOUBLE AS neg
   FROM joined GROUP BY score)),
 report AS (SELECT 'accuracy' AS metric, hits / n AS value FROM m UNION ALL SELECT 'f1_score', 2 * tp / (2 * tp + fp + fn) FROM m
@@ -189,7 +189,7 @@ def freshness(spark, root):
 @query(
     "run_metrics_log",
     f"""WITH {EVENTS_SQL}, runs AS (SELECT CASE WHEN ts < TIMESTAMP '{SPLIT_DAY}' THEN 1 ELSE 2 END AS run, * FROM scored_events),
-m AS (SELECT run, count(*)::DOUBLE AS rows, count_if(prediction = 1)::DOUBLE AS churned, avg(probability) AS p FROM runs GROUP BY run),
+m AS (SELECT run, count(*)::DOUBLE AS rows, count(*) FILTER (WHERE prediction = 1)::DOUBLE AS churned, avg(probability) AS p FROM runs GROUP BY run),
 l AS (SELECT run, 'rows' AS metric, rows AS value FROM m UNION ALL SELECT run, 'churned', churned FROM m UNION ALL SELECT run, 'avg_probability', p FROM m)
 SELECT metric, round(max(value) FILTER (WHERE run = 1), 6) AS first_value, round(max(value) FILTER (WHERE run = 2), 6) AS second_value,
 round(max(value) FILTER (WHERE run = 2) - max(value) FILTER (WHERE run = 1), 6) AS change FROM l GROUP BY metric""",

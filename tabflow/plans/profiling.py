@@ -105,7 +105,7 @@ BLANK = {"segment", "charges_text"}
 
 def missing_sql() -> str:
     parts = [
-        f"SELECT '{c}' AS column_name, count_if({c} IS NULL{f' OR {c} = ' + chr(39) * 2 if c in BLANK else ''}) AS missing_count FROM gaps"
+        f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL{f' OR {c} = ' + chr(39) * 2 if c in BLANK else ''}) AS missing_count FROM gaps"
         for c in GAP_COLUMNS
     ]
     union = " UNION ALL ".join(parts)
@@ -204,7 +204,7 @@ QUALITY_COLUMNS = ["segment", "charges_text", "tenure_months", "order_count", "c
 
 @query(
     "quality_gate",
-    WITH_GAPS + """, facts AS (SELECT count(*) AS total, count_if(segment IS NULL OR segment = '') AS absent FROM gaps),
+    WITH_GAPS + """, facts AS (SELECT count(*) AS total, count(*) FILTER (WHERE segment IS NULL OR segment = '') AS absent FROM gaps),
 copies AS (SELECT CAST(sum(n - 1) AS BIGINT) AS d FROM
   (SELECT count(*) AS n FROM gaps GROUP BY segment, charges_text, tenure_months, order_count, churned))
 SELECT 'total_rows' AS metric, total AS value FROM facts
@@ -223,8 +223,8 @@ def quality_gate(spark, root):
 flags AS (SELECT charges IS NULL AS no_charge,
   total_spend < q1 - 0.5 * (q3 - q1) OR total_spend > q3 + 0.5 * (q3 - q1) AS is_out,
   {bucket_sql("c_custkey")} < 2000 AS is_test FROM gaps, q),
-c AS (SELECT count(*) AS initial, count_if(no_charge) AS m, count_if(NOT no_charge AND is_out) AS o,
-  count_if(NOT no_charge AND NOT is_out AND NOT is_test) AS train, count_if(NOT no_charge AND NOT is_out AND is_test) AS test FROM flags)
+c AS (SELECT count(*) AS initial, count(*) FILTER (WHERE no_charge) AS m, count(*) FILTER (WHERE NOT no_charge AND is_out) AS o,
+  count(*) FILTER (WHERE NOT no_charge AND NOT is_out AND NOT is_test) AS train, count(*) FILTER (WHERE NOT no_charge AND NOT is_out AND is_test) AS test FROM flags)
 SELECT 'initial_rows' AS metric, initial::DOUBLE AS value FROM c UNION ALL SELECT 'rows_removed_missing', m FROM c
 UNION ALL SELECT 'rows_removed_outliers', o FROM c UNION ALL SELECT 'final_train_rows', train FROM c
 UNION ALL SELECT 'final_test_rows', test FROM c
@@ -247,9 +247,9 @@ def summary_stages(spark, root):
 @query(
     "summary_inference",
     f"""WITH {EVENTS_SQL} SELECT count(*) AS num_predictions, round(avg(prediction), 6) AS avg_prediction,
-count_if(prediction = 1) AS churn_count, count_if(prediction <> 1) AS retain_count, round(avg(probability), 6) AS avg_probability,
-count_if(probability > 0.7) AS high_risk, count_if(probability > 0.5 AND probability <= 0.7) AS medium_risk,
-count_if(probability <= 0.5) AS low_risk FROM scored_events""",
+count(*) FILTER (WHERE prediction = 1) AS churn_count, count(*) FILTER (WHERE prediction <> 1) AS retain_count, round(avg(probability), 6) AS avg_probability,
+count(*) FILTER (WHERE probability > 0.7) AS high_risk, count(*) FILTER (WHERE probability > 0.5 AND probability <= 0.7) AS medium_risk,
+count(*) FILTER (WHERE probability <= 0.5) AS low_risk FROM scored_events""",
 )
 def summary_inference(spark, root):
     return rounded(profile.inference_summary(scored_events(table(spark, root, "events")), "prediction", "probability"))

@@ -255,8 +255,8 @@ def rule_predictions(spark, root, cuts):
 def rule_metrics_sql(group: str, where: str = "") -> str:
     return f"""SELECT {group},
   avg(CASE WHEN label = y THEN 1.0::DOUBLE ELSE 0 END) AS accuracy,
-  coalesce(2.0::DOUBLE * count_if(label = 1 AND y = 1)
-    / nullif(2 * count_if(label = 1 AND y = 1) + count_if(label = 0 AND y = 1) + count_if(label = 1 AND y = 0), 0), 0) AS f1_score
+  coalesce(2.0::DOUBLE * count(*) FILTER (WHERE label = 1 AND y = 1)
+    / nullif(2 * count(*) FILTER (WHERE label = 1 AND y = 1) + count(*) FILTER (WHERE label = 0 AND y = 1) + count(*) FILTER (WHERE label = 1 AND y = 0), 0), 0) AS f1_score
   FROM calls {where} GROUP BY {group}"""
 
 

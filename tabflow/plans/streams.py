@@ -29,7 +29,8 @@ ONCE = {"availableNow": True}
 
 def event_files(events: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Events as JSON files of a folder that a stream reads."""
-    events.select(*COLUMNS).repartition(3, "event_id").write.mode(mode).json(path)
+    writer = events.select(*COLUMNS).repartition(3, "event_id").write.mode(mode)
+    writer.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)
     return path
 
 
@@ -46,10 +47,10 @@ def drained(stream: DataFrame, fmt: str = "parquet") -> DataFrame:
     return spark.read.schema(stream.schema).format(fmt).load(path)
 
 
-@query("stream_source_json", "SELECT event_id, user_id, event_type, value, epoch(ts)::BIGINT AS seconds FROM events")
+@query("stream_source_json", "SELECT event_id, user_id, event_type, value, epoch_us(ts) AS micros FROM events")
 def stream_source_json(spark, root):
     rows = drained(event_stream(spark, root))
-    return rows.select("event_id", "user_id", "event_type", "value", F.unix_timestamp("ts").alias("seconds"))
+    return rows.select("event_id", "user_id", "event_type", "value", F.unix_micros("ts").alias("micros"))
 
 
 SCORED_OUT = f"WITH {EVENTS_SQL} SELECT event_id, prediction, round(probability, 6) AS probability FROM scored_events"
@@ -86,8 +87,8 @@ def sink_stream_batch(spark, root):
 
 @query(
     "stream_foreach_batch",
-    f"""WITH {EVENTS_SQL} SELECT count(*) AS num_predictions, count_if(prediction = 1) AS churn_count,
-count_if(probability > 0.7) AS high_risk FROM scored_events""",
+    f"""WITH {EVENTS_SQL} SELECT count(*) AS num_predictions, count(*) FILTER (WHERE prediction = 1) AS churn_count,
+count(*) FILTER (WHERE probability > 0.7) AS high_risk FROM scored_events""",
 )
 def stream_foreach_batch(spark, root):
     """A summary row per micro-batch, added up."""
@@ -152,8 +153,8 @@ def stream_preprocess(spark, root):
 
 @query(
     "stream_metrics",
-    f"""WITH {EVENTS_SQL} SELECT CAST(ts AS DATE) AS day, count(*) AS num_predictions, count_if(prediction = 1) AS churn_count,
-round(avg(probability), 6) AS avg_probability, count_if(probability > 0.7) AS high_risk FROM scored_events GROUP BY 1""",
+    f"""WITH {EVENTS_SQL} SELECT CAST(ts AS DATE) AS day, count(*) AS num_predictions, count(*) FILTER (WHERE prediction = 1) AS churn_count,
+round(avg(probability), 6) AS avg_probability, count(*) FILTER (WHERE probability > 0.7) AS high_risk FROM scored_events GROUP BY 1""",
 )
 def stream_metrics(spark, root):
     """Daily windows in update mode; the last update of each window is its result.
