@@ -16,20 +16,26 @@ from tabflow.functions.state import null_safe_join
 from tabflow.sources.shared import new_path
 
 BUCKET_STEPS = 8  # 2 ** 8 buckets per group
+MAX_GROUPS = 1000  # groups of one call whose split points and bucket totals are sent to all tasks
 Settle = Callable[[DataFrame], DataFrame]
 
 
 def split_points(counts: DataFrame, key: str, value: str, measures: list[str], steps: int = BUCKET_STEPS) -> Column:
     """Scalar map: group -> split points with about equally many distinct values between them.
 
-    Only for groups that are bounded in number, such as the columns of a table or models.
+    The groups are the columns of a table or the models of a comparison; more than MAX_GROUPS
+    of them are an error, which bounds this map and the bucket totals of `running_totals`.
     Every measure is read, so this plan reuses the shuffle of the counts themselves.
     """
     shares = F.expr("array(" + ", ".join(f"{i / 2**steps}D" for i in range(1, 2**steps)) + ")")
     seen = sum((F.col(m) for m in measures), F.lit(0)) > 0
     per_group = counts.filter(seen).groupBy(key)
     splits = per_group.agg(F.percentile_approx(value, shares, F.lit(8 * 2**steps)).alias("splits"))
-    return splits.select(F.map_from_entries(F.collect_list(F.struct(key, "splits")))).scalar()
+    fits = F.count("*") <= MAX_GROUPS
+    pairs = F.when(fits, F.collect_list(F.struct(key, "splits"))).otherwise(
+        F.raise_error(F.lit(f"more than {MAX_GROUPS} groups in {key}: evaluate them in several calls"))
+    )
+    return splits.limit(MAX_GROUPS + 1).agg(F.map_from_entries(pairs).alias("splits")).scalar()
 
 
 def with_bucket(df: DataFrame, value: str, splits: Column, steps: int = BUCKET_STEPS) -> DataFrame:
@@ -67,9 +73,9 @@ def _bucket_totals(counts: DataFrame, keys: list[str], measures: list[str]) -> D
 def running_totals(counts: DataFrame, keys: list[str], value: str, measures: list[str]) -> DataFrame:
     """Add `<m>_run` (sum up to and including the value) and `<m>_all` (group sum).
 
-    `counts` has one row per (keys, value) and a `_bucket` that is monotone in the value. The
-    keys must be bounded in number (columns or models), so the bucket totals, at most
-    2 ** BUCKET_STEPS rows per key, are safe to broadcast.
+    `counts` has one row per (keys, value) and the `_bucket` of `bucketed`, which allows at most
+    MAX_GROUPS keys. So the bucket totals, at most 2 ** BUCKET_STEPS rows per key, are safe to
+    broadcast.
     """
     totals = F.broadcast(_bucket_totals(counts, keys, measures))
     joined = null_safe_join(counts, totals, [*keys, "_bucket"])
@@ -90,13 +96,15 @@ def order_statistics(
     weight: str,
     targets: Callable[[Column], Column],
     settle: Settle = F.broadcast,
+    merge: bool = False,
 ) -> DataFrame:
     """For each group and target rank, the smallest value whose running weight reaches it.
 
     `targets` maps the group's total weight to an array of ranks. Only the buckets that hold a
     target are sorted. `settle` treats the table of those buckets, one row per group and
     target: broadcast where the groups are bounded (columns of a table), else
-    `persist_state`, which lets the planner decide by the written size.
+    `persist_state`, which lets the planner decide by the written size. `merge` adds up equal
+    values of those buckets first, for input that was not reduced to distinct values.
     """
     totals = _bucket_totals(counts, keys, [weight])
     before, inside = F.col(f"_before_{weight}"), F.col(f"_in_{weight}")
@@ -107,6 +115,9 @@ def order_statistics(
         .drop(f"_in_{weight}")
     )
     rows = null_safe_join(counts, hits, [*keys, "_bucket"])
+    if merge:
+        group = [*keys, "_bucket", value, f"_before_{weight}", f"{weight}_all", "position", "target"]
+        rows = rows.groupBy(*group).agg(F.sum(weight).alias(weight))
     upto = Window.partitionBy(*keys, "position", "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     reached = rows.withColumn("_run", F.sum(weight).over(upto) + before).filter(F.col("_run") >= F.col("target"))
     return reached.groupBy(*keys, "position", "target", f"{weight}_all").agg(F.min(value).alias(value))

@@ -18,51 +18,71 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.when(denominator > 0, numerator.cast("double") / denominator).otherwise(F.lit(0.0))
 
 
-def score_curve(df: DataFrame, label: str, score: str, model: Column | None = None) -> DataFrame:
-    """Per model and distinct score: positives and negatives there, at or below it, and in all."""
-    rows = df.select(
-        (model if model is not None else F.lit("model")).alias("model"),
+def prediction_cells(df: DataFrame, label: str, prediction: str, score: str) -> DataFrame:
+    """(label, prediction, score, n): all that the metrics need, after one scan and one shuffle.
+
+    Metrics derived from the same cells share that shuffle, so a model scores its rows once.
+    """
+    return df.groupBy(
+        F.col(label).alias("label"), F.col(prediction).alias("prediction"), F.col(score).cast("double").alias("score")
+    ).agg(F.count("*").alias("n"))
+
+
+def score_counts(df: DataFrame, label: str, score: str, model: Column | None = None, weight: Column | None = None):
+    """(model, score, pos, neg) per distinct score; rows without label or score are left out."""
+    weight = F.lit(1).cast("long") if weight is None else weight
+    y = F.col(label)
+    rows = df.filter(F.col(score).isNotNull() & y.isNotNull()).select(
+        (F.lit("model") if model is None else model).alias("model"),
         F.col(score).cast("double").alias("score"),
-        F.col(label).cast("int").alias("label"),
-    ).filter(F.col("score").isNotNull() & F.col("label").isNotNull())
-    counts = rows.groupBy("model", "score").agg(
-        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg")
+        F.when(y == 1, weight).otherwise(0).alias("pos"),
+        F.when(y != 1, weight).otherwise(0).alias("neg"),
     )
-    counts = bucketed(counts, "model", "score", ["pos", "neg"])
-    return running_totals(counts, ["model"], "score", ["pos", "neg"])
+    return rows.groupBy("model", "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
 
-def auc_roc(df: DataFrame, label: str, score: str, model: Column | None = None) -> DataFrame:
+def curve(counts: DataFrame) -> DataFrame:
+    """Add to each distinct score the positives and negatives at or below it, and in all."""
+    return running_totals(bucketed(counts, "model", "score", ["pos", "neg"]), ["model"], "score", ["pos", "neg"])
+
+
+def area_roc(points: DataFrame) -> DataFrame:
     """(model, auc_roc): probability that a positive outranks a negative, ties count half."""
-    curve = score_curve(df, label, score, model)
     below = F.col("neg_run") - F.col("neg") / 2.0
     pairs = F.max("pos_all").cast("double") * F.max("neg_all")
     area = F.when(pairs > 0, F.sum(F.col("pos") * below.cast("double")) / pairs)
-    return curve.groupBy("model").agg(area.alias("auc_roc"))
+    return points.groupBy("model").agg(area.alias("auc_roc"))
 
 
-def auc_pr(df: DataFrame, label: str, score: str, model: Column | None = None) -> DataFrame:
+def area_pr(points: DataFrame) -> DataFrame:
     """(model, auc_pr): trapezoids under precision over recall, from the highest score down.
 
     The previous point of each step follows from the running totals, so no second window.
     """
-    curve = score_curve(df, label, score, model)
     before_tp = (F.col("pos_all") - F.col("pos_run")).cast("double")
     before_all = before_tp + F.col("neg_all") - F.col("neg_run")
     now_tp = before_tp + F.col("pos")
     now_all = before_all + F.col("pos") + F.col("neg")
     precision = now_tp / now_all
     earlier = F.when(before_all > 0, before_tp / before_all).otherwise(precision)
-    step = F.col("pos").cast("double") / F.col("pos_all") * (precision + earlier) / 2.0
-    area = F.when(F.max("pos_all") > 0, F.sum(F.when(F.col("pos_all") > 0, step)))
-    return curve.groupBy("model").agg(area.alias("auc_pr"))
+    step = F.when(F.col("pos_all") > 0, F.col("pos") / F.col("pos_all").cast("double") * (precision + earlier) / 2.0)
+    return points.groupBy("model").agg(F.sum(step).alias("auc_pr"))
 
 
-def confusion_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
+def auc_roc(df: DataFrame, label: str, score: str, model: Column | None = None) -> DataFrame:
+    """(model, auc_roc) of scored rows; models (or groups) are evaluated together."""
+    return area_roc(curve(score_counts(df, label, score, model)))
+
+
+def auc_pr(df: DataFrame, label: str, score: str, model: Column | None = None) -> DataFrame:
+    """(model, auc_pr) of scored rows."""
+    return area_pr(curve(score_counts(df, label, score, model)))
+
+
+def confusion_counts(df: DataFrame, label: str, prediction: str, weight: str | None = None) -> DataFrame:
     """(label, prediction, n) of the cells that occur: the one shuffle of all class metrics."""
-    return df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(
-        F.count("*").alias("n")
-    )
+    n = F.count("*") if weight is None else F.sum(weight)
+    return df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(n.alias("n"))
 
 
 def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -80,15 +100,16 @@ def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
     )
 
 
-def per_class(df: DataFrame, label: str, prediction: str) -> DataFrame:
+def per_class(df: DataFrame, label: str, prediction: str, weight: str | None = None) -> DataFrame:
     """Per label class: tp, fp, fn, support, precision, recall and f1; 0.0 where undefined."""
-    cells = confusion_counts(df, label, prediction)
+    cells = confusion_counts(df, label, prediction, weight)
+    zero = F.lit(0).cast("long")
     hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
     both = cells.select(
         F.inline(
             F.array(
-                F.struct(F.col("label").alias("class"), F.col("n").alias("actual"), F.lit(0).cast("long").alias("predicted"), hit.alias("tp")),
-                F.struct(F.col("prediction").alias("class"), F.lit(0).cast("long").alias("actual"), F.col("n").alias("predicted"), F.lit(0).cast("long").alias("tp")),
+                F.struct(F.col("label").alias("class"), F.col("n").alias("actual"), zero.alias("predicted"), hit.alias("tp")),
+                F.struct(F.col("prediction").alias("class"), zero.alias("actual"), F.col("n").alias("predicted"), zero.alias("tp")),
             )
         )
     )
@@ -109,9 +130,9 @@ def per_class(df: DataFrame, label: str, prediction: str) -> DataFrame:
     )
 
 
-def weighted_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
+def weighted_metrics(df: DataFrame, label: str, prediction: str, weight: str | None = None) -> DataFrame:
     """One row: accuracy and the class-weighted precision, recall and f1."""
-    classes = per_class(df, label, prediction)
+    classes = per_class(df, label, prediction, weight)
     total = F.sum("support").cast("double")
     weighted = lambda c: (F.sum(F.col(c) * F.col("support")) / total)
     return classes.agg(
@@ -128,34 +149,51 @@ def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 def evaluate(df: DataFrame, label: str, prediction: str, score: str | None = None, pr: bool = False) -> DataFrame:
     """Long form (metric, value): class metrics, and the areas where a score is given."""
-    row = weighted_metrics(df, label, prediction)
+    if score is None:
+        row = weighted_metrics(df, label, prediction)
+    else:
+        cells = prediction_cells(df, label, prediction, score)
+        row = weighted_metrics(cells, "label", "prediction", "n")
     names = ["accuracy", "precision", "recall", "f1_score"]
     report = entries(row, [{"metric": F.lit(n), "value": F.col(n)} for n in names])
-    if score:
-        roc = auc_roc(df, label, score)
-        report = report.unionByName(roc.select(F.lit("auc_roc").alias("metric"), F.col("auc_roc").alias("value")))
-    if score and pr:
-        area = auc_pr(df, label, score)
-        report = report.unionByName(area.select(F.lit("auc_pr").alias("metric"), F.col("auc_pr").alias("value")))
+    if score is None:
+        return report
+    points = curve(score_counts(cells, "label", "score", weight=F.col("n")))
+    areas = {"auc_roc": area_roc(points), **({"auc_pr": area_pr(points)} if pr else {})}
+    for name, area in areas.items():
+        report = report.unionByName(area.select(F.lit(name).alias("metric"), F.col(name).alias("value")))
     return report
 
 
 def binary_metrics(df: DataFrame, label: str, prediction: str, by: list[str] = ()) -> DataFrame:
     """Accuracy, and precision, recall and f1 of the positive class, in one pass (per group)."""
-    y, p = F.col(label) == 1, F.col(prediction) == 1
+    one = F.lit(1).cast("long")
+    rows = df.select(
+        *by,
+        F.col(prediction).alias("prediction"),
+        F.when(F.col(label) == 1, one).otherwise(0).alias("pos"),
+        F.when(F.col(label) != 1, one).otherwise(0).alias("neg"),
+    )
+    return binary_from_counts(rows, by)
+
+
+def binary_from_counts(df: DataFrame, by: list[str] = ()) -> DataFrame:
+    """The same from rows (prediction, pos, neg) that stand for so many labels each."""
+    called = F.col("prediction") == 1
     counted = df.groupBy(*by).agg(
-        F.count("*").alias("num_samples"),
-        F.count_if(y & p).alias("tp"),
-        F.count_if(~y & p).alias("fp"),
-        F.count_if(y & ~p).alias("fn"),
-        F.count_if(F.col(label) == F.col(prediction)).alias("hits"),
+        F.sum(F.col("pos") + F.col("neg")).alias("num_samples"),
+        F.sum(F.when(called, F.col("pos")).otherwise(0)).alias("tp"),
+        F.sum(F.when(called, F.col("neg")).otherwise(0)).alias("fp"),
+        F.sum(F.when(called, 0).otherwise(F.col("pos"))).alias("fn"),
+        F.sum(F.when(called, 0).otherwise(F.col("neg"))).alias("tn"),
     )
+    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     return counted.select(
         *by,
-        ratio(F.col("hits"), F.col("num_samples")).alias("accuracy"),
-        ratio(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")).alias("f1_score"),
-        ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
-        ratio(F.col("tp"), F.col("tp") + F.col("fn")).alias("recall"),
+        ratio(tp + tn, F.col("num_samples")).alias("accuracy"),
+        ratio(2 * tp, 2 * tp + fp + fn).alias("f1_score"),
+        ratio(tp, tp + fp).alias("precision"),
+        ratio(tp, tp + fn).alias("recall"),
         "num_samples",
     )
 

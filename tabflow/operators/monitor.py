@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabflow.functions.state import entries
-from tabflow.operators.evaluate import auc_roc, binary_metrics, limits
+from tabflow.operators.evaluate import area_roc, binary_from_counts, curve, limits
 from tabflow.sources.files import save
 from tabflow.sources.shared import persist_state
 
@@ -47,19 +47,37 @@ def with_truth(predictions: DataFrame, truth: DataFrame, keys: list[str]) -> Dat
     return predictions.join(truth, keys, "inner")
 
 
+def truth_cells(
+    predictions: DataFrame, truth: DataFrame, keys: list[str], label: str, prediction: str, score: str
+) -> DataFrame:
+    """(prediction, score, pos, neg): positive and negative truths per distinct prediction.
+
+    Truth is first reduced to one row per key and written, so a repeated key adds counts and
+    no pairs of rows are made; the planner then knows its size and broadcasts it or joins by
+    sort-merge, where a key with very many predictions is split as skewed.
+    """
+    per_key = truth.groupBy(*keys).agg(
+        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
+    )
+    called = predictions.select(*keys, F.col(prediction).alias("prediction"), F.col(score).alias("score"))
+    joined = called.join(persist_state(per_key, "truth"), keys, "inner")
+    return joined.groupBy("prediction", "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+
+
 def performance(
     predictions: DataFrame, truth: DataFrame, keys: list[str], label: str, prediction: str, score: str
 ) -> DataFrame:
     """Long form (metric, value): accuracy, positive-class metrics, auc and the sample count.
 
-    The join runs once: its three needed columns are written and read by each metric.
+    All metrics come from one table of cells, so predictions and truth are joined once.
     """
-    joined = with_truth(predictions, truth, keys).select(label, prediction, score)
-    joined = persist_state(joined, "joined")
-    row = binary_metrics(joined, label, prediction)
+    cells = truth_cells(predictions, truth, keys, label, prediction, score)
+    row = binary_from_counts(cells)
     names = ("accuracy", "f1_score", "precision", "recall", "num_samples")
     report = entries(row, [{"metric": F.lit(n), "value": F.col(n).cast("double")} for n in names])
-    area = auc_roc(joined, label, score).select(F.lit("auc").alias("metric"), F.col("auc_roc").alias("value"))
+    counts = cells.filter(F.col("score").isNotNull()).groupBy(F.lit("model").alias("model"), "score")
+    counts = counts.agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    area = area_roc(curve(counts)).select(F.lit("auc").alias("metric"), F.col("auc_roc").alias("value"))
     return report.unionByName(area)
 
 

@@ -59,8 +59,7 @@ def sample_rows(df: DataFrame, n: int, keys: list[str], seed: int = 42) -> DataF
     digest = key_digest(keys, seed)
     counts = df.select(F.lit(0).alias("g"), digest.alias("digest"), F.lit(1).alias("n"))
     counts = counts.withColumn("_bucket", leading_number(F.col("digest"), 3))
-    wanted = order_statistics(
-        counts, ["g"], "digest", "n", lambda total: F.array(F.least(total, F.lit(n)).cast("double"))
-    )
+    rank = lambda total: F.array(F.least(total, F.lit(n)).cast("double"))
+    wanted = order_statistics(counts, ["g"], "digest", "n", rank, merge=True)
     last = scalar_row(wanted.select("digest"))["digest"]
     return df.filter(digest <= last) if n > 0 else df.limit(0)

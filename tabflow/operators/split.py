@@ -56,6 +56,7 @@ def fit_stratified(
         "n",
         lambda total: F.array(quota(total).cast("double")),
         settle=lambda hits: persist_state(hits, "strata"),
+        merge=True,
     )
     sizes = df.groupBy(stratum).agg(F.count("*").alias("rows"))
     wanted = sizes.withColumn("quota", quota(F.col("rows")).cast("long"))
