@@ -1,8 +1,9 @@
-"""Order statistics and running totals that never sort a whole group in one task.
+"""Quantiles, order statistics and running totals that never sort a whole group in one task.
 
-Values are first reduced to distinct ones with counts. An order-keeping bucket number splits
-each group into many parts; the bucket totals are a small table, and a window runs only
-inside one bucket.
+Exact quantiles bracket their rank by approximate percentiles and sort only the brackets.
+Running totals first reduce values to distinct ones with counts; an order-keeping bucket
+number splits each group into many parts, the bucket totals are a small table, and a window
+runs only inside one bucket.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from tabflow.functions.state import null_safe_join
 from tabflow.sources.shared import new_path
 
 BUCKET_STEPS = 8  # 2 ** 8 buckets per group
+BRACKET_ACCURACY = 100_000  # rank error of the percentiles that bracket an exact quantile
 MAX_GROUPS = 1000  # groups of one call whose split points and bucket totals are sent to all tasks
 Settle = Callable[[DataFrame], DataFrame]
 
@@ -31,11 +33,7 @@ def split_points(counts: DataFrame, key: str, value: str, measures: list[str], s
     seen = sum((F.col(m) for m in measures), F.lit(0)) > 0
     per_group = counts.filter(seen).groupBy(key)
     splits = per_group.agg(F.percentile_approx(value, shares, F.lit(8 * 2**steps)).alias("splits"))
-    fits = F.count("*") <= MAX_GROUPS
-    pairs = F.when(fits, F.collect_list(F.struct(key, "splits"))).otherwise(
-        F.raise_error(F.lit(f"more than {MAX_GROUPS} groups in {key}: evaluate them in several calls"))
-    )
-    return splits.limit(MAX_GROUPS + 1).agg(F.map_from_entries(pairs).alias("splits")).scalar()
+    return bounded_map(splits, key, F.col("splits"))
 
 
 def with_bucket(df: DataFrame, value: str, splits: Column, steps: int = BUCKET_STEPS) -> DataFrame:
@@ -123,18 +121,56 @@ def order_statistics(
     return reached.groupBy(*keys, "position", "target", f"{weight}_all").agg(F.min(value).alias(value))
 
 
-def exact_quantiles(long: DataFrame, key: str, value: str, shares: list[float]) -> DataFrame:
+def bounded_map(per_group: DataFrame, key: str, value: Column) -> Column:
+    """Scalar map from group to value, for at most MAX_GROUPS groups; more are an error."""
+    pairs = F.when(F.count("*") <= MAX_GROUPS, F.collect_list(F.struct(F.col(key), value.alias("v")))).otherwise(
+        F.raise_error(F.lit(f"more than {MAX_GROUPS} groups in {key}: evaluate them in several calls"))
+    )
+    return per_group.limit(MAX_GROUPS + 1).agg(F.map_from_entries(pairs).alias("map")).scalar()
+
+
+def exact_quantiles(
+    long: DataFrame, key: str, value: str, shares: list[float], accuracy: int = BRACKET_ACCURACY
+) -> DataFrame:
     """Discrete quantiles (key, position, value) of a long table; NULL and NaN are left out.
 
-    A quantile p is the smallest value whose cumulative share is at least p.
+    A quantile p is the smallest value whose cumulative share is at least p. Approximate
+    percentiles a little below and above p bracket it; their rank error is at most
+    1 / accuracy. A second scan counts the values inside the brackets and merges all others
+    into the bracket end below them, so the shuffle and the sorted window hold a few rows per
+    `accuracy`. A bracket that missed its rank would be an error, never a wrong value.
     """
     clean = long.filter(F.col(value).isNotNull() & ~F.isnan(value)).select(key, value)
-    counts = bucketed(clean.groupBy(key, value).agg(F.count("*").alias("n")), key, value, ["n"])
-    ranks = [F.lit(float(p)) for p in shares]
-    found = order_statistics(
-        counts, [key], value, "n", lambda total: F.array(*[F.greatest(p * total, F.lit(1.0)) for p in ranks])
+    margin, size = 4 / accuracy, len(shares)
+    positions = sorted(range(size), key=lambda i: shares[i])
+    shares = sorted(shares)
+    ends = [max(p - margin, 0.0) for p in shares] + [min(p + margin, 1.0) for p in shares]
+    near = clean.groupBy(key).agg(
+        F.count("*").alias("n"), F.percentile_approx(value, F.array(*map(F.lit, ends)), F.lit(accuracy)).alias("ends")
     )
-    return found.select(key, "position", value)
+    bracket = bounded_map(near, key, F.struct("n", "ends"))
+    here, b = F.col(value), F.col("_b")
+    low, high = [b["ends"][i] for i in range(size)], [b["ends"][i + size] for i in range(size)]
+    merged = F.lit(None).cast("double")  # below the first bracket
+    for lo, hi in zip(low, high):
+        merged = F.when(here > hi, hi).when(here >= lo, here).otherwise(merged)
+    kept = clean.withColumn("_b", bracket[F.col(key)]).withColumn("kept", merged)
+    counts = kept.groupBy(key, "kept").agg(F.count("*").alias("n"))
+    order = Window.partitionBy(key).orderBy(F.col("kept").asc_nulls_first())
+    run = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    reached = counts.select(key, "kept", run.alias("run"), bracket[F.col(key)].alias("_b"))
+    target = [F.greatest(p * b["n"], F.lit(1.0)) for p in shares]
+    first = [F.min(F.when(F.col("run") >= t, F.coalesce("kept", F.lit(float("-inf"))))) for t in target]
+    found = reached.groupBy(key).agg(F.first("_b").alias("_b"), *[f.alias(f"q{i}") for i, f in enumerate(first)])
+    problem = F.raise_error(F.lit("quantile outside its bracket: raise the accuracy")).cast("double")
+    checked = [
+        F.struct(
+            F.lit(positions[i]).alias("position"),
+            F.when((F.col(f"q{i}") >= low[i]) & (F.col(f"q{i}") <= high[i]), F.col(f"q{i}")).otherwise(problem).alias(value),
+        )
+        for i in range(size)
+    ]
+    return found.select(key, F.inline(F.array(*checked)))
 
 
 def numbered(df: DataFrame, order: list[Column], group: str) -> DataFrame:

@@ -22,9 +22,9 @@ def entries(row: DataFrame, records: list[dict[str, Column]]) -> DataFrame:
 
 
 def melt(df: DataFrame, columns: list[str], keep: list[str] = (), name="feature", value="value", kind="double"):
-    """Long form (keep..., feature, value) of some columns, read in one scan."""
-    pairs = [F.struct(F.lit(c).alias(name), F.col(c).cast(kind).alias(value)) for c in columns]
-    return df.select(*keep, F.inline(F.array(*pairs)))
+    """Long form (keep..., feature, value) of some columns, cast to one type, read in one scan."""
+    cast = [F.col(c).cast(kind).alias(c) for c in columns]
+    return df.select(*keep, *cast).unpivot(list(keep), columns, name, value)
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tabflow.functions import ordered
 from tests.conftest import executed, rows
 
-SHARES = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
+SHARES = [0.5, 0.0, 0.1, 0.25, 0.75, 1.0, 0.99]
 
 
 def quantile(values, p):
@@ -37,6 +37,15 @@ def test_quantiles_with_a_hot_value(spark):
     quantiles_of(spark, {"hot": hot, "flat": [1.0] * 500, "wide": list(np.exp(rng.normal(size=3000) * 5))})
 
 
+@pytest.mark.parametrize("accuracy", [100, 1000])
+def test_quantiles_hold_for_narrow_brackets_over_many_partitions(spark, accuracy):
+    rng = np.random.default_rng(7)
+    values = np.round(np.exp(rng.normal(size=20_000) * 3), 6)
+    long = spark.createDataFrame([("a", float(v)) for v in values], "feature string, value double").repartition(13)
+    found = rows(ordered.exact_quantiles(long, "feature", "value", SHARES, accuracy), "position")
+    assert [v for _, _, v in found] == [quantile(values, p) for p in SHARES]
+
+
 def test_quantiles_skip_null_and_nan(spark):
     long = spark.createDataFrame([("a", None), ("a", float("nan")), ("a", 2.0), ("a", 1.0)], "feature string, value double")
     assert rows(ordered.exact_quantiles(long, "feature", "value", [0.5])) == [("a", 0, 1.0)]
@@ -68,7 +77,9 @@ def test_windows_run_inside_buckets(spark):
 def test_counts_are_shuffled_once(spark, smoke):
     lines = spark.read.parquet(f"{smoke}/lineitem.parquet")
     long = lines.select(F.lit("p").alias("feature"), F.col("l_extendedprice").alias("value"))
-    plan = executed(ordered.exact_quantiles(long, "feature", "value", [0.5]))
+    counts = long.groupBy("feature", "value").agg(F.count("*").alias("n"))
+    totals = ordered.running_totals(ordered.bucketed(counts, "feature", "value", ["n"]), ["feature"], "value", ["n"])
+    plan = executed(totals)
     assert plan.count("FileScan") - plan.count("ReusedExchange") <= 1
 
 
