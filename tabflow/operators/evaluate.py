@@ -29,14 +29,18 @@ def prediction_cells(df: DataFrame, label: str, prediction: str, score: str) ->
 
 
 def score_counts(df: DataFrame, label: str, score: str, model: Column | None = None, weight: Column | None = None):
-    """(model, score, pos, neg) per distinct score; rows without label or score are left out."""
+    """(model, score, pos, neg) per distinct score; a row without label or score counts nothing.
+
+    Such rows get zero weight instead of a filter, which the optimizer would move below the
+    cells and so keep two metrics from sharing them.
+    """
     weight = F.lit(1).cast("long") if weight is None else weight
-    y = F.col(label)
-    rows = df.filter(F.col(score).isNotNull() & y.isNotNull()).select(
+    y, ranked = F.col(label), F.col(score).isNotNull()
+    rows = df.select(
         (F.lit("model") if model is None else model).alias("model"),
         F.col(score).cast("double").alias("score"),
-        F.when(y == 1, weight).otherwise(0).alias("pos"),
-        F.when(y != 1, weight).otherwise(0).alias("neg"),
+        F.when(ranked & (y == 1), weight).otherwise(0).alias("pos"),
+        F.when(ranked & (y != 1), weight).otherwise(0).alias("neg"),
     )
     return rows.groupBy("model", "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
@@ -63,7 +67,7 @@ def area_pr(points: DataFrame) -> DataFrame:
     before_all = before_tp + F.col("neg_all") - F.col("neg_run")
     now_tp = before_tp + F.col("pos")
     now_all = before_all + F.col("pos") + F.col("neg")
-    precision = now_tp / now_all
+    precision = F.when(now_all > 0, now_tp / now_all).otherwise(F.lit(0.0))
     earlier = F.when(before_all > 0, before_tp / before_all).otherwise(precision)
     step = F.when(F.col("pos_all") > 0, F.col("pos") / F.col("pos_all").cast("double") * (precision + earlier) / 2.0)
     return points.groupBy("model").agg(F.sum(step).alias("auc_pr"))
@@ -92,7 +96,8 @@ def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
     the class list and never by joining rows with rows.
     """
     cells = confusion_counts(df, label, prediction).filter(F.col("label").isNotNull() & F.col("prediction").isNotNull())
-    kinds = cells.select(F.explode(F.array("label", "prediction")).alias("label")).distinct()
+    # n > 0 always holds; reading n lets the classes and the counts share one shuffle
+    kinds = cells.filter(F.col("n") > 0).select(F.explode(F.array("label", "prediction")).alias("label")).distinct()
     classes = kinds.agg(F.collect_set("label").alias("classes")).scalar()
     grid = kinds.select("label", F.explode(classes).alias("prediction"))
     return grid.join(cells, ["label", "prediction"], "left").select(

@@ -75,8 +75,9 @@ def performance(
     row = binary_from_counts(cells)
     names = ("accuracy", "f1_score", "precision", "recall", "num_samples")
     report = entries(row, [{"metric": F.lit(n), "value": F.col(n).cast("double")} for n in names])
-    counts = cells.filter(F.col("score").isNotNull()).groupBy(F.lit("model").alias("model"), "score")
-    counts = counts.agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    ranked = lambda c: F.when(F.col("score").isNotNull(), F.col(c)).otherwise(0)
+    counts = cells.groupBy(F.lit("model").alias("model"), "score")
+    counts = counts.agg(F.sum(ranked("pos")).alias("pos"), F.sum(ranked("neg")).alias("neg"))
     area = area_roc(curve(counts)).select(F.lit("auc").alias("metric"), F.col("auc_roc").alias("value"))
     return report.unionByName(area)
 

@@ -234,7 +234,8 @@ def quality_gate(df: DataFrame, target: str, share_limit: float = MISSING_SHARE_
             {"metric": F.lit("passed"), "value": passed.cast("long")},
         ],
     )
-    per_class = classes.select(
+    # reading every measure here lets both parts share one shuffle; the condition always holds
+    per_class = classes.filter(F.col("n") + F.col("missing") + F.col("copies") > 0).select(
         F.concat(F.lit("target="), F.coalesce(F.col("target").cast("string"), F.lit("NULL"))).alias("metric"),
         F.col("n").alias("value"),
     )

@@ -42,3 +42,15 @@ def executed(df) -> str:
 
 def planned(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def counted(df):
+    """The same table, and an accumulator of the rows read from it by all jobs and retries."""
+    seen = df.sparkSession.sparkContext.accumulator(0)
+
+    def watch(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    return df.mapInPandas(watch, df.schema), seen

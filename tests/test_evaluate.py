@@ -4,7 +4,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.sql import functions as F
 
 from tabflow.operators import evaluate
-from tests.conftest import executed, rows
+from tests.conftest import counted, rows
 
 
 @pytest.fixture(scope="module")
@@ -59,15 +59,23 @@ def test_report_reads_its_input_once(spark, smoke):
     lines = spark.read.parquet(f"{smoke}/lineitem.parquet").select(
         F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("label"),
         (F.col("l_quantity") > 25).cast("int").alias("prediction"),
-        F.col("l_extendedprice").alias("score"),
+        F.when(F.col("l_tax") > 0, F.col("l_extendedprice")).alias("score"),
     )
-    report = evaluate.evaluate(lines, "label", "prediction", "score", pr=True)
-    plan = executed(report)
-    assert plan.count("FileScan") - plan.count("ReusedExchange") <= 1
-    values = dict(rows(report))
+    watched, seen = counted(lines)
+    values = dict(rows(evaluate.evaluate(watched, "label", "prediction", "score", pr=True)))
+    assert seen.value == lines.count()
     assert set(values) == {"accuracy", "precision", "recall", "f1_score", "auc_roc", "auc_pr"}
     alone = dict(rows(evaluate.evaluate(lines, "label", "prediction")))
     assert all(values[m] == pytest.approx(v) for m, v in alone.items())
+    ranked = lines.filter("score IS NOT NULL")
+    assert values["auc_roc"] == pytest.approx(evaluate.auc_roc(ranked, "label", "score").first()["auc_roc"])
+    assert values["auc_pr"] == pytest.approx(evaluate.auc_pr(ranked, "label", "score").first()["auc_pr"])
+
+
+def test_scores_that_are_all_missing(spark):
+    df = spark.createDataFrame([(1, 1, None), (0, 1, None)], "label int, prediction int, score double")
+    out = dict(rows(evaluate.evaluate(df, "label", "prediction", "score", pr=True)))
+    assert out["accuracy"] == 0.5 and out["auc_roc"] is None and out["auc_pr"] is None
 
 
 def test_confusion_matrix_has_empty_cells_and_sums_to_the_rows(spark):

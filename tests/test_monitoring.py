@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tabflow.operators import drift, monitor
 from tabflow.sources.shared import new_path
-from tests.conftest import rows
+from tests.conftest import counted, rows
 
 
 def frame(spark, **columns):
@@ -91,7 +91,9 @@ def test_performance_counts_repeated_keys_like_a_join(spark):
         "id int, prediction int, score double",
     ).unionByName(spark.range(150).selectExpr("7 as id", "1 as prediction", "0.9D as score"))
     truth = spark.createDataFrame([(int(k), int(y)) for k, y in zip(rng.integers(0, 50, 120), rng.integers(0, 2, 120))], "id int, label int")
-    out = dict(rows(monitor.performance(predictions, truth, ["id"], "label", "prediction", "score")))
+    watched, seen = counted(predictions)
+    out = dict(rows(monitor.performance(watched, truth, ["id"], "label", "prediction", "score")))
+    assert seen.value == 450
     joined = monitor.with_truth(predictions, truth, ["id"]).toPandas()
     y, p = joined.label == 1, joined.prediction == 1
     assert out["num_samples"] == len(joined)
