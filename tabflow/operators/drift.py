@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabflow.functions.expressions import numeric_columns, text_columns
+from tabflow.functions.expressions import known, numeric_columns, text_columns
 from tabflow.functions.ordered import bucketed, exact_quantiles, running_totals, with_bucket
 from tabflow.functions.pvalues import chi_square_tail, kolmogorov_tail
-from tabflow.functions.state import melt
+from tabflow.functions.state import entries, melt, scalar_row
 
 # When a feature counts as drifted, and how strongly.
 KS_LIMIT, KS_HIGH = 0.3, 0.5
@@ -26,11 +26,21 @@ def shared_features(reference: DataFrame, current: DataFrame) -> tuple[list[str]
 
 
 def shared_feature_table(reference: DataFrame, current: DataFrame) -> DataFrame:
-    """(feature, kind) of the shared columns; reads the schemas only."""
+    """(feature, kind, n_ref, n_cur): shared columns and their values on both sides.
+
+    A feature can be tested when both counts are positive. One pass over each table.
+    """
     numeric, text = shared_features(reference, current)
-    pairs = [F.struct(F.lit(c).alias("feature"), F.lit("numerical").alias("kind")) for c in numeric]
-    pairs += [F.struct(F.lit(c).alias("feature"), F.lit("categorical").alias("kind")) for c in text]
-    return current.sparkSession.range(1).select(F.inline(F.array(*pairs)))
+    kinds = {**{c: "numerical" for c in numeric}, **{c: "categorical" for c in text}}
+    filled = lambda df: df.agg(*[F.count(known(df, c)).alias(c) for c in kinds])
+    before = scalar_row(filled(reference))
+    return entries(
+        filled(current),
+        [
+            {"feature": F.lit(c), "kind": F.lit(kind), "n_ref": before[c], "n_cur": F.col(c)}
+            for c, kind in kinds.items()
+        ],
+    )
 
 
 def _both(reference: DataFrame, current: DataFrame, columns: list[str], kind: str) -> DataFrame:

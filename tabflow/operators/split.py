@@ -54,14 +54,14 @@ def fit_stratified(
         [stratum],
         "digest",
         "n",
-        lambda total: F.array(quota(total).cast("double")),
+        lambda total: F.array(F.greatest(quota(total), F.lit(1)).cast("double")),
         settle=lambda hits: persist_state(hits, "strata"),
         merge=True,
     )
-    sizes = df.groupBy(stratum).agg(F.count("*").alias("rows"))
-    wanted = sizes.withColumn("quota", quota(F.col("rows")).cast("long"))
-    found = cutoffs.select(stratum, F.col("digest").alias("last_digest"))
-    return persist_state(null_safe_join(wanted, found, [stratum], "left"), "strata")
+    wanted = quota(F.col("n_all")).cast("long")
+    last = F.when(wanted > 0, F.col("digest"))
+    state = cutoffs.select(stratum, F.col("n_all").alias("rows"), wanted.alias("quota"), last.alias("last_digest"))
+    return persist_state(state, "strata")
 
 
 def assign_stratified(

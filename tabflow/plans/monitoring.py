@@ -115,15 +115,21 @@ def drift_score(spark, root):
     return rounded(drift.drift_score(ks, chi2, 3))
 
 
+FEATURE_KINDS = {"event_id": "numerical", "user_id": "numerical", "value": "numerical", "event_type": "categorical"}
+
+
 @query(
     "drift_feature_types",
-    "SELECT * FROM (VALUES ('o_orderkey', 'numerical'), ('o_custkey', 'numerical'), ('o_totalprice', 'numerical'), "
-    "('o_orderpriority', 'categorical')) v(feature, kind)",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS feature, '{kind}' AS kind, count({c}) FILTER (WHERE ts < TIMESTAMP '{SPLIT_DAY}') AS n_ref,
+count({c}) FILTER (WHERE ts >= TIMESTAMP '{SPLIT_DAY}') AS n_cur FROM events"""
+        for c, kind in FEATURE_KINDS.items()
+    ),
 )
 def drift_feature_types(spark, root):
-    """Columns of the orders that a reference without the status still shares, by type."""
-    orders = table(spark, root, "orders")
-    return drift.shared_feature_table(orders.drop("o_orderstatus"), orders)
+    """Columns that both sides have, by type, with their values; the reference lacks the properties."""
+    reference, current = event_halves(spark, root)
+    return drift.shared_feature_table(reference.drop("props"), current)
 
 
 PERFORMANCE_SQL = f"""{PREDICTIONS_SQL},

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tabflow.operators import binning, encoding, missing, outliers, projection, scaling, split
 from tabflow.plans import prepare
 from tabflow.sources.shared import new_path
-from tests.conftest import planned, rows
+from tests.conftest import counted, planned, rows
 
 
 # --- missing values ---
@@ -155,6 +155,19 @@ def test_a_hot_category_and_many_rare_ones(spark):
     assert coded.agg(F.countDistinct("s_index"), F.max("s_index"), F.count("*")).first() == (6001, 6000, 9000)
 
 
+def test_a_dictionary_too_large_to_broadcast_joins_by_sort_merge(spark):
+    df = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 40).cast("string")).alias("s"))
+    codes = encoding.fit_index(df, ["s"])
+    small = rows(encoding.apply_index(df, codes, ["s"]), "id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = encoding.apply_index(df, codes, ["s"])
+        assert "SortMergeJoin" in planned(joined)
+        assert rows(joined, "id") == small
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_ordinal_policies(spark):
     df = spark.createDataFrame([("One year",), ("Never",), (None,)], "Contract string")
     maps = {"Contract": encoding.CONTRACT_CODES, "absent": {"x": 1}}
@@ -229,6 +242,14 @@ def test_stratified_split_meets_the_quota_in_every_class(spark):
     assert out.count() == 6548 and out.select("id").distinct().count() == 6548
 
 
+def test_stratified_state(spark):
+    df = spark.range(1004).select("id", F.when(F.col("id") < 1000, "a").otherwise("b").alias("y"))
+    watched, seen = counted(df)
+    state = rows(split.fit_stratified(watched, "y", ["id"], 0.2).select("y", "rows", "quota"), "y")
+    assert state == [("a", 1000, 200), ("b", 4, 0)]
+    assert seen.value == 2 * 1004  # bucket counts, then the one bucket that holds the quota
+
+
 def test_stratified_split_falls_back_for_a_tiny_class(spark):
     df = spark.range(1000).withColumn("y", F.when(F.col("id") < 2, 1).otherwise(0))
     state = split.fit_stratified(df, "y", ["id"], 0.2)
