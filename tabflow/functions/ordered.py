@@ -13,11 +13,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabflow.functions.state import null_safe_join
+from tabflow.functions.expressions import known
+from tabflow.functions.state import STATE, null_safe_join, with_state
 from tabflow.sources.shared import new_path
 
 BUCKET_STEPS = 8  # 2 ** 8 buckets per group
-BRACKET_ACCURACY = 100_000  # rank error of the percentiles that bracket an exact quantile
+BRACKET_ACCURACY = 50_000  # rank error of the percentiles that bracket an exact quantile
 MAX_GROUPS = 1000  # groups of one call whose split points and bucket totals are sent to all tasks
 Settle = Callable[[DataFrame], DataFrame]
 
@@ -130,9 +131,9 @@ def bounded_map(per_group: DataFrame, key: str, value: Column) -> Column:
 
 
 def exact_quantiles(
-    long: DataFrame, key: str, value: str, shares: list[float], accuracy: int = BRACKET_ACCURACY
+    df: DataFrame, columns: list[str], shares: list[float], accuracy: int = BRACKET_ACCURACY
 ) -> DataFrame:
-    """Discrete quantiles (key, position, value) of a long table; NULL and NaN are left out.
+    """Discrete quantiles (feature, position, value) of several columns; missing values are left out.
 
     A quantile p is the smallest value whose cumulative share is at least p. Approximate
     percentiles a little below and above p bracket it; their rank error is at most
@@ -140,37 +141,48 @@ def exact_quantiles(
     into the bracket end below them, so the shuffle and the sorted window hold a few rows per
     `accuracy`. A bracket that missed its rank would be an error, never a wrong value.
     """
-    clean = long.filter(F.col(value).isNotNull() & ~F.isnan(value)).select(key, value)
-    margin, size = 4 / accuracy, len(shares)
+    values = df.select(*[known(df, c).cast("double").alias(c) for c in columns])
+    values = values.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in columns])
+    size, margin = len(shares), 4 / accuracy
     positions = sorted(range(size), key=lambda i: shares[i])
     shares = sorted(shares)
     ends = [max(p - margin, 0.0) for p in shares] + [min(p + margin, 1.0) for p in shares]
-    near = clean.groupBy(key).agg(
-        F.count("*").alias("n"), F.percentile_approx(value, F.array(*map(F.lit, ends)), F.lit(accuracy)).alias("ends")
+    wanted = F.array(*map(F.lit, ends))
+    brackets = values.agg(
+        *[
+            F.struct(F.count(c).alias("n"), F.percentile_approx(c, wanted, F.lit(accuracy)).alias("ends")).alias(c)
+            for c in columns
+        ]
+    )
+    bracket = F.col(STATE)
+    merged = {}
+    for c in columns:
+        here, at = F.col(c), F.lit(float("-inf"))  # below the first bracket
+        for i in range(size):
+            low, high = bracket[c]["ends"][i], bracket[c]["ends"][i + size]
+            at = F.when(here > high, high).when(here >= low, here).otherwise(at)
+        merged[c] = F.when(here.isNotNull(), at)
+    long = with_state(values, brackets).withColumns(merged).drop(STATE).unpivot([], columns, "feature", "kept").filter(F.col("kept").isNotNull())
+    counts = long.groupBy("feature", "kept").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("feature").orderBy("kept")
+    run = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("run")
+    by_name = F.create_map(*[part for c in columns for part in (F.lit(c), bracket[c])])
+    ranked = with_state(counts.select("feature", "kept", run), brackets)
+    ranked = ranked.select("feature", "kept", "run", by_name[F.col("feature")].alias("_b"))
+    found = ranked.groupBy("feature").agg(
+        *[
+            F.min(F.when(F.col("run") >= F.greatest(p * F.col("_b")["n"], F.lit(1.0)), F.col("kept"))).alias(f"q{i}")
+            for i, p in enumerate(shares)
+        ],
+        F.first("_b").alias("_b"),
     )
-    bracket = bounded_map(near, key, F.struct("n", "ends"))
-    here, b = F.col(value), F.col("_b")
-    low, high = [b["ends"][i] for i in range(size)], [b["ends"][i + size] for i in range(size)]
-    merged = F.lit(None).cast("double")  # below the first bracket
-    for lo, hi in zip(low, high):
-        merged = F.when(here > hi, hi).when(here >= lo, here).otherwise(merged)
-    kept = clean.withColumn("_b", bracket[F.col(key)]).withColumn("kept", merged)
-    counts = kept.groupBy(key, "kept").agg(F.count("*").alias("n"))
-    order = Window.partitionBy(key).orderBy(F.col("kept").asc_nulls_first())
-    run = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    reached = counts.select(key, "kept", run.alias("run"), bracket[F.col(key)].alias("_b"))
-    target = [F.greatest(p * b["n"], F.lit(1.0)) for p in shares]
-    first = [F.min(F.when(F.col("run") >= t, F.coalesce("kept", F.lit(float("-inf"))))) for t in target]
-    found = reached.groupBy(key).agg(F.first("_b").alias("_b"), *[f.alias(f"q{i}") for i, f in enumerate(first)])
     problem = F.raise_error(F.lit("quantile outside its bracket: raise the accuracy")).cast("double")
-    checked = [
-        F.struct(
-            F.lit(positions[i]).alias("position"),
-            F.when((F.col(f"q{i}") >= low[i]) & (F.col(f"q{i}") <= high[i]), F.col(f"q{i}")).otherwise(problem).alias(value),
-        )
-        for i in range(size)
-    ]
-    return found.select(key, F.inline(F.array(*checked)))
+    checked = []
+    for i in range(size):
+        value, low, high = F.col(f"q{i}"), F.col("_b")["ends"][i], F.col("_b")["ends"][i + size]
+        sure = F.when((value >= low) & (value <= high), value).otherwise(problem)
+        checked.append(F.struct(F.lit(positions[i]).alias("position"), sure.alias("value")))
+    return found.select("feature", F.inline(F.array(*checked)))
 
 
 def numbered(df: DataFrame, order: list[Column], group: str) -> DataFrame:

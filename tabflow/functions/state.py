@@ -15,6 +15,15 @@ def scalar_row(state: DataFrame) -> Column:
     return state.select(F.struct(*[F.col(f"`{c}`") for c in state.columns]).alias("row")).scalar()
 
 
+STATE = "_state"
+
+
+def with_state(df: DataFrame, state: DataFrame) -> DataFrame:
+    """Add the single row of `state` as the struct column `_state`: one subquery to plan, however
+    many of its fields the following projection uses and then drops."""
+    return df.withColumn(STATE, scalar_row(state))
+
+
 def entries(row: DataFrame, records: list[dict[str, Column]]) -> DataFrame:
     """One output row per record from a single aggregate row, without a shuffle."""
     structs = [F.struct(*[value.alias(name) for name, value in r.items()]) for r in records]

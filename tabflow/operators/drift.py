@@ -120,7 +120,7 @@ def reference_splits(reference: DataFrame, columns: list[str], bins: int = 10, e
     if not exact:
         long = melt(reference, columns).filter(F.col("value").isNotNull() & ~F.isnan("value"))
         return long.groupBy("feature").agg(F.percentile_approx("value", shares, 10_000).alias("splits"))
-    found = exact_quantiles(melt(reference, columns), "feature", "value", shares)
+    found = exact_quantiles(reference, columns, shares)
     # at most `bins` values per feature
     ordered = F.array_sort(F.collect_list(F.struct("position", "value")))
     return found.groupBy("feature").agg(F.transform(ordered, lambda s: s["value"]).alias("splits"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tabflow.functions.expressions import FLOATING, is_missing, known, numeric_columns
 from tabflow.functions.ordered import exact_quantiles
-from tabflow.functions.state import entries, melt, scalar_row
+from tabflow.functions.state import STATE, entries, with_state
 
 PLACEHOLDER = "MISSING"
 METHODS = ("mean", "median", "mode")
@@ -44,7 +44,7 @@ def fit_fill(df: DataFrame, columns: list[str], method: str = "mean", exact: boo
     if method == "median" and not exact:
         return df.agg(*[F.percentile_approx(known(df, c), 0.5, 10_000).alias(c) for c in columns])
     if method == "median":
-        found = exact_quantiles(melt(df, columns), "feature", "value", [0.5])
+        found = exact_quantiles(df, columns, [0.5])
     else:
         found = column_modes(df, columns)
     kinds = dict(df.dtypes)
@@ -54,8 +54,8 @@ def fit_fill(df: DataFrame, columns: list[str], method: str = "mean", exact: boo
 
 def apply_fill(df: DataFrame, state: DataFrame) -> DataFrame:
     """Fill every column that the state holds; works on a stream too."""
-    row = scalar_row(state)
-    return df.withColumns({c: F.coalesce(known(df, c), row[c]) for c in state.columns})
+    row = F.col(STATE)
+    return with_state(df, state).withColumns({c: F.coalesce(known(df, c), row[c]) for c in state.columns}).drop(STATE)
 
 
 def fill_constant(df: DataFrame, value, columns: list[str] | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tabflow.functions.expressions import clip, known, outside
 from tabflow.functions.ordered import exact_quantiles
-from tabflow.functions.state import entries, melt, scalar_row
+from tabflow.functions.state import STATE, entries, with_state
 
 IQR_FACTOR = 1.5
 Z_LIMIT = 3.0
@@ -25,7 +25,7 @@ def fit_iqr(df: DataFrame, columns: list[str], factor: float = IQR_FACTOR, exact
     distributed order statistics.
     """
     if exact:
-        found = exact_quantiles(melt(df, columns), "feature", "value", [0.25, 0.75])
+        found = exact_quantiles(df, columns, [0.25, 0.75])
         at = lambda c, p: F.max(F.when((F.col("feature") == c) & (F.col("position") == p), F.col("value")))
         return found.agg(*[_bounds(at(c, 0), at(c, 1), factor).alias(c) for c in columns])
     quartiles = df.agg(
@@ -65,27 +65,26 @@ def bounds_table(state: DataFrame) -> DataFrame:
 
 def flag(df: DataFrame, state: DataFrame) -> DataFrame:
     """Add a boolean `<column>_outlier` for every column of the state."""
-    row = scalar_row(state)
-    return df.withColumns(
-        {f"{c}_outlier": outside(F.col(c), row[c]["lower"], row[c]["upper"]) for c in state.columns}
-    )
+    flags = {f"{c}_outlier": _is_outside(c) for c in state.columns}
+    return with_state(df, state).withColumns(flags).drop(STATE)
 
 
-def flag_count(df: DataFrame, state: DataFrame) -> Column:
-    row = scalar_row(state)
-    flags = [outside(F.col(c), row[c]["lower"], row[c]["upper"]).cast("int") for c in state.columns]
-    return sum(flags, F.lit(0))
+def _is_outside(column: str) -> Column:
+    bounds = F.col(STATE)[column]
+    return outside(F.col(column), bounds["lower"], bounds["upper"])
 
 
 def remove(df: DataFrame, state: DataFrame, min_outliers: int = 2) -> DataFrame:
     """Keep rows with fewer than `min_outliers` values outside the bounds."""
-    return df.filter(flag_count(df, state) < min_outliers)
+    flags = sum((_is_outside(c).cast("int") for c in state.columns), F.lit(0))
+    return with_state(df, state).filter(flags < min_outliers).drop(STATE)
 
 
 def cap(df: DataFrame, state: DataFrame) -> DataFrame:
     """Clamp every column of the state to its bounds."""
-    row = scalar_row(state)
-    return df.withColumns({c: clip(F.col(c), row[c]["lower"], row[c]["upper"]) for c in state.columns})
+    row = F.col(STATE)
+    capped = {c: clip(F.col(c), row[c]["lower"], row[c]["upper"]) for c in state.columns}
+    return with_state(df, state).withColumns(capped).drop(STATE)
 
 
 def handle(df: DataFrame, state: DataFrame, method: str = "remove", min_outliers: int = 2) -> DataFrame:

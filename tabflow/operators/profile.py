@@ -31,7 +31,7 @@ def moments(df: DataFrame, columns: list[str]) -> DataFrame:
 def quantiles(df: DataFrame, columns: list[str], shares: list[float], exact: bool = False) -> DataFrame:
     """Long form (feature, position, value) of quantiles of all columns."""
     if exact:
-        return exact_quantiles(melt(df, columns), "feature", "value", shares)
+        return exact_quantiles(df, columns, shares)
     found = df.agg(*[F.percentile_approx(known(df, c).cast("double"), shares, 10_000).alias(c) for c in columns])
     records = [
         {"feature": F.lit(c), "position": F.lit(i), "value": F.col(c)[i]}
@@ -170,7 +170,7 @@ def profile_numeric(df: DataFrame, columns: list[str], exact: bool = False) -> D
     profiled = entries(df.agg(*parts), records)
     if not exact:
         return profiled
-    found = exact_quantiles(melt(df, columns), "feature", "value", [0.25, 0.5, 0.75])
+    found = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
     at = lambda p, name: F.max(F.when(F.col("position") == p, F.col("value"))).alias(name)
     wide = found.groupBy("feature").agg(at(0, "q1"), at(1, "median"), at(2, "q3"))
     return profiled.join(wide, "feature", "left")

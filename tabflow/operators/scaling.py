@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabflow.functions.expressions import known
-from tabflow.functions.state import entries, scalar_row
+from tabflow.functions.state import STATE, entries, with_state
 
 
 def fit_moments(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -39,7 +39,7 @@ def moments_table(state: DataFrame) -> DataFrame:
 
 def scale_minmax(df: DataFrame, state: DataFrame, low: float = 0.0, high: float = 1.0) -> DataFrame:
     """Scale to [low, high] by the fitted range; a constant column becomes the midpoint."""
-    row = scalar_row(state)
+    row = F.col(STATE)
     scaled = {}
     for c in state.columns:
         value, span = F.col(c).cast("double"), row[c]["max"] - row[c]["min"]
@@ -48,12 +48,12 @@ def scale_minmax(df: DataFrame, state: DataFrame, low: float = 0.0, high: float
             .when(span == 0, F.lit((low + high) / 2))
             .otherwise((value - row[c]["min"]) / span * (high - low) + low)
         )
-    return df.withColumns(scaled)
+    return with_state(df, state).withColumns(scaled).drop(STATE)
 
 
 def scale_standard(df: DataFrame, state: DataFrame, with_mean: bool = True, with_std: bool = True) -> DataFrame:
     """Subtract the mean and divide by the sample deviation; a constant column becomes 0."""
-    row = scalar_row(state)
+    row = F.col(STATE)
     scaled = {}
     for c in state.columns:
         value = F.col(c).cast("double")
@@ -63,7 +63,7 @@ def scale_standard(df: DataFrame, state: DataFrame, with_mean: bool = True, with
                 F.when(value.isNull(), value).when(row[c]["std"] == 0, F.lit(0.0)).otherwise(centred / row[c]["std"])
             )
         scaled[c] = centred
-    return df.withColumns(scaled)
+    return with_state(df, state).withColumns(scaled).drop(STATE)
 
 
 def assemble(df: DataFrame, columns: list[str], invalid: str = "keep", output: str = "features") -> DataFrame:

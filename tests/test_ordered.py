@@ -18,10 +18,13 @@ def quantile(values, p):
     return next(v for i, v in enumerate(values, 1) if i >= max(p * len(values), 1.0))
 
 
-def quantiles_of(spark, groups):
-    data = [(g, float(v)) for g, values in groups.items() for v in values]
-    long = spark.createDataFrame(data, "feature string, value double")
-    found = rows(ordered.exact_quantiles(long, "feature", "value", SHARES), "feature", "position")
+def quantiles_of(spark, groups, accuracy=ordered.BRACKET_ACCURACY, parts=4):
+    longest = max(map(len, groups.values()))
+    padded = [list(v) + [None, float("nan")][: longest - len(v)] for v in groups.values()]
+    padded = [v + [None] * (longest - len(v)) for v in padded]
+    data = [tuple(None if x is None else float(x) for x in row) for row in zip(*padded)]
+    df = spark.createDataFrame(data, ", ".join(f"{g} double" for g in groups)).repartition(parts)
+    found = rows(ordered.exact_quantiles(df, list(groups), SHARES, accuracy), "feature", "position")
     assert found == [(g, i, quantile(groups[g], p)) for g in sorted(groups) for i, p in enumerate(SHARES)]
 
 
@@ -40,15 +43,18 @@ def test_quantiles_with_a_hot_value(spark):
 @pytest.mark.parametrize("accuracy", [100, 1000])
 def test_quantiles_hold_for_narrow_brackets_over_many_partitions(spark, accuracy):
     rng = np.random.default_rng(7)
-    values = np.round(np.exp(rng.normal(size=20_000) * 3), 6)
-    long = spark.createDataFrame([("a", float(v)) for v in values], "feature string, value double").repartition(13)
-    found = rows(ordered.exact_quantiles(long, "feature", "value", SHARES, accuracy), "position")
-    assert [v for _, _, v in found] == [quantile(values, p) for p in SHARES]
+    quantiles_of(spark, {"a": np.round(np.exp(rng.normal(size=20_000) * 3), 6).tolist()}, accuracy, 13)
 
 
-def test_quantiles_skip_null_and_nan(spark):
-    long = spark.createDataFrame([("a", None), ("a", float("nan")), ("a", 2.0), ("a", 1.0)], "feature string, value double")
-    assert rows(ordered.exact_quantiles(long, "feature", "value", [0.5])) == [("a", 0, 1.0)]
+def test_quantiles_skip_missing_and_unknown_columns(spark):
+    df = spark.createDataFrame([(None, None), (float("nan"), None), (2.0, None), (1.0, None)], "a double, b double")
+    assert rows(ordered.exact_quantiles(df, ["a", "b"], [0.5])) == [("a", 0, 1.0)]
+
+
+def test_quantiles_read_the_input_twice(spark):
+    watched, seen = counted(spark.range(3000).select(F.rand(1).alias("a"), F.rand(2).alias("b")))
+    ordered.exact_quantiles(watched, ["a", "b"], [0.25, 0.75]).collect()
+    assert seen.value == 2 * 3000
 
 
 def test_running_totals(spark):
@@ -82,9 +88,9 @@ def test_running_totals_read_the_input_once(spark):
 
 
 def test_too_many_groups_are_refused(spark):
-    long = spark.range(1500).select(F.col("id").cast("string").alias("feature"), F.lit(1.0).alias("value"))
+    counts = spark.range(1500).select(F.col("id").cast("string").alias("k"), F.lit(1.0).alias("v"), F.lit(1).alias("n"))
     with pytest.raises(Exception, match="more than 1000 groups"):
-        ordered.exact_quantiles(long, "feature", "value", [0.5]).collect()
+        ordered.bucketed(counts, "k", "v", ["n"]).collect()
 
 
 def test_numbered_counts_from_zero_in_every_group(spark):

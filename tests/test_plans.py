@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tabflow.operators import missing, outliers, projection, scaling
 from tabflow.plans.catalogue import CATALOGUE
-from tests.conftest import executed, planned
+from tests.conftest import counted, executed, planned
 
 LAZY = [n for n, q in CATALOGUE.items() if q.run.__module__.split(".")[-1] in ("relational", "profiling", "evaluation")]
 SOURCE = pathlib.Path(__file__).parent.parent / "tabflow"
@@ -45,12 +45,16 @@ def test_row_wise_operators_do_not_shuffle_rows(spark, smoke):
     assert "Exchange" not in planned(sampled)
 
 
-def test_equal_subqueries_run_once(spark, smoke):
-    lines = spark.read.parquet(f"{smoke}/lineitem.parquet").select("l_orderkey", "l_extendedprice")
-    capped = outliers.cap(lines, outliers.fit_iqr(lines, ["l_extendedprice"]))
-    plan = executed(capped.agg(F.sum("l_extendedprice")))
-    assert "ReusedSubquery" in plan
-    assert len(set(re.findall(r"(?<!Reused)Subquery subquery#(\d+)", plan))) == 1
+def test_a_fit_reads_once_and_its_state_is_one_subquery(spark, smoke):
+    columns = ["l_quantity", "l_extendedprice", "l_tax"]
+    lines = spark.read.parquet(f"{smoke}/lineitem.parquet").select("l_orderkey", *columns)
+    watched, seen = counted(lines)
+    capped = outliers.cap(lines, outliers.fit_iqr(watched, columns))
+    assert capped.count() == capped.filter("l_tax >= 0").count() == lines.count()
+    assert len(set(re.findall(r"Subquery subquery#(\d+)", planned(capped)))) == 1
+    seen.value = 0
+    capped.collect()
+    assert seen.value == lines.count()
 
 
 @pytest.mark.parametrize("name", ["join_stats_apply", "outlier_iqr_flag", "scale_minmax", "split_random"])
