@@ -36,11 +36,6 @@ def fit_index(df: DataFrame, columns: list[str]) -> DataFrame:
     return persist_state(ranked.select("feature", "category", F.col("position").cast("int").alias("code")), "codes")
 
 
-def code_counts(dictionary: DataFrame) -> DataFrame:
-    """Number of codes per feature."""
-    return dictionary.groupBy("feature").agg((F.max("code") + 1).alias("codes"))
-
-
 def apply_index(df: DataFrame, dictionary: DataFrame, columns: list[str], unseen: str = "keep") -> DataFrame:
     """Add `<column>_index`; an unseen category gets the next free code, or NULL.
 

@@ -6,7 +6,7 @@ from pyspark.ml.feature import Imputer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabflow.functions.expressions import FLOATING, is_missing, known, numeric_columns
+from tabflow.functions.expressions import is_missing, known, numeric_columns
 from tabflow.functions.ordered import exact_quantiles
 from tabflow.functions.state import STATE, entries, with_state
 
@@ -86,8 +86,3 @@ def missing_counts(df: DataFrame, total: str = "TOTAL") -> DataFrame:
     whole: Column = sum((F.col(f"`{c}`") for c in df.columns), F.lit(0).cast("long"))
     records = [{"column_name": F.lit(c), "missing_count": F.col(f"`{c}`")} for c in df.columns]
     return entries(counted, [*records, {"column_name": F.lit(total), "missing_count": whole}])
-
-
-def null_or_nan(df: DataFrame, column: str) -> Column:
-    c = F.col(column)
-    return c.isNull() | F.isnan(c) if isinstance(df.schema[column].dataType, FLOATING) else c.isNull()

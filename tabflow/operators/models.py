@@ -14,7 +14,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -130,13 +130,6 @@ def evaluator(metric: str):
     return MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName=metric)
 
 
-def grid_of(estimator: Estimator, space: dict[str, list]) -> list[dict]:
-    builder = ParamGridBuilder()
-    for name, values in space.items():
-        builder = builder.addGrid(estimator.getParam(name), values)
-    return builder.build()
-
-
 def trial_points(space: dict[str, list], trials: int | None = MAX_TRIALS, seed: int = 42) -> list[dict]:
     """All combinations of a search space, or a seeded sample if there are more than `trials`."""
     points = [dict(zip(space, values)) for values in itertools.product(*space.values())]

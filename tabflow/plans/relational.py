@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tabflow.functions import expressions as ex
 from tabflow.functions.state import scalar_row
-from tabflow.operators import drift, encoding, evaluate, monitor, outliers, projection, scaling, scoring, split
+from tabflow.operators import drift, encoding, evaluate, monitor, outliers, projection, scaling, scoring
 from tabflow.plans.inputs import (
     EVENTS_SQL,
     PREDICTIONS_SQL,
@@ -18,7 +18,6 @@ from tabflow.plans.inputs import (
     document_truth,
     event_halves,
     gapped_customers,
-    line_halves,
     moment,
     scored_events,
 )

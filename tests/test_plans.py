@@ -4,7 +4,6 @@ import pathlib
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from tabflow.operators import missing, outliers, projection, scaling
 from tabflow.plans.catalogue import CATALOGUE
