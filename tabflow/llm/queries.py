@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabflow.llm import mixing, search, sharding
+from tabflow.llm import bpe, mixing, search, sharding, simple8b
 from tabflow.llm.catalogue import query
 from tabflow.llm.common import word_count
+from tabflow.sources.shared import new_path
 from tabflow.sources.tables import table
 
 WEIGHTS = [1, 2, 3]
@@ -80,3 +82,23 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
 @query("op8_exact_top_k", OP8_SQL)
 def op8_exact_top_k(spark, root):
     return search.top_k(table(spark, root, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query("op6_bpe")
+def op6_bpe(spark, root):
+    spec = public_tokenizers.path("word_bpe_49k.json")
+    coded = bpe.encode_documents(table(spark, root, "documents"), spec, ["doc_id"])
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op10_simple8b_files")
+def op10_simple8b_files(spark, root):
+    path = new_path(spark, "ids")
+    simple8b.write_ids(table(spark, root, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
+    return simple8b.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
