@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabflow.llm import bpe, mixing, search, sharding, simple8b
+from tabflow.llm import bpe, mixing, rules, search, sharding, simple8b
 from tabflow.llm.catalogue import query
 from tabflow.llm.common import word_count
 from tabflow.sources.shared import new_path
@@ -65,6 +65,57 @@ def op2_shard_by_key(spark, root):
     )
 
 
+OP4_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text, md5(coalesce(text, '')) AS h FROM documents),
+words AS (SELECT r, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM docs),
+windows AS (
+  SELECT r, unnest(range(1, len(w) - 1)) AS i, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i:i+2])) AS g
+  FROM words WHERE len(w) >= 3),
+repeated AS (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM windows),
+covered AS (
+  SELECT r, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM repeated WHERE n > 1) GROUP BY r),
+lines AS (
+  SELECT r, source, h, line,
+         array_to_string(regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x20\x09-\x0D]+'), ' ') AS normal,
+         len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
+  FROM (SELECT r, source, h, unnest(string_split(text, chr(10))) AS line FROM docs)),
+duplicates AS (SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines WHERE n > 0 GROUP BY r),
+per_text AS (
+  SELECT source, h, normal, max(n) AS n
+  FROM (SELECT r, source, h, normal, sum(n) AS n FROM lines WHERE n > 0 GROUP BY ALL) GROUP BY ALL),
+hosts AS (SELECT source, count(DISTINCT h) AS of_host FROM docs GROUP BY source),
+frequent AS (
+  SELECT p.source, p.normal FROM per_text p JOIN hosts o ON p.source IS NOT DISTINCT FROM o.source
+  GROUP BY p.source, p.normal, o.of_host HAVING count(*) > 50 AND count(*) > o.of_host * 0.002),
+removed AS (
+  SELECT p.source, p.h, sum(p.n) AS gone
+  FROM per_text p JOIN frequent f ON p.source IS NOT DISTINCT FROM f.source AND p.normal = f.normal GROUP BY ALL),
+counted AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(d.text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(d.text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+         CAST(coalesce(gone, 0) AS BIGINT) AS n_removed_words
+  FROM docs d JOIN words USING (r) LEFT JOIN duplicates USING (r) LEFT JOIN covered USING (r)
+  LEFT JOIN removed g ON d.source IS NOT DISTINCT FROM g.source AND d.h = g.h)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+       AND n_words - n_removed_words >= n_words * CAST(0.3 AS DOUBLE) AS kept
+FROM counted"""
+
+
+@query("op4_line_frequency", OP4_SQL)
+def op4_line_frequency(spark, root):
+    n = F.col("n_words")
+    failed = (n < 50) | (100 * F.col("n_repeat_words") > 50 * n)
+    judged = rules.judge(rules.measure(table(spark, root, "documents")), failed)
+    return judged.select(F.col("key").alias("doc_id"), *rules.COUNTS, "n_removed_words", "base_failed", "kept")
+
+
 OP8_SQL = """
 WITH whole AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
