@@ -5,9 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabflow.llm import bpe, mixing, rules, search, sharding, simple8b
+from tabflow.llm import bpe, mixing, rules, search, sharding, simple8b, toxicity
 from tabflow.llm.catalogue import query
-from tabflow.llm.common import word_count
+from tabflow.llm.common import fold, word_count
 from tabflow.sources.shared import new_path
 from tabflow.sources.tables import table
 
@@ -153,3 +153,17 @@ def op10_simple8b_files(spark, root):
     path = new_path(spark, "ids")
     simple8b.write_ids(table(spark, root, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
     return simple8b.read_ids(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op7_toxic_segments")
+def op7_toxic_segments(spark, root):
+    docs = table(spark, root, "documents")
+    judged = toxicity.toxicity(toxicity.fit(docs, table(spark, root, "labels")), docs)
+    scored = docs.select("doc_id", judged("text").alias("found"))
+    return scored.select(
+        "doc_id",
+        (fold(F.col("doc_id")) == 0).alias("held_out"),
+        F.col("found.score").alias("score"),
+        F.when(F.col("found.score") >= 0.5, 1).otherwise(0).alias("predicted"),
+        F.size("found.passages").alias("n_passages"),
+    )
