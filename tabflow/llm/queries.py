@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabflow.llm import bpe, mixing, rules, search, sharding, simple8b, toxicity
+from tabflow.llm import bpe, importance, mixing, rules, search, sharding, simple8b, toxicity
 from tabflow.llm.catalogue import query
 from tabflow.llm.common import fold, word_count
 from tabflow.sources.shared import new_path
@@ -167,3 +167,11 @@ def op7_toxic_segments(spark, root):
         F.when(F.col("found.score") >= 0.5, 1).otherwise(0).alias("predicted"),
         F.size("found.passages").alias("n_passages"),
     )
+
+
+@query("op9_importance_resampling")
+def op9_importance_resampling(spark, root):
+    docs, labels = table(spark, root, "documents"), table(spark, root, "labels")
+    sampled = importance.sample_documents(docs, labels)
+    held_out = (fold(F.col("key")) == 0).alias("held_out")
+    return sampled.select(F.col("key").alias("doc_id"), held_out, "log_weight", "score", "kept")
