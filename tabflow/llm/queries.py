@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabflow.llm import bpe, importance, mixing, rules, search, sharding, simple8b, toxicity
+from tabflow.llm import bpe, hmm, importance, mixing, rules, search, sharding, simple8b, toxicity
 from tabflow.llm.catalogue import query
 from tabflow.llm.common import fold, word_count
 from tabflow.sources.shared import new_path
@@ -175,3 +175,10 @@ def op9_importance_resampling(spark, root):
     sampled = importance.sample_documents(docs, labels)
     held_out = (fold(F.col("key")) == 0).alias("held_out")
     return sampled.select(F.col("key").alias("doc_id"), held_out, "log_weight", "score", "kept")
+
+
+@query("op3_hidden_markov")
+def op3_hidden_markov(spark, root):
+    scored = hmm.score_documents(table(spark, root, "documents"), fold(F.col("doc_id")) == 1)
+    columns = ["held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    return scored.select(F.col("key").alias("doc_id"), *columns)
