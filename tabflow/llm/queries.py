@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabflow.llm import bpe, hmm, importance, mixing, rules, search, sharding, simple8b, toxicity
+from tabflow.llm import bpe, hmm, importance, jaccard, mixing, rules, search, sharding, simple8b, toxicity
 from tabflow.llm.catalogue import query
 from tabflow.llm.common import fold, word_count
 from tabflow.sources.shared import new_path
@@ -182,3 +182,9 @@ def op3_hidden_markov(spark, root):
     scored = hmm.score_documents(table(spark, root, "documents"), fold(F.col("doc_id")) == 1)
     columns = ["held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     return scored.select(F.col("key").alias("doc_id"), *columns)
+
+
+@query("op5_jaccard_groups")
+def op5_jaccard_groups(spark, root):
+    found = jaccard.groups(table(spark, root, "documents"))
+    return found.select(F.col("key").alias("doc_id"), "n_shingles", "component_id")
