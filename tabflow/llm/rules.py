@@ -78,12 +78,12 @@ def measure(docs: DataFrame, key: str = "doc_id", host: str = "source", text: st
     return rows.mapInArrow(_measure, ", ".join([*kinds, "text_md5 binary", *counts, f"lines {LINES}"]))
 
 
-def frequent_lines(texts: DataFrame, max_documents: int, max_share: float) -> DataFrame:
+def frequent_lines(measures: DataFrame, texts: DataFrame, max_documents: int, max_share: float) -> DataFrame:
     """Rows (host, hash) of lines in more distinct documents of the host than its limit.
 
-    The limit is `max_documents`, or `max_share` of the host's documents where that is more.
+    The limit is `max_documents`, or `max_share` of the host's distinct documents where that is more.
     """
-    per_host = texts.select("host", "text_md5").distinct().groupBy("host").agg(F.count("*").alias("of_host"))
+    per_host = measures.select("host", "text_md5").distinct().groupBy("host").agg(F.count("*").alias("of_host"))
     per_line = texts.groupBy("host", "hash").agg(F.count("*").alias("documents"))
     often = per_line.filter(F.col("documents") > max_documents)
     hosts = per_host.select(F.col("host").alias("h"), "of_host")
@@ -110,7 +110,7 @@ def judge(
     exploded = measures.select("host", "text_md5", F.explode("lines").alias("line"))
     texts = exploded.groupBy("host", F.col("line.hash").alias("hash"), "text_md5").agg(F.max("line.words").alias("words"))
     texts = persist_state(texts, "lines")
-    frequent = persist_state(frequent_lines(texts, max_documents, max_share), "frequent")
+    frequent = persist_state(frequent_lines(measures, texts, max_documents, max_share), "frequent")
     frequent = frequent.select(F.col("host").alias("h"), F.col("hash").alias("of_hash"))
     matches = F.col("host").eqNullSafe(F.col("h")) & (F.col("hash") == F.col("of_hash"))
     removed = texts.join(frequent, matches, "left_semi").groupBy("host", "text_md5").agg(F.sum("words").alias("gone"))
