@@ -149,22 +149,25 @@ def kth_largest(rows: DataFrame, column: str, k: int) -> int | None:
     return prefix
 
 
-def resample(weighted: DataFrame, prior: float, seed: int = 17) -> DataFrame:
-    """Adds `score` and `kept` to rows (key, draw, log_weight): a Gumbel top-k sample by importance.
+def _rank(weight: Column, uniform_bits: Column) -> Column:
+    """The Gumbel-perturbed log weight as a long; the noise is the row's hash draw, so reruns agree."""
+    uniform = (uniform_bits + 0.5) / float(1 << 60)
+    return _ordered(weight - F.log(-F.log(uniform)))
 
-    k is the expected number of target documents, the sum of min(1, prior * weight): the share of each
-    document that the target explains. Noise comes from the hash draw of the row, so reruns agree;
-    equal rows have equal noise and are kept or left together.
-    """
-    belongs = F.least(F.lit(1.0), F.exp(F.least(F.col("log_weight") + F.lit(float(np.log(max(prior, 1e-12)))), F.lit(0.0))))
-    uniform = (F.col("draw") + 0.5) / float(1 << 60)
-    gumbel = -F.log(-F.log(uniform))
-    rows = weighted.withColumn("score", belongs).withColumn("rank_key", _ordered(F.col("log_weight") + gumbel))
-    rows = persist_state(rows, "weights")
-    k = int(round(rows.agg(F.sum("score")).first()[0] or 0))
-    least = kth_largest(rows, "rank_key", k)
-    kept = F.lit(False) if least is None else F.col("rank_key") >= F.lit(least)
-    return rows.withColumn("kept", kept).drop("rank_key")
+
+def _belongs(weight: Column, prior: float) -> Column:
+    """The share of a document that the target explains: min(1, prior * weight)."""
+    return F.exp(F.least(weight + float(np.log(max(prior, 1e-12))), F.lit(0.0)))
+
+
+def cutoff(weighted: DataFrame, prior: float) -> int:
+    """The least rank of a Gumbel top-k sample of rows (draw, log_weight), where k is the expected number
+    of target documents. Rows of equal rank are taken or left together."""
+    rows = weighted.select(_belongs(F.col("log_weight"), prior).alias("share"), _rank(F.col("log_weight"), F.col("draw")).alias("rank"))
+    rows = persist_state(rows, "ranks")
+    k = int(round(rows.agg(F.sum(F.col("share").cast("decimal(30,9)"))).first()[0] or 0))
+    least = kth_largest(rows, "rank", k)
+    return (1 << 62) if least is None else least
 
 
 def target_share(labels: DataFrame, label: str = "quality", key: str = "doc_id", bound: int = MAX_LABELLED) -> float:
@@ -176,12 +179,26 @@ def target_share(labels: DataFrame, label: str = "quality", key: str = "doc_id",
 def sample_documents(
     docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text", seed: int = 17
 ) -> DataFrame:
-    """Rows (key, draw, log_weight, score, kept), one per document.
+    """Rows (key, draw, log_weight, score, kept), one per document: a Gumbel top-k sample by importance.
 
-    A null or empty text has weight 1 and is judged by the prior alone; null keys have draws by their
-    text; an empty table gives no rows.
+    `score` is the share of the document that the target explains. A null or empty text has weight 1
+    and is judged by the prior alone; null keys have draws by their text; equal rows are kept or left
+    together; an empty table gives no rows.
     """
-    ratios = fit(docs, labels, label, key, text)
-    weigh = log_weight(ratios, docs)
-    rows = docs.select(named(key).alias("key"), draw(seed, named(key), named(text)).alias("draw"), weigh(named(text)).alias("log_weight"))
-    return resample(rows, target_share(labels, label, key), seed)
+    weigh, prior = log_weight(fit(docs, labels, label, key, text), docs), target_share(labels, label, key)
+    rows = docs.select(
+        named(key).alias("key"), draw(seed, named(key), named(text)).alias("draw"), weigh(named(text)).alias("log_weight")
+    )
+    rows = persist_state(rows, "weights")
+    kept = _rank(F.col("log_weight"), F.col("draw")) >= cutoff(rows, prior)
+    return rows.select("*", _belongs(F.col("log_weight"), prior).alias("score"), kept.alias("kept"))
+
+
+def sampled_documents(
+    docs: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text", seed: int = 17
+) -> DataFrame:
+    """The documents that `sample_documents` keeps, with all their columns and without a join."""
+    weigh, prior = log_weight(fit(docs, labels, label, key, text), docs), target_share(labels, label, key)
+    bits = draw(seed, named(key), named(text))
+    least = cutoff(docs.select(bits.alias("draw"), weigh(named(text)).alias("log_weight")), prior)
+    return docs.filter(_rank(weigh(named(text)), bits) >= least)

@@ -287,3 +287,15 @@ def groups(
         F.when(alone, F.col("key")).otherwise(F.col("first.key")).alias("component_id"),
         (alone | place.eqNullSafe(F.col("first"))).alias("representative"),
     )
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """The representative document of each group, with all its columns.
+
+    Rows with equal key and text are one document; texts without words all stay.
+    """
+    found = groups(docs, key, text, percent).filter("representative").select(F.col("key").alias("k"), F.col("text_hash").alias("h"))
+    whole = F.struct(*[named(c) for c in docs.columns]).alias("row")
+    rows = docs.select(whole, named(key).alias("key"), F.xxhash64(named(text)).alias("text_hash"))
+    kept = rows.join(found.distinct(), F.col("key").eqNullSafe(F.col("k")) & (F.col("text_hash") == F.col("h")), "left_semi")
+    return kept.dropDuplicates(["key", "text_hash"]).select("row.*")

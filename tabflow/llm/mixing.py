@@ -107,24 +107,41 @@ def cutoffs(rows: DataFrame, quotas: DataFrame) -> DataFrame:
     )
 
 
-def sample(rows: DataFrame, targets: DataFrame) -> DataFrame:
-    """Adds source_size, target and `copies` to rows with source, size and draw.
-
-    `copies` is the number of whole repetitions of the source (floor of target / size), plus one for
-    the rows whose draw is within the source's cutoff. It depends on the draws alone, so reruns agree.
-    """
+def plan(rows: DataFrame, targets: DataFrame) -> DataFrame:
+    """The targets with `whole`, the repetitions of every document of a source (floor of target / size),
+    and `cutoff`, the largest draw that has one repetition more."""
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     planned = targets.select("source", "source_size", "target", whole.alias("whole"))
-    quotas = planned.select("source", (F.col("target") - F.col("whole") * F.col("source_size")).alias("quota"))
-    limits = cutoffs(rows.select("source", "draw", "size"), quotas)
+    rest = F.col("target") - F.col("whole") * F.col("source_size")
+    limits = cutoffs(rows.select("source", "draw", "size"), planned.select("source", rest.alias("quota")))
     limits = limits.select(F.col("source").alias("limit_of"), "cutoff")
-    plan = planned.join(limits, _same("limit_of"), "left").drop("limit_of")
-    plan = persist_state(plan.withColumn("cutoff", F.coalesce("cutoff", F.lit(TAKE_ALL))), "mix")
-    extra = ((F.col("draw") <= F.col("cutoff")) & (F.col("target") > F.col("whole") * F.col("source_size"))).cast("long")
-    joined = rows.join(plan.withColumnRenamed("source", "plan_of"), _same("plan_of"), "left").drop("plan_of")
+    out = planned.join(limits, _same("limit_of"), "left").drop("limit_of")
+    cutoff = F.when(rest > 0, F.coalesce("cutoff", F.lit(TAKE_ALL))).otherwise(-1)
+    return persist_state(out.withColumn("cutoff", cutoff), "mix")
+
+
+def sample(rows: DataFrame, planned: DataFrame) -> DataFrame:
+    """Adds source_size, target and `copies` to rows with `source` and `draw`.
+
+    The number of copies depends on the plan and the draw alone, so reruns agree.
+    """
+    joined = rows.join(planned.withColumnRenamed("source", "plan_of"), _same("plan_of"), "left").drop("plan_of")
+    extra = (F.col("draw") <= F.col("cutoff")).cast("long")
     return joined.withColumn("copies", F.col("whole") + extra).drop("whole", "cutoff")
 
 
+def _rows(docs: DataFrame, size: Column, seed: int, key: str, text: str, source: str) -> DataFrame:
+    return docs.select(
+        named(key).alias("key"), named(source).alias("source"), size.alias("size"),
+        draw(seed, named(key), named(text)).alias("draw"),
+    )
+
+
+def _planned(rows: DataFrame, weights: list[int], max_epochs: int) -> DataFrame:
+    sizes = source_sizes(rows, "source", "size")
+    return plan(rows, water_fill(cyclic_weights(sizes, weights), max_epochs=max_epochs))
+
+
 def mix(
     docs: DataFrame,
     size: Column,
@@ -140,10 +157,26 @@ def mix(
     Null sources are one source; a null key or text has a draw of its own; repeated rows share their
     draw and so their copies; an empty table gives no rows.
     """
-    rows = docs.select(
-        named(key).alias("key"), named(source).alias("source"), size.alias("size"),
+    rows = persist_state(_rows(docs, size, seed, key, text, source), "sizes")
+    return sample(rows, _planned(rows, weights, max_epochs))
+
+
+def mixed_documents(
+    docs: DataFrame,
+    size: Column,
+    weights: list[int],
+    seed: int = 11,
+    max_epochs: int = 3,
+    key: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+) -> DataFrame:
+    """The documents of the mix with all their columns, each as often as `mix` takes it."""
+    rows = persist_state(_rows(docs, size, seed, key, text, source), "sizes")
+    planned = _planned(rows, weights, max_epochs)
+    whole = docs.select(
+        F.struct(*[named(c) for c in docs.columns]).alias("row"), named(source).alias("source"),
         draw(seed, named(key), named(text)).alias("draw"),
     )
-    rows = persist_state(rows, "sizes")
-    targets = water_fill(cyclic_weights(source_sizes(rows, "source", "size"), weights), max_epochs=max_epochs)
-    return sample(rows, targets)
+    taken = sample(whole, planned).filter("copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")

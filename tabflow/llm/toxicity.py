@@ -340,3 +340,9 @@ def toxicity(model: Segments, docs: DataFrame) -> Column:
         return frame.assign(passages=[[dict(zip(fields, p)) for p in ps] for ps in frame["passages"]])
 
     return judged
+
+
+def clean_documents(docs: DataFrame, labels: DataFrame, limit: float = 0.5, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents, with all their columns, whose toxicity score is below the limit."""
+    judged = toxicity(fit(docs, labels, key=key, text=text), docs)
+    return docs.filter(judged(named(text))["score"] < limit)
