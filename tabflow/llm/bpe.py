@@ -17,7 +17,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabflow.llm.common import chunks, named
+from tabflow.llm.common import chunks, named, raw_texts
 from tabflow.llm.vocab import Vocabulary, broadcast_spec, vocabulary
 
 LEAF_CHARS = 8_192  # a text of at most twice as many characters is not cut
@@ -102,7 +102,7 @@ def join(known: Vocabulary, text: str, left: Encoded, right: Encoded, begin: int
 def encode_long(known: Vocabulary, text: str, leaf: int = LEAF_CHARS) -> np.ndarray:
     """Ids of a text of any length: pieces in parallel, joined pairwise until one is left."""
     edges = cuts(text, leaf)
-    pieces = known.spans([text[a:b] for a, b in zip(edges, edges[1:])])
+    pieces = known.spans([text[a:b] for a, b in zip(edges, edges[1:])], parallel=True)
     parts = [(ids, spans + a) for (ids, spans), a in zip(pieces, edges)]
     while len(parts) > 1:
         pairs = range(0, len(parts) - 1, 2)
@@ -113,24 +113,26 @@ def encode_long(known: Vocabulary, text: str, leaf: int = LEAF_CHARS) -> np.ndar
     return parts[0][0]
 
 
-def encode_text(known: Vocabulary, text: bytes, leaf: int = LEAF_CHARS) -> np.ndarray:
-    """Ids of a text; a short one by its words, as the tokenizer drops white space between them."""
-    whole = text.decode()
-    if len(whole) > 2 * leaf:
-        return encode_long(known, whole, leaf)
-    return np.frombuffer(b"".join(known.encode_words(text.split())), "<u4")
+def encode_texts(known: Vocabulary, texts: list[bytes], leaf: int = LEAF_CHARS) -> list[np.ndarray]:
+    """Ids of each text; short ones by their words, as the tokenizer drops white space between them."""
+    long = {i: whole for i, t in enumerate(texts) if len(t) > 2 * leaf and len(whole := t.decode()) > 2 * leaf}
+    short = iter(known.encode_words([t for i, t in enumerate(texts) if i not in long]))
+    return [
+        encode_long(known, long[i], leaf).astype(np.int32) if i in long else np.frombuffer(next(short), "<i4")
+        for i in range(len(texts))
+    ]
 
 
 def _encoder(spec: Broadcast, leaf: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(spec)
         for batch in (c for b in batches for c in chunks(b)):
-            texts = batch.column(batch.num_columns - 1).cast(pa.binary()).to_pylist()
-            coded = [encode_text(known, t or b"", leaf).astype(np.int32) for t in texts]
+            *keys, texts = batch.columns
+            coded = encode_texts(known, raw_texts(texts), leaf)
             offsets = np.cumsum([0, *map(len, coded)]).astype(np.int32)
             ids = pa.ListArray.from_arrays(offsets, np.concatenate([*coded, np.zeros(0, np.int32)]))
             decoded = pa.array([known.decode(c) for c in coded], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids, decoded], [*batch.schema.names[:-1], "ids", "decoded"])
+            yield pa.RecordBatch.from_arrays([*keys, ids, decoded], [*batch.schema.names[:-1], "ids", "decoded"])
 
     return encode
 

@@ -25,6 +25,7 @@ from tabflow.llm.vocab import broadcast_spec, vocabulary
 COUNTS = np.array([1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
 WIDTHS = np.array([60, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.uint64)
 ESCAPE, WIDEST = 0, 15
+NARROWEST = np.array([1 + int(np.searchsorted(WIDTHS[1:], b)) for b in range(61)], np.uint8)  # by bit length
 RUN = 16_384
 MAGIC = b"S8B1"
 HEADER = struct.Struct("<4sIIII")  # magic, values, words, exceptions, runs
@@ -34,6 +35,8 @@ DATA = np.uint64((1 << 60) - 1)
 
 def _narrowest(values: np.ndarray) -> np.ndarray:
     """The narrowest selector that holds each value; 16 for those that need the escape."""
+    if values.max(initial=0) < 1 << 53:  # exact as doubles, whose exponents are the bit lengths
+        return NARROWEST[np.frexp(values.astype(np.float64))[1]]
     limits = np.uint64(1) << WIDTHS[1:]
     return (np.searchsorted(limits, values, side="right") + 1).astype(np.uint8)
 
@@ -43,7 +46,8 @@ def _encode_run(values: np.ndarray, exceptions: list[int]) -> np.ndarray:
     need = _narrowest(values)
     escaped = need > WIDEST
     padded = np.concatenate([need, np.ones(int(COUNTS.max()), np.uint8)])
-    # The widest need among the next c values, built up from the counts below c.
+    # A word that can hold the next c values in one width can hold fewer in a larger one, so the number
+    # of selectors that fit tells the best. `widest` is the need among the next values, as many as `have`.
     choice, widest, have = np.full(n, WIDEST, np.uint8), padded, 1
     for selector in range(WIDEST - 1, 0, -1):
         count = int(COUNTS[selector])
@@ -51,7 +55,10 @@ def _encode_run(values: np.ndarray, exceptions: list[int]) -> np.ndarray:
             step = min(have, count - have)
             widest = np.maximum(widest[:-step], widest[step:])
             have += step
-        choice[widest[:n] <= selector] = selector
+        fits = widest[:n] <= selector
+        if not fits.any():
+            break
+        choice -= fits
     choice[escaped] = ESCAPE
     after = (np.arange(n) + COUNTS[choice]).tolist()
     starts, at = [], 0
@@ -177,8 +184,9 @@ def _writer(spec: Broadcast, end_id: int, block_ids: int):
         known, block = vocabulary(spec), _Block(TaskContext.get().partitionId())
         end = np.array([end_id], "<u4").tobytes()
         for batch in (c for b in batches for c in chunks(b)):
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                block.add(key, known.encode_spaced(text or "") + end)
+            coded = known.encode_spaced([t or "" for t in batch.column(1).to_pylist()])
+            for key, ids in zip(batch.column(0).to_pylist(), coded):
+                block.add(key, ids + end)
                 if block.held >= block_ids:
                     yield block.row()
                     block = block.next()

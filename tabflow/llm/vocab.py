@@ -6,6 +6,8 @@ size is that of the vocabulary file, whatever the corpus.
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable, Iterable
 from pathlib import Path
 
 import numpy as np
@@ -13,7 +15,9 @@ from pyspark import Broadcast
 from pyspark.sql import SparkSession
 from tokenizers import Tokenizer
 
-KEPT_WORDS = 300_000  # words whose ids a worker keeps at least, and at most twice as many
+KEPT_WORDS = 500_000  # words whose ids a worker keeps at least, and at most twice as many
+MARKS = ",.;:!?&%$#*"  # what may follow a word directly and is no letter, digit, apostrophe or space
+THREADS = "TOKENIZERS_PARALLELISM"
 GROUP = 200  # words that go to the tokenizer as one text
 
 _loaded: dict[int, "Vocabulary"] = {}
@@ -38,16 +42,18 @@ class Recent[K]:
         self.new: dict[K, bytes] = {}
         self.old: dict[K, bytes] = {}
 
-    def missing(self, words: list[K]) -> list[K]:
-        """The distinct words without ids; those of the older half move to the newer."""
+    def turn(self) -> None:
         if len(self.new) > KEPT_WORDS:
             self.new, self.old = {}, self.new
+
+    def missing(self, words: Iterable[K]) -> list[K]:
+        """Those of the distinct words that have no ids; those of the older half move to the newer."""
         found = []
-        for word in {w for w in words if w not in self.new}:
-            if (ids := self.old.get(word)) is None:
-                found.append(word)
-            else:
+        for word in words:
+            if (ids := self.old.get(word)) is not None:
                 self.new[word] = ids
+            elif word not in self.new:
+                found.append(word)
         return found
 
 
@@ -55,14 +61,18 @@ class Vocabulary:
     """A tokenizer, and the ids (little-endian 32 bits) of text pieces that stand alone."""
 
     def __init__(self, spec: str) -> None:
+        os.environ[THREADS] = "false"  # a task has one core; idle threads of the library would take others
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         names = sorted(self.tokenizer.get_vocab(with_added_tokens=True).items(), key=lambda x: x[1])
         dense = [i for _, i in names] == list(range(len(names)))
         self.names = [n for n, _ in names] if self.tokenizer.decoder is None and dense else None
+        self.blank_first = np.zeros(names[-1][1] + 1, bool)
+        self.blank_first[[i for n, i in names if n.startswith("\u0120")]] = True  # the byte-level sign of a blank
         self.spaced: Recent[str] = Recent()
         self.words: Recent[bytes] = Recent()
+        self.marks: dict[str | bytes, bytes] = {}
 
     def encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -73,45 +83,85 @@ class Vocabulary:
             return " ".join(map(self.names.__getitem__, ids.tolist()))
         return self.tokenizer.decode(ids.tolist(), skip_special_tokens=False)
 
-    def spans(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Ids and (start, end) characters of each text; the library encodes the texts in parallel."""
+    def spans(self, texts: list[str], parallel: bool = False) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids and (start, end) characters of each text; in parallel by the library's threads if asked."""
+        os.environ[THREADS] = "true" if parallel else "false"
         done = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        os.environ[THREADS] = "false"
         return [(np.array(e.ids, np.int64), np.array(e.offsets, np.int64).reshape(-1, 2)) for e in done]
 
-    def _ids_of(self, pieces: list[str], joint: str) -> list[bytes]:
-        """Ids of each piece, many of them encoded as one text; no token may reach over a joint."""
-        groups = [pieces[i : i + GROUP] for i in range(0, len(pieces), GROUP)]
+    def _ids_of_words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word, many of them encoded as one text; no token reaches over a blank."""
+        groups = [[w.decode() for w in words[i : i + GROUP]] for i in range(0, len(words), GROUP)]
         out = []
-        for group, (ids, spans) in zip(groups, self.spans([joint.join(g) for g in groups])):
-            lengths = np.fromiter((len(p) + len(joint) for p in group), np.int64, len(group))
-            cuts = np.searchsorted(spans[:, 0], np.cumsum(lengths) - len(joint))
-            raw, edges = ids.astype("<u4").tobytes(), [0, *(4 * cuts).tolist()]
-            out += [raw[a:b] for a, b in zip(edges, edges[1:])]
+        for group, (ids, spans) in zip(groups, self.spans([" ".join(g) for g in groups])):
+            lengths = np.fromiter((len(p) + 1 for p in group), np.int64, len(group))
+            out += _parts(ids, np.searchsorted(spans[:, 0], np.cumsum(lengths) - lengths))
         return out
 
-    def encode_words(self, words: list[bytes]) -> list[bytes]:
-        """Ids per word, for a tokenizer that drops white space and whose tokens never reach over it."""
-        missing = self.words.missing(words)
-        self.words.new.update(zip(missing, self._ids_of([w.decode() for w in missing], " ")))
-        return [self.words.new[w] for w in words]
-
-    def encode_spaced(self, text: str) -> bytes:
-        """Ids of a text under a byte-level tokenizer, whose tokens hold their leading blank.
+    def _ids_of_spaced(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece with a blank before it: just its first token starts with a blank."""
+        groups = [" " + " ".join(pieces[i : i + GROUP]) for i in range(0, len(pieces), GROUP)]
+        out = []
+        for done in self.tokenizer.encode_batch_fast(groups, add_special_tokens=False):
+            ids = np.array(done.ids, np.int64)
+            out += _parts(ids, np.flatnonzero(self.blank_first[ids]))
+        return out
 
-        The text is cut before each blank that stands between two visible characters: there the
+    def _learn[K: (str, bytes)](self, recent: Recent[K], missing: list[K], encode: Callable[[list[K]], list[bytes]], tail: K) -> None:
+        """Ids of new words. A word that ends in a letter or digit and then marks is the word and the
+        marks: the patterns of both kinds of tokenizer part them there."""
+        parted = {}
+        for word in missing:
+            base = word.rstrip(tail)
+            if len(base) < len(word) and base[-1:].isascii() and base[-1:].isalnum():
+                parted[word] = base
+        new = recent.missing({parted.get(w, w) for w in missing})
+        recent.new.update(zip(new, encode(new)))
+        for word, base in parted.items():
+            marks = word[len(base) :]
+            if marks not in self.marks:
+                spelled = marks if isinstance(marks, str) else marks.decode()
+                self.marks[marks] = self.encode(spelled).astype("<u4").tobytes()
+            recent.new[word] = recent.new[base] + self.marks[marks]
+        if len(self.marks) > KEPT_WORDS:
+            self.marks.clear()
+
+    def encode_words(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of texts under a tokenizer that lowers A-Z, drops white space and never reaches over it."""
+        recent = self.words
+        recent.turn()
+        # Special tokens are found before lowering.
+        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
+        if missing := recent.missing(_absent(split, recent.new)):
+            self._learn(recent, missing, self._ids_of_words, MARKS.encode())
+        return [b"".join(map(recent.new.__getitem__, words)) for words in split]
+
+    def encode_spaced(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts under a byte-level tokenizer, whose tokens hold their leading blank.
+
+        A text is cut before each blank that stands between two visible characters: there the
         tokenizer's own pattern always starts a new piece. Pieces between other blanks stay together.
         """
-        first, *parts = text.split(" ")
-        missing = self.spaced.missing(parts)
-        if not first or first[-1].isspace() or any(not p or p[0].isspace() or p[-1].isspace() for p in missing):
-            return self._encode_grouped(text)
-        self.spaced.new.update(zip(missing, self._ids_of([" " + p for p in missing], "")))
-        kept = self.spaced.new
-        return b"".join([self.encode(first).astype("<u4").tobytes(), *[kept[p] for p in parts]])
-
-    def _encode_grouped(self, text: str) -> bytes:
+        recent = self.spaced
+        recent.turn()
+        split = [t.split(" ") for t in texts]
+        missing = recent.missing(_absent((parts[1:] for parts in split), recent.new))
+        odd = {p for p in missing if not p or p[0].isspace() or p[-1].isspace()}
+        if plain := [p for p in missing if p not in odd]:
+            self._learn(recent, plain, self._ids_of_spaced, MARKS)
+        kept, out = recent.new, []
+        for first, *parts in split:
+            ids = list(map(kept.get, parts))
+            if None in ids or not first or first[-1].isspace():
+                out.append(self._encode_grouped([first, *parts]))
+            else:
+                out.append(b"".join([self.encode(first).astype("<u4").tobytes(), *ids]))
+        return out
+
+    def _encode_grouped(self, parts: list[str]) -> bytes:
         """As `encode_spaced` for a text with blanks beside other white space: pieces by safe blanks."""
-        groups, parts = [], text.split(" ")
+        groups = []
         for part in parts:
             joins = groups and groups[-1] and not groups[-1][-1].isspace() and part and not part[0].isspace()
             if joins or not groups:
@@ -119,5 +169,14 @@ class Vocabulary:
             else:
                 groups[-1] += " " + part
         texts = [groups[0], *[" " + g for g in groups[1:]]]
-        done = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        done = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return b"".join(np.array(e.ids, "<u4").tobytes() for e in done)
+
+
+def _absent(split: Iterable[list], kept: dict) -> set:
+    return set().union(*split).difference(kept)
+
+
+def _parts(ids: np.ndarray, starts: np.ndarray) -> list[bytes]:
+    raw, edges = ids.astype("<u4").tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
+    return [raw[a:b] for a, b in zip(edges, edges[1:])]
