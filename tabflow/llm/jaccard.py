@@ -1,21 +1,25 @@
 """N-gram Jaccard join: groups of texts whose sets of word shingles are alike, by signature trees.
 
-Texts with equal sets are one set. Sets that can be alike share one of their first shingles in a common
-order (prefix filter), so the sets that shingles connect in this way form families. Within a family
+Only sets that share enough shingles with other sets can be alike; the others are left out by exact
+counts over all texts. Sets that can be alike share one of their first shingles in a common order
+(prefix filter), so the sets that shingles connect in this way form families. Within a family
 signature trees find the links; large families are cut into parts, every part has a tree, and parts
 are joined pair by pair, first all with one part and then only those that are not connected by then.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import Broadcast
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tabflow.llm.common import chunks, lower_words, named, raw_texts
 from tabflow.llm.sigtree import Links, Tree, link
@@ -23,9 +27,12 @@ from tabflow.sources.shared import persist_state
 
 SHINGLE = 5
 PERCENT = 75
+KEPT_BITS = 48  # of a shingle's hash, kept after the distinct shingles of a text are counted
+BLOCK_SHINGLES = 1_000_000  # shingles of the sets in one row; a larger set is a row of its own
+BUCKET_SHINGLES = 2_000_000  # shingles that are counted in one group
 PART_SHINGLES = 2_000_000  # shingles of the sets that one tree holds; a larger set is a part of its own
-CELL_BITS = 18  # cells of the table that tells common shingles
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
+KEPT = np.uint64((1 << KEPT_BITS) - 1)
 
 
 def shingles(words: list[bytes], size: int = SHINGLE) -> np.ndarray:
@@ -43,60 +50,184 @@ def shingles(words: list[bytes], size: int = SHINGLE) -> np.ndarray:
     return np.unique(mixed ^ (mixed >> np.uint64(32)))
 
 
-def _cells(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+def fingerprint(hashes: np.ndarray) -> int | None:
+    """A signed 64-bit name of a set; None for the empty set."""
+    return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(hashes.tobytes())))) if len(hashes) else None
 
 
-def _cell_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(1 << CELL_BITS, np.int64)
-    for batch in (c for b in batches for c in chunks(b)):
-        found = [_cells(shingles(lower_words(t))) for t in raw_texts(batch.column(0))]
-        total += np.bincount(np.concatenate(found), minlength=len(total))
-    yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["counts"])
+def kept_bits(hashes: np.ndarray) -> np.ndarray:
+    """The leading bits of sorted hashes, which keep their order."""
+    return hashes >> np.uint64(64 - KEPT_BITS)
 
 
-def common_cells(texts: DataFrame) -> np.ndarray:
-    """Which cells of the hash space hold a shingle of very many texts, counted over all texts.
+def pack(values: np.ndarray) -> bytes:
+    """Differences of values of KEPT_BITS bits, byte by byte, compressed; any order of values is kept."""
+    steps = np.diff(values, prepend=np.uint64(0)).astype("<u8")
+    planes = steps.view(np.uint8).reshape(-1, 8).T[: KEPT_BITS // 8]
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
 
-    Counts are added up as a tree on the executors and have a fixed size. A cell is common if its count
-    is far above what evenly spread shingles give. This only orders shingles: any answer keeps the join
-    exact, a good one keeps passages that unrelated texts share from making families.
-    """
-    counts = texts.mapInArrow(_cell_counts, "counts binary").rdd
-    parts = counts.map(lambda r: np.frombuffer(r[0], np.int64))
-    total = parts.treeReduce(np.add) if not parts.isEmpty() else np.zeros(1 << CELL_BITS, np.int64)
-    mean = total.mean()
-    return total > mean + 10 * np.sqrt(mean) + 50
 
+def unpack(packed: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(KEPT_BITS // 8, n)
+    steps = np.zeros((n, 8), np.uint8)
+    steps[:, : KEPT_BITS // 8] = planes.T
+    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64) & KEPT
 
-def fingerprint(hashes: np.ndarray) -> int | None:
-    """A signed 64-bit name of a set; None for the empty set."""
-    return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(hashes.tobytes())))) if len(hashes) else None
 
+class _Block:
+    """Sets on their way into one row: numbers of the sets, sizes, and all hashes behind each other."""
+
+    def __init__(self, number: int, keyed: pa.DataType | None = None) -> None:
+        self.number, self.keyed, self.held = number, keyed, 0
+        self.columns: list[list] = [[] for _ in range(4)]
+        self.hashes: list[np.ndarray] = [np.zeros(0, np.uint64)]
 
-def prefix(hashes: np.ndarray, common: np.ndarray, percent: int) -> np.ndarray:
-    """The first shingles in the order (common last, hash): alike sets share one of them."""
-    n = len(hashes)
-    keep = n - -(-percent * n // 100) + 1 if n else 0
-    order = np.argsort(common[_cells(hashes)], kind="stable")
-    return hashes[order[:keep]].view(np.int64)
+    def add(self, key, text_hash: int | None, node: int | None, hashes: np.ndarray) -> None:
+        for column, value in zip(self.columns, (key, text_hash, node, len(hashes))):
+            column.append(value)
+        self.hashes.append(hashes)
+        self.held += len(hashes)
 
+    def full(self) -> bool:
+        return self.held >= BLOCK_SHINGLES or len(self.columns[0]) >= BLOCK_SHINGLES // 10
 
-def _sets(common: Broadcast, percent: int):
+    def row(self) -> pa.RecordBatch:
+        long, names = pa.int64(), ["keys", "text_hashes", "nodes", "sizes"]
+        arrays = [pa.array([c], pa.list_(t)) for c, t in zip(self.columns, (self.keyed or long, long, long, long))]
+        first = 0 if self.keyed else 2
+        packed = pa.array([pack(np.concatenate(self.hashes))], pa.binary())
+        columns = [pa.array([self.number], long), *arrays[first:], packed]
+        return pa.RecordBatch.from_arrays(columns, ["block", *names[first:], "hashes"])
+
+
+def _blocks_of_texts(kind: pa.DataType):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rare_last = common.value
+        block = _Block(TaskContext.get().partitionId() << 32, kind)
         for batch in (c for b in batches for c in chunks(b)):
-            sets = [shingles(lower_words(t)) for t in raw_texts(batch.column(2))]
-            columns = [
-                batch.column(0), batch.column(1), pa.array([fingerprint(s) for s in sets], pa.int64()),
-                pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([prefix(s, rare_last, percent) for s in sets], pa.list_(pa.int64())),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "text_hash", "node", "n", "prefix"])
+            keys, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for key, text_hash, raw in zip(keys, hashes, raw_texts(batch.column(2))):
+                found = shingles(lower_words(raw))
+                block.add(key, text_hash, fingerprint(found), kept_bits(found))
+                if block.full():
+                    yield block.row()
+                    block = _Block(block.number + 1, kind)
+        if block.columns[0]:
+            yield block.row()
 
     return read
 
 
+def _blocks_of_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    block = _Block(TaskContext.get().partitionId() << 32)
+    for batch in batches:
+        for node, n, hashes in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            block.add(None, None, node, unpack(hashes, n))
+            if block.full():
+                yield block.row()
+                block = _Block(block.number + 1)
+    if block.columns[0]:
+        yield block.row()
+
+
+def _packs(bits: int):
+    """Per block and bucket of the hash space: the distinct hashes, and which come twice in the block."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in (c for b in batches for c in chunks(b, 1)):
+            block, sizes = row.column("block")[0].as_py(), row.column("sizes")[0].as_py()
+            distinct, times = np.unique(unpack(row.column("hashes")[0].as_py(), sum(sizes)), return_counts=True)
+            bucket = distinct >> np.uint64(KEPT_BITS - bits)
+            edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(distinct)]
+            spans = [(a, b) for a, b in zip(edges, edges[1:]) if b > a]
+            columns = [
+                pa.array([int(bucket[a]) for a, _ in spans], pa.int64()),
+                pa.array([block] * len(spans), pa.int64()),
+                pa.array([b - a for a, b in spans], pa.int64()),
+                pa.array([pack(distinct[a:b]) for a, b in spans], pa.binary()),
+                pa.array([np.packbits(times[a:b] > 1).tobytes() for a, b in spans], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "block", "n", "hashes", "twice"])
+
+    return split
+
+
+def _bits(packed: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(packed, np.uint8), count=n).astype(bool)
+
+
+def _shared(group: pa.Table) -> pa.Table:
+    """Of one bucket: which hashes of each block are found in another block or twice in their own."""
+    sizes = group.column("n").to_pylist()
+    hashes = np.concatenate([unpack(x, n) for x, n in zip(group.column("hashes").to_pylist(), sizes)])
+    shared = np.concatenate([_bits(x, n) for x, n in zip(group.column("twice").to_pylist(), sizes)])
+    order = np.argsort(hashes, kind="stable")
+    equal = np.diff(hashes[order]) == 0
+    shared[order[1:][equal]] = True
+    shared[order[:-1][equal]] = True
+    ends = np.cumsum(sizes)
+    flags = [np.packbits(shared[b - n : b]).tobytes() for b, n in zip(ends, sizes)]
+    return pa.table(
+        [group.column("block"), group.column("bucket"), group.column("n"), pa.array(flags, pa.binary())],
+        ["of_block", "bucket", "n", "flags"],
+    )
+
+
+def _linkable(percent: int):
+    """The sets that can be alike with others, and their first shingles in the order (shared last, hash).
+
+    A set that is alike with another shares at least `percent` of its shingles, so its first
+    n - percent * n + 1 hold a shared one; the others of these are found nowhere else.
+    """
+
+    def choose(block: pa.Table, found: pa.Table) -> pa.Table:
+        names = ["node", "n", "hashes", "prefix"]
+        types = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+        rows: list[list] = [[], [], [], []]
+        if block.num_rows and found.num_rows:
+            found = found.sort_by("bucket")
+            flags = [_bits(x, n) for x, n in zip(found.column("flags").to_pylist(), found.column("n").to_pylist())]
+            sizes = np.array(block.column("sizes")[0].as_py(), np.int64)
+            values = unpack(block.column("hashes")[0].as_py(), int(sizes.sum()))
+            shared = np.concatenate(flags)[np.unique(values, return_inverse=True)[1]]
+            ends, upto = np.cumsum(sizes), np.concatenate([[0], np.cumsum(shared)])
+            alone = sizes - (upto[ends] - upto[ends - sizes])
+            wanted = sizes - -(-percent * sizes // 100) + 1 - alone
+            nodes = block.column("nodes")[0].as_py()
+            for i in np.flatnonzero((wanted > 0) & (sizes > 0)).tolist():
+                span = slice(ends[i] - sizes[i], ends[i])
+                first = values[span][shared[span]][: wanted[i]].astype(np.int64)
+                for column, value in zip(rows, (nodes[i], int(sizes[i]), pack(values[span]), first)):
+                    column.append(value)
+        return pa.table([pa.array(c, t) for c, t in zip(rows, types)], names)
+
+    return choose
+
+
+def linkable(blocks: DataFrame, percent: int) -> DataFrame:
+    """Rows (node, n, hashes, prefix) of the blocks' sets that may link; exact for any data.
+
+    Hashes are counted per bucket of the hash space. A block sends a hash at most once, so a shingle of
+    very many texts is as many values as there are blocks, and gets one bit back for each.
+    """
+    rows = blocks.select("block", "nodes", "sizes", "hashes")
+    total = rows.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
+    bits = math.ceil(math.log2(max(2, total / BUCKET_SHINGLES)))
+    packs = rows.mapInArrow(_packs(bits), "bucket long, block long, n long, hashes binary, twice binary")
+    flags = packs.groupBy("bucket").applyInArrow(_shared, "of_block long, bucket long, n long, flags binary")
+    together = rows.groupBy("block").cogroup(flags.groupBy("of_block"))
+    return together.applyInArrow(_linkable(percent), "node long, n long, hashes binary, prefix array<long>")
+
+
+def candidates(blocks: DataFrame, percent: int) -> DataFrame:
+    """The sets of `linkable`, once each, after a second count among themselves.
+
+    The first count sees every copy of a text; in the second each set counts once.
+    """
+    first = linkable(blocks, percent).groupBy("node").agg(F.first("n").alias("n"), F.first("hashes").alias("hashes"))
+    again = first.mapInArrow(_blocks_of_sets, "block long, nodes array<long>, sizes array<long>, hashes binary")
+    return persist_state(linkable(persist_state(again, "blocks"), percent), "candidates")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Rows (node, root) for every node of the edges (a, b): root is the smallest connected node.
 
@@ -135,30 +266,8 @@ def families(sets: DataFrame) -> DataFrame:
     return components(edges.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
 
 
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The set of each text whose fingerprint is the wanted one, as bytes."""
-    for batch in (c for b in batches for c in chunks(b)):
-        sets = [shingles(lower_words(t)) for t in raw_texts(batch.column(2))]
-        wanted = batch.column(0).to_pylist()
-        right = [i for i, (s, node) in enumerate(zip(sets, wanted)) if fingerprint(s) == node]
-        rows = batch.take(pa.array(right, pa.int64()))
-        held = pa.array([sets[i].tobytes() for i in right], pa.binary())
-        sizes = pa.array([len(sets[i]) for i in right], pa.int64())
-        yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), sizes, held], ["node", "family", "n", "hashes"])
-
-
-def members(rows: DataFrame, sets: DataFrame, roots: DataFrame) -> DataFrame:
-    """Rows (node, family, n, hashes), one per set of a family, read anew from one text of each set."""
-    firsts = sets.select("key", "text_hash", F.col("node").alias("of")).join(roots, F.col("of") == F.col("node"))
-    chosen = firsts.groupBy("node", "root").agg(F.min(F.struct("key", "text_hash")).alias("first"))
-    chosen = chosen.select("node", "root", F.col("first.key").alias("k"), F.col("first.text_hash").alias("h"))
-    texts = rows.join(chosen, F.col("key").eqNullSafe(F.col("k")) & (F.col("text_hash") == F.col("h")))
-    found = texts.select("node", "root", "text").mapInArrow(_members, "node long, family long, n long, hashes binary")
-    return persist_state(found.dropDuplicates(["node"]), "members")
-
-
 def _table_sets(table: pa.Table) -> list[np.ndarray]:
-    return [np.frombuffer(x, np.uint64) for x in table.column("hashes").to_pylist()]
+    return [unpack(x, n) for x, n in zip(table.column("hashes").to_pylist(), table.column("n").to_pylist())]
 
 
 def _edges(nodes: np.ndarray, links: Links) -> pa.Table:
@@ -265,12 +374,19 @@ def groups(
     smallest hash of the text; repeated rows are all marked. A text without words links with nothing and
     represents itself. A group of null keys alone has a null component. An empty table gives no rows.
     """
-    rows = docs.select(named(key).alias("key"), named(text).alias("text"), F.xxhash64(named(text)).alias("text_hash"))
-    kind = rows.schema["key"].dataType.simpleString()
-    common = docs.sparkSession.sparkContext.broadcast(common_cells(rows.select("text")))
-    schema = f"key {kind}, text_hash long, node long, n long, prefix array<long>"
-    sets = persist_state(rows.select("key", "text_hash", "text").mapInArrow(_sets(common, percent), schema), "sets")
-    links = link_members(members(rows, sets, families(sets)), percent, part_shingles)
+    rows = docs.select(named(key).alias("key"), F.xxhash64(named(text)).alias("text_hash"), named(text).alias("text"))
+    kind = rows.schema["key"].dataType
+    schema = (
+        f"block long, keys array<{kind.simpleString()}>, text_hashes array<long>, nodes array<long>, sizes array<long>,"
+        " hashes binary"
+    )
+    blocks = persist_state(rows.mapInArrow(_blocks_of_texts(to_arrow_type(kind)), schema), "sets")
+    found = candidates(blocks, percent)
+    family = families(found).select(F.col("node").alias("of"), F.col("root").alias("family"))
+    held = found.join(family, F.col("node") == F.col("of")).select("node", "family", "n", "hashes")
+    links = link_members(persist_state(held, "members"), percent, part_shingles)
+    each = F.inline(F.arrays_zip("keys", "text_hashes", "nodes", "sizes"))
+    sets = blocks.select(each).toDF("key", "text_hash", "node", "n")
     roots = components(links).select(F.col("node").alias("of"), "root")
     placed = sets.select("key", "text_hash", "node", F.col("n").alias("n_shingles"))
     placed = placed.join(roots, F.col("node") == F.col("of"), "left").drop("of")

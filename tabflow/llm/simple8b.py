@@ -24,6 +24,7 @@ from tabflow.llm.vocab import broadcast_spec, vocabulary
 # The published selectors as (values per word, bits per value). Selector 0 is the escape.
 COUNTS = np.array([1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
 WIDTHS = np.array([60, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.uint64)
+STEPS = tuple(COUNTS.tolist())
 ESCAPE, WIDEST = 0, 15
 NARROWEST = np.array([1 + int(np.searchsorted(WIDTHS[1:], b)) for b in range(61)], np.uint8)  # by bit length
 RUN = 16_384
@@ -60,11 +61,10 @@ def _encode_run(values: np.ndarray, exceptions: list[int]) -> np.ndarray:
             break
         choice -= fits
     choice[escaped] = ESCAPE
-    after = (np.arange(n) + COUNTS[choice]).tolist()
-    starts, at = [], 0
+    chosen, starts, at = choice.tobytes(), [], 0
     while at < n:
         starts.append(at)
-        at = after[at]
+        at += STEPS[chosen[at]]
     first = np.array(starts, np.int64)
     selectors = choice[first]
     words = selectors.astype(np.uint64) << DATA_BITS

@@ -150,13 +150,12 @@ class Vocabulary:
         odd = {p for p in missing if not p or p[0].isspace() or p[-1].isspace()}
         if plain := [p for p in missing if p not in odd]:
             self._learn(recent, plain, self._ids_of_spaced, MARKS)
-        kept, out = recent.new, []
+        out = []
         for first, *parts in split:
-            ids = list(map(kept.get, parts))
-            if None in ids or not first or first[-1].isspace():
+            if not first or first[-1].isspace() or (odd and not odd.isdisjoint(parts)):
                 out.append(self._encode_grouped([first, *parts]))
             else:
-                out.append(b"".join([self.encode(first).astype("<u4").tobytes(), *ids]))
+                out.append(self.encode(first).astype("<u4").tobytes() + b"".join(map(recent.new.__getitem__, parts)))
         return out
 
     def _encode_grouped(self, parts: list[str]) -> bytes:

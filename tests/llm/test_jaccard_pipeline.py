@@ -4,6 +4,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -156,14 +157,28 @@ def test_components_of_long_chains(spark):
     assert got == {n: min(names[:40]) for n in names[:40]} | {n: min(names[40:]) for n in names[40:]}
 
 
-def test_common_shingles_come_last(spark, none):
-    docs = [(i, " ".join([f"q{j}" for j in range(30)] + [f"u{i}v{j}" for j in range(60)])) for i in range(200)]
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.integers(0, (1 << 48) - 1), max_size=50))
+def test_packed_values_come_back(values):
+    raw = np.array(values, np.uint64)
+    assert jaccard.unpack(jaccard.pack(raw), len(raw)).tolist() == values
+
+
+@pytest.mark.parametrize("block, bucket", [(1_000_000, 2_000_000), (60, 40)])
+def test_only_sets_that_share_enough_are_candidates(spark, none, monkeypatch, block, bucket):
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", block)
+    monkeypatch.setattr(jaccard, "BUCKET_SHINGLES", bucket)
+    passage = [f"q{j}" for j in range(30)]
+    docs = [(i, " ".join([*passage, *[f"u{i}v{j}" for j in range(60)]])) for i in range(40)]
+    docs += [(100, " ".join(f"n{j}" for j in range(60))), (101, " ".join(f"n{j}" for j in range(58)))] + [(102 + i, "one more copy of it") for i in range(5)]
     table = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in docs], none.schema)
-    cells = jaccard.common_cells(table.select("text"))
-    hashes = jaccard.shingles(docs[0][1].encode().split())
-    shared = set(jaccard.shingles([f"q{j}".encode() for j in range(30)]).tolist())
-    first = jaccard.prefix(hashes, cells, 75).view(np.uint64).tolist()
-    assert len(shared) == 26 and not shared & set(first)
+    got = {r.key: (r.n_shingles, r.component_id) for r in jaccard.groups(table).collect()}
+    assert got == brute_groups(docs)
+    rows = table.select(F.col("doc_id").alias("key"), F.xxhash64("text").alias("text_hash"), "text")
+    schema = "block long, keys array<long>, text_hashes array<long>, nodes array<long>, sizes array<long>, hashes binary"
+    blocks = rows.mapInArrow(jaccard._blocks_of_texts(pa.int64()), schema).cache()
+    left = jaccard.candidates(blocks, 75).collect()
+    assert sorted(r.n for r in left) == [54, 56]
 
 
 def pipeline_rows(none, spark):
