@@ -120,8 +120,12 @@ def date_in_name(path: Column, prefix: str) -> Column:
 
 
 def key_digest(keys: list[str], seed: int | str) -> Column:
-    """md5 of the key, the same on every engine and for every partitioning."""
-    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]
+    """md5 of the key, the same on every engine and for every partitioning.
+
+    Every part is written with its length and NULL as a mark, so different keys have different texts.
+    """
+    texts = [F.col(k).cast("string") for k in keys]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit("="), t), F.lit("~")) for t in texts]
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *parts))
 
 

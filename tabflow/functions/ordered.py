@@ -1,9 +1,9 @@
 """Quantiles, order statistics and running totals that never sort a whole group in one task.
 
-Exact quantiles bracket their rank by approximate percentiles and sort only the brackets.
-Running totals first reduce values to distinct ones with counts; an order-keeping bucket
-number splits each group into many parts, the bucket totals are a small table, and a window
-runs only inside one bucket.
+Running totals sort distinct values by ranges, add up each range, and run a window inside a range
+only. Exact quantiles bracket their rank by approximate percentiles and order only the brackets.
+Quotas by digest count digits of the digest until the interval that holds the quota is small.
+Nothing here is bounded by the number of groups, and a NULL group is a group.
 """
 
 from __future__ import annotations
@@ -15,70 +15,56 @@ from pyspark.sql import functions as F
 
 from tabflow.functions.expressions import known
 from tabflow.functions.state import STATE, null_safe_join, with_state
-from tabflow.sources.shared import new_path
+from tabflow.sources.shared import persist_state
 
-BUCKET_STEPS = 8  # 2 ** 8 buckets per group
 BRACKET_ACCURACY = 50_000  # rank error of the percentiles that bracket an exact quantile
-MAX_GROUPS = 1000  # groups of one call whose split points and bucket totals are sent to all tasks
-Settle = Callable[[DataFrame], DataFrame]
+SORTED_ROWS = 50_000  # digests of one group that a task may put in order
+DIGITS = 3  # hexadecimal digits of a digest that are counted in one round
 
 
-def split_points(counts: DataFrame, key: str, value: str, measures: list[str], steps: int = BUCKET_STEPS) -> Column:
-    """Scalar map: group -> split points with about equally many distinct values between them.
-
-    The groups are the columns of a table or the models of a comparison; more than MAX_GROUPS
-    of them are an error, which bounds this map and the bucket totals of `running_totals`.
-    Every measure is read, so this plan reuses the shuffle of the counts themselves.
-    """
-    shares = F.expr("array(" + ", ".join(f"{i / 2**steps}D" for i in range(1, 2**steps)) + ")")
-    seen = sum((F.col(m) for m in measures), F.lit(0)) > 0
-    per_group = counts.filter(seen).groupBy(key)
-    splits = per_group.agg(F.percentile_approx(value, shares, F.lit(8 * 2**steps)).alias("splits"))
-    return bounded_map(splits, key, F.col("splits"))
-
-
-def with_bucket(df: DataFrame, value: str, splits: Column, steps: int = BUCKET_STEPS) -> DataFrame:
-    """Add `_bucket`: how many of the sorted split points are <= the value.
+def with_bucket(df: DataFrame, value: str, splits: Column, most: int) -> DataFrame:
+    """Add `_bucket`: how many of the sorted split points, at most `most`, are <= the value.
 
     A binary search written as one projection per step, so it stays in generated code.
     """
     out = df.withColumns({"_splits": splits, "_bucket": F.lit(0)})
-    for jump in (2**i for i in reversed(range(steps))):
+    for jump in (2**i for i in reversed(range(most.bit_length()))):
         at = F.col("_bucket")
         reached = F.get("_splits", at + jump - 1) <= F.col(value)
         out = out.withColumn("_bucket", at + F.when(reached, jump).otherwise(0))
     return out.drop("_splits")
 
 
-def bucketed(counts: DataFrame, key: str, value: str, measures: list[str]) -> DataFrame:
-    """Distinct values with the bucket that balances them inside their group."""
-    return with_bucket(counts, value, split_points(counts, key, value, measures)[F.col(key)])
+def in_ranges(df: DataFrame, order: list[Column]) -> DataFrame:
+    """The rows with `_range` and `_within`: ranges of the whole order and each row's place in its own.
+
+    Ranges hold about equally many rows, as many ranges as the shuffle has partitions. They are
+    written first, so a retried task cannot change them.
+    """
+    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    return persist_state(ranged.select("*", F.spark_partition_id().alias("_range"), within.alias("_within")), "ranges")
+
 
+def running_totals(counts: DataFrame, keys: list[str], value: str, measures: list[str]) -> DataFrame:
+    """Add `<m>_run` (sum up to and including the value) and `<m>_all` (group sum) to distinct
+    rows (keys, value).
 
-def _bucket_totals(counts: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
-    """Per bucket: each measure inside it, before it, and in the whole group."""
-    inside = counts.groupBy(*keys, "_bucket").agg(*[F.sum(m).alias(f"_in_{m}") for m in measures])
+    The range totals have one row per range and one more per group; a window over values runs
+    inside a range only.
+    """
+    rows = in_ranges(counts.select(*keys, value, *measures), [*map(F.col, keys), F.col(value)])
+    inside = rows.groupBy(*keys, "_range").agg(*[F.sum(m).alias(f"_in_{m}") for m in measures])
     group = Window.partitionBy(*keys)
-    earlier = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    return inside.select(
+    earlier = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = inside.select(
         *keys,
-        "_bucket",
-        *[F.col(f"_in_{m}") for m in measures],
+        "_range",
         *[F.coalesce(F.sum(f"_in_{m}").over(earlier), F.lit(0)).alias(f"_before_{m}") for m in measures],
         *[F.sum(f"_in_{m}").over(group).alias(f"{m}_all") for m in measures],
     )
-
-
-def running_totals(counts: DataFrame, keys: list[str], value: str, measures: list[str]) -> DataFrame:
-    """Add `<m>_run` (sum up to and including the value) and `<m>_all` (group sum).
-
-    `counts` has one row per (keys, value) and the `_bucket` of `bucketed`, which allows at most
-    MAX_GROUPS keys. So the bucket totals, at most 2 ** BUCKET_STEPS rows per key, are safe to
-    broadcast.
-    """
-    totals = F.broadcast(_bucket_totals(counts, keys, measures))
-    joined = null_safe_join(counts, totals, [*keys, "_bucket"])
-    upto = Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    joined = null_safe_join(rows, totals, [*keys, "_range"])
+    upto = Window.partitionBy(*keys, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     return joined.select(
         *keys,
         value,
@@ -88,46 +74,43 @@ def running_totals(counts: DataFrame, keys: list[str], value: str, measures: lis
     )
 
 
-def order_statistics(
-    counts: DataFrame,
-    keys: list[str],
-    value: str,
-    weight: str,
-    targets: Callable[[Column], Column],
-    settle: Settle = F.broadcast,
-    merge: bool = False,
-) -> DataFrame:
-    """For each group and target rank, the smallest value whose running weight reaches it.
+def digest_quota(digests: DataFrame, keys: list[str], quota: Callable[[Column], Column]) -> DataFrame:
+    """Rows (keys, rows, quota, digest): per group the smallest digest up to which `quota` rows lie.
 
-    `targets` maps the group's total weight to an array of ranks. Only the buckets that hold a
-    target are sorted. `settle` treats the table of those buckets, one row per group and
-    target: broadcast where the groups are bounded (columns of a table), else
-    `persist_state`, which lets the planner decide by the written size. `merge` adds up equal
-    values of those buckets first, for input that was not reduced to distinct values.
+    `digests` has the columns keys and `digest` (hexadecimal text); `quota` maps the number of rows to
+    the wanted one, and a group without any has no digest. Rows are counted by leading digits with
+    map-side sums, and the interval that holds the quota by further digits, until no interval holds
+    more than SORTED_ROWS; only those rows are put in order.
     """
-    totals = _bucket_totals(counts, keys, [weight])
-    before, inside = F.col(f"_before_{weight}"), F.col(f"_in_{weight}")
-    total = F.col(f"{weight}_all")
-    hits = settle(
-        totals.select(*keys, "_bucket", before, inside, total, F.posexplode(targets(total)).alias("position", "target"))
-        .filter((F.col("target") > before) & (F.col("target") <= before + inside))
-        .drop(f"_in_{weight}")
-    )
-    rows = null_safe_join(counts, hits, [*keys, "_bucket"])
-    if merge:
-        group = [*keys, "_bucket", value, f"_before_{weight}", f"{weight}_all", "position", "target"]
-        rows = rows.groupBy(*group).agg(F.sum(weight).alias(weight))
-    upto = Window.partitionBy(*keys, "position", "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    reached = rows.withColumn("_run", F.sum(weight).over(upto) + before).filter(F.col("_run") >= F.col("target"))
-    return reached.groupBy(*keys, "position", "target", f"{weight}_all").agg(F.min(value).alias(value))
-
-
-def bounded_map(per_group: DataFrame, key: str, value: Column) -> Column:
-    """Scalar map from group to value, for at most MAX_GROUPS groups; more are an error."""
-    pairs = F.when(F.count("*") <= MAX_GROUPS, F.collect_list(F.struct(F.col(key), value.alias("v")))).otherwise(
-        F.raise_error(F.lit(f"more than {MAX_GROUPS} groups in {key}: evaluate them in several calls"))
-    )
-    return per_group.limit(MAX_GROUPS + 1).agg(F.map_from_entries(pairs).alias("map")).scalar()
+    digits = lambda taken: F.substring("digest", taken + 1, DIGITS)
+    group = Window.partitionBy(*keys)
+    counted = digests.groupBy(*keys, digits(0).alias("prefix")).agg(F.count("*").alias("n"))
+    run = F.sum("n").over(group.orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0))
+    counted = counted.select(*keys, "prefix", "n", run.alias("upto"), F.sum("n").over(group).alias("rows"))
+    counted = counted.withColumn("quota", F.least(quota(F.col("rows")), F.col("rows")).cast("long"))
+    place = F.struct("upto", "n", "prefix")
+    first = F.min(F.when(F.col("upto") >= F.greatest("quota", F.lit(1)), place)).alias("place")
+    held = persist_state(counted.groupBy(*keys, "rows", "quota").agg(first).select(*keys, "rows", "quota", "place.*"), "quota")
+    taken, total = DIGITS, held
+    while taken < 30 and (held.agg(F.max("n")).first()[0] or 0) > SORTED_ROWS:
+        inside = _inside(digests, held, keys, taken)
+        deeper = inside.groupBy(*keys, "quota", "prefix", "before", digits(taken).alias("next")).agg(F.count("*").alias("n"))
+        run = F.sum("n").over(group.orderBy("next").rowsBetween(Window.unboundedPreceding, 0)) + F.col("before")
+        deeper = deeper.select(*keys, "quota", "n", run.alias("upto"), F.concat("prefix", "next").alias("prefix"))
+        held = persist_state(deeper.groupBy(*keys, "quota").agg(first).select(*keys, "quota", "place.*"), "quota")
+        taken += DIGITS
+    merged = _inside(digests, held, keys, taken).groupBy(*keys, "quota", "before", "digest").agg(F.count("*").alias("n"))
+    run = F.sum("n").over(group.orderBy("digest").rowsBetween(Window.unboundedPreceding, 0)) + F.col("before")
+    reached = merged.select(*keys, "digest", "quota", run.alias("run")).filter((F.col("run") >= F.col("quota")) & (F.col("quota") > 0))
+    last = reached.groupBy(*keys).agg(F.min("digest").alias("digest"))
+    return null_safe_join(total.select(*keys, "rows", "quota"), last, keys, "left")
+
+
+def _inside(digests: DataFrame, held: DataFrame, keys: list[str], taken: int) -> DataFrame:
+    """The digests of each group's interval, with its quota and the rows before the interval."""
+    state = held.select(*keys, "quota", "prefix", (F.col("upto") - F.col("n")).alias("before"))
+    named = digests.select(*keys, "digest", F.substring("digest", 1, taken).alias("prefix"))
+    return null_safe_join(named, state, [*keys, "prefix"])
 
 
 def exact_quantiles(
@@ -137,9 +120,9 @@ def exact_quantiles(
 
     A quantile p is the smallest value whose cumulative share is at least p. Approximate
     percentiles a little below and above p bracket it; their rank error is at most
-    1 / accuracy. A second scan counts the values inside the brackets and merges all others
-    into the bracket end below them, so the shuffle and the sorted window hold a few rows per
-    `accuracy`. A bracket that missed its rank would be an error, never a wrong value.
+    1 / accuracy. A second scan counts the values inside the brackets and, as one row each, the
+    values between them; the counted values are ordered by ranges. A rank that lies between
+    brackets is an error, never a wrong value.
     """
     values = df.select(*[known(df, c).cast("double").alias(c) for c in columns])
     values = values.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in columns])
@@ -147,66 +130,54 @@ def exact_quantiles(
     positions = sorted(range(size), key=lambda i: shares[i])
     shares = sorted(shares)
     ends = [max(p - margin, 0.0) for p in shares] + [min(p + margin, 1.0) for p in shares]
-    wanted = F.array(*map(F.lit, ends))
-    brackets = values.agg(
-        *[
-            F.struct(F.count(c).alias("n"), F.percentile_approx(c, wanted, F.lit(accuracy)).alias("ends")).alias(c)
-            for c in columns
-        ]
-    )
-    bracket = F.col(STATE)
-    merged = {}
+    brackets = values.agg(*[F.percentile_approx(c, F.array(*map(F.lit, ends)), F.lit(accuracy)).alias(c) for c in columns])
+    return quantiles_in(values, brackets, columns, shares, positions)
+
+
+def quantiles_in(values: DataFrame, brackets: DataFrame, columns: list[str], shares: list[float], positions: list[int]) -> DataFrame:
+    """The quantiles of ascending shares, given one row of bracket ends (low ends, then high ends).
+
+    A value is placed by the last bracket that starts at or below it: itself inside the bracket, and
+    one common mark, ordered after the bracket, above it or below all brackets.
+    """
+    bracket, size, placed = F.col(STATE), len(shares), {}
+    nothing = F.lit(None).cast("double")
+    mark = lambda i: F.struct(F.lit(i).alias("bracket"), F.lit(1).alias("between"), nothing.alias("value"))
     for c in columns:
-        here, at = F.col(c), F.lit(float("-inf"))  # below the first bracket
+        here, at = F.col(c), mark(-1)
         for i in range(size):
-            low, high = bracket[c]["ends"][i], bracket[c]["ends"][i + size]
-            at = F.when(here > high, high).when(here >= low, here).otherwise(at)
-        merged[c] = F.when(here.isNotNull(), at)
-    long = with_state(values, brackets).withColumns(merged).drop(STATE).unpivot([], columns, "feature", "kept").filter(F.col("kept").isNotNull())
-    counts = long.groupBy("feature", "kept").agg(F.count("*").alias("n"))
-    order = Window.partitionBy("feature").orderBy("kept")
-    run = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("run")
-    by_name = F.create_map(*[part for c in columns for part in (F.lit(c), bracket[c])])
-    ranked = with_state(counts.select("feature", "kept", run), brackets)
-    ranked = ranked.select("feature", "kept", "run", by_name[F.col("feature")].alias("_b"))
-    found = ranked.groupBy("feature").agg(
-        *[
-            F.min(F.when(F.col("run") >= F.greatest(p * F.col("_b")["n"], F.lit(1.0)), F.col("kept"))).alias(f"q{i}")
-            for i, p in enumerate(shares)
-        ],
-        F.first("_b").alias("_b"),
-    )
+            low, high = bracket[c][i], bracket[c][i + size]
+            inside = F.struct(F.lit(i).alias("bracket"), F.lit(0).alias("between"), here.alias("value"))
+            at = F.when(here >= low, F.when(here <= high, inside).otherwise(mark(i))).otherwise(at)
+        placed[c] = F.when(here.isNotNull(), at)
+    long = with_state(values, brackets).withColumns(placed).drop(STATE).unpivot([], columns, "feature", "place")
+    counts = long.filter(F.col("place").isNotNull()).groupBy("feature", "place").agg(F.count("*").alias("n"))
+    ranked = running_totals(counts, ["feature"], "place", ["n"])
+    hits = [F.min(F.when(F.col("n_run") >= F.greatest(p * F.col("n_all"), F.lit(1.0)), F.col("place"))).alias(f"q{i}") for i, p in enumerate(shares)]
+    found = ranked.groupBy("feature").agg(*hits)
     problem = F.raise_error(F.lit("quantile outside its bracket: raise the accuracy")).cast("double")
-    checked = []
-    for i in range(size):
-        value, low, high = F.col(f"q{i}"), F.col("_b")["ends"][i], F.col("_b")["ends"][i + size]
-        sure = F.when((value >= low) & (value <= high), value).otherwise(problem)
-        checked.append(F.struct(F.lit(positions[i]).alias("position"), sure.alias("value")))
+    checked = [
+        F.struct(
+            F.lit(positions[i]).alias("position"),
+            F.when(F.col(f"q{i}")["between"] == 0, F.col(f"q{i}")["value"]).otherwise(problem).alias("value"),
+        )
+        for i in range(size)
+    ]
     return found.select("feature", F.inline(F.array(*checked)))
 
 
 def numbered(df: DataFrame, order: list[Column], group: str) -> DataFrame:
     """Add `position`, 0-based inside each group in the given order, for groups of any size.
 
-    The groups must be bounded in number, such as the columns of a table.
-
-    Range partitioning sorts the rows (the order must begin with the group); each range
-    numbers its own rows and the row counts of the earlier ranges are added. The ranges are
-    written first, so a retried task cannot change them.
+    The order must begin with the group. Each range of the order numbers its own rows and the row
+    counts of the group's earlier ranges are added.
     """
-    spark = df.sparkSession
-    path = new_path(spark, "ranges")
-    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    ranged = ranged.select("*", F.spark_partition_id().alias("_range"), within.alias("_within"))
-    ranged.write.parquet(path)
-    rows = spark.read.schema(ranged.schema).parquet(path)
+    rows = in_ranges(df, order)
     # one row per (group, range): its count, then the count of the group's earlier ranges
     part = rows.groupBy(group, "_range").agg(F.count("*").alias("_n"), F.min("_within").alias("_first"))
     earlier = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = part.select(group, "_range", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
-    # at most one row per range plus one per group
-    joined = null_safe_join(rows, F.broadcast(offsets), [group, "_range"])
+    joined = null_safe_join(rows, offsets, [group, "_range"])
     return joined.withColumn("position", F.col("_within") - F.col("_first") + F.col("_offset")).drop(
         "_range", "_within", "_first", "_offset"
     )

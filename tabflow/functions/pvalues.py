@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 SERIES_TERMS = 100
 ERFC_TERMS = 200
 ERFC_SWITCH = 30.0
+SUMMED_FREEDOM = 2000  # degrees of freedom up to which the tail is summed term by term
 
 
 def kolmogorov_tail(statistic: Column, n: Column, m: Column) -> Column:
@@ -39,15 +40,30 @@ def _erfc_root(y: Column) -> Column:
     return F.when(y < ERFC_SWITCH, small).otherwise(large)
 
 
+def _uniform_tail(y: Column, a: Column) -> Column:
+    """Upper incomplete gamma ratio Q(a, y) for a large a: the uniform expansion to first order.
+
+    Its error is of the order of a ** -1.5, whatever the statistic.
+    """
+    ratio = y / a
+    distance = F.greatest(ratio - 1.0 - F.log(ratio), F.lit(0.0))
+    half = _erfc_root(F.greatest(a * distance, F.lit(1e-12))) / 2.0
+    eta = F.signum(ratio - 1.0) * F.sqrt(2.0 * distance)
+    near = F.abs(ratio - 1.0) < 1e-4
+    first = F.when(near, F.lit(-1.0 / 3.0)).otherwise(1.0 / (ratio - 1.0) - 1.0 / eta)
+    return F.when(ratio >= 1.0, half).otherwise(1.0 - half) + F.exp(-a * distance) / F.sqrt(2.0 * math.pi * a) * first
+
+
 def chi_square_tail(statistic: Column, freedom: Column) -> Column:
     """P(X > statistic) for a chi-square variable with whole degrees of freedom.
 
-    The closed finite sum: Poisson terms for even degrees, erfc plus half-integer terms for
-    odd ones. Terms are carried as logarithms, so large statistics do not underflow.
+    Up to SUMMED_FREEDOM the closed finite sum: Poisson terms for even degrees, erfc plus half-integer
+    terms for odd ones, carried as logarithms, so large statistics do not underflow. Beyond that
+    the uniform expansion, so a column of very many categories makes no long array.
     """
     y = F.greatest(statistic, F.lit(1e-300)) / 2.0
     even = freedom % 2 == 0
-    count = F.floor(freedom / 2.0).cast("int")
+    count = F.when(freedom <= SUMMED_FREEDOM, F.floor(freedom / 2.0)).otherwise(0).cast("int")
     # log of the first term: y^0/0! for even degrees, y^(1/2)/Gamma(3/2) for odd ones
     first = F.when(even, -y).otherwise(-y + 0.5 * F.log(y) - math.lgamma(1.5))
     half = F.when(even, F.lit(0.0)).otherwise(F.lit(0.5))
@@ -60,7 +76,8 @@ def chi_square_tail(statistic: Column, freedom: Column) -> Column:
         ),
         lambda a: a["total"],
     )
-    tail = F.when(even, finite).otherwise(_erfc_root(y) + finite)
+    summed = F.when(even, finite).otherwise(_erfc_root(y) + finite)
+    tail = F.when(freedom <= SUMMED_FREEDOM, summed).otherwise(_uniform_tail(y, freedom / 2.0))
     bounded = F.least(F.lit(1.0), F.greatest(F.lit(0.0), tail))
     return (
         F.when(freedom < 1, F.lit(1.0))

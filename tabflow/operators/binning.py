@@ -18,7 +18,8 @@ def bin_label(c: Column, bins: dict[str, list[float]], default: str = INVALID) -
     branches = []
     for label, ends in bins.items():
         inside = (c >= ends[0]) if len(ends) == 1 else c.between(ends[0], ends[1])
-        branches.append((inside, F.lit(label)))
+        # Spark orders NaN above all numbers, so an open end would hold it
+        branches.append((inside & ~F.isnan(c.cast("double")), F.lit(label)))
     return first_match(branches, F.lit(default))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabflow.functions.expressions import known, numeric_columns, text_columns
-from tabflow.functions.ordered import bucketed, exact_quantiles, running_totals, with_bucket
+from tabflow.functions.ordered import exact_quantiles, running_totals, with_bucket
 from tabflow.functions.pvalues import chi_square_tail, kolmogorov_tail
 from tabflow.functions.state import entries, melt, scalar_row
 
@@ -15,7 +15,6 @@ KS_LIMIT, KS_HIGH = 0.3, 0.5
 CHI2_LIMIT, CHI2_HIGH, CHI2_MEDIUM = 0.05, 0.01, 0.03
 PSI_LIMIT = 0.2
 SHARE_FLOOR = 1e-4
-PSI_STEPS = 6  # room for up to 63 split points
 
 
 def shared_features(reference: DataFrame, current: DataFrame) -> tuple[list[str], list[str]]:
@@ -64,7 +63,6 @@ def aligned_counts(reference: DataFrame, current: DataFrame, columns: list[str],
 def drift_ks(reference: DataFrame, current: DataFrame, columns: list[str]) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov test per numeric feature."""
     counts = aligned_counts(reference, current, columns, "double")
-    counts = bucketed(counts, "feature", "value", ["ref", "cur"])
     curve = running_totals(counts, ["feature"], "value", ["ref", "cur"])
     gap = F.abs(F.col("ref_run").cast("double") / F.col("ref_all") - F.col("cur_run").cast("double") / F.col("cur_all"))
     # a feature without values on one side has no test
@@ -131,7 +129,7 @@ def drift_psi(reference: DataFrame, current: DataFrame, columns: list[str], bins
     state = reference_splits(reference, columns, bins, exact)
     splits = state.select(F.map_from_entries(F.collect_list(F.struct("feature", "splits")))).scalar()
     rows = _both(reference, current, columns, "double")
-    binned = with_bucket(rows, "value", splits[F.col("feature")], PSI_STEPS)
+    binned = with_bucket(rows, "value", splits[F.col("feature")], bins - 1)
     counts = binned.groupBy("feature", "_bucket").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
     # at most `bins` rows per feature from here on
     totals = counts.groupBy("feature").agg(F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"))

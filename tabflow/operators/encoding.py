@@ -101,6 +101,19 @@ def one_hot(df: DataFrame, column: str, categories: list[str]) -> DataFrame:
     return df.withColumns({**named, f"{column}_other": other.cast("int")})
 
 
+def fit_one_hot(df: DataFrame, columns: list[str], bound: int = 1000) -> dict[str, list[str]]:
+    """The categories of each column by code, as `one_hot` wants them.
+
+    Each category becomes a column, so they must be few: more than `bound` are an error.
+    """
+    codes = fit_index(df, columns)
+    found = codes.orderBy("feature", "code").take(bound * len(columns) + 1)
+    fitted = {c: [r["category"] for r in found if r["feature"] == c] for c in columns}
+    if over := [c for c, names in fitted.items() if len(names) > bound] or (columns if len(found) > bound * len(columns) else []):
+        raise ValueError(f"more than {bound} categories for one-hot columns: {over}")
+    return {c: [n for n in names if n != PLACEHOLDER] for c, names in fitted.items()}
+
+
 def index_stage(columns: list[str]) -> StringIndexer:
     return StringIndexer(inputCols=columns, outputCols=[f"{c}_index" for c in columns], handleInvalid="keep")
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabflow.functions.ordered import bucketed, running_totals
+from tabflow.functions.ordered import running_totals
 from tabflow.functions.state import entries
+from tabflow.sources.shared import persist_state
 
 # Smallest accepted value of each metric, and the accuracy tiers.
 GATE_THRESHOLDS = {"accuracy": 0.75, "f1_score": 0.70, "precision": 0.70, "recall": 0.70, "auc": 0.75}
@@ -19,10 +20,7 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def prediction_cells(df: DataFrame, label: str, prediction: str, score: str) -> DataFrame:
-    """(label, prediction, score, n): all that the metrics need, after one scan and one shuffle.
-
-    Metrics derived from the same cells share that shuffle, so a model scores its rows once.
-    """
+    """(label, prediction, score, n): all that the metrics need, after one scan and one shuffle."""
     return df.groupBy(
         F.col(label).alias("label"), F.col(prediction).alias("prediction"), F.col(score).cast("double").alias("score")
     ).agg(F.count("*").alias("n"))
@@ -47,7 +45,7 @@ def score_counts(df: DataFrame, label: str, score: str, model: Column | None = N
 
 def curve(counts: DataFrame) -> DataFrame:
     """Add to each distinct score the positives and negatives at or below it, and in all."""
-    return running_totals(bucketed(counts, "model", "score", ["pos", "neg"]), ["model"], "score", ["pos", "neg"])
+    return running_totals(counts, ["model"], "score", ["pos", "neg"])
 
 
 def area_roc(points: DataFrame) -> DataFrame:
@@ -89,13 +87,15 @@ def confusion_counts(df: DataFrame, label: str, prediction: str, weight: str | N
     return df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).agg(n.alias("n"))
 
 
-def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """(label, prediction, n) over the union of the classes, empty cells included.
+def confusion_matrix(df: DataFrame, label: str, prediction: str, empty_cells: bool = False) -> DataFrame:
+    """(label, prediction, n) of the cells that occur; `empty_cells` adds the others with 0.
 
-    The classes are gathered into one array per label class, so the grid is generated from
-    the class list and never by joining rows with rows.
+    The zero-filled grid has the square of the classes as rows, so it is made on request only. Every
+    class is put beside every other by the class list, never by joining rows with rows.
     """
     cells = confusion_counts(df, label, prediction).filter(F.col("label").isNotNull() & F.col("prediction").isNotNull())
+    if not empty_cells:
+        return cells
     # n > 0 always holds; reading n lets the classes and the counts share one shuffle
     kinds = cells.filter(F.col("n") > 0).select(F.explode(F.array("label", "prediction")).alias("label")).distinct()
     classes = kinds.agg(F.collect_set("label").alias("classes")).scalar()
@@ -153,11 +153,14 @@ def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 
 def evaluate(df: DataFrame, label: str, prediction: str, score: str | None = None, pr: bool = False) -> DataFrame:
-    """Long form (metric, value): class metrics, and the areas where a score is given."""
+    """Long form (metric, value): class metrics, and the areas where a score is given.
+
+    With a score the cells are written once and all metrics read them, so a model scores its rows once.
+    """
     if score is None:
         row = weighted_metrics(df, label, prediction)
     else:
-        cells = prediction_cells(df, label, prediction, score)
+        cells = persist_state(prediction_cells(df, label, prediction, score), "cells")
         row = weighted_metrics(cells, "label", "prediction", "n")
     names = ["accuracy", "precision", "recall", "f1_score"]
     report = entries(row, [{"metric": F.lit(n), "value": F.col(n)} for n in names])

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
+import time
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -13,12 +15,13 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabflow.functions.expressions import vector_get
+from tabflow.functions.state import entries
 from tabflow.operators.encoding import index_stage, one_hot_stage
 from tabflow.operators.evaluate import evaluate
 from tabflow.operators.scaling import vector_scaler
@@ -57,7 +60,8 @@ SEARCH_SPACES = {
         "maxIter": [100, 200, 500],
     },
 }
-MAX_TRIALS = 50
+# What a row with a NULL or NaN input does. MLlib refuses NaN in a fit, so kept rows are filled.
+INVALID = ("keep", "skip", "error")
 
 CLASSES = {
     "gbt": GBTClassifier,
@@ -89,13 +93,24 @@ def classifier(name: str, **params) -> Estimator:
     return CLASSES[kind](featuresCol="features", labelCol="label", **{**DEFAULTS[kind], **params})
 
 
-def stages(numeric: list[str], nominal: list[str], model: Estimator, scale: bool = False) -> Pipeline:
-    """Index, one-hot, assemble, optionally scale, classify: one fitted object for train and score."""
+def stages(
+    numeric: list[str], nominal: list[str], model: Estimator, scale: bool = False, invalid: str = "error"
+) -> Pipeline:
+    """Index, one-hot, assemble, optionally scale, classify: one fitted object for train and score.
+
+    `invalid` is the rule for rows with missing numbers, in fitting and scoring alike: "keep" fills them
+    with the training mean, "skip" leaves the rows out, "error" fails. An unknown category is one of its own.
+    """
+    if invalid not in INVALID:
+        raise ValueError(f"unknown rule for incomplete rows {invalid!r}; known: {INVALID}")
+    filled = [f"{c}_filled" for c in numeric] if invalid == "keep" else numeric
+    fill = [Imputer(inputCols=numeric, outputCols=filled, strategy="mean")] if invalid == "keep" and numeric else []
     encode = [index_stage(nominal), one_hot_stage(nominal)] if nominal else []
-    inputs = [*numeric, *[f"{c}_encoded" for c in nominal]]
+    inputs = [*filled, *[f"{c}_encoded" for c in nominal]]
     assembled = "features_unscaled" if scale else "features"
-    assembler = VectorAssembler(inputCols=inputs, outputCol=assembled, handleInvalid="keep")
-    return Pipeline(stages=[*encode, assembler, *([vector_scaler(assembled)] if scale else []), model])
+    rule = "skip" if invalid == "skip" else "error"
+    assembler = VectorAssembler(inputCols=inputs, outputCol=assembled, handleInvalid=rule)
+    return Pipeline(stages=[*fill, *encode, assembler, *([vector_scaler(assembled)] if scale else []), model])
 
 
 def prepared(train: DataFrame, numeric: list[str], nominal: list[str], extra: list[str] = ()) -> DataFrame:
@@ -103,15 +118,46 @@ def prepared(train: DataFrame, numeric: list[str], nominal: list[str], extra: li
     return train.select(*numeric, *nominal, *extra, F.col("label").cast("double").alias("label")).cache()
 
 
-def fit(train: DataFrame, name: str, numeric: list[str], nominal: list[str], scale: bool = False, **params):
-    """Fit the whole chain of stages on a table with a numeric `label`."""
-    data = prepared(train, numeric, nominal)
+def fit(
+    train: DataFrame,
+    name: str,
+    numeric: list[str],
+    nominal: list[str],
+    scale: bool = False,
+    invalid: str = "error",
+    validation: str | None = None,
+    **params,
+):
+    """Fit the whole chain of stages on a table with a numeric `label`.
+
+    `validation` names a boolean column of `train`; boosting stops early on its true rows.
+    """
+    data = prepared(train, numeric, nominal, [validation] if validation else [])
+    if validation:
+        if kind_of(name) != "gbt":
+            raise ValueError("only boosting can stop early")
+        params = {**params, "validationIndicatorCol": validation}
     try:
-        return stages(numeric, nominal, classifier(name, **params), scale).fit(data)
+        return stages(numeric, nominal, classifier(name, **params), scale, invalid).fit(data)
     finally:
         data.unpersist()
 
 
+def fit_report(train: DataFrame, name: str, numeric: list[str], nominal: list[str], **options):
+    """The fitted chain, and (metric, value) rows of its duration in seconds, rows, columns and stages."""
+    started = time.perf_counter()
+    model = fit(train, name, numeric, nominal, **options)
+    seconds = time.perf_counter() - started
+    facts = train.agg(F.count("*").cast("double").alias("rows"))
+    values = {
+        "training_seconds": F.lit(seconds),
+        "training_rows": F.col("rows"),
+        "input_columns": F.lit(float(len(numeric) + len(nominal))),
+        "stages": F.lit(float(len(model.stages))),
+    }
+    return model, entries(facts, [{"metric": F.lit(n), "value": v} for n, v in values.items()])
+
+
 def probabilities(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Model output as plain columns: label, prediction, probability of class 1."""
     out = model.transform(df)
@@ -130,8 +176,12 @@ def evaluator(metric: str):
     return MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName=metric)
 
 
-def trial_points(space: dict[str, list], trials: int | None = MAX_TRIALS, seed: int = 42) -> list[dict]:
-    """All combinations of a search space, or a seeded sample if there are more than `trials`."""
+def space_size(space: dict[str, list]) -> int:
+    return math.prod(map(len, space.values()))
+
+
+def trial_points(space: dict[str, list], trials: int | None = None, seed: int = 42) -> list[dict]:
+    """All combinations of a search space, or a seeded sample of `trials` of them."""
     points = [dict(zip(space, values)) for values in itertools.product(*space.values())]
     if trials is None or len(points) <= trials:
         return points
@@ -156,7 +206,7 @@ def cross_validate(
     validator and the points.
     """
     estimator = classifier(name, **params)
-    points = points if points is not None else trial_points(GRIDS[kind_of(name)], None)
+    points = points if points is not None else trial_points(GRIDS[kind_of(name)])
     maps = [{estimator.getParam(k): v for k, v in p.items()} for p in points]
     data = prepared(train, numeric, nominal, [fold_column] if fold_column else [])
     validator = CrossValidator(
@@ -175,19 +225,29 @@ def cross_validate(
         data.unpersist()
 
 
-def trial_table(spark: SparkSession, name: str, points: list[dict], scores: list[float], metric: str) -> DataFrame:
-    """(algorithm, trial, params, metric, score), one row per tried point."""
+def trial_table(
+    spark: SparkSession, name: str, points: list[dict], scores: list[float], metric: str, of_points: int | None = None
+) -> DataFrame:
+    """(algorithm, trial, params, metric, score, tried, of_points), one row per tried point.
+
+    `of_points` is the size of the space that the `tried` points come from.
+    """
     rows = [
-        (kind_of(name), i + 1, ", ".join(f"{k}={v}" for k, v in sorted(p.items())), metric, float(s))
+        (kind_of(name), i + 1, ", ".join(f"{k}={v}" for k, v in sorted(p.items())), metric, float(s), len(points), of_points or len(points))
         for i, (p, s) in enumerate(zip(points, scores))
     ]
-    return spark.createDataFrame(rows, "algorithm string, trial int, params string, metric string, score double")
+    schema = "algorithm string, trial int, params string, metric string, score double, tried int, of_points int"
+    return spark.createDataFrame(rows, schema)
 
 
-def tune(train: DataFrame, name: str, numeric: list[str], nominal: list[str], points=None, metric="f1", **options):
-    """Trial table of a cross-validated search."""
+def tune(
+    train: DataFrame, name: str, numeric: list[str], nominal: list[str], space: dict[str, list], trials: int | None = None,
+    metric: str = "f1", **options,
+):
+    """Trial table of a cross-validated search over a whole space, or over a seeded sample of `trials` points."""
+    points = trial_points(space, trials)
     fitted, points = cross_validate(train, name, numeric, nominal, points, metric, **options)
-    return trial_table(train.sparkSession, name, points, fitted.avgMetrics, metric)
+    return trial_table(train.sparkSession, name, points, fitted.avgMetrics, metric, space_size(space))
 
 
 def compare(train: DataFrame, test: DataFrame, kinds: dict[str, dict], numeric: list[str], nominal: list[str]):
@@ -198,7 +258,7 @@ def compare(train: DataFrame, test: DataFrame, kinds: dict[str, dict], numeric:
             model = fit(train, name, numeric, nominal, **params)
             tables.append(fitted_metrics(model, test, name).withColumn("error", F.lit(None).cast("string")))
         except Exception as problem:  # recorded per model, as one bad model must not stop the rest
-            text = f"{type(problem).__name__}: {problem}"[:500]
+            text = f"{type(problem).__name__}: {problem}"
             tables.append(
                 spark.range(1).select(
                     F.lit(name).alias("model"),

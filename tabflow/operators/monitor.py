@@ -42,6 +42,14 @@ def last_days(df: DataFrame, time: str, end: Column, days: int = WINDOW_DAYS) ->
     return df.filter(day.between(F.date_sub(end, days), end))
 
 
+def baseline_days(
+    df: DataFrame, time: str, end: Column, days: int = BASELINE_DAYS, window: int = WINDOW_DAYS
+) -> DataFrame:
+    """Rows of the `days` before the monitoring window that `last_days` reads: the two never overlap."""
+    day, first = F.to_date(time), F.date_sub(end, window)
+    return df.filter(day.between(F.date_sub(first, days), F.date_sub(first, 1)))
+
+
 def with_truth(predictions: DataFrame, truth: DataFrame, keys: list[str]) -> DataFrame:
     """Predictions joined to ground truth by key; repeated keys multiply."""
     return predictions.join(truth, keys, "inner")
@@ -71,7 +79,7 @@ def performance(
 
     All metrics come from one table of cells, so predictions and truth are joined once.
     """
-    cells = truth_cells(predictions, truth, keys, label, prediction, score)
+    cells = persist_state(truth_cells(predictions, truth, keys, label, prediction, score), "cells")
     row = binary_from_counts(cells)
     names = ("accuracy", "f1_score", "precision", "recall", "num_samples")
     report = entries(row, [{"metric": F.lit(n), "value": F.col(n).cast("double")} for n in names])

@@ -94,13 +94,21 @@ def top_values(df: DataFrame, column: str, k: int = 10) -> DataFrame:
     return counts.orderBy(F.col("n").desc(), F.col(column)).limit(k)
 
 
+# Timestamps to the microsecond, both kinds, so that rows that differ by one stay apart.
+EXACT_JSON = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def row_digest(df: DataFrame) -> Column:
     """128-bit digest of a whole row; -0.0 equals 0.0 and NULL differs from empty text."""
     fields = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         fields.append((c + F.lit(0)).alias(f.name) if isinstance(f.dataType, NUMERIC) else c.alias(f.name))
-    return F.unhex(F.md5(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})))
+    return F.unhex(F.md5(F.to_json(F.struct(*fields), EXACT_JSON)))
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
@@ -242,22 +250,27 @@ def quality_gate(df: DataFrame, target: str, share_limit: float = MISSING_SHARE_
     return summary.unionByName(per_class)
 
 
-def stage_summary(df: DataFrame, dropped_missing: Column, dropped_outlier: Column, is_test: Column) -> DataFrame:
-    """Rows at each preparation step from one pass over the input.
+def stage_summary(
+    df: DataFrame, dropped_missing: Column, dropped_outlier: Column, is_test: Column, target: str | None = None
+) -> DataFrame:
+    """Rows at each preparation step from one pass over the input, and the classes of both final parts.
 
     The steps are given as row predicates, so no step's table is counted by its own job.
     """
     kept = ~dropped_missing & ~dropped_outlier
-    counted = df.agg(
+    label = F.lit(None).cast("string") if target is None else F.coalesce(F.col(target).cast("string"), F.lit("NULL"))
+    per_class = df.groupBy(label.alias("target")).agg(
         F.count("*").alias("initial"),
         F.count_if(dropped_missing).alias("missing"),
         F.count_if(~dropped_missing & dropped_outlier).alias("outliers"),
         F.count_if(kept & ~is_test).alias("train"),
         F.count_if(kept & is_test).alias("test"),
     )
+    names = ("initial", "missing", "outliers", "train", "test")
+    counted = per_class.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
     final = F.col("train") + F.col("test")
     ratio = F.when(final > 0, F.col("test").cast("double") / final)
-    names = {
+    metrics = {
         "initial_rows": F.col("initial"),
         "rows_removed_missing": F.col("missing"),
         "rows_removed_outliers": F.col("outliers"),
@@ -265,7 +278,16 @@ def stage_summary(df: DataFrame, dropped_missing: Column, dropped_outlier: Colum
         "final_test_rows": F.col("test"),
         "test_split_ratio": ratio,
     }
-    return entries(counted, [{"metric": F.lit(n), "value": v.cast("double")} for n, v in names.items()])
+    report = entries(counted, [{"metric": F.lit(n), "value": v.cast("double")} for n, v in metrics.items()])
+    if target is None:
+        return report
+    # reading every count here lets both parts share one shuffle; the condition always holds
+    seen = per_class.filter(sum(F.col(n) for n in names) > 0)
+    cells = [
+        F.struct(F.concat(F.lit(f"{part}_target="), F.col("target")).alias("metric"), F.col(part).cast("double").alias("value"))
+        for part in ("train", "test")
+    ]
+    return report.unionByName(seen.select(F.inline(F.array(*cells))))
 
 
 def inference_summary(df: DataFrame, prediction: str, probability: str) -> DataFrame:

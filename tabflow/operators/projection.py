@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabflow.functions.expressions import HASH_BUCKETS, hash_bucket, key_digest, leading_number, present
-from tabflow.functions.ordered import order_statistics
+from tabflow.functions.expressions import HASH_BUCKETS, hash_bucket, key_digest, present
+from tabflow.functions.ordered import digest_quota
 from tabflow.functions.state import scalar_row
 
 
@@ -56,10 +56,9 @@ def sample_rows(df: DataFrame, n: int, keys: list[str], seed: int = 42) -> DataF
     The digest of the n-th row is found from bucket counts, so nothing is sorted as a whole
     and any n works. Key columns must identify a row.
     """
+    if n <= 0:
+        return df.limit(0)
     digest = key_digest(keys, seed)
-    counts = df.select(F.lit(0).alias("g"), digest.alias("digest"), F.lit(1).alias("n"))
-    counts = counts.withColumn("_bucket", leading_number(F.col("digest"), 3))
-    rank = lambda total: F.array(F.least(total, F.lit(n)).cast("double"))
-    wanted = order_statistics(counts, ["g"], "digest", "n", rank, merge=True)
-    last = scalar_row(wanted.select("digest"))["digest"]
-    return df.filter(digest <= last) if n > 0 else df.limit(0)
+    rows = df.select(F.lit(0).alias("g"), digest.alias("digest"))
+    last = scalar_row(digest_quota(rows, ["g"], lambda total: F.lit(n)).select("digest"))["digest"]
+    return df.filter(digest <= last)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabflow.functions.expressions import HASH_BUCKETS, hash_bucket, key_digest, leading_number
-from tabflow.functions.ordered import order_statistics
+from tabflow.functions.ordered import digest_quota
 from tabflow.functions.state import null_safe_join
 from tabflow.operators.projection import features_target
 from tabflow.sources.shared import persist_state
@@ -41,44 +41,49 @@ def fit_stratified(
 ) -> DataFrame:
     """Per class (NULL is a class): rows, test quota floor(rows * size), and the last test digest.
 
-    The quota's digest is found in two levels. Rows are counted per class and digest bucket
-    with map-side sums; only the one bucket per class that holds the quota is sorted, so a
-    class with a third of all rows is no hot task. Key columns must identify a row. A class
-    too small for the quota falls back to the random rule. The result is a written table.
+    Rows are counted per class and leading digits of the digest with map-side sums, so a class with
+    a third of all rows is no hot task. Key columns must identify a row. The result is a written table.
     """
-    digests = df.select(stratum, key_digest(keys, seed).alias("digest"), F.lit(1).alias("n"))
-    digests = digests.withColumn("_bucket", leading_number(F.col("digest"), 3))
-    quota = lambda total: F.floor(total * F.lit(float(test_size)))
-    cutoffs = order_statistics(
-        digests,
-        [stratum],
-        "digest",
-        "n",
-        lambda total: F.array(F.greatest(quota(total), F.lit(1)).cast("double")),
-        settle=lambda hits: persist_state(hits, "strata"),
-        merge=True,
-    )
-    wanted = quota(F.col("n_all")).cast("long")
-    last = F.when(wanted > 0, F.col("digest"))
-    state = cutoffs.select(stratum, F.col("n_all").alias("rows"), wanted.alias("quota"), last.alias("last_digest"))
-    return persist_state(state, "strata")
+    digests = df.select(stratum, key_digest(keys, seed).alias("digest"))
+    found = digest_quota(digests, [stratum], lambda total: F.floor(total * F.lit(float(test_size))))
+    return persist_state(found.withColumnRenamed("digest", "last_digest"), "strata")
+
+
+ON_SMALL_CLASS = ("random", "quota", "error")
 
 
 def assign_stratified(
-    df: DataFrame, state: DataFrame, stratum: str, keys: list[str], test_size: float = 0.2, seed: int = 42
+    df: DataFrame,
+    state: DataFrame,
+    stratum: str,
+    keys: list[str],
+    test_size: float = 0.2,
+    seed: int = 42,
+    on_small_class: str = "random",
 ) -> DataFrame:
-    """Add `split` with the exact quota in every class.
+    """Add `split` with the exact quota in every class, and `split_rule`, the rule that was used.
 
-    If the smallest class has fewer than 1 / test_size rows, all rows use the random rule.
+    A class with fewer than 1 / test_size rows has no test row by its quota. What happens then is
+    `on_small_class`: "random" splits all rows by the random rule, "quota" keeps the quotas as they
+    are, "error" fails the query.
     """
+    if on_small_class not in ON_SMALL_CLASS:
+        raise ValueError(f"unknown on_small_class {on_small_class!r}; known: {ON_SMALL_CLASS}")
     smallest = state.agg(F.min("rows").alias("rows")).scalar()
     feasible = smallest >= max(1, int(1 / test_size))
     digest = key_digest(keys, seed)
     by_quota = F.coalesce(digest <= F.col("last_digest"), F.lit(False))
     by_bucket = hash_bucket(keys, seed) < round(test_size * HASH_BUCKETS)
+    if on_small_class == "quota":
+        feasible = F.lit(True)
+    elif on_small_class == "error":
+        problem = F.raise_error(F.lit(f"a class of {stratum} is too small for its quota")).cast("boolean")
+        feasible = F.when(feasible, F.lit(True)).otherwise(problem)
     is_test: Column = F.when(feasible, by_quota).otherwise(by_bucket)
     joined = null_safe_join(df, state.select(stratum, "last_digest"), [stratum], "left")
-    return joined.withColumn(SPLIT_COLUMN, F.when(is_test, "test").otherwise("train")).drop("last_digest")
+    rule = F.when(feasible, "quota").otherwise("random")
+    split = joined.withColumns({SPLIT_COLUMN: F.when(is_test, "test").otherwise("train"), "split_rule": rule})
+    return split.drop("last_digest")
 
 
 def part(df: DataFrame, name: str) -> DataFrame:

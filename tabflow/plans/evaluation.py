@@ -99,9 +99,30 @@ def eval_weighted_prf(spark, root):
 SELECT r.x AS label, s.x AS prediction, (SELECT count(*) FROM c WHERE c.label = r.x AND c.prediction = s.x) AS n FROM a r, a s""",
 )
 def eval_confusion_matrix(spark, root):
+    """The zero-filled grid of all classes."""
+    return evaluate.confusion_matrix(class_calls(spark, root), "label", "prediction", empty_cells=True)
+
+
+@query("eval_confusion_cells", f"WITH {CLASS_SQL} SELECT label, prediction, count(*) AS n FROM c GROUP BY ALL")
+def eval_confusion_cells(spark, root):
     return evaluate.confusion_matrix(class_calls(spark, root), "label", "prediction")
 
 
+@query(
+    "eval_auc_groups",
+    f"""WITH {SCORED_SQL}, s AS (SELECT nullif(o_custkey % 1500, 0) AS model, label, score FROM scored JOIN orders ON l_orderkey = o_orderkey),
+per_score AS (SELECT model, score, CAST(sum(label) AS DOUBLE) AS pos, CAST(sum(1 - label) AS DOUBLE) AS neg FROM s GROUP BY ALL),
+curve AS (SELECT *, sum(neg) OVER (PARTITION BY model ORDER BY score) AS below FROM per_score)
+SELECT model, CASE WHEN sum(pos) * sum(neg) > 0 THEN round(sum(pos * (below - neg / 2)) / (sum(pos) * sum(neg)), 9) END AS auc_roc
+FROM curve GROUP BY model""",
+)
+def eval_auc_groups(spark, root):
+    """More groups than any limit, the NULL group among them."""
+    orders = table(spark, root, "orders").select("o_orderkey", F.nullif(F.col("o_custkey") % 1500, F.lit(0)).alias("g"))
+    rows = scored_lines(spark, root).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return rounded(evaluate.auc_roc(rows, "label", "score", F.col("g")), 9)
+
+
 @query(
     "eval_per_class",
     f"""WITH {CLASS_SQL} SELECT class, tp, fp, fn, support, round(precision, 9) AS precision, round(recall, 9) AS recall,

@@ -32,13 +32,13 @@ def scan_csv_inferred(spark, root):
     return found.select(F.col("p_partkey").cast("long"), "p_brand", "p_size", "p_retailprice")
 
 
+DAY_FILES = 4  # files that a day may be written to
 FORMATS = ("csv", "json", "parquet", "orc")
 
 
 @query(
     "scan_format",
-    "SELECT f AS format, count(*) AS n, CAST(sum(p_size) AS BIGINT) AS total_size, count(DISTINCT p_brand) AS brands "
-    "FROM part, (VALUES ('csv'), ('json'), ('parquet'), ('orc')) v(f) GROUP BY f",
+    "SELECT f AS format, p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part, (VALUES ('csv'), ('json'), ('parquet'), ('orc')) v(f)",
 )
 def scan_format(spark, root):
     """The same table written to and loaded from every format."""
@@ -48,9 +48,7 @@ def scan_format(spark, root):
         files.save(part, path, fmt)
         loaded = files.load(spark, path, fmt, part.schema).withColumn("format", F.lit(fmt))
         united = loaded if united is None else united.unionByName(loaded)
-    return united.groupBy("format").agg(
-        F.count("*").alias("n"), F.sum("p_size").alias("total_size"), F.countDistinct("p_brand").alias("brands")
-    )
+    return united
 
 
 @query(
@@ -83,17 +81,37 @@ def scan_score_batch(spark, root):
 WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-13' AND DATE '2024-01-20'""",
 )
 def scan_dated_files(spark, root):
-    """One prediction file per day, and the days of a window read back by their names."""
+    """Prediction files per day, and the days of a window read back by their names.
+
+    A day is dealt over several tasks by a salt, so a day with very many rows has several files.
+    """
     path = new_path(spark, "daily")
     scored = scored_events(table(spark, root, "events"))
     name = F.concat(F.lit("predictions_"), F.date_format("ts", "yyyy-MM-dd"), F.lit(".csv"))
     daily = scored.select("event_id", "prediction", name.alias("file"))
-    daily.repartition("file").write.partitionBy("file").options(**files.CSV_WRITE).csv(path)
+    salt = F.pmod(F.xxhash64("event_id"), F.lit(DAY_FILES))
+    daily.repartition("file", salt).write.partitionBy("file").options(**files.CSV_WRITE).csv(path)
     schema = daily.drop("file").schema
     pattern = f"{path}/file=predictions_*.csv/*"
     return files.scan_dated(spark, pattern, "predictions", schema, date(2024, 1, 20), 7)
 
 
+@query(
+    "scan_dated_truth",
+    """SELECT doc_id, CAST(quality AS INTEGER) AS actual, DATE '2024-01-10' + CAST(doc_id % 20 AS INTEGER) AS truth_date FROM labels
+WHERE DATE '2024-01-10' + CAST(doc_id % 20 AS INTEGER) BETWEEN DATE '2024-01-13' AND DATE '2024-01-20'""",
+)
+def scan_dated_truth(spark, root):
+    """The ground truth side: dated truth files of a window, tagged with their day and put together."""
+    path = new_path(spark, "truth")
+    day = F.date_add(F.lit("2024-01-10").cast("date"), (F.col("doc_id") % 20).cast("int"))
+    name = F.concat(F.lit("ground_truth_"), F.date_format(day, "yyyy-MM-dd"), F.lit(".csv"))
+    rows = table(spark, root, "labels").select("doc_id", F.col("quality").cast("int").alias("actual"), name.alias("file"))
+    rows.repartition("file", F.pmod(F.xxhash64("doc_id"), F.lit(DAY_FILES))).write.partitionBy("file").options(**files.CSV_WRITE).csv(path)
+    pattern = f"{path}/file=ground_truth_*.csv/*"
+    return files.scan_dated(spark, pattern, "ground_truth", rows.drop("file").schema, date(2024, 1, 20), 7, "truth_date")
+
+
 @query(
     "sink_format",
     "SELECT * FROM (SELECT 'overwrite' AS mode, count(*) AS n FROM supplier UNION ALL SELECT 'append', 2 * count(*) FROM supplier "

@@ -42,6 +42,23 @@ def monitor_window(spark, root):
     return rounded(daily)
 
 
+@query(
+    "monitor_baseline",
+    f"""WITH {EVENTS_SQL}, w AS (SELECT DATE '{END_DAY}' - INTERVAL 7 DAY AS first)
+SELECT 'baseline' AS part, count(*) AS n, round(avg(probability), 6) AS avg_probability FROM scored_events, w
+WHERE CAST(ts AS DATE) BETWEEN first - INTERVAL 30 DAY AND first - INTERVAL 1 DAY
+UNION ALL SELECT 'window', count(*), round(avg(probability), 6) FROM scored_events, w WHERE CAST(ts AS DATE) BETWEEN first AND DATE '{END_DAY}'""",
+)
+def monitor_baseline(spark, root):
+    """The monitoring window beside the thirty days before it."""
+    scored, end = scored_events(table(spark, root, "events")), F.lit(END_DAY).cast("date")
+    united = None
+    for name, rows in (("baseline", monitor.baseline_days(scored, "ts", end)), ("window", monitor.last_days(scored, "ts", end))):
+        part = rows.agg(F.lit(name).alias("part"), F.count("*").alias("n"), F.avg("probability").alias("avg_probability"))
+        united = part if united is None else united.unionByName(part)
+    return rounded(united)
+
+
 KS_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_orderkey"]
 
 
@@ -82,19 +99,28 @@ def drift_chi2(spark, root):
     return rounded(drift.drift_chi2(reference, current, ["event_type"]))
 
 
-@query(
-    "drift_psi",
-    f"""WITH q AS (SELECT quantile_disc(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS s FROM events WHERE ts < TIMESTAMP '{SPLIT_DAY}'),
-b AS (SELECT len(list_filter(s, lambda x: x <= value)) AS bin, count(*) FILTER (WHERE ts < TIMESTAMP '{SPLIT_DAY}') AS r,
+def psi_sql(column: str, bins: int) -> str:
+    shares = ", ".join(str(i / bins) for i in range(1, bins))
+    return f"""WITH q AS (SELECT quantile_disc({column}, [{shares}]) AS s FROM events WHERE ts < TIMESTAMP '{SPLIT_DAY}'),
+b AS (SELECT len(list_filter(s, lambda x: x <= {column})) AS bin, count(*) FILTER (WHERE ts < TIMESTAMP '{SPLIT_DAY}') AS r,
       count(*) FILTER (WHERE ts >= TIMESTAMP '{SPLIT_DAY}') AS k FROM events, q GROUP BY 1),
 sh AS (SELECT greatest(r::DOUBLE / (SELECT sum(r) FROM b), 0.0001) AS r, greatest(k::DOUBLE / (SELECT sum(k) FROM b), 0.0001) AS k FROM b)
-SELECT 'value' AS feature, round(sum((k - r) * ln(k / r)), 9) AS psi, sum((k - r) * ln(k / r)) > 0.2 AS drift_detected FROM sh""",
-)
+SELECT '{column}' AS feature, round(sum((k - r) * ln(k / r)), 9) AS psi, sum((k - r) * ln(k / r)) > 0.2 AS drift_detected FROM sh"""
+
+
+@query("drift_psi", psi_sql("value", 10))
 def drift_psi(spark, root):
     reference, current = event_halves(spark, root)
     return rounded(drift.drift_psi(reference, current, ["value"], exact=True), 9)
 
 
+@query("drift_psi_fine", psi_sql("value", 100))
+def drift_psi_fine(spark, root):
+    """A hundred bins."""
+    reference, current = event_halves(spark, root)
+    return rounded(drift.drift_psi(reference, current, ["value"], bins=100, exact=True), 9)
+
+
 VALUE_KS = f"""vk AS (SELECT max(abs(rs / nr - ks / nk)) AS s FROM (SELECT sum(r) OVER (ORDER BY value) AS rs, sum(k) OVER (ORDER BY value) AS ks,
   sum(r) OVER ()::DOUBLE AS nr, sum(k) OVER ()::DOUBLE AS nk FROM (SELECT value, count(*) FILTER (WHERE ts < TIMESTAMP '{SPLIT_DAY}') AS r,
   count(*) FILTER (WHERE ts >= TIMESTAMP '{SPLIT_DAY}') AS k FROM events GROUP BY 1)))"""

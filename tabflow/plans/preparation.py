@@ -10,7 +10,7 @@ from tabflow.plans import prepare
 from tabflow.plans.inputs import GAPS_SQL, WITH_CUSTOMERS, WITH_GAPS, gapped_customers
 from tabflow.plans.profiling import LINE_NUMBERS, TENURE_CASE, long_sql
 from tabflow.plans.registry import query, rounded
-from tabflow.plans.relational import PRIORITY_CASE, PRIORITY_CODES, bucket_sql
+from tabflow.plans.relational import PART_SQL, PRIORITY_CASE, PRIORITY_CODES, bucket_sql
 from tabflow.sources.shared import persist_state
 from tabflow.sources.tables import customers, table
 
@@ -360,37 +360,63 @@ def split_random(spark, root):
     return split.assign_random(table(spark, root, "orders"), ["o_orderkey"]).select("o_orderkey", "split")
 
 
-@query(
-    "split_stratified",
-    """SELECT o_orderkey, o_orderstatus, CASE WHEN row_number() OVER (PARTITION BY o_orderstatus ORDER BY md5('42:' || CAST(o_orderkey AS VARCHAR)))
-<= floor(count(*) OVER (PARTITION BY o_orderstatus) * 0.2::DOUBLE) THEN 'test' ELSE 'train' END AS split FROM orders""",
-)
+def stratified_sql(rows: str, columns: str, stratum: str, key: str, rule: str = "quota") -> str:
+    place = f"row_number() OVER (PARTITION BY {stratum} ORDER BY md5('42:' || {key}))"
+    quota = f"floor(count(*) OVER (PARTITION BY {stratum}) * 0.2::DOUBLE)"
+    test = f"{place} <= {quota}" if rule == "quota" else f"CAST('0x' || substr(md5('42:' || {key}), 1, 8) AS BIGINT) % 10000 < 2000"
+    return f"SELECT {columns}, CASE WHEN {test} THEN 'test' ELSE 'train' END AS split, '{rule}' AS split_rule FROM {rows}"
+
+
+@query("split_stratified", stratified_sql("orders", "o_orderkey, o_orderstatus", "o_orderstatus", PART_SQL.format(key="o_orderkey")))
 def split_stratified(spark, root):
     orders = table(spark, root, "orders").select("o_orderkey", "o_orderstatus")
     state = split.fit_stratified(orders, "o_orderstatus", ["o_orderkey"])
     return split.assign_stratified(orders, state, "o_orderstatus", ["o_orderkey"])
 
 
+PAIR_SQL = PART_SQL.format(key="c_name") + " || ':' || " + PART_SQL.format(key="c_mktsegment")
+
+
+@query("split_stratified_pair", stratified_sql("customer", "c_custkey, c_nationkey", "c_nationkey", PAIR_SQL))
+def split_stratified_pair(spark, root):
+    """Quotas by a key of two text columns."""
+    rows, keys = table(spark, root, "customer"), ["c_name", "c_mktsegment"]
+    state = split.fit_stratified(rows, "c_nationkey", keys)
+    done = split.assign_stratified(rows, state, "c_nationkey", keys, on_small_class="quota")
+    return done.select("c_custkey", "c_nationkey", "split", "split_rule")
+
+
+@query(
+    "split_stratified_fallback",
+    stratified_sql(
+        "(SELECT c_custkey, CASE WHEN c_custkey = 1 THEN 'rare' ELSE c_mktsegment END AS segment FROM customer)",
+        "c_custkey, segment", "segment", PART_SQL.format(key="c_custkey"), "random",
+    ),
+)
+def split_stratified_fallback(spark, root):
+    """One class of a single row: all rows are split by the random rule, and say so."""
+    segment = F.when(F.col("c_custkey") == 1, "rare").otherwise(F.col("c_mktsegment")).alias("segment")
+    rows = table(spark, root, "customer").select("c_custkey", segment)
+    state = split.fit_stratified(rows, "segment", ["c_custkey"])
+    return split.assign_stratified(rows, state, "segment", ["c_custkey"])
+
+
 @query(
     "split_xy",
     WITH_CUSTOMERS + f""", parts AS (SELECT *, CASE WHEN {bucket_sql('c_custkey')} < 2000 THEN 'test' ELSE 'train' END AS s FROM cust)
-SELECT 'X_' || s AS part, count(*) AS n, round(sum(total_spend), 1) AS measure FROM parts GROUP BY s
-UNION ALL SELECT 'Y_' || s, count(*), CAST(sum(churned) AS DOUBLE) FROM parts GROUP BY s""",
+SELECT 'X_' || s AS part, c_custkey, round(total_spend, 2) AS value FROM parts
+UNION ALL SELECT 'Y_' || s, c_custkey, CAST(churned AS DOUBLE) FROM parts""",
 )
 def split_xy(spark, root):
-    """The four tables, each reduced to its rows and one sum."""
+    """The rows of the four tables."""
     base = customers(spark, root).select("c_custkey", "total_spend", "churned")
     parts = split.four_way(split.assign_random(base, ["c_custkey"]), "churned", "c_custkey")
-    summaries = []
+    united = None
     for name, frame in parts.items():
-        measure = F.round(F.sum("total_spend"), 1) if name.startswith("X") else F.sum("churned").cast("double")
-        summaries.append(
-            frame.agg(F.count("*").alias("n"), measure.alias("measure")).select(F.lit(name).alias("part"), "n", "measure")
-        )
-    united = summaries[0]
-    for s in summaries[1:]:
-        united = united.unionByName(s)
-    return united
+        value = F.col("total_spend" if name.startswith("X") else "churned").cast("double").alias("value")
+        rows = frame.select(F.lit(name).alias("part"), "c_custkey", value)
+        united = rows if united is None else united.unionByName(rows)
+    return rounded(united, 2)
 
 
 @query(
@@ -439,28 +465,20 @@ capped AS (SELECT c_custkey, segment, tenure_months, churned, is_test,
              least(greatest(spend, s1 - 1.5 * (s3 - s1)), s3 + 1.5 * (s3 - s1)) AS spend FROM filled, q),
 r AS (SELECT min(charges) AS c_lo, max(charges) AS c_hi, min(spend) AS s_lo, max(spend) AS s_hi FROM capped WHERE NOT is_test),
 codes AS {codes_sql("(SELECT segment FROM parts WHERE NOT is_test)", "segment")},
-done AS (SELECT CASE WHEN is_test THEN 'test' ELSE 'train' END AS split, churned,
+done AS (SELECT CASE WHEN is_test THEN 'test' ELSE 'train' END AS split, c_custkey, churned,
   CASE WHEN tenure_months BETWEEN 0 AND 24 THEN 0 WHEN tenure_months BETWEEN 25 AND 48 THEN 1
        WHEN tenure_months BETWEEN 49 AND 72 THEN 2 END AS tenure_code,
   code, (charges - c_lo) / (c_hi - c_lo) AS charges, (spend - s_lo) / (s_hi - s_lo) AS spend
   FROM capped, r, codes WHERE category = coalesce(segment, 'MISSING'))
-SELECT split, tenure_code, count(*) AS n, CAST(sum(churned) AS BIGINT) AS churned, round(avg(code), 6) AS mean_segment_index,
-  round(avg(charges), 6) AS mean_charges, round(avg(spend), 6) AS mean_total_spend FROM done GROUP BY split, tenure_code""",
+SELECT split, c_custkey, churned, tenure_code, CAST(code AS INTEGER) AS segment_index, round(charges, 6) AS charges, round(spend, 6) AS total_spend FROM done""",
 )
 def prepare_customers(spark, root):
-    """Split, fit every step on the training part, apply to both, summarise by split and tenure.
+    """Split, fit every step on the training part, apply to both: one row per customer.
 
     The customer table is joined and reduced once and written; the fits read it from there.
     """
     base = persist_state(gapped_customers(spark, root), "customers")
     parts = split.assign_random(base, ["c_custkey"])
-    fitted = prepare.fit(split.part(parts, "train"), ROLES, exact=True)
-    done = fitted.apply(parts)
-    summary = done.groupBy("split", F.col("tenure_monthsBins").alias("tenure_code")).agg(
-        F.count("*").alias("n"),
-        F.sum("churned").alias("churned"),
-        F.avg("segment_index").alias("mean_segment_index"),
-        F.avg("charges").alias("mean_charges"),
-        F.avg("total_spend").alias("mean_total_spend"),
-    )
-    return rounded(summary)
+    done = prepare.fit(split.part(parts, "train"), ROLES).apply(parts)
+    columns = ["split", "c_custkey", "churned", F.col("tenure_monthsBins").alias("tenure_code"), "segment_index"]
+    return rounded(done.select(*columns, "charges", "total_spend"))

@@ -159,6 +159,35 @@ def agg_duplicates(spark, root):
     return profile.duplicate_count(lines)
 
 
+def shifted_events(spark, root):
+    """Events, some of them twice, and some again a microsecond later."""
+    events = table(spark, root, "events")
+    later = events.filter("event_id % 17 = 0").withColumn("ts", F.col("ts") + F.expr("INTERVAL '0.000001' SECOND"))
+    return events.unionByName(events.filter("event_id % 13 = 0")).unionByName(later)
+
+
+SHIFTED_SQL = """shifted AS (SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 13 = 0
+  UNION ALL SELECT event_id, ts + INTERVAL 1 MICROSECOND, user_id, event_type, value, props FROM events WHERE event_id % 17 = 0)"""
+EVENT_COPIES_SQL = "SELECT CAST(sum(n - 1) AS BIGINT) AS d FROM (SELECT count(*) AS n FROM shifted GROUP BY event_id, ts, user_id, event_type, value, props)"
+
+
+@query("agg_duplicates_events", f"WITH {SHIFTED_SQL} SELECT d AS duplicate_rows FROM ({EVENT_COPIES_SQL})")
+def agg_duplicates_events(spark, root):
+    """All columns of a table with timestamps that differ in the last digit."""
+    return profile.duplicate_count(shifted_events(spark, root))
+
+
+@query(
+    "quality_gate_events",
+    f"""WITH {SHIFTED_SQL}, copies AS ({EVENT_COPIES_SQL}), n AS (SELECT count(*) AS total FROM shifted)
+SELECT 'total_rows' AS metric, total AS value FROM n UNION ALL SELECT 'total_columns', 6 UNION ALL SELECT 'missing_values', 0
+UNION ALL SELECT 'duplicate_rows', d FROM copies UNION ALL SELECT 'passed', 1
+UNION ALL SELECT 'target=' || event_type, count(*) FROM shifted GROUP BY event_type""",
+)
+def quality_gate_events(spark, root):
+    return profile.quality_gate(shifted_events(spark, root), "event_type")
+
+
 @query(
     "profile_table",
     "SELECT '*' AS feature, 'rows' AS stat, count(*)::DOUBLE AS value FROM part UNION ALL SELECT '*', 'columns', 6.0::DOUBLE UNION ALL "
@@ -222,13 +251,15 @@ def quality_gate(spark, root):
     WITH_GAPS + f""", q AS (SELECT quantile_disc(total_spend, 0.25) AS q1, quantile_disc(total_spend, 0.75) AS q3 FROM gaps),
 flags AS (SELECT charges IS NULL AS no_charge,
   total_spend < q1 - 0.5 * (q3 - q1) OR total_spend > q3 + 0.5 * (q3 - q1) AS is_out,
-  {bucket_sql("c_custkey")} < 2000 AS is_test FROM gaps, q),
+  {bucket_sql("c_custkey")} < 2000 AS is_test, churned FROM gaps, q),
 c AS (SELECT count(*) AS initial, count(*) FILTER (WHERE no_charge) AS m, count(*) FILTER (WHERE NOT no_charge AND is_out) AS o,
   count(*) FILTER (WHERE NOT no_charge AND NOT is_out AND NOT is_test) AS train, count(*) FILTER (WHERE NOT no_charge AND NOT is_out AND is_test) AS test FROM flags)
 SELECT 'initial_rows' AS metric, initial::DOUBLE AS value FROM c UNION ALL SELECT 'rows_removed_missing', m FROM c
 UNION ALL SELECT 'rows_removed_outliers', o FROM c UNION ALL SELECT 'final_train_rows', train FROM c
 UNION ALL SELECT 'final_test_rows', test FROM c
-UNION ALL SELECT 'test_split_ratio', round(test::DOUBLE / (train + test), 6) FROM c""",
+UNION ALL SELECT 'test_split_ratio', round(test::DOUBLE / (train + test), 6) FROM c
+UNION ALL SELECT 'train_target=' || churned, count(*) FILTER (WHERE NOT no_charge AND NOT is_out AND NOT is_test)::DOUBLE FROM flags GROUP BY churned
+UNION ALL SELECT 'test_target=' || churned, count(*) FILTER (WHERE NOT no_charge AND NOT is_out AND is_test)::DOUBLE FROM flags GROUP BY churned""",
 )
 def summary_stages(spark, root):
     gaps = gapped_customers(spark, root)
@@ -240,6 +271,7 @@ def summary_stages(spark, root):
             ex.is_missing(gaps, "charges"),
             ex.outside(F.col("total_spend"), bounds["lower"], bounds["upper"]),
             ex.hash_bucket(["c_custkey"]) < 2000,
+            "churned",
         )
     )
 

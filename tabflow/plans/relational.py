@@ -29,7 +29,8 @@ PRIORITY_CODES = {"1-URGENT": 0, "2-HIGH": 1, "3-MEDIUM": 2, "4-NOT SPECIFIED":
 PRIORITY_CASE = "CASE o_orderpriority " + " ".join(
     f"WHEN '{text}' THEN {code}" for text, code in PRIORITY_CODES.items()
 )
-BUCKET_SQL = "CAST('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 8) AS BIGINT)"
+PART_SQL = "coalesce(length(CAST({key} AS VARCHAR)) || '=' || CAST({key} AS VARCHAR), '~')"
+BUCKET_SQL = "CAST('0x' || substr(md5('{seed}:' || " + PART_SQL + "), 1, 8) AS BIGINT)"
 
 
 def bucket_sql(key: str, seed: str = "42", buckets: int = ex.HASH_BUCKETS) -> str:
@@ -302,15 +303,24 @@ def sample_fraction(spark, root):
 
 @query(
     "sample_n",
-    "SELECT o_orderkey, o_orderpriority FROM orders ORDER BY md5('42:' || CAST(o_orderkey AS VARCHAR)) LIMIT 1000",
+    f"SELECT o_orderkey, o_orderpriority FROM orders ORDER BY md5('42:' || {PART_SQL.format(key='o_orderkey')}) LIMIT 1000",
 )
 def sample_n(spark, root):
     return projection.sample_rows(table(spark, root, "orders").select("o_orderkey", "o_orderpriority"), 1000, ["o_orderkey"])
 
 
-@query("limit_rows")
+@query(
+    "sample_n_pair",
+    f"SELECT c_custkey FROM customer ORDER BY md5('42:' || {PART_SQL.format(key='c_name')} || ':' || {PART_SQL.format(key='c_mktsegment')}) LIMIT 101",
+)
+def sample_n_pair(spark, root):
+    """An exact number of rows by a key of two text columns."""
+    return projection.sample_rows(table(spark, root, "customer"), 101, ["c_name", "c_mktsegment"]).select("c_custkey")
+
+
+@query("limit_rows", "SELECT least(100, count(*)) AS n FROM orders")
 def limit_rows(spark, root):
-    return table(spark, root, "orders").limit(100)
+    return table(spark, root, "orders").limit(100).agg(F.count("*").alias("n"))
 
 
 # --- set operations --------------------------------------------------------------------

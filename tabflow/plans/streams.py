@@ -25,17 +25,20 @@ EVENT_SCHEMA = T.StructType(
 )
 COLUMNS = EVENT_SCHEMA.fieldNames()
 ONCE = {"availableNow": True}
+BATCH_ROWS = 25_000  # rows of a file where a query wants several micro-batches
 
 
-def event_files(events: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Events as JSON files of a folder that a stream reads."""
-    writer = events.select(*COLUMNS).repartition(3, "event_id").write.mode(mode)
+def event_files(events: DataFrame, path: str, mode: str = "overwrite", per_file: int = 0) -> str:
+    """Events as JSON files of a folder that a stream reads: as many as the input has parts, or more if
+    `per_file` limits their rows."""
+    writer = events.select(*COLUMNS).write.mode(mode).option("maxRecordsPerFile", per_file)
     writer.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path)
     return path
 
 
-def event_stream(spark: SparkSession, root: str, max_files: int | None = 1) -> DataFrame:
-    path = event_files(table(spark, root, "events"), new_path(spark, "events"))
+def event_stream(spark: SparkSession, root: str, max_files: int | None = None, per_file: int = 0) -> DataFrame:
+    """The events as a stream; `max_files` sets how many of its files a micro-batch reads (all by default)."""
+    path = event_files(table(spark, root, "events"), new_path(spark, "events"), per_file=per_file)
     return streaming.json_stream(spark, path, EVENT_SCHEMA, max_files)
 
 
@@ -157,12 +160,12 @@ def stream_preprocess(spark, root):
 round(avg(probability), 6) AS avg_probability, count(*) FILTER (WHERE probability > 0.7) AS high_risk FROM scored_events GROUP BY 1""",
 )
 def stream_metrics(spark, root):
-    """Daily windows in update mode; the last update of each window is its result.
+    """Daily windows in update mode over several micro-batches; a window's last update is its result.
 
     The files mix all days, so the lateness spans the month and no row is late.
     """
     path, checkpoint = new_path(spark, "windows"), new_path(spark, "checkpoint")
-    scored = scored_events(event_stream(spark, root))
+    scored = scored_events(event_stream(spark, root, max_files=2, per_file=BATCH_ROWS))
     windows = streaming.windowed_metrics(scored, "ts", "prediction", "probability", lateness="40 days")
     query_ = streaming.write_batches(windows, lambda b: b, path, checkpoint, "parquet", "update", ONCE)
     streaming.drain(query_)

@@ -27,7 +27,8 @@ def json_stream(
     A field that does not fit its type is NULL; with `bad_record` the whole text of such a
     line is kept in that column.
     """
-    fields = schema.add(bad_record, "string") if bad_record else schema
+    extra = [T.StructField(bad_record, T.StringType())] if bad_record and bad_record not in schema.names else []
+    fields = T.StructType([*schema.fields, *extra])
     reader = spark.readStream.format("json").schema(fields).option("mode", "PERMISSIVE")
     if bad_record:
         reader = reader.option("columnNameOfCorruptRecord", bad_record)

@@ -80,9 +80,21 @@ def test_scores_that_are_all_missing(spark):
 
 def test_confusion_matrix_has_empty_cells_and_sums_to_the_rows(spark):
     df = spark.createDataFrame([("a", "b"), ("a", "b"), ("b", "b"), ("c", "a"), (None, "a")], "y string, p string")
-    cells = {(r[0], r[1]): r[2] for r in rows(evaluate.confusion_matrix(df, "y", "p"))}
+    cells = {(r[0], r[1]): r[2] for r in rows(evaluate.confusion_matrix(df, "y", "p", empty_cells=True))}
     assert len(cells) == 9 and sum(cells.values()) == 4
     assert cells[("a", "b")] == 2 and cells[("c", "c")] == 0
+    found = {(r[0], r[1]): r[2] for r in rows(evaluate.confusion_matrix(df, "y", "p"))}
+    assert found == {k: n for k, n in cells.items() if n}
+
+
+def test_areas_of_very_many_groups_and_of_the_null_group(spark):
+    df = spark.range(6006).select(
+        F.nullif(F.col("id") % 1001, F.lit(0)).alias("m"), (F.col("id") % 2).alias("y"), F.col("id").cast("double").alias("s")
+    )
+    areas = dict(rows(evaluate.auc_roc(df, "y", "s", F.col("m"))))
+    assert len(areas) == 1001 and None in areas
+    # ids of a group are 1001 apart, so labels alternate and 3 positives meet 3 negatives
+    assert set(areas.values()) == {6 / 9, 3 / 9}
 
 
 def test_per_class_is_zero_where_undefined(spark):

@@ -103,3 +103,25 @@ def test_kolmogorov_tail(spark, argument, expected):
     d = argument / math.sqrt(n * n / (n + n))
     value = spark.range(1).select(pvalues.kolmogorov_tail(F.lit(d), F.lit(n), F.lit(n))).first()[0]
     assert value == pytest.approx(expected, abs=1e-5)
+
+
+@pytest.mark.parametrize("df, x", [(2001, 2001.0), (2400, 2300.0), (5000, 5200.0), (20_000, 19_700.0), (100_000, 101_000.0)])
+def test_chi_square_tail_of_many_degrees(spark, df, x):
+    """Against the sum of Poisson terms for the even degrees beside it."""
+
+    def even(n):
+        y, log, total = x / 2, -x / 2, 0.0
+        for k in range(n // 2):
+            total += math.exp(log)
+            log += math.log(y) - math.log(k + 1)
+        return total
+
+    expected = even(df) if df % 2 == 0 else (even(df - 1) + even(df + 1)) / 2
+    value = spark.range(1).select(pvalues.chi_square_tail(F.lit(x), F.lit(df))).first()[0]
+    assert value == pytest.approx(expected, abs=2e-5)
+
+
+def test_keys_that_read_alike_have_different_digests(spark):
+    pairs = [("a:b", "c"), ("a", "b:c"), (None, "c"), ("", "c"), ("~", "c"), ("1=a", ""), ("1", "=a")]
+    df = spark.createDataFrame(pairs, "x string, y string")
+    assert df.select(ex.key_digest(["x", "y"], 42)).distinct().count() == len(pairs)

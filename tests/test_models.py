@@ -76,21 +76,46 @@ def test_saved_model_predicts_the_same(spark, data):
 
 def test_search_points():
     space = models.SEARCH_SPACES["logistic_regression"]
-    assert len(models.trial_points(space)) == 36
-    drawn = models.trial_points(models.SEARCH_SPACES["gbt"])
-    assert len(drawn) == 50 and drawn == models.trial_points(models.SEARCH_SPACES["gbt"])
+    assert len(models.trial_points(space)) == models.space_size(space) == 36
+    assert len(models.trial_points(models.SEARCH_SPACES["gbt"])) == 256
+    drawn = models.trial_points(models.SEARCH_SPACES["gbt"], 50)
+    assert len(drawn) == 50 and drawn == models.trial_points(models.SEARCH_SPACES["gbt"], 50)
     assert len({tuple(sorted(p.items())) for p in drawn}) == 50
-    assert {name: len(models.trial_points(g, None)) for name, g in models.GRIDS.items()} == {
+    assert {name: len(models.trial_points(g)) for name, g in models.GRIDS.items()} == {
         "random_forest": 9, "gbt": 6, "logistic_regression": 9, "decision_tree": 4,
     }
 
 
 def test_tuning_and_comparison(spark, data):
     folded = split.assign_folds(data, ["id"], 2)
-    points = models.trial_points({"maxDepth": [1, 4]}, None)
-    trials = models.tune(folded, "decision_tree", NUMERIC, NOMINAL, points, folds=2, fold_column="fold")
+    trials = models.tune(folded, "decision_tree", NUMERIC, NOMINAL, {"maxDepth": [1, 4]}, folds=2, fold_column="fold")
     shallow, deep = [r["score"] for r in trials.orderBy("trial").collect()]
     assert deep > shallow
+    drawn = models.tune(folded, "decision_tree", NUMERIC, NOMINAL, {"maxDepth": [1, 2, 4]}, 2, folds=2).collect()
+    assert [(r["tried"], r["of_points"]) for r in drawn] == [(2, 3), (2, 3)]
     compared = models.compare(data, data, {"decision_tree": {"maxDepth": 3}, "nope": {}}, NUMERIC, NOMINAL).collect()
     assert [r["model"] for r in compared if r["error"]] == ["nope"]
     assert sum(r["model"] == "decision_tree" and r["metric"] == "accuracy" for r in compared) == 1
+
+
+def test_rows_with_missing_inputs(data):
+    gaps = data.withColumn("x", F.when(F.col("id") % 5 > 0, F.col("x")))
+    model = models.fit(gaps, "logistic", NUMERIC, NOMINAL, invalid="skip")
+    assert models.probabilities(model, gaps).count() == 480
+    for name in ("logistic", "decision_tree"):
+        kept = models.fit(gaps, name, NUMERIC, NOMINAL, invalid="keep")
+        assert models.probabilities(kept, gaps).count() == 600
+    with pytest.raises(ValueError, match="unknown rule"):
+        models.fit(gaps, "logistic", NUMERIC, NOMINAL, invalid="other")
+    with pytest.raises(Exception):
+        models.fit(gaps, "logistic", NUMERIC, NOMINAL)
+
+
+def test_early_stopping_and_fit_report(data):
+    marked = data.withColumn("held", F.col("id") % 4 == 0)
+    model, report = models.fit_report(marked, "gbt", NUMERIC, NOMINAL, validation="held", maxIter=40, maxDepth=2)
+    assert model.stages[-1].getNumTrees < 40
+    facts = dict(rows(report))
+    assert facts["training_rows"] == 600 and facts["input_columns"] == 3 and facts["training_seconds"] > 0
+    with pytest.raises(ValueError, match="stop early"):
+        models.fit(marked, "decision_tree", NUMERIC, NOMINAL, validation="held")

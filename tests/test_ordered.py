@@ -57,14 +57,24 @@ def test_quantiles_read_the_input_twice(spark):
     assert seen.value == 2 * 3000
 
 
+def test_brackets_that_miss_their_rank_are_an_error(spark):
+    values = spark.range(1000).select(F.col("id").cast("double").alias("a"))
+    for shift in (-100.0, 100.0):
+        low = values.agg(F.array(F.lit(490.0 + shift), F.lit(510.0 + shift)).alias("a"))
+        with pytest.raises(Exception, match="outside its bracket"):
+            ordered.quantiles_in(values, low, ["a"], [0.5], [0]).collect()
+    right = values.agg(F.array(F.lit(490.0), F.lit(510.0)).alias("a"))
+    assert rows(ordered.quantiles_in(values, right, ["a"], [0.5], [0])) == [("a", 0, 499.0)]
+
+
 def test_running_totals(spark):
     rng = np.random.default_rng(2)
     data = {("x", float(v)): int(n) for v, n in zip(rng.normal(size=2000).round(3), rng.integers(1, 9, 2000))}
-    data.update({("y", float(i)): 1 for i in range(10)})
+    data.update({(None, float(i)): 1 for i in range(10)})
     data[("x", 0.5)] = 100_000
     counts = spark.createDataFrame([(k, v, n) for (k, v), n in data.items()], "key string, value double, n long")
-    out = ordered.running_totals(ordered.bucketed(counts, "key", "value", ["n"]), ["key"], "value", ["n"])
-    total = {"x": 0, "y": 0}
+    out = ordered.running_totals(counts, ["key"], "value", ["n"])
+    total = {"x": 0, None: 0}
     whole = {k: sum(n for (g, _), n in data.items() if g == k) for k in total}
     for key, value, n, run, everything in rows(out, "key", "value"):
         total[key] += n
@@ -72,25 +82,35 @@ def test_running_totals(spark):
     assert total == whole
 
 
-def test_windows_run_inside_buckets(spark):
+def test_windows_run_inside_ranges(spark):
     long = spark.range(20_000).select(F.lit("f").alias("feature"), F.rand(3).alias("value"))
-    counts = long.groupBy("feature", "value").agg(F.count("*").alias("n"))
-    sized = ordered.bucketed(counts, "feature", "value", ["n"]).groupBy("_bucket").count()
-    sizes = [r[1] for r in rows(sized)]
-    assert len(sizes) == 256 and max(sizes) < 5 * 20_000 / 256
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r[1] for r in rows(ordered.in_ranges(long, [F.col("feature"), F.col("value")]).groupBy("_range").count())]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) == 4 and max(sizes) < 2 * 20_000 / 4
 
 
 def test_running_totals_read_the_input_once(spark):
     watched, seen = counted(spark.range(5000).select(F.lit("f").alias("feature"), F.rand(3).alias("value")))
     counts = watched.groupBy("feature", "value").agg(F.count("*").alias("n"))
-    ordered.running_totals(ordered.bucketed(counts, "feature", "value", ["n"]), ["feature"], "value", ["n"]).collect()
+    ordered.running_totals(counts, ["feature"], "value", ["n"]).collect()
     assert seen.value == 5000
 
 
-def test_too_many_groups_are_refused(spark):
-    counts = spark.range(1500).select(F.col("id").cast("string").alias("k"), F.lit(1.0).alias("v"), F.lit(1).alias("n"))
-    with pytest.raises(Exception, match="more than 1000 groups"):
-        ordered.bucketed(counts, "k", "v", ["n"]).collect()
+@pytest.mark.parametrize("sorted_rows", [50_000, 5])
+def test_quotas_by_digest(spark, monkeypatch, sorted_rows):
+    monkeypatch.setattr(ordered, "SORTED_ROWS", sorted_rows)
+    df = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"), F.md5(F.col("id").cast("string")).alias("digest"))
+    df = df.unionByName(df.filter("g = 1").limit(1)).cache()
+    found = {r[0]: r[1:] for r in rows(ordered.digest_quota(df, ["g"], lambda n: F.floor(n * 0.2)))}
+    groups = {}
+    for g, digest in rows(df):
+        groups.setdefault(g, []).append(digest)
+    assert found == {g: (len(d), len(d) // 5, sorted(d)[len(d) // 5 - 1]) for g, d in groups.items()}
+    none = {r[0]: r[1:] for r in rows(ordered.digest_quota(df, ["g"], lambda n: F.lit(0)))}
+    assert none == {g: (len(d), 0, None) for g, d in groups.items()}
 
 
 def test_numbered_counts_from_zero_in_every_group(spark):

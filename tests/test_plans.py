@@ -21,7 +21,8 @@ def test_no_python_and_no_pairs(spark, smoke, name):
 
 
 def test_library_has_no_driver_loops_or_local_checkpoints():
-    text = "\n".join(p.read_text() for p in SOURCE.rglob("*.py"))
+    files = [p for p in SOURCE.rglob("*.py") if "llm" not in p.parts]  # that subpackage has rules of its own
+    text = "\n".join(p.read_text() for p in files)
     for bad in (r"\.collect\(\)", r"\.toPandas\(", r"localCheckpoint", r"crossJoin", r"\.rdd\b", r"coalesce\(1\)", r"@udf", r"pandas_udf"):
         assert not re.search(bad, text), bad
 

@@ -255,6 +255,37 @@ def test_stratified_split_falls_back_for_a_tiny_class(spark):
     state = split.fit_stratified(df, "y", ["id"], 0.2)
     out = split.assign_stratified(df, state, "y", ["id"], 0.2)
     assert rows(out.select("id", "split"), "id") == rows(split.assign_random(df, ["id"], 0.2).select("id", "split"), "id")
+    assert rows(out.select("split_rule").distinct()) == [("random",)]
+    quota = split.assign_stratified(df, state, "y", ["id"], 0.2, on_small_class="quota")
+    assert dict(rows(quota.filter("split = 'test'").groupBy("y").count())) == {0: 199}
+    with pytest.raises(Exception, match="too small"):
+        split.assign_stratified(df, state, "y", ["id"], 0.2, on_small_class="error").collect()
+    with pytest.raises(ValueError):
+        split.assign_stratified(df, state, "y", ["id"], 0.2, on_small_class="other")
+
+
+def test_samples_by_two_text_columns_are_exact(spark):
+    df = spark.range(2000).select(
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit("a:"), F.col("id").cast("string"))).alias("x"),
+        F.concat_ws(":", F.lit("b"), (F.col("id") / 2).cast("int").cast("string"), (F.col("id") % 2).cast("string")).alias("y"),
+    )
+    assert projection.sample_rows(df, 101, ["x", "y"]).count() == 101
+
+
+def test_nan_lies_in_no_bin(spark):
+    df = spark.createDataFrame([(80.0,), (float("nan"),), (None,)], "x double")
+    out = binning.bin_custom(df, "x", {"low": [0, 10], "high": [73]}, keep=True)
+    assert [r["xBins"] for r in out.collect()] == ["high", "Invalid", "Invalid"]
+
+
+def test_one_hot_from_fitted_categories(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "s string")
+    fitted = encoding.fit_one_hot(df, ["s"])
+    assert fitted == {"s": ["a", "b"]}
+    out = encoding.one_hot(df, "s", fitted["s"])
+    assert [tuple(r)[1:] for r in out.collect()] == [(1, 0, 0), (0, 1, 0), (1, 0, 0), (0, 0, 1)]
+    with pytest.raises(ValueError, match="more than 1"):
+        encoding.fit_one_hot(df, ["s"], bound=1)
 
 
 def test_folds_and_three_way(spark):

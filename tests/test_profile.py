@@ -92,3 +92,13 @@ def test_table_types_and_column_stats(spark):
     assert rows(profile.table_types(df), "position") == [(0, "k", "int"), (1, "s", "string")]
     assert rows(profile.column_stats(df, "s")) == [(2, 2, "a", "b")]
     assert rows(profile.column_stats(df, "k", exact=False)) == [(3, 2, 1, 2)]
+
+
+def test_rows_a_microsecond_apart_are_no_copies(spark):
+    texts = ["2024-01-01 00:00:00.000001", "2024-01-01 00:00:00.000002"]
+    df = spark.createDataFrame([(t,) for t in texts + texts[:1]], "t string")
+    for kind in ("timestamp", "timestamp_ntz"):
+        rows_ = df.select(F.col("t").cast(kind).alias("t"), F.lit(1).alias("y"))
+        assert profile.duplicate_count(rows_).first()[0] == 1
+        gate = {r["metric"]: r["value"] for r in profile.quality_gate(rows_, "y").collect()}
+        assert gate["duplicate_rows"] == 1

@@ -83,3 +83,12 @@ def test_state_is_written_to_the_shared_folder(spark):
     folder = shared.shared_dir(spark)
     assert any(folder.rstrip("/") in f for f in state.inputFiles())
     assert shared.new_path(spark, "a") != shared.new_path(spark, "a")
+
+
+def test_a_workspace_leaves_nothing_behind(spark):
+    with shared.workspace(spark) as root:
+        state = shared.persist_state(spark.range(5).toDF("x"))
+        assert state.count() == 5 and state.inputFiles()[0].split(":")[-1].lstrip("/").startswith(root.split(":")[-1].lstrip("/"))
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    assert not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    assert not shared.new_path(spark, "x").startswith(root)

@@ -113,3 +113,11 @@ def test_batch_summary_per_micro_batch(spark, tmp_path):
     )
     row = spark.read.json(path).first()
     assert (row["num_predictions"], row["high_risk"], row["medium_risk"], row["low_risk"]) == (2, 1, 1, 0)
+
+
+def test_the_callers_schema_stays_as_it_is(spark, tmp_path):
+    schema = T.StructType([T.StructField("a", T.LongType())])
+    (tmp_path / "in").mkdir()
+    for _ in range(2):
+        stream = streaming.json_stream(spark, str(tmp_path / "in"), schema, bad_record="bad")
+        assert stream.columns == ["a", "bad"] and schema.names == ["a"]
