@@ -48,6 +48,10 @@ def lower_words(text: bytes) -> list[bytes]:
 
 
 def chunks(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch, so that what is built per slice stays small beside very long texts."""
+    """Slices of a batch, so that what is built per slice stays small beside very long texts.
+
+    After each batch Arrow gives its free memory back: workers live on for the next stages.
+    """
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()

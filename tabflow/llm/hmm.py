@@ -27,7 +27,8 @@ from tabflow.sources.shared import persist_state
 STATES = 8
 CLASSES = 4096
 SUFFIX = 3  # bytes of a word's end that decide its class
-BLOCK_BYTES = 4 << 20  # text of a block; a longer text is a block of its own
+BLOCK_BYTES = 8 << 20  # text of a block; a longer text is a block of its own
+SIDE_BY_SIDE = 1024  # training sequences that are gone through together
 WINDOW = 512  # tokens of a training sequence: longer texts are learnt in consecutive windows
 SEGMENT = 1024  # tokens after which a long text is scored in parallel segments
 WARM_ROUNDS = 12  # Baum-Welch rounds on one block, which the rounds over all texts start from
@@ -180,6 +181,15 @@ def expected_counts(model: Model, classes: np.ndarray, first: np.ndarray, sizes:
     return np.concatenate([starts, (moves * model.move).ravel(), emits.ravel()])
 
 
+def block_counts(model: Model, classes: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The counts of all sequences, some of them at a time."""
+    total = np.zeros(len(model.start) * (1 + len(model.start) + CLASSES))
+    for at in range(0, len(first), SIDE_BY_SIDE):
+        part = slice(at, at + SIDE_BY_SIDE)
+        total += expected_counts(model, classes, first[part], sizes[part])
+    return total
+
+
 def maximised(counts: np.ndarray, classes: np.ndarray, states: int) -> Model:
     """The next model; `classes` is the distribution of classes, towards which rare emissions lean."""
     starts, rest = counts[:states], counts[states:]
@@ -211,7 +221,7 @@ def _counter(shared):
         model, total = shared.value, None
         for row in (c for b in batches for c in chunks(b, 1)):
             _, classes, lengths, held = _sequences(row)
-            found = expected_counts(model, classes, *training_windows(lengths, held))
+            found = block_counts(model, classes, *training_windows(lengths, held))
             total = found if total is None else total + found
         if total is not None:
             held = np.flatnonzero(total)
@@ -237,7 +247,7 @@ def fit(blocks: DataFrame, classes: np.ndarray, states: int = STATES, rounds: in
     first, sizes = training_windows(lengths, held)
     model = _first_model(tokens, first, sizes, classes, states)
     for _ in range(WARM_ROUNDS):
-        model = maximised(expected_counts(model, tokens, first, sizes), classes, states)
+        model = maximised(block_counts(model, tokens, first, sizes), classes, states)
     for _ in range(rounds):
         counted = sequences.mapInArrow(_counter(spark.sparkContext.broadcast(model)), "place long, n double")
         total = np.zeros(size)

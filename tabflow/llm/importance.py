@@ -11,6 +11,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,41 +22,57 @@ from tabflow.sources.shared import persist_state
 
 BUCKETS = 1 << 16  # n-gram buckets of a model; its size is this, whatever the corpus
 SMOOTHING = 8.0  # target n-grams added to each bucket of both models, so that rare ones say little
-KEPT_WORDS = 300_000
+KEPT_WORDS = 150_000  # words whose codes a task keeps; beyond that it starts anew
 DIGIT = 1 << 16
 MIX = np.uint64(0x9E3779B97F4A7C15)
+LOW = np.uint64((1 << 32) - 1)
+# Upper case, lower case with everything beyond ASCII, and digits as one letter each; marks stay.
+KINDS = bytes(65 if 65 <= i <= 90 else 97 if 97 <= i <= 122 or i >= 128 else 48 if 48 <= i <= 57 else i for i in range(256))
+RUN = re.compile(rb"(.)\1+", re.DOTALL)
 
-_shapes: dict[bytes, tuple[int, int]] = {}
 
 
-def _codes(word: bytes) -> tuple[int, int]:
-    """Hashes of a word and of its shape: case and symbols, without the letters."""
-    shape = re.sub(rb"[A-Z]+", b"A", re.sub(rb"[a-z\x80-\xff]+", b"a", re.sub(rb"[0-9]+", b"0", word)))
-    return zlib.crc32(word), zlib.crc32(shape)
+def shape(word: bytes) -> bytes:
+    """Case, digits and marks of a word, runs of one kind as one."""
+    return RUN.sub(rb"\1", word.translate(KINDS))
 
 
-def word_codes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    words = raw.split()
-    if len(_shapes) > KEPT_WORDS:
-        _shapes.clear()
-    for word in words:
-        if word not in _shapes:
-            _shapes[word] = _codes(word)
-    held = np.array([_shapes[w] for w in words], np.uint64).reshape(-1, 2)
-    return held[:, 0], held[:, 1]
+class Codes:
+    """Hashes of words and of their shapes; those met before are kept, and go with the task."""
+
+    def __init__(self) -> None:
+        self.words: dict[bytes, int] = {}
+        self.shapes: dict[bytes, int] = {}
+
+    def _code(self, word: bytes) -> int:
+        kinds = word.translate(KINDS)
+        if kinds not in self.shapes:
+            self.shapes[kinds] = zlib.crc32(shape(word))
+        return zlib.crc32(word) << 32 | self.shapes[kinds]
+
+    def of(self, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of a text's words, and of their shapes."""
+        words = raw.split()
+        for kept in (self.words, self.shapes):
+            if len(kept) > KEPT_WORDS:
+                kept.clear()
+        for word in set(words).difference(self.words):
+            self.words[word] = self._code(word)
+        held = np.fromiter(map(self.words.__getitem__, words), np.uint64, len(words))
+        return held >> np.uint64(32), held & LOW
 
 
 def _bucket(kind: int, codes: np.ndarray) -> np.ndarray:
     return ((codes + np.uint64(kind)) * MIX >> np.uint64(48)).astype(np.int64) % BUCKETS
 
 
-def ngrams(raw: bytes) -> np.ndarray:
+def ngrams(raw: bytes, codes: Codes) -> np.ndarray:
     """Buckets of a text's words, of its pairs of word shapes, and of how each word follows the last.
 
     The third kind tells whether a word equals the one before and whether a pair of words was met
     earlier in the text, so that repetition is part of the language that the models describe.
     """
-    words, shapes = word_codes(raw)
+    words, shapes = codes.of(raw)
     if not len(words):
         return np.zeros(0, np.int64)
     pairs = shapes[:-1] * np.uint64(1 << 32) + shapes[1:]
@@ -71,12 +88,12 @@ def ngrams(raw: bytes) -> np.ndarray:
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per bucket the n-grams of all texts and of the target texts of this task."""
     raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-    for batch in (c for b in batches for c in chunks(b)):
-        for text, label in zip(raw_texts(batch.column(0)), batch.column(1).to_pylist()):
-            found = np.bincount(ngrams(text), minlength=BUCKETS)
-            raw += found
-            if label == 1:
-                target += found
+    none, codes = np.zeros(0, np.int64), Codes()
+    for batch in (c for b in batches for c in chunks(b, 64)):
+        found = [ngrams(t, codes) for t in raw_texts(batch.column(0))]
+        chosen = [f for f, label in zip(found, batch.column(1).to_pylist()) if label == 1]
+        raw += np.bincount(np.concatenate([none, *found]), minlength=BUCKETS)
+        target += np.bincount(np.concatenate([none, *chosen]), minlength=BUCKETS)
     held = np.flatnonzero(raw)
     yield pa.RecordBatch.from_arrays(
         [pa.array(held), pa.array(raw[held]), pa.array(target[held])], ["bucket", "raw", "target"]
@@ -117,9 +134,10 @@ def log_weight(ratios: np.ndarray, docs: DataFrame) -> Column:
     shared = docs.sparkSession.sparkContext.broadcast(ratios)
 
     @F.pandas_udf("double")
-    def weigh(texts):
-        held = shared.value
-        return texts.map(lambda t: float(held[ngrams((t or "").encode())].sum()), na_action=None)
+    def weigh(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        held, codes = shared.value, Codes()
+        for texts in batches:
+            yield texts.map(lambda t: float(held[ngrams((t or "").encode(), codes)].sum()), na_action=None)
 
     return weigh
 

@@ -28,8 +28,9 @@ from tabflow.sources.shared import persist_state
 SHINGLE = 5
 PERCENT = 75
 KEPT_BITS = 48  # of a shingle's hash, kept after the distinct shingles of a text are counted
-BLOCK_SHINGLES = 1_000_000  # shingles of the sets in one row; a larger set is a row of its own
-BUCKET_SHINGLES = 2_000_000  # shingles that are counted in one group
+SPARE_BITS = 12  # a shingle passes for one found elsewhere by chance once in 2 ** SPARE_BITS times
+BLOCK_SHINGLES = 500_000  # shingles of the sets in one row; a larger set is a row of its own
+BUCKET_SHINGLES = 1_000_000  # shingles that are counted in one group
 PART_SHINGLES = 2_000_000  # shingles of the sets that one tree holds; a larger set is a part of its own
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 KEPT = np.uint64((1 << KEPT_BITS) - 1)
@@ -129,14 +130,18 @@ def _blocks_of_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield block.row()
 
 
-def _packs(bits: int):
-    """Per block and bucket of the hash space: the distinct hashes, and which come twice in the block."""
+def _packs(bits: int, cut: int):
+    """Per block and bucket of the hash space: the distinct hashes, and which come twice in the block.
+
+    The last `cut` bits of the hashes stay behind: those before them tell nearly all shingles apart.
+    """
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in (c for b in batches for c in chunks(b, 1)):
             block, sizes = row.column("block")[0].as_py(), row.column("sizes")[0].as_py()
-            distinct, times = np.unique(unpack(row.column("hashes")[0].as_py(), sum(sizes)), return_counts=True)
-            bucket = distinct >> np.uint64(KEPT_BITS - bits)
+            values = unpack(row.column("hashes")[0].as_py(), sum(sizes)) >> np.uint64(cut)
+            distinct, times = np.unique(values, return_counts=True)
+            bucket = distinct >> np.uint64(KEPT_BITS - cut - bits)
             edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(distinct)]
             spans = [(a, b) for a, b in zip(edges, edges[1:]) if b > a]
             columns = [
@@ -172,7 +177,7 @@ def _shared(group: pa.Table) -> pa.Table:
     )
 
 
-def _linkable(percent: int):
+def _linkable(percent: int, cut: int):
     """The sets that can be alike with others, and their first shingles in the order (shared last, hash).
 
     A set that is alike with another shares at least `percent` of its shingles, so its first
@@ -188,7 +193,7 @@ def _linkable(percent: int):
             flags = [_bits(x, n) for x, n in zip(found.column("flags").to_pylist(), found.column("n").to_pylist())]
             sizes = np.array(block.column("sizes")[0].as_py(), np.int64)
             values = unpack(block.column("hashes")[0].as_py(), int(sizes.sum()))
-            shared = np.concatenate(flags)[np.unique(values, return_inverse=True)[1]]
+            shared = np.concatenate(flags)[np.unique(values >> np.uint64(cut), return_inverse=True)[1]]
             ends, upto = np.cumsum(sizes), np.concatenate([[0], np.cumsum(shared)])
             alone = sizes - (upto[ends] - upto[ends - sizes])
             wanted = sizes - -(-percent * sizes // 100) + 1 - alone
@@ -207,15 +212,18 @@ def linkable(blocks: DataFrame, percent: int) -> DataFrame:
     """Rows (node, n, hashes, prefix) of the blocks' sets that may link; exact for any data.
 
     Hashes are counted per bucket of the hash space. A block sends a hash at most once, so a shingle of
-    very many texts is as many values as there are blocks, and gets one bit back for each.
+    very many texts is as many values as there are blocks, and gets one bit back for each. As many leading
+    bits of a hash are sent as the number of shingles needs; two that agree in these only count as
+    shared, which can add candidates and never loses one.
     """
     rows = blocks.select("block", "nodes", "sizes", "hashes")
     total = rows.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     bits = math.ceil(math.log2(max(2, total / BUCKET_SHINGLES)))
-    packs = rows.mapInArrow(_packs(bits), "bucket long, block long, n long, hashes binary, twice binary")
+    cut = max(0, KEPT_BITS - max(bits, math.ceil(math.log2(max(2, total))) + SPARE_BITS))
+    packs = rows.mapInArrow(_packs(bits, cut), "bucket long, block long, n long, hashes binary, twice binary")
     flags = packs.groupBy("bucket").applyInArrow(_shared, "of_block long, bucket long, n long, flags binary")
     together = rows.groupBy("block").cogroup(flags.groupBy("of_block"))
-    return together.applyInArrow(_linkable(percent), "node long, n long, hashes binary, prefix array<long>")
+    return together.applyInArrow(_linkable(percent, cut), "node long, n long, hashes binary, prefix array<long>")
 
 
 def candidates(blocks: DataFrame, percent: int) -> DataFrame:
@@ -393,7 +401,8 @@ def groups(
     placed = placed.withColumn("root", F.coalesce("root", "node"))
     place = F.struct(F.col("key").isNull().alias("missing"), "key", "text_hash")
     firsts = placed.filter("root is not null").groupBy("root").agg(F.min(place).alias("first"))
-    firsts = firsts.select(F.col("root").alias("of"), "first")
+    # Written, so that the join below may split the rows of a very large group.
+    firsts = persist_state(firsts.select(F.col("root").alias("of"), "first"), "groups")
     found = placed.join(firsts, F.col("root") == F.col("of"), "left")
     alone = F.col("root").isNull()
     return found.select(

@@ -184,7 +184,27 @@ def op3_hidden_markov(spark, root):
     return scored.select(F.col("key").alias("doc_id"), *columns)
 
 
-@query("op5_jaccard_groups")
+OP5_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) END) AS s FROM docs),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * o >= 75 * (p.n + q.n - o)),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached AS (SELECT doc_id, doc_id AS r FROM docs UNION SELECT doc_id, y FROM reached JOIN ways ON r = x)
+SELECT doc_id, CAST(coalesce(max(n), 0) AS BIGINT) AS n_shingles, min(r) AS component_id
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id"""
+
+
+@query("op5_jaccard_groups", OP5_SQL)
 def op5_jaccard_groups(spark, root):
     found = jaccard.groups(table(spark, root, "documents"))
     return found.select(F.col("key").alias("doc_id"), "n_shingles", "component_id")

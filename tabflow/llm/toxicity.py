@@ -82,7 +82,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for n in STEMS:
                 held.update({w[:n] + b"*" for w in distinct if len(w) >= n})
             held[b""] += len(words)
-        if len(counted[0]) + len(counted[1]) > 500_000:
+        if len(counted[0]) + len(counted[1]) > 200_000:
             yield rows()
     yield rows()
 

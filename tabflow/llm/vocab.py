@@ -15,7 +15,8 @@ from pyspark import Broadcast
 from pyspark.sql import SparkSession
 from tokenizers import Tokenizer
 
-KEPT_WORDS = 500_000  # words whose ids a worker keeps at least, and at most twice as many
+# Words whose ids a worker keeps at least, and at most twice as many: whole words, words with their marks.
+KEPT_WORDS, KEPT_SPACED = 150_000, 500_000
 MARKS = ",.;:!?&%$#*"  # what may follow a word directly and is no letter, digit, apostrophe or space
 THREADS = "TOKENIZERS_PARALLELISM"
 GROUP = 200  # words that go to the tokenizer as one text
@@ -38,12 +39,13 @@ def vocabulary(spec: Broadcast) -> "Vocabulary":
 class Recent[K]:
     """Ids of the words met lately: full, the newer half becomes the older and the older one goes."""
 
-    def __init__(self) -> None:
+    def __init__(self, limit: int) -> None:
+        self.limit = limit
         self.new: dict[K, bytes] = {}
         self.old: dict[K, bytes] = {}
 
     def turn(self) -> None:
-        if len(self.new) > KEPT_WORDS:
+        if len(self.new) > self.limit:
             self.new, self.old = {}, self.new
 
     def missing(self, words: Iterable[K]) -> list[K]:
@@ -70,8 +72,8 @@ class Vocabulary:
         self.names = [n for n, _ in names] if self.tokenizer.decoder is None and dense else None
         self.blank_first = np.zeros(names[-1][1] + 1, bool)
         self.blank_first[[i for n, i in names if n.startswith("\u0120")]] = True  # the byte-level sign of a blank
-        self.spaced: Recent[str] = Recent()
-        self.words: Recent[bytes] = Recent()
+        self.spaced: Recent[str] = Recent(KEPT_SPACED)
+        self.words: Recent[bytes] = Recent(KEPT_WORDS)
         self.marks: dict[str | bytes, bytes] = {}
 
     def encode(self, text: str) -> np.ndarray:

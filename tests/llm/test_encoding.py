@@ -53,7 +53,7 @@ def test_windows_grow_until_both_sides_agree(word):
 
 
 def test_a_small_cache_forgets_and_stays_right(word, monkeypatch):
-    monkeypatch.setattr("tabflow.llm.vocab.KEPT_WORDS", 3)
+    monkeypatch.setattr(word.words, "limit", 3)
     for text in ("a b c d e f", "f e d c b a", "a a b, b. c!"):
         assert word.encode_words([text.encode()]) == [word.encode(text).astype("<u4").tobytes()]
 
