@@ -22,12 +22,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tabflow.llm.common import chunks, lower_words, named, raw_texts
-from tabflow.sources.shared import persist_state
+from tabflow.sources.shared import new_path, persist_state
 
 STATES = 8
 CLASSES = 4096
 SUFFIX = 3  # bytes of a word's end that decide its class
-BLOCK_BYTES = 8 << 20  # text of a block; a longer text is a block of its own
+BLOCK_BYTES = 4 << 20  # text of a block; a longer text is a block of its own
 SIDE_BY_SIDE = 1024  # training sequences that are gone through together
 WINDOW = 512  # tokens of a training sequence: longer texts are learnt in consecutive windows
 SEGMENT = 1024  # tokens after which a long text is scored in parallel segments
@@ -109,7 +109,10 @@ def read_blocks(docs: DataFrame, held: Column, key: str, text: str) -> DataFrame
         f"block long, keys array<{kind}>, held array<boolean>, lengths array<long>, ids binary, classes binary,"
         " vocabulary array<binary>, learnt array<long>"
     )
-    return persist_state(rows.mapInArrow(_blocks, schema), "blocks")
+    spark, path = docs.sparkSession, new_path(docs.sparkSession, "blocks")
+    # The vocabularies of the blocks are most of what this operator keeps on disk.
+    rows.mapInArrow(_blocks, schema).write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def word_counts(blocks: DataFrame) -> DataFrame:
