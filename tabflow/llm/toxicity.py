@@ -8,7 +8,6 @@ of a text; the number of equally good segments expected by chance in a clean tex
 from __future__ import annotations
 
 import math
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -18,8 +17,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabflow.llm import jaccard
 from tabflow.llm.common import chunks, fold, named, raw_texts
-from tabflow.sources.shared import persist_state
+from tabflow.sources.shared import new_path, persist_state, workspace
 
 # Fixed value: ASCII punctuation separates tokens here.
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -31,7 +31,6 @@ MAX_FEATURES = 50_000  # features of a model; the most significant stay
 MIN_Z = 3.2  # standard errors by which the log-odds of a feature exceed zero
 PRIOR_SHARE = 0.1  # weight of the Dirichlet prior, as a share of all counts
 MAX_WEIGHT = 8.0
-SKETCHES = 4
 SCALE = 4  # evidence is counted in steps of 1 / SCALE to fit the final curve
 RANGE = 60.0
 
@@ -45,22 +44,6 @@ def features(token: bytes) -> list[bytes]:
     return [token, *[token[:n] + b"*" for n in STEMS if len(token) >= n]]
 
 
-def sketch(words: list[bytes]) -> list[int]:
-    """The least hashes of the 5-word shingles under a few hash functions."""
-    codes = np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
-    n = max(1, len(codes) - 4)
-    mixed = np.zeros(n, np.uint64)
-    for i in range(min(5, len(codes))):
-        mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + codes[i : i + n]
-    return [int((mixed * np.uint64(2 * k + 0xD1B54A32D192ED03) >> np.uint64(1)).min()) for k in range(SKETCHES)]
-
-
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in (c for b in batches for c in chunks(b)):
-        found = [sketch(tokens(t)) for t in raw_texts(batch.column(1))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["key", "sketch"])
-
-
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per feature the toxic and clean texts that hold it; the empty feature counts tokens."""
     names = ["feature", "toxic", "clean"]
@@ -168,14 +151,28 @@ def with_label(docs: DataFrame, sample: DataFrame, key: str, text: str) -> DataF
     return rows.join(F.broadcast(sample), "key").select("key", "text", "label")
 
 
+def spaced(text: Column) -> Column:
+    """The text with blanks for punctuation, so that its words are its `tokens` but for their case."""
+    return F.translate(text, PUNCTUATION.decode(), " " * len(PUNCTUATION))
+
+
 def without_copies(labelled: DataFrame, sample: DataFrame) -> DataFrame:
-    """The sample without near copies: the rows that are first under all of a few min-hashes."""
-    kind = labelled.schema["key"].dataType.simpleString()
-    hashed = labelled.select("key", "text").mapInArrow(_sketches, f"key {kind}, sketch array<long>")
-    each = hashed.select("key", F.posexplode("sketch").alias("i", "hash"))
-    firsts = each.groupBy("i", "hash").agg(F.min("key").alias("key"))
-    alone = firsts.groupBy("key").agg(F.countDistinct("i").alias("n")).filter(F.col("n") == SKETCHES)
-    return sample.join(alone.select("key"), "key", "left_semi")
+    """The sample with `text_hash` of the texts that count: one of each group of near copies of a label.
+
+    Texts of the same label link at a Jaccard of 0.75 between their sets of 5-word shingles, by the exact
+    join of operator 5; what they share with texts of the other label is never looked at. Of a group that
+    links connect the text of the smallest key stays. Texts without words are copies of each other.
+    """
+    spark, held = labelled.sparkSession, []
+    for label in (0, 1):
+        path = new_path(spark, "alone")
+        with workspace(spark):  # what the join writes is not needed after it
+            rows = persist_state(jaccard.groups(labelled.filter(F.col("label") == label), "key", "text"), "groups")
+            alone = rows.filter("representative and n_shingles > 0").select("key", "text_hash")
+            first = rows.filter("n_shingles = 0").agg(F.min(F.struct("key", "text_hash")).alias("row"))
+            alone = alone.union(first.filter("row is not null").select("row.*"))
+            held.append(persist_state(alone.distinct(), path=path))
+    return sample.join(held[0].union(held[1]), "key")
 
 
 def log_odds(counts: DataFrame, min_z: float, bound: int) -> tuple[list[tuple[bytes, float, float, float]], float]:
@@ -284,12 +281,16 @@ def fit(
     """The segment model of the labelled texts outside fold 0.
 
     At most `max_labelled` labelled rows are used and at most `max_features` features kept; these bounds
-    make the sample and the model small enough to broadcast. Near copies count once. Without both
-    classes, or on empty tables, the model has no features and every text is clean.
+    make the sample and the model small enough to broadcast. Near copies of a label count once, and so do
+    repeated rows. Without both classes, or on empty tables, the model has no features and every text is
+    clean.
     """
     sample = persist_state(labelled_sample(labels, label, key, max_labelled), "labelled")
-    sample = persist_state(without_copies(with_label(docs, sample, key, text), sample), "labelled")
-    labelled = with_label(docs, sample, key, text)
+    rows = with_label(docs, sample, key, text).withColumn("text", spaced(F.col("text")))
+    rows = persist_state(rows.dropDuplicates(["key", "text"]), "texts")
+    alone = persist_state(without_copies(rows, sample), "labelled").select("key", "text_hash")
+    rows = rows.withColumn("text_hash", F.xxhash64("text"))
+    labelled = rows.join(F.broadcast(alone), ["key", "text_hash"]).select("key", "text", "label")
     counts = labelled.select("text", "label").mapInArrow(_counts, "feature binary, toxic long, clean long")
     rated, _ = log_odds(counts, min_z, max_features)
     weights = {f: min(odds, MAX_WEIGHT) for f, odds, _, _ in rated}

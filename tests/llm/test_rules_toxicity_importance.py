@@ -152,6 +152,33 @@ def test_near_copies_count_once(spark, none):
     assert len(keys) < 40
 
 
+def test_distinct_texts_that_share_a_passage_all_count(spark, none):
+    shared = [f"p{i}" for i in range(64)]  # 60 shingles of 5 words
+
+    def text(i, own):
+        return " ".join([*(f"own{i}x{j}" for j in range(own)), *shared])
+
+    rows = [(i, text(i, (60, 100, 200)[i % 3]), "en", "s", 1) for i in range(90)]
+    rows += [(1000 + i, text(i, 200), "en", "s", 1) for i in range(5, 90, 9)]  # copies with another label
+    rows += [(2000 + i, text(i, 200) + " more", "en", "s", 1) for i in range(5, 90, 9)]  # near copies
+    rows += [(3000 + i, (None, "", " \n ")[i % 3], "en", "s", 1) for i in range(6)]
+    docs = spark.createDataFrame(rows, none.schema)
+    sample = docs.select(F.col("doc_id").alias("key"), F.col("doc_id").between(1000, 1999).cast("int").alias("label"))
+    left = toxicity.without_copies(toxicity.with_label(docs, sample, "doc_id", "text"), sample)
+    keys = sorted(r.key for r in left.collect())
+    assert keys == [*range(90), *range(1005, 1090, 9), 3000]
+
+
+def test_a_common_passage_leaves_both_classes(spark, none):
+    shared = " ".join(f"p{i}" for i in range(64))
+    rows = [(i, " ".join([*(f"w{(7 * i + j * j) % 211}" for j in range(60)), "vile" if i % 4 == 0 else "mild", shared]), "en", "s", 1) for i in range(200)]
+    docs = spark.createDataFrame(rows, none.schema)
+    marks = docs.select("doc_id", (F.col("doc_id") % 4 == 0).cast("int").alias("toxic"))
+    model = toxicity.fit(docs, marks)
+    assert b"vile" in model.weights
+    assert toxicity.fit(docs.union(docs), marks) == model
+
+
 def test_poor_texts_are_rejected_and_good_ones_stay(planted):
     docs, marks = planted
     rows = importance.sample_documents(docs, marks).join(marks.withColumnRenamed("doc_id", "key"), "key").collect()
