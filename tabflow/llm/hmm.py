@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -31,10 +32,12 @@ BLOCK_BYTES = 4 << 20  # text of a block; a longer text is a block of its own
 SIDE_BY_SIDE = 1024  # training sequences that are gone through together
 WINDOW = 512  # tokens of a training sequence: longer texts are learnt in consecutive windows
 SEGMENT = 1024  # tokens after which a long text is scored in parallel segments
-WARM_ROUNDS = 12  # Baum-Welch rounds on one block, which the rounds over all texts start from
-ROUNDS = 3
+CENTRES = 512  # distinct training windows, the first by hash of all texts, that the start states are chosen from
+CENTRE_TOKENS = 32  # windows of fewer tokens are centres only where there are too few others
+SETTLED = 1e-5  # rounds end when what they raise, the log likelihood with the prior, grows by a smaller share
 END = b"\n"  # the end token's place in vocabularies; no word holds white space
 SMOOTHING = 0.5
+LEANING = 50.0  # counts added to each state's emissions, in the shares of the classes
 
 
 def word_class(word: bytes) -> int:
@@ -151,45 +154,56 @@ def _active(sizes: np.ndarray) -> np.ndarray:
     return np.cumsum(np.bincount(sizes)[::-1])[::-1][1:] if len(sizes) else np.zeros(0, np.int64)
 
 
-def expected_counts(model: Model, classes: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Baum-Welch counts of all sequences side by side: starts, moves and emissions in one flat array."""
+def _recursed(model: Model, classes: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, float]:
+    """The counts of `expected_counts` and the natural log likelihood of the sequences."""
     states = len(model.start)
     starts, moves = np.zeros(states), np.zeros((states, states))
     emits = np.zeros((states, CLASSES))
     active = _active(sizes).tolist()
-    alphas, scales, seen = [], [], []
+    alphas, seen, scaled, log = [], [], [], 0.0
     for t, n in enumerate(active):
         seen.append(classes[first[:n] + t])
         before = alphas[-1][:n] @ model.move if t else np.broadcast_to(model.start, (n, states))
-        alpha = before * model.emit[seen[t]]
+        emitted = model.emit[seen[t]]
+        alpha = before * emitted
         scale = alpha.sum(1, keepdims=True)
-        alphas.append(alpha / scale)
-        scales.append(scale)
+        alpha /= scale
+        emitted /= scale
+        alphas.append(alpha)
+        scaled.append(emitted)
+        log += float(np.log(scale).sum())
     beta = np.zeros((0, states))
-    posteriors = [None] * len(active)
     for t in range(len(active) - 1, -1, -1):
         n, later = active[t], len(beta)
         below = np.ones((n, states))
         if later:
-            ahead = beta * model.emit[seen[t + 1]] / scales[t + 1]
+            ahead = np.multiply(beta, scaled[t + 1], out=scaled[t + 1])
             moves += alphas[t][:later].T @ ahead
             below[:later] = ahead @ model.move.T
         beta = below
-        posteriors[t] = alphas[t] * beta
+        # Alphas become posteriors once the moves from them are counted.
+        alphas[t] *= beta
     if active:
-        starts += posteriors[0].sum(0)
-        weights, held = np.concatenate(posteriors), np.concatenate(seen)
+        starts += alphas[0].sum(0)
+        weights, held = np.concatenate(alphas).T.copy(), np.concatenate(seen)
         for k in range(states):
-            emits[k] = np.bincount(held, weights=weights[:, k], minlength=CLASSES)
-    return np.concatenate([starts, (moves * model.move).ravel(), emits.ravel()])
+            emits[k] = np.bincount(held, weights=weights[k], minlength=CLASSES)
+    return np.concatenate([starts, (moves * model.move).ravel(), emits.ravel()]), log
+
+
+def expected_counts(model: Model, classes: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Baum-Welch counts of all sequences side by side: starts, moves and emissions in one flat array."""
+    return _recursed(model, classes, first, sizes)[0]
 
 
 def block_counts(model: Model, classes: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The counts of all sequences, some of them at a time."""
-    total = np.zeros(len(model.start) * (1 + len(model.start) + CLASSES))
+    """The counts of all sequences, some of them at a time, and behind them the log likelihood."""
+    total = np.zeros(len(model.start) * (1 + len(model.start) + CLASSES) + 1)
     for at in range(0, len(first), SIDE_BY_SIDE):
         part = slice(at, at + SIDE_BY_SIDE)
-        total += expected_counts(model, classes, first[part], sizes[part])
+        found, log = _recursed(model, classes, first[part], sizes[part])
+        total[:-1] += found
+        total[-1] += log
     return total
 
 
@@ -198,27 +212,66 @@ def maximised(counts: np.ndarray, classes: np.ndarray, states: int) -> Model:
     starts, rest = counts[:states], counts[states:]
     moves, emits = rest[: states * states].reshape(states, states), rest[states * states :].reshape(states, -1)
     move = (moves + 1.0) / (moves.sum(1, keepdims=True) + states)
-    emit = (emits + 50.0 * classes) / (emits.sum(1, keepdims=True) + 50.0)
+    emit = (emits + LEANING * classes) / (emits.sum(1, keepdims=True) + LEANING)
     return Model((starts + 1.0) / (starts.sum() + states), move, np.ascontiguousarray(emit.T))
 
 
+def log_prior(model: Model, classes: np.ndarray) -> float:
+    """What the counts that `maximised` adds are worth: with it the likelihood never falls in a round."""
+    emits = LEANING * float((classes @ np.log(model.emit)).sum())
+    return emits + float(np.log(model.move).sum() + np.log(model.start).sum())
+
+
 def _first_model(tokens: np.ndarray, first: np.ndarray, sizes: np.ndarray, classes: np.ndarray, states: int) -> Model:
-    """States around sequences that differ most in their classes, each added farthest from those before."""
-    long = np.flatnonzero(sizes >= min(32, sizes.max(initial=0)))[:512]
-    if not len(long):
-        return maximised(np.zeros(states + states * states + states * CLASSES), classes, states)
-    shares = np.stack([np.bincount(tokens[first[i] : first[i] + sizes[i]], minlength=CLASSES) / sizes[i] for i in long])
-    roots = np.sqrt(shares)
-    chosen, near = [0], roots @ roots[0]
-    while len(chosen) < states:
-        chosen.append(int(near.argmin()))
-        near = np.maximum(near, roots @ roots[chosen[-1]])
-    emit = 0.5 * classes + 0.5 * shares[chosen]
+    """States around sequences that differ most in their classes, each added farthest from those before.
+
+    Emissions are varied by a seeded tenth, so states around equal sequences, or around none, still differ.
+    """
+    long = np.flatnonzero(sizes >= min(CENTRE_TOKENS, sizes.max(initial=0)))[:CENTRES]
+    emit = np.tile(classes, (states, 1))
+    if len(long):
+        shares = np.stack([np.bincount(tokens[first[i] : first[i] + sizes[i]], minlength=CLASSES) / sizes[i] for i in long])
+        roots = np.sqrt(shares)
+        chosen, near = [0], roots @ roots[0]
+        while len(chosen) < states:
+            chosen.append(int(near.argmin()))
+            near = np.maximum(near, roots @ roots[chosen[-1]])
+        emit = 0.5 * classes + 0.5 * shares[chosen]
+    emit = emit * np.random.default_rng(1).uniform(0.9, 1.1, emit.shape)
+    emit /= emit.sum(1, keepdims=True)
     move = np.full((states, states), 0.1 / max(1, states - 1))
     np.fill_diagonal(move, 0.9 if states > 1 else 1.0)
     return Model(np.full(states, 1 / states), move, np.ascontiguousarray(emit.T))
 
 
+def _centres(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of a task's distinct training windows the first by hash: rows (short, hash, classes)."""
+    found: dict[bytes, tuple[bool, int]] = {}
+
+    def firsts() -> list[tuple[bool, int, bytes]]:
+        return sorted((short, order, window) for window, (short, order) in found.items())[:CENTRES]
+
+    for row in (c for b in batches for c in chunks(b, 1)):
+        _, classes, lengths, held = _sequences(row)
+        for a, n in zip(*(x.tolist() for x in training_windows(lengths, held))):
+            window = classes[a : a + n].astype("<u2").tobytes()
+            if window not in found:
+                found[window] = (n < CENTRE_TOKENS, xxhash.xxh3_64_intdigest(window) >> 1)
+        found = {window: (short, order) for short, order, window in firsts()}
+    columns = zip(*firsts()) if found else ([], [], [])
+    types = [pa.bool_(), pa.int64(), pa.binary()]
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["short", "hash", "classes"])
+
+
+def start_model(sequences: DataFrame, classes: np.ndarray, states: int) -> Model:
+    """The model that training starts from, around some of the first distinct windows of all blocks."""
+    each = sequences.mapInArrow(_centres, "short boolean, hash long, classes binary").distinct()
+    held = [np.frombuffer(r["classes"], "<u2") for r in each.orderBy("short", "hash", "classes").limit(CENTRES).collect()]
+    sizes = np.array([len(w) for w in held], np.int64)
+    tokens = np.concatenate([np.zeros(0, np.uint16), *held]).astype(np.int64)
+    return _first_model(tokens, np.cumsum(sizes) - sizes, sizes, classes, states)
+
+
 def _counter(shared):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, total = shared.value, None
@@ -233,33 +286,30 @@ def _counter(shared):
     return count
 
 
-def fit(blocks: DataFrame, classes: np.ndarray, states: int = STATES, rounds: int = ROUNDS) -> Model:
-    """Baum-Welch: the first rounds on one block, then rounds over every training text.
+def fit(blocks: DataFrame, classes: np.ndarray, states: int = STATES, settled: float = SETTLED) -> Model:
+    """Baum-Welch rounds over every training text, until the likelihood settles.
 
     Each task adds up the counts of its blocks and Spark sums them per parameter, so the driver receives
-    as many numbers as the model has, whatever the corpus. The block to start from is chosen by the hash
-    of its number; it sets where the rounds over all texts start, nothing else.
+    as many numbers as the model has, whatever the corpus.
     """
     spark = blocks.sparkSession
     sequences = blocks.select("block", "held", "lengths", "ids", "classes")
     size = states + states * states + states * CLASSES
-    warm = sequences.orderBy(F.xxhash64("block")).limit(1).toArrow()
-    if not warm.num_rows:
-        return maximised(np.zeros(size), classes, states)
-    _, tokens, lengths, held = _sequences(warm)
-    first, sizes = training_windows(lengths, held)
-    model = _first_model(tokens, first, sizes, classes, states)
-    for _ in range(WARM_ROUNDS):
-        model = maximised(block_counts(model, tokens, first, sizes), classes, states)
-    for _ in range(rounds):
-        counted = sequences.mapInArrow(_counter(spark.sparkContext.broadcast(model)), "place long, n double")
-        total = np.zeros(size)
+    model, last = start_model(sequences, classes, states), -math.inf
+    while True:
+        shared = spark.sparkContext.broadcast(model)
+        counted = sequences.mapInArrow(_counter(shared), "place long, n double")
+        total = np.zeros(size + 1)
         # Rounded sums do not depend on the order in which tasks finish.
         places = counted.groupBy("place").agg(F.sum(F.col("n").cast("decimal(30,6)")).cast("double").alias("n"))
         for row in places.collect():
             total[row["place"]] = row["n"]
-        model = maximised(total, classes, states)
-    return model
+        shared.destroy()
+        log = total[size] + log_prior(model, classes)
+        model = maximised(total[:size], classes, states)
+        if not log - last > settled * abs(log):
+            return model
+        last = log
 
 
 def _forward(model: Model, classes: np.ndarray, first: np.ndarray, sizes: np.ndarray, alpha: np.ndarray | None):

@@ -117,6 +117,42 @@ def test_held_out_texts_are_likelier_than_under_single_words(spark, smoke):
     assert sum(r.score for r in scored) > sum(r.base_score for r in scored)
 
 
+@pytest.mark.parametrize("poor", ["copies", "held out"])
+def test_a_poor_block_does_not_decide_the_model(spark, none, poor):
+    chance = np.random.default_rng(6)
+    texts = [" ".join(f"{x:02}{'ab'[i % 2]}" for x in chance.integers(0, 40, 50)) for i in range(200)]
+
+    def read(texts, held):
+        rows = [(i, t, "en", "s", 1) for i, t in enumerate(texts)]
+        docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 20), none.schema)  # a block each
+        return hmm.read_blocks(docs, held, "doc_id", "text")
+
+    first = read(texts, F.lit(False)).orderBy(F.xxhash64("block")).first()["keys"]
+    assert len(first) == 10
+    held = F.col("doc_id").isin(first if poor == "held out" else [])
+    blocks = read([texts[first[0]] if i in first and poor == "copies" else t for i, t in enumerate(texts)], held)
+    model = hmm.fit(blocks, np.full(hmm.CLASSES, 1 / hmm.CLASSES), 2)
+    kinds = [list({hmm.word_class(f"{x:02}{kind}".encode()) for x in range(40)}) for kind in "ab"]
+    shares = np.array([model.emit[kind].sum(0) for kind in kinds])  # of both kinds of text, by state
+    assert (shares.max(1) > 10 * shares.min(1)).all()
+
+
+def test_rounds_go_on_until_the_likelihood_settles(spark, smoke):
+    docs = spark.read.parquet(f"{smoke}/documents.parquet").repartition(20, "doc_id")
+    blocks = hmm.read_blocks(docs, F.lit(False), "doc_id", "text")
+    rows, windows = blocks.toArrow(), []
+    for at in range(rows.num_rows):
+        _, classes, lengths, held = hmm._sequences(rows, at)
+        windows += [classes[a : a + n] for a, n in zip(*hmm.training_windows(lengths, held))]
+    windows.sort(key=len, reverse=True)
+    tokens, sizes = np.concatenate(windows), np.array(list(map(len, windows)))
+    shares = (np.bincount(tokens, minlength=hmm.CLASSES) + 0.5) / (len(tokens) + 0.5 * hmm.CLASSES)
+    model = hmm.fit(blocks, shares)
+    further = hmm.maximised(hmm.expected_counts(model, tokens, np.cumsum(sizes) - sizes, sizes), shares, hmm.STATES)
+    before, after = (hmm.log_likelihoods(m, tokens, sizes).sum() + hmm.log_prior(m, shares) for m in (model, further))
+    assert 0 <= after - before < 2e-4 * abs(before)
+
+
 def test_blocks_part_long_tables(spark, odd, monkeypatch):
     whole = sorted(tuple(r) for r in hmm.score_documents(odd.filter("doc_id < 4 or doc_id > 10"), F.lit(False)).select("key", "n_tokens", "n_known").collect())
     monkeypatch.setattr(hmm, "BLOCK_BYTES", 50)
