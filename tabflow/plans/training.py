@@ -136,6 +136,15 @@ def tune_cv_grid(spark, root):
     return judged(models.trial_table(spark, "decision_tree", points, fit.avgMetrics, "areaUnderROC"))
 
 
+@query("tune_cv_grid_regression", trials_sql("logistic_regression", 9, 9))
+def tune_cv_grid_regression(spark, root):
+    """Cross-validation over the default grid of the regression, five folds by key."""
+    train, _ = parts(spark, root)
+    folded = split.assign_folds(train, ["c_custkey"], FOLDS)
+    fit, points = models.cross_validate(folded, "logistic", NUMERIC, NOMINAL, folds=FOLDS, fold_column="fold")
+    return judged(models.trial_table(spark, "logistic_regression", points, fit.avgMetrics, "areaUnderROC"))
+
+
 @query("tune_grid_trials", trials_sql("logistic_regression", 36, 36))
 def tune_grid_trials(spark, root):
     """Trials over the whole regression search space, scored by f1."""
