@@ -9,6 +9,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 DATA = "/root/testdata"
 
 
+def pytest_configure(config):
+    config.addinivalue_line("markers", "slow: minutes of fitting; a full run has them, -m 'not slow' leaves them out")
+
+
 @pytest.fixture(scope="session")
 def spark():
     session = (

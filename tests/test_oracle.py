@@ -21,6 +21,13 @@ def test_query_matches_sql(spark, smoke, twin, name):
     assert verdict.startswith("ok"), verdict
 
 
+@pytest.mark.slow
+@pytest.mark.parametrize("name", sorted(SLOW))
+def test_slow_query_matches_sql(spark, smoke, twin, name):
+    verdict, _ = check.compare(spark, twin, name, smoke)
+    assert verdict.startswith("ok"), verdict
+
+
 def test_entry_runs(spark):
     import __spark_entry__
 
