@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabflow.llm import bpe, hmm, importance, jaccard, mixing, rules, search, sharding, simple8b, toxicity
+from tabflow.llm import bpe, hmm, importance, jaccard, mixing, pieces, rules, search, sharding, simple8b, toxicity
 from tabflow.llm.catalogue import query
 from tabflow.llm.common import fold, word_count
 from tabflow.sources.shared import new_path
@@ -208,3 +208,15 @@ FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id"""
 def op5_jaccard_groups(spark, root):
     found = jaccard.groups(table(spark, root, "documents"))
     return found.select(F.col("key").alias("doc_id"), "n_shingles", "component_id")
+
+
+@query("op11_prefix_table")
+def op11_prefix_table(spark, root):
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    coded = pieces.encode_documents(table(spark, root, "documents"), model, ["doc_id"])
+    return coded.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
