@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabflow.llm import bpe, hmm, importance, jaccard, mixing, pieces, rules, search, sharding, simple8b, toxicity
+from tabflow.llm import bpe, hmm, importance, jaccard, lexical, mixing, pieces, rules, search, sharding, simple8b, toxicity
 from tabflow.llm.catalogue import query
 from tabflow.llm.common import fold, word_count
 from tabflow.sources.shared import new_path
@@ -220,3 +220,33 @@ def op11_prefix_table(spark, root):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+OP12_SQL = r"""
+WITH spelled AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+sized AS (SELECT r, doc_id, w, CAST(len(w) AS BIGINT) AS n FROM spelled WHERE len(w) > 0),
+whole AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS total FROM sized),
+tfs AS (SELECT r, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(w) AS term FROM sized) GROUP BY ALL),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT item_id, min(text) AS text FROM benchmark GROUP BY item_id)),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tfs, whole GROUP BY term, docs),
+scores AS (
+  SELECT a.item_id, r, CAST(sum(weights.w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total)))) AS BIGINT) AS score
+  FROM asked a JOIN tfs USING (term) JOIN weights USING (term) JOIN sized USING (r), whole GROUP BY a.item_id, r),
+ranked AS (
+  SELECT item_id, doc_id, score,
+         CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS FIRST) AS INTEGER) AS rank
+  FROM scores JOIN sized USING (r) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50"""
+
+
+@query("op12_max_sketches", OP12_SQL)
+def op12_max_sketches(spark, root):
+    return lexical.ranked_documents(table(spark, root, "documents"), table(spark, root, "benchmark"), k=50)
