@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tabflow.llm import bpe, hmm, importance, jaccard, lexical, mixing, pieces, rules, search, sharding, simple8b, toxicity
+from tabflow.llm import bpe, hmm, importance, jaccard, lexical, mixing, negatives, pieces, rules, search, sharding, simple8b, toxicity
 from tabflow.llm.catalogue import query
 from tabflow.llm.common import fold, word_count
 from tabflow.sources.shared import new_path
@@ -250,3 +250,34 @@ SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50"""
 @query("op12_max_sketches", OP12_SQL)
 def op12_max_sketches(spark, root):
     return lexical.ranked_documents(table(spark, root, "documents"), table(spark, root, "benchmark"), k=50)
+
+
+OP13_SQL = """
+WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS alike,
+         CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM whole a JOIN whole c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id AND len(a.v) = len(c.v)),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place
+  FROM scores WHERE alike),
+ranked AS (
+  SELECT p.anchor_id, positive_id, positive_score, n.vec_id AS negative_id, n.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor_id, place ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank
+  FROM positives p JOIN scores n
+    ON p.anchor_id = n.anchor_id AND place <= 5 AND NOT alike
+   AND 30 * positive_score <= 100 * n.score AND 100 * n.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10"""
+
+
+@query("op13_shared_lists", OP13_SQL)
+def op13_shared_lists(spark, root):
+    rows = table(spark, root, "embeddings").select("vec_id", "embedding", "label")
+    turned = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", turned), F.col("vec_id") % 100 == 0)

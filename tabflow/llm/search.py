@@ -13,6 +13,7 @@ from tabflow.sources.shared import persist_state
 
 PARTIAL = "query_id long, tile long, vec_id long, score long"
 EXACT = float(1 << 53)
+SMALLEST, LARGEST = -(1 << 63), (1 << 63) - 1
 
 
 def whole_vectors(table: DataFrame, key: str, vector: str, scale: int) -> DataFrame:
@@ -27,15 +28,16 @@ def whole_vectors(table: DataFrame, key: str, vector: str, scale: int) -> DataFr
 
 
 def products(queries: np.ndarray, shard: np.ndarray) -> np.ndarray:
-    """All inner products as 64-bit integers: by float matrix product while every sum is exact there."""
+    """All inner products as 64-bit integers: by float matrix product while every sum is exact there. A sum
+    beyond 64 bits is the nearest of them."""
     if not queries.shape[1]:
         return np.zeros((len(queries), len(shard)), np.int64)
     bound = np.abs(queries).max(initial=0) * np.abs(shard).max(initial=0) * queries.shape[1]
     if bound < EXACT:
         return (queries @ shard.T).astype(np.int64)
-    whole = [[int(x) for x in row] for row in shard]
-    sums = [[sum(a * b for a, b in zip(q, row)) for row in whole] for q in [[int(x) for x in q] for q in queries]]
-    return np.array(sums, np.int64)  # a sum beyond 64 bits raises an OverflowError
+    exact = np.frompyfunc(int, 1, 1)
+    sums = exact(queries).astype(object) @ exact(shard).astype(object).T
+    return np.maximum(np.minimum(sums, LARGEST), SMALLEST).astype(np.int64)
 
 
 def tile_top(queries: pd.DataFrame, shard: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -71,7 +73,7 @@ def top_k(
     `is_query` is a condition on `vec_id`. Queries and candidates are dealt into tiles of a stated
     size; a task multiplies one tile of queries by one shard and keeps k per query, and the partial
     lists are merged `fan_in` shards at a time, so no task holds more than two tiles or `fan_in` lists
-    of a query. Only vectors of equal length are compared. Rows with the query's own id are no
+    of a query. Components and products beyond 64 bits are the nearest number that 64 bits hold. Only vectors of equal length are compared. Rows with the query's own id are no
     candidates; an id given to several query rows is answered once, by its smallest vector. Fewer than
     k candidates give all of them, an empty table gives no rows.
     """

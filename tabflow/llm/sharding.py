@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tabflow.llm.common import picked
+from tabflow.llm.common import named, picked
 from tabflow.sources.shared import persist_state
 
 # Fixed value: the multiplier of the published generator (Lamping and Veach, 2014).
@@ -80,8 +80,13 @@ def shards_by_key(docs: DataFrame, shards: int, key: str = "doc_id", text: str =
     return numbered(rows, F.xxhash64("key", "text_crc32", "size"))
 
 
-def write_shards(docs: DataFrame, path: str, shards: int, key: str = "doc_id", files_per_shard: int = 1) -> None:
-    """The documents in one folder per shard; a shard's rows are dealt over `files_per_shard` tasks."""
-    rows = docs.withColumn("shard", shard_of(F.col(key), shards))
-    spread = F.pmod(F.xxhash64(*docs.columns), F.lit(files_per_shard))
-    rows.repartition(shards * files_per_shard, "shard", spread).write.partitionBy("shard").parquet(path)
+def write_shards(
+    docs: DataFrame, path: str, shards: int, key: str = "doc_id", files_per_shard: int = 1, folder: str = "shard_folder"
+) -> None:
+    """The documents in one folder per shard, `folder=0` and so on; a shard's rows are dealt over
+    `files_per_shard` tasks. No column of the documents may have the name of `folder`."""
+    if folder in docs.columns:
+        raise ValueError(f"the documents have a column {folder!r}; name another folder")
+    spread = F.pmod(F.xxhash64(*[named(c) for c in docs.columns]), F.lit(files_per_shard))
+    rows = docs.withColumn(folder, shard_of(named(key), shards))
+    rows.repartition(shards * files_per_shard, named(folder), spread).write.partitionBy(folder).parquet(path)

@@ -113,8 +113,15 @@ def test_slots_are_gapless_over_many_intervals(spark):
 
 
 def test_written_shards_hold_every_row(spark, odd, tmp_path):
-    sharding.write_shards(odd, str(tmp_path / "shards"), 3, files_per_shard=2)
-    assert spark.read.parquet(str(tmp_path / "shards")).count() == odd.count()
+    path = str(tmp_path / "shards")
+    named = odd.withColumn("shard", F.lit("own"))
+    sharding.write_shards(named, path, 3, files_per_shard=2)
+    back = spark.read.parquet(path)
+    assert sorted(map(repr, back.select([F.col(f"`{c}`") for c in named.columns]).collect())) == sorted(map(repr, named.collect()))
+    placed = {(r.doc_id, r.shard_folder) for r in back.collect()}
+    assert placed == {(r.key, r.shard) for r in sharding.shards_by_key(odd, 3).collect()}
+    with pytest.raises(ValueError):
+        sharding.write_shards(named, path, 3, folder="shard")
 
 
 def brute_top(vectors, k):
@@ -138,11 +145,21 @@ def test_top_k_is_brute_force(spark, shard_rows, fan_in):
 
 
 def test_top_k_of_few_large_and_unequal_vectors(spark):
-    big = float(1 << 24)
+    big = float(1 << 23)
     rows = [(0, [big, 1.0]), (1, [big, big]), (2, [1.0, 2.0, 3.0]), (50, [0.0, 0.0]), (50, [0.0, 0.0])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = {tuple(r) for r in search.top_k(table, F.col("vec_id") % 50 == 0, 5).collect()}
-    scale = 256 * (1 << 24)
+    scale = 256 * (1 << 23)  # a product of 62 bits, which no double holds
     assert (0, 1, 1, scale * scale + 256 * scale) in got
     assert {r[:3] for r in got} == {(0, 1, 1), (0, 2, 50), (0, 3, 50), (50, 1, 0), (50, 2, 1)}
     assert search.top_k(table.limit(0), F.col("vec_id") % 50 == 0, 5).count() == 0
+
+
+def test_products_beyond_64_bits_are_the_nearest(spark):
+    big = float(1 << 24)
+    rows = [(0, [big, 1.0]), (1, [big, big]), (2, [-big, 0.0]), (3, [2.0 * big, big]), (4, [1e300, 0.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    table = table.select("*", F.lit(1).alias("a.b"), F.lit("t").alias("tile"), F.lit("v").alias("v"))
+    got = [tuple(r) for r in search.top_k(table, F.col("vec_id") == 0, 5).orderBy("rank").collect()]
+    most, least = (1 << 63) - 1, -(1 << 63)
+    assert got == [(0, 1, 1, most), (0, 2, 3, most), (0, 3, 4, most), (0, 4, 2, least)]
