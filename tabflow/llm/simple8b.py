@@ -24,7 +24,6 @@ from tabflow.llm.vocab import broadcast_spec, vocabulary
 # The published selectors as (values per word, bits per value). Selector 0 is the escape.
 COUNTS = np.array([1, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1], np.int64)
 WIDTHS = np.array([60, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60], np.uint64)
-STEPS = tuple(COUNTS.tolist())
 ESCAPE, WIDEST = 0, 15
 NARROWEST = np.array([1 + int(np.searchsorted(WIDTHS[1:], b)) for b in range(61)], np.uint8)  # by bit length
 RUN = 16_384
@@ -61,11 +60,12 @@ def _encode_run(values: np.ndarray, exceptions: list[int]) -> np.ndarray:
             break
         choice -= fits
     choice[escaped] = ESCAPE
-    chosen, starts, at = choice.tobytes(), [], 0
-    while at < n:
-        starts.append(at)
-        at += STEPS[chosen[at]]
-    first = np.array(starts, np.int64)
+    # The first value of every word: those of the first 2^k words, moved on by 2^k words, are the next 2^k.
+    first, ahead = np.zeros(min(n, 1), np.int64), np.minimum(np.arange(n) + COUNTS[choice], n)
+    ahead = np.append(ahead, n)
+    while len(more := ahead[first]) and more[0] < n:
+        first = np.concatenate([first, more[more < n]])
+        ahead = ahead[ahead]
     selectors = choice[first]
     words = selectors.astype(np.uint64) << DATA_BITS
     padded_values = np.concatenate([values, np.zeros(int(COUNTS.max()), np.uint64)])

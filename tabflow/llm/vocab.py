@@ -6,6 +6,7 @@ size is that of the vocabulary file, whatever the corpus.
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Callable, Iterable
 from pathlib import Path
@@ -36,6 +37,24 @@ def vocabulary(spec: Broadcast) -> "Vocabulary":
     return _loaded[key]
 
 
+def _kinds(spec: dict) -> tuple[bool, bool]:
+    """Whether a tokenizer cuts texts as `encode_words` relies on, and as `encode_spaced` does."""
+    steps = (spec.get("normalizer") or {}).get("normalizers") or []
+    first, *_ = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [spec.get("pre_tokenizer") or {}]
+    merges = spec["model"].get("type", "BPE") == "BPE" and not spec["model"].get("dropout")
+    by_words = (
+        [s["type"] for s in steps] == ["NFC", "Replace", "Lowercase"]
+        and steps[1]["pattern"] == {"Regex": r"\s+"}
+        and (first.get("type"), first.get("behavior"), first.get("invert")) == ("Split", "Removed", True)
+        and r"[^\s\p{L}\p{N}]+" in first["pattern"].get("Regex", "")
+    )
+    by_bytes = (
+        spec.get("normalizer") is None
+        and (first.get("type"), first.get("use_regex"), first.get("add_prefix_space")) == ("ByteLevel", True, False)
+    )
+    return merges and by_words, merges and by_bytes
+
+
 class Recent[K]:
     """Ids of the words met lately: full, the newer half becomes the older and the older one goes."""
 
@@ -72,6 +91,7 @@ class Vocabulary:
         self.names = [n for n, _ in names] if self.tokenizer.decoder is None and dense else None
         self.blank_first = np.zeros(names[-1][1] + 1, bool)
         self.blank_first[[i for n, i in names if n.startswith("\u0120")]] = True  # the byte-level sign of a blank
+        self.by_words, self.by_bytes = _kinds(json.loads(spec))
         self.spaced: Recent[str] = Recent(KEPT_SPACED)
         self.words: Recent[bytes] = Recent(KEPT_WORDS)
         self.marks: dict[str | bytes, bytes] = {}
@@ -102,13 +122,18 @@ class Vocabulary:
         return out
 
     def _ids_of_spaced(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece with a blank before it: just its first token starts with a blank."""
-        groups = [" " + " ".join(pieces[i : i + GROUP]) for i in range(0, len(pieces), GROUP)]
-        out = []
-        for done in self.tokenizer.encode_batch_fast(groups, add_special_tokens=False):
-            ids = np.array(done.ids, np.int64)
-            out += _parts(ids, np.flatnonzero(self.blank_first[ids]))
-        return out
+        """Ids of each piece. Those that start with a blank are encoded as one text: just their first
+        token starts with a blank."""
+        spaced = [p for p in pieces if p[0] == " "]
+        out = {}
+        for at in range(0, len(spaced), GROUP):
+            group = spaced[at : at + GROUP]
+            ids = np.array(self.tokenizer.encode("".join(group), add_special_tokens=False).ids, np.int64)
+            out.update(zip(group, _parts(ids, np.flatnonzero(self.blank_first[ids]))))
+        others = [p for p in pieces if p[0] != " "]
+        for piece, done in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
+            out[piece] = np.array(done.ids, "<u4").tobytes()
+        return [out[p] for p in pieces]
 
     def _learn[K: (str, bytes)](self, recent: Recent[K], missing: list[K], encode: Callable[[list[K]], list[bytes]], tail: K) -> None:
         """Ids of new words. A word that ends in a letter or digit and then marks is the word and the
@@ -130,35 +155,45 @@ class Vocabulary:
             self.marks.clear()
 
     def encode_words(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of texts under a tokenizer that lowers A-Z, drops white space and never reaches over it."""
+        """Ids of texts under a tokenizer that composes and lowers characters, drops white space and never
+        reaches over it. Other tokenizers are refused."""
+        if not self.by_words:
+            raise ValueError("not a tokenizer that composes, lowers, drops white space and cuts words at marks")
         recent = self.words
         recent.turn()
-        # Special tokens are found before lowering.
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        if missing := recent.missing(_absent(split, recent.new)):
+        # Special tokens are found, and combining marks are composed with the letters before them, ahead of
+        # lowering; texts with either keep their capitals.
+        split = [(t if b"<|" in t or b"\xcc" in t or b"\xcd" in t else t.lower()).split() for t in texts]
+        held, absent = _found(split, recent.new)
+        if missing := recent.missing(absent):
             self._learn(recent, missing, self._ids_of_words, MARKS.encode())
-        return [b"".join(map(recent.new.__getitem__, words)) for words in split]
+        held.update((p, recent.new[p]) for p in absent)
+        return [b"".join(map(held.__getitem__, words)) for words in split]
 
     def encode_spaced(self, texts: list[str]) -> list[bytes]:
-        """Ids of texts under a byte-level tokenizer, whose tokens hold their leading blank.
+        """Ids of texts under a byte-level tokenizer, whose tokens hold their leading blank. Other
+        tokenizers are refused.
 
-        A text is cut before each blank that stands between two visible characters: there the
-        tokenizer's own pattern always starts a new piece. Pieces between other blanks stay together.
+        A text is cut before each blank and around each line end that stand between two visible
+        characters: there the tokenizer's own pattern always starts a new piece. A text with other blanks
+        is cut at safe ones only.
         """
+        if not self.by_bytes:
+            raise ValueError("not a byte-level tokenizer that cuts by its own pattern")
         recent = self.spaced
         recent.turn()
-        split = [t.split(" ") for t in texts]
-        missing = recent.missing(_absent((parts[1:] for parts in split), recent.new))
-        odd = {p for p in missing if not p or p[0].isspace() or p[-1].isspace()}
+        split = [t.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00") if "\x00" not in t else [""] for t in texts]
+        held, absent = _found(split, recent.new)
+        missing = recent.missing(absent)
+        odd = {p for p in missing if p != "\n" and (not p.lstrip(" ") or p.lstrip(" ")[0].isspace() or p[-1].isspace())}
         if plain := [p for p in missing if p not in odd]:
             self._learn(recent, plain, self._ids_of_spaced, MARKS)
-        out = []
-        for first, *parts in split:
-            if not first or first[-1].isspace() or (odd and not odd.isdisjoint(parts)):
-                out.append(self._encode_grouped([first, *parts]))
-            else:
-                out.append(self.encode(first).astype("<u4").tobytes() + b"".join(map(recent.new.__getitem__, parts)))
-        return out
+        held.update((p, recent.new[p]) for p in absent.difference(odd))
+        return [
+            self._encode_grouped(text.split(" ")) if odd and not odd.isdisjoint(pieces)
+            else b"".join(map(held.__getitem__, pieces))
+            for text, pieces in zip(texts, split)
+        ]
 
     def _encode_grouped(self, parts: list[str]) -> bytes:
         """As `encode_spaced` for a text with blanks beside other white space: pieces by safe blanks."""
@@ -174,8 +209,11 @@ class Vocabulary:
         return b"".join(np.array(e.ids, "<u4").tobytes() for e in done)
 
 
-def _absent(split: Iterable[list], kept: dict) -> set:
-    return set().union(*split).difference(kept)
+def _found[K: (str, bytes)](split: list[list[K]], kept: dict[K, bytes]) -> tuple[dict[K, bytes], set[K]]:
+    """What is kept for the distinct pieces of some texts, as a small table of its own, and those without."""
+    distinct = set().union(*split)
+    held = {p: ids for p in distinct if (ids := kept.get(p)) is not None}
+    return held, distinct.difference(held)
 
 
 def _parts(ids: np.ndarray, starts: np.ndarray) -> list[bytes]:

@@ -1,4 +1,5 @@
 import hashlib
+import unicodedata
 import zlib
 from pathlib import Path
 
@@ -16,7 +17,9 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = ["a", "B", "zz", " ", "  ", "\n", "\t ", "'s", "'", "é", "é", "́", " ", "12", "!", ".", ",", "a.", "b,*"]
 PIECES += ["<|endoftext|>", "<|ENDOFTEXT|>", "<|", "\x1c", "語", "한", "ᅡ", "Ä", "​", "\x85", "ß"]
+PIECES += ["T\u0308", "W\u030a", "Y\u030a", "H\u0331", "J\u030c", "\u0323", "\u1dca", "\u212a", "\n\n", "B\nb", "\x00"]
 texts = st.lists(st.sampled_from(PIECES), max_size=40).map("".join)
+CAPITALS = [chr(c) for c in range(65, 91)]
 
 
 @pytest.fixture(scope="module")
@@ -36,6 +39,31 @@ def test_pieces_are_encoded_as_whole_texts(word, byte, text):
     assert byte.encode_spaced([text, "a b", text])[2] == byte.encode(text).astype("<u4").tobytes()
 
 
+def test_capitals_with_combining_marks(word):
+    """Every capital with every mark of the block, in a short text and behind a long one."""
+    long = "plain words " * 2000
+    for mark in range(0x300, 0x370):
+        text = " ".join(f"{c}{chr(mark)} x{c}{chr(mark)}y" for c in CAPITALS)
+        assert word.encode_words([text.encode()]) == [word.encode(text).astype("<u4").tobytes()]
+        if mark % 16 == 8:
+            short, whole = bpe.encode_texts(word, [text.encode(), (long + text).encode()])
+            assert np.array_equal(whole[len(whole) - len(short) :], short)
+
+
+def test_marks_that_compose_with_capitals_are_seen():
+    """Composed characters of A-Z and a mark: the mark's first byte is one of the two looked for."""
+    pairs = [d.split() for c in range(0x11_0000) if (d := unicodedata.decomposition(chr(c))) and d[0] != "<"]
+    marks = {p[1] for p in pairs if len(p) == 2 and 65 <= int(p[0], 16) <= 90}
+    assert len(marks) > 20 and all(chr(int(m, 16)).encode()[0] in (0xCC, 0xCD) for m in marks)
+
+
+def test_other_tokenizers_are_refused(word, byte):
+    with pytest.raises(ValueError):
+        byte.encode_words([b"a"])
+    with pytest.raises(ValueError):
+        word.encode_spaced(["a"])
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from(PIECES), max_size=400).map("".join), st.integers(20, 200))
 def test_tree_concatenation_is_exact(word, text, leaf):
