@@ -7,6 +7,7 @@ from tabflow.plans import (  # noqa: F401
     preparation,
     profiling,
     relational,
+    sketching,
     streams,
     training,
 )
