@@ -79,7 +79,27 @@ def performance(
 
     All metrics come from one table of cells, so predictions and truth are joined once.
     """
-    cells = persist_state(truth_cells(predictions, truth, keys, label, prediction, score), "cells")
+    return performance_of_cells(persist_state(truth_cells(predictions, truth, keys, label, prediction, score), "cells"))
+
+
+def bucketed_cells(
+    predictions: DataFrame, truth: DataFrame, keys: list[str], label: str, prediction: str, score: str
+) -> DataFrame:
+    """`truth_cells` of two tables stored in equal buckets of the keys: no exchange before the cells.
+
+    Truth is reduced to a row per key inside its buckets. A bucket is one task, so keys must identify a
+    prediction about once; a key with very many predictions belongs into `truth_cells`.
+    """
+    per_key = truth.groupBy(*keys).agg(
+        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
+    )
+    called = predictions.select(*keys, F.col(prediction).alias("prediction"), F.col(score).alias("score"))
+    joined = called.hint("merge").join(per_key, keys, "inner")
+    return joined.groupBy("prediction", "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+
+
+def performance_of_cells(cells: DataFrame) -> DataFrame:
+    """The report of `performance` from a written table of cells."""
     row = binary_from_counts(cells)
     names = ("accuracy", "f1_score", "precision", "recall", "num_samples")
     report = entries(row, [{"metric": F.lit(n), "value": F.col(n).cast("double")} for n in names])

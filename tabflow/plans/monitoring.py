@@ -19,6 +19,7 @@ from tabflow.plans.inputs import (
     scored_events,
 )
 from tabflow.plans.registry import query, rounded
+from tabflow.sources.buckets import write_buckets
 from tabflow.sources.shared import new_path, persist_state
 from tabflow.sources.tables import table
 
@@ -181,6 +182,29 @@ def monitor_performance(spark, root):
     return rounded(performance(spark, root), 9)
 
 
+BUCKETS = 8
+
+
+def stored_sides(spark, root):
+    """Predictions and truth written once in buckets of the key."""
+    sides = document_predictions(spark, root), document_truth(spark, root)
+    return [write_buckets(side, ["doc_id"], BUCKETS) for side in sides]
+
+
+@query("join_pred_truth_bucketed", f"WITH {PREDICTIONS_SQL} SELECT doc_id, round(score, 9) AS score, prediction, label FROM joined")
+def join_pred_truth_bucketed(spark, root):
+    """The monitoring join of stored buckets: no exchange on either side."""
+    predictions, truth = stored_sides(spark, root)
+    return rounded(monitor.with_truth(predictions.hint("merge"), truth, ["doc_id"]), 9)
+
+
+@query("monitor_performance_bucketed", f"WITH {PERFORMANCE_SQL} SELECT metric, round(value, 9) AS value FROM report")
+def monitor_performance_bucketed(spark, root):
+    predictions, truth = stored_sides(spark, root)
+    cells = monitor.bucketed_cells(predictions, truth, ["doc_id"], "label", "prediction", "score")
+    return rounded(monitor.performance_of_cells(persist_state(cells, "cells")), 9)
+
+
 @query(
     "monitor_issues",
     f"WITH {PERFORMANCE_SQL} SELECT metric, round(value, 9) AS value, threshold, round(degradation, 9) AS degradation, degraded FROM issues",

@@ -328,13 +328,21 @@ def scale_fit_train_apply_test(spark, root):
     return rounded(scaling.scale_minmax(parts, state))
 
 
-@query("scale_vector")
+def scaled_sql(column: str) -> str:
+    return f"round(({column} - min({column}) OVER ()) / (max({column}) OVER () - min({column}) OVER ()), 6)"
+
+
+@query(
+    "scale_vector",
+    "SELECT l_orderkey, l_linenumber, " + ", ".join(f"{scaled_sql(c)} AS f{i}" for i, c in enumerate(["l_quantity", "l_extendedprice", "l_tax"])) + " FROM lineitem",
+)
 def scale_vector(spark, root):
     """MLlib's scaler over an assembled vector."""
     lines = table(spark, root, "lineitem")
     vectors = scaling.assemble(lines, ["l_quantity", "l_extendedprice", "l_tax"], output="features_unscaled")
     scaled = scaling.vector_scaler().fit(vectors).transform(vectors)
-    return scaled.select("l_orderkey", "l_linenumber", vector_to_array("features").alias("features"))
+    parts = vector_to_array("features")
+    return rounded(scaled.select("l_orderkey", "l_linenumber", *[parts[i].alias(f"f{i}") for i in range(3)]))
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -451,9 +453,14 @@ def fn_cast(spark, root):
     )
 
 
-@query("fn_now")
+@query("fn_now", "SELECT o_orderkey, true AS of_this_run FROM orders")
 def fn_now(spark, root):
-    return table(spark, root, "orders").select("o_orderkey", F.current_timestamp().alias("prediction_timestamp"))
+    """Each row's scoring time: the time of the run, the same for all rows."""
+    before = F.lit(datetime.now(timezone.utc)).cast("timestamp")
+    stamped = table(spark, root, "orders").select("o_orderkey", F.current_timestamp().alias("prediction_timestamp"))
+    one = stamped.agg((F.min("prediction_timestamp") == F.max("prediction_timestamp")).alias("one"))
+    recent = F.col("prediction_timestamp").between(before - F.expr("INTERVAL 1 MINUTE"), before + F.expr("INTERVAL 1 HOUR"))
+    return stamped.select("o_orderkey", F.coalesce(recent & one.scalar(), F.lit(False)).alias("of_this_run"))
 
 
 @query(

@@ -13,6 +13,7 @@ from tabflow.plans.registry import query, rounded
 from tabflow.sources.shared import new_path, persist_state
 from tabflow.sources.tables import table
 from tabflow.streaming import scoring as streaming
+from tabflow.streaming import stateful
 
 EVENT_SCHEMA = T.StructType(
     [
@@ -171,3 +172,74 @@ def stream_metrics(spark, root):
     streaming.drain(query_)
     latest = streaming.latest_windows(spark.read.parquet(path))
     return rounded(latest.withColumn("day", F.to_date("window_start")).drop("window_start"))
+
+
+FAR = "2030-01-01 00:00:00"
+
+
+def truth_rows(events: DataFrame) -> DataFrame:
+    """What becomes known of an event: two of three, up to 29 hours after it, on another day's file."""
+    known_at = F.col("ts") + F.make_dt_interval(hours=(F.col("event_id") % 30).cast("int"))
+    rows = events.filter(F.col("event_id") % 3 != 0)
+    return rows.select("event_id", known_at.alias("known_at"), (F.col("value") > 60).cast("int").alias("label"))
+
+
+@query(
+    "stream_monitor_join",
+    f"""WITH {EVENTS_SQL} SELECT event_id, prediction,
+CASE WHEN event_id % 3 <> 0 AND event_id % 30 <= 24 THEN CAST(value > 60 AS INTEGER) END AS label FROM scored_events""",
+)
+def stream_monitor_join(spark, root):
+    """Predictions and their truth as two streams: truth that is known within a day meets its prediction,
+    predictions without come out when their time has passed. The query is stopped and resumed twice; the
+    lateness spans the month, as the files mix all days."""
+    paths = {name: new_path(spark, name) for name in ("events", "truth", "sink", "checkpoint")}
+    early, late = event_halves(spark, root)
+    closing = spark.range(1).select(F.lit(-1).cast("long").alias("event_id"), F.lit(FAR).cast("timestamp_ntz").alias("ts"), F.lit(0.0).alias("value"))
+    closing = closing.select("event_id", "ts", F.lit(0).cast("long").alias("user_id"), F.lit("").alias("event_type"), "value")
+    truth_schema = "event_id long, known_at timestamp, label int"
+    micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    # Truth of the late half comes first, that of the early half with the late predictions.
+    for predicted, known in ((early, late), (late, early), (closing, None)):
+        event_files(predicted, paths["events"], "append")
+        known = truth_rows(known) if known is not None else closing.select("event_id", F.col("ts").alias("known_at"), F.lit(0).alias("label"))
+        known.write.mode("append").option("timestampNTZFormat", micros).json(paths["truth"])
+        stream = scored_events(streaming.json_stream(spark, paths["events"], EVENT_SCHEMA)).select("event_id", "ts", "prediction")
+        told = spark.readStream.schema(truth_schema).json(paths["truth"])
+        joined = stateful.with_late_truth(stream, told, "event_id", "ts", "known_at", "24 hours", "60 days")
+        rows = joined.select("event_id", "prediction", "label")
+        streaming.drain(streaming.write_stream(rows, paths["sink"], paths["checkpoint"], trigger=ONCE))
+    found = spark.read.schema("event_id long, prediction double, label int").parquet(paths["sink"])
+    return found.filter(F.col("event_id") >= 0)
+
+
+@query("stream_replayed_files", SCORED_OUT)
+def stream_replayed_files(spark, root):
+    """All files come a second time under other names, in a later run: every event is there once."""
+    source, sink, checkpoint = (new_path(spark, name) for name in ("events", "sink", "checkpoint"))
+    for _ in range(2):
+        event_files(table(spark, root, "events"), source, "append")
+        events = stateful.once_each(streaming.json_stream(spark, source, EVENT_SCHEMA), ["event_id"], "ts", "60 days")
+        stream = scored_events(events).select("event_id", "prediction", "probability")
+        streaming.drain(streaming.write_stream(stream, sink, checkpoint, trigger=ONCE))
+    return rounded(spark.read.schema("event_id long, prediction double, probability double").parquet(sink))
+
+
+@query(
+    "stream_key_moments",
+    """SELECT CAST(user_id AS VARCHAR) AS key, count(*) AS n, round(avg(value), 9) AS mean, round(stddev_samp(value), 9) AS std,
+round(max_by(value, struct_pack(ts, value)), 9) AS last FROM events GROUP BY user_id""",
+)
+def stream_key_moments(spark, root):
+    """Moments and latest value per user kept in the state store over several micro-batches and a restart."""
+    early, late = event_halves(spark, root)
+    source, path, checkpoint = (new_path(spark, name) for name in ("events", "batches", "checkpoint"))
+    with stateful.rocksdb_state(spark):
+        for half in (early, late):
+            event_files(half, source, "append", per_file=BATCH_ROWS)
+            events = streaming.json_stream(spark, source, EVENT_SCHEMA, 4)
+            moments = stateful.key_moments(events, "user_id", "ts", "value")
+            streaming.drain(streaming.write_batches(moments, lambda b: b, path, checkpoint, "parquet", "update", ONCE))
+    schema = f"{stateful.MOMENTS}, batch_id long"
+    latest = stateful.latest_of_keys(spark.read.schema(schema).parquet(path))
+    return rounded(latest.select("key", "n", "mean", "std", "last"), 9)
