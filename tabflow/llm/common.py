@@ -47,6 +47,11 @@ def lower_words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+def release() -> None:
+    """Arrow gives back what it keeps free, such as that of the group or batch before."""
+    pa.default_memory_pool().release_unused()
+
+
 def chunks(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
     """Slices of a batch, so that what is built per slice stays small beside very long texts.
 
@@ -54,4 +59,4 @@ def chunks(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
     """
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
-    pa.default_memory_pool().release_unused()
+    release()

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tabflow.llm.common import chunks, lower_words, named, raw_texts
+from tabflow.llm.common import chunks, lower_words, named, raw_texts, release
 from tabflow.llm.sigtree import Links, Tree, link
 from tabflow.sources.shared import persist_state
 
@@ -32,6 +32,7 @@ SPARE_BITS = 12  # a shingle passes for one found elsewhere by chance once in 2
 BLOCK_SHINGLES = 500_000  # shingles of the sets in one row; a larger set is a row of its own
 BUCKET_SHINGLES = 1_000_000  # shingles that are counted in one group
 PART_SHINGLES = 2_000_000  # shingles of the sets that one tree holds; a larger set is a part of its own
+BITMAP_SHINGLES = 64  # of so many shingles a set's bitmap has the size, and counts as so many in a part
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 KEPT = np.uint64((1 << KEPT_BITS) - 1)
 
@@ -162,6 +163,7 @@ def _bits(packed: bytes, n: int) -> np.ndarray:
 
 def _shared(group: pa.Table) -> pa.Table:
     """Of one bucket: which hashes of each block are found in another block or twice in their own."""
+    release()
     sizes = group.column("n").to_pylist()
     hashes = np.concatenate([unpack(x, n) for x, n in zip(group.column("hashes").to_pylist(), sizes)])
     shared = np.concatenate([_bits(x, n) for x, n in zip(group.column("twice").to_pylist(), sizes)])
@@ -185,6 +187,7 @@ def _linkable(percent: int, cut: int):
     """
 
     def choose(block: pa.Table, found: pa.Table) -> pa.Table:
+        release()
         names = ["node", "n", "hashes", "prefix"]
         types = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
         rows: list[list] = [[], [], [], []]
@@ -287,6 +290,7 @@ def _edges(nodes: np.ndarray, links: Links) -> pa.Table:
 def _within(percent: int):
     def joined(group: pa.Table) -> pa.Table:
         """Links inside each family of the group: a tree against itself."""
+        release()
         found = []
         family = group.column("family").to_numpy()
         order = np.argsort(family, kind="stable")
@@ -304,6 +308,7 @@ def _within(percent: int):
 def _between(percent: int):
     def joined(group: pa.Table) -> pa.Table:
         """Links between two parts of a family, starting from what is connected already."""
+        release()
         side = group.column("side").to_numpy()
         order = np.argsort(side, kind="stable")
         group, split = group.take(pa.array(order)), int((side == 0).sum())
@@ -345,7 +350,7 @@ def link_members(held: DataFrame, percent: int = PERCENT, part_shingles: int = P
     its trees are joined with themselves, with part 0, and then pair by pair where anything is left
     unconnected, so near copies, however many, cost a multiple of their number and not its square.
     """
-    totals = held.groupBy("family").agg(F.sum("n").alias("total"))
+    totals = held.groupBy("family").agg(F.sum(F.col("n") + BITMAP_SHINGLES).alias("total"))
     totals = persist_state(totals.withColumn("parts", F.ceil(F.col("total") / part_shingles)), "families")
     small, most = totals.filter("parts <= 1").agg(F.sum("total")).first()[0] or 0, totals.agg(F.max("parts")).first()[0] or 0
     bundles = -(-small // part_shingles) or 1

@@ -48,10 +48,12 @@ class Tree:
         sizes = np.array([len(s) for s in sets], np.int64)
         least = np.array([s[0] if len(s) else 0 for s in sets], np.uint64)
         self.order = np.lexsort((sizes, least, np.floor(np.log(np.maximum(sizes, 1)) / np.log(4 / 3))))
-        bits = np.zeros((len(sets), BITS), bool)
+        maps, bits = np.zeros((len(sets), WORDS), np.uint64), np.zeros(BITS, bool)
         for leaf, i in enumerate(self.order):
-            bits[leaf, (sets[i] % np.uint64(BITS)).astype(np.int64)] = True
-        maps = np.packbits(bits, axis=1).view(np.uint64)
+            at = (sets[i] % np.uint64(BITS)).astype(np.int64)
+            bits[at] = True
+            maps[leaf] = np.packbits(bits).view(np.uint64)
+            bits[at] = False
         sizes = sizes[self.order]
         shared = sizes - np.bitwise_count(maps).sum(1).astype(np.int64)
         self.levels = [(maps, sizes, sizes, shared)]
