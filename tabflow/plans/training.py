@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabflow.operators import evaluate, models, scoring, split
 from tabflow.plans.inputs import WITH_CUSTOMERS
-from tabflow.plans.registry import query
+from tabflow.plans.registry import query, rounded
 from tabflow.plans.streams import drained
 from tabflow.sources.shared import new_path, persist_state
 from tabflow.sources.tables import customers
@@ -288,3 +288,68 @@ def stream_score_model(spark, root):
     scored = drained(scoring.score(stream, model, stamp=False).select("c_custkey", "prediction_label", "churn_probability"))
     label = F.when(F.col("churn_probability") > 0.5, "Churn").otherwise("Retained")
     return scored.select("c_custkey", (F.col("prediction_label") == label).alias("label_fits"))
+
+
+# A target that the columns give exactly, with few values on each side of a split: trees must find it.
+PLANTED_NATION, PLANTED_SEGMENT = 10, "BUILDING"
+PLANTED_NUMERIC = [*NUMERIC, "c_nationkey"]
+PLANTED_SQL = f"CASE WHEN c_nationkey < {PLANTED_NATION} AND c_mktsegment = '{PLANTED_SEGMENT}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END"
+PLANTED_KINDS = {"decision_tree": {}, "gbt": {"maxIter": 3}}
+
+
+def planted(spark, root):
+    """Customers whose label follows from nation and segment, and models fitted on all of them."""
+    rule = (F.col("c_nationkey") < PLANTED_NATION) & (F.col("c_mktsegment") == PLANTED_SEGMENT)
+    rows = whole(spark, root).withColumn("label", rule.cast("double"))
+    return rows, {k: models.fit(rows, k, PLANTED_NUMERIC, ["c_mktsegment"], **p) for k, p in PLANTED_KINDS.items()}
+
+
+def of_planted(select: str) -> str:
+    kinds = ", ".join(f"('{k}')" for k in PLANTED_KINDS)
+    return WITH_CUSTOMERS + f", planted AS (SELECT *, {PLANTED_SQL} AS label FROM cust) SELECT k AS model, {select} FROM planted, (VALUES {kinds}) m(k)"
+
+
+@query("fit_planted", of_planted("c_custkey, label, label AS prediction"))
+def fit_planted(spark, root):
+    """What the models say of every customer: the planted label."""
+    rows, fitted = planted(spark, root)
+    parts = [models.probabilities(m, rows).select(F.lit(k).alias("model"), "c_custkey", "label", "prediction") for k, m in fitted.items()]
+    return parts[0].unionByName(parts[1])
+
+
+@query("eval_planted", of_planted("unnest(['accuracy', 'precision', 'recall', 'f1_score', 'auc_roc', 'auc_pr']) AS metric, 1.0::DOUBLE AS value") + " GROUP BY k")
+def eval_planted(spark, root):
+    """All metrics of models that separate the classes."""
+    rows, fitted = planted(spark, root)
+    parts = [models.fitted_metrics(m, rows, k) for k, m in fitted.items()]
+    return rounded(parts[0].unionByName(parts[1]), 9)
+
+
+@query("confusion_planted", of_planted("label, label AS prediction, count(*) AS n") + " GROUP BY k, label")
+def confusion_planted(spark, root):
+    """The cells of the confusion matrix: the class counts on the diagonal and nothing beside it."""
+    rows, fitted = planted(spark, root)
+    parts = [models.probabilities(m, rows).groupBy("label", "prediction").agg(F.count("*").alias("n")).withColumn("model", F.lit(k)) for k, m in fitted.items()]
+    return parts[0].unionByName(parts[1]).select("model", "label", "prediction", "n")
+
+
+@query(
+    "importance_planted",
+    f"SELECT f AS feature, 0.0::DOUBLE AS importance FROM (VALUES {', '.join(f'({chr(39)}{c}{chr(39)})' for c in NUMERIC)}) v(f) UNION ALL SELECT 'all', 1.0",
+)
+def importance_planted(spark, root):
+    """Columns that the planted label does not depend on have no importance; all together have one."""
+    rows, fitted = planted(spark, root)
+    found = models.importances(fitted["decision_tree"], rows)
+    total = found.agg(F.lit("all").alias("feature"), F.sum("importance").alias("importance"))
+    return rounded(found.filter(F.col("feature").isin(NUMERIC)).unionByName(total), 9)
+
+
+@query("score_planted", WITH_CUSTOMERS + f"SELECT c_custkey, CASE WHEN {PLANTED_SQL} = 1 THEN 'Churn' ELSE 'Retained' END AS prediction_label FROM cust")
+def score_planted(spark, root):
+    """Batch scoring by a stored model: the label text of every customer."""
+    rows, fitted = planted(spark, root)
+    path = new_path(spark, "model")
+    models.save_model(fitted["decision_tree"], path)
+    scored = scoring.score(rows.drop("label"), models.load_model(path))
+    return scored.select("c_custkey", "prediction_label")
