@@ -114,10 +114,6 @@ def fit_one_hot(df: DataFrame, columns: list[str], bound: int = 1000) -> dict[st
     return {c: [n for n in names if n != PLACEHOLDER] for c, names in fitted.items()}
 
 
-def index_stage(columns: list[str]) -> StringIndexer:
-    return StringIndexer(inputCols=columns, outputCols=[f"{c}_index" for c in columns], handleInvalid="keep")
-
-
 def one_hot_stage(columns: list[str]) -> OneHotEncoder:
     return OneHotEncoder(
         inputCols=[f"{c}_index" for c in columns], outputCols=[f"{c}_encoded" for c in columns], handleInvalid="keep"

@@ -6,25 +6,30 @@ import itertools
 import math
 import random
 import time
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
+    GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import Imputer, VectorAssembler
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from tabflow.functions.expressions import vector_get
 from tabflow.functions.state import entries
-from tabflow.operators.encoding import index_stage, one_hot_stage
+from tabflow.operators.encoding import one_hot_stage
 from tabflow.operators.evaluate import evaluate
+from tabflow.operators.nominal import TableIndexer, TableIndexerModel
 from tabflow.operators.scaling import vector_scaler
+from tabflow.operators.split import assign_folds
 
 # Default parameters of each classifier.
 DEFAULTS = {
@@ -99,13 +104,14 @@ def stages(
     """Index, one-hot, assemble, optionally scale, classify: one fitted object for train and score.
 
     `invalid` is the rule for rows with missing numbers, in fitting and scoring alike: "keep" fills them
-    with the training mean, "skip" leaves the rows out, "error" fails. An unknown category is one of its own.
+    with the training mean, "skip" leaves the rows out, "error" fails. Categories are a dictionary table; an
+    unknown one is one of its own, and so is NULL where training rows have it.
     """
     if invalid not in INVALID:
         raise ValueError(f"unknown rule for incomplete rows {invalid!r}; known: {INVALID}")
     filled = [f"{c}_filled" for c in numeric] if invalid == "keep" else numeric
     fill = [Imputer(inputCols=numeric, outputCols=filled, strategy="mean")] if invalid == "keep" and numeric else []
-    encode = [index_stage(nominal), one_hot_stage(nominal)] if nominal else []
+    encode = [TableIndexer(nominal), one_hot_stage(nominal)] if nominal else []
     inputs = [*filled, *[f"{c}_encoded" for c in nominal]]
     assembled = "features_unscaled" if scale else "features"
     rule = "skip" if invalid == "skip" else "error"
@@ -188,6 +194,79 @@ def trial_points(space: dict[str, list], trials: int | None = None, seed: int =
     return random.Random(seed).sample(points, trials)
 
 
+# What an ensemble of trees is grown by: the first trees of a larger one are a smaller one.
+GROWN = {"gbt": "maxIter", "random_forest": "numTrees"}
+
+
+@dataclass(frozen=True)
+class Validated:
+    """Scores of the tried points, averaged over the folds, and the best point fitted on all rows."""
+
+    points: list[dict]
+    avgMetrics: list[float]
+    best: dict
+    bestModel: PipelineModel
+
+
+def grown_groups(name: str, points: list[dict], metric: str, **params) -> list[dict[int, int]]:
+    """Places of the points that one fit serves, with their numbers of trees (0: a fit of its own).
+
+    Points of an ensemble that differ in the number of trees alone share a fit. A forest of one tree
+    draws neither rows nor columns as larger ones do, and logLoss needs more than a prefix's sums.
+    """
+    kind = kind_of(name)
+    if kind not in GROWN or metric == "logLoss":
+        return [{place: 0} for place in range(len(points))]
+    size, groups = GROWN[kind], {}
+    for place, point in enumerate(points):
+        trees = {**DEFAULTS[kind], **params, **point}[size]
+        rest = tuple(sorted((k, v) for k, v in point.items() if k != size))
+        groups.setdefault((rest, kind == "random_forest" and trees == 1), {})[place] = trees
+    return list(groups.values())
+
+
+def grown_scores(model, df: DataFrame, sizes: list[int]) -> DataFrame:
+    """(label, raw_<n>, prediction_<n>) of the ensemble's first n trees, for every n, in one pass over the rows.
+
+    Boosting is sequential, so its first n rounds are the fit with n rounds. The first n trees of a forest
+    are a forest of n trees, with other random draws than a fit of its own would make.
+    """
+    boosted, weights, trees = isinstance(model, GBTClassificationModel), model.treeWeights, model.trees
+    held = df.select("label", "features")
+    for i, tree in enumerate(trees):
+        if not boosted:
+            tree.setRawPredictionCol("").setProbabilityCol(f"tree_{i}")
+        held = tree.setPredictionCol(f"tree_{i}" if boosted else "").transform(held)
+    out, for_one, for_none, done = [F.col("label")], F.lit(0.0), F.lit(0.0), 0
+    for n in sorted(set(sizes)):
+        for i in range(done, min(n, len(trees))):
+            share = F.col(f"tree_{i}")
+            for_one = for_one + (share * weights[i] if boosted else vector_get(share, 1))
+            for_none = F.lit(0.0) if boosted else for_none + vector_get(share, 0)
+        done = n
+        out += [for_one.alias(f"raw_{n}"), (for_one > for_none).cast("double").alias(f"prediction_{n}")]
+    return held.select(*out)
+
+
+def _group_scores(estimator: Estimator, name: str, points: list[dict], group: dict[int, int], metric: str, inside: DataFrame, outside: DataFrame):
+    """Scores of one group of points on a fold, by place."""
+    judge, sizes = evaluator(metric), list(group.values())
+    largest = max(group, key=group.get)
+    model = estimator.copy({estimator.getParam(k): v for k, v in points[largest].items()}).fit(inside)
+    if len(group) == 1:
+        return {largest: judge.evaluate(model.transform(outside))}
+    scored = grown_scores(model, outside, sizes).cache()
+    try:
+        return {
+            place: judge.evaluate(
+                scored.select("label", F.col(f"raw_{n}").alias("rawPrediction"), F.col(f"prediction_{n}").alias("prediction"))
+            )
+            for place, n in group.items()
+        }
+    finally:
+        scored.unpersist()
+
+
 def cross_validate(
     train: DataFrame,
     name: str,
@@ -199,28 +278,38 @@ def cross_validate(
     fold_column: str | None = None,
     parallelism: int = 4,
     **params,
-):
-    """Cross-validate parameter points (default: the classifier's grid) over cached input.
+) -> Validated:
+    """Cross-validate parameter points (default: the classifier's grid).
 
-    With a fold column the folds do not depend on partitioning. Returns the fitted
-    validator and the points.
+    The stages before the classifier are fitted once per fold, and their output is cached for all points.
+    An ensemble is grown once per fold for all points that differ in its number of trees. Without a fold
+    column the folds follow from the rows' values, so they do not depend on partitioning.
     """
     estimator = classifier(name, **params)
     points = points if points is not None else trial_points(GRIDS[kind_of(name)])
-    maps = [{estimator.getParam(k): v for k, v in p.items()} for p in points]
-    data = prepared(train, numeric, nominal, [fold_column] if fold_column else [])
-    validator = CrossValidator(
-        estimator=stages(numeric, nominal, estimator),
-        estimatorParamMaps=maps,
-        evaluator=evaluator(metric),
-        numFolds=folds,
-        seed=42,
-        parallelism=parallelism,
-        collectSubModels=False,
-        **({"foldCol": fold_column} if fold_column else {}),
-    )
+    groups = grown_groups(name, points, metric, **params)
+    if fold_column is None:
+        fold_column = "fold_of_row"
+        train = assign_folds(train, [*numeric, *nominal, "label"], folds, output=fold_column)
+    data = prepared(train, numeric, nominal, [fold_column])
+    totals = [0.0] * len(points)
     try:
-        return validator.fit(data), points
+        with ThreadPoolExecutor(max(1, min(parallelism, len(groups)))) as pool:
+            for fold in range(folds):
+                held = F.col(fold_column) == fold
+                chain = Pipeline(stages=stages(numeric, nominal, estimator).getStages()[:-1]).fit(data.filter(~held))
+                inside, outside = (chain.transform(data.filter(c)).select("label", "features").cache() for c in (~held, held))
+                try:
+                    work = inheritable_thread_target(train.sparkSession)(_group_scores)
+                    for scores in pool.map(lambda g: work(estimator, name, points, g, metric, inside, outside), groups):
+                        for place, score in scores.items():
+                            totals[place] += score / folds
+                finally:
+                    inside.unpersist()
+                    outside.unpersist()
+        pick = max if evaluator(metric).isLargerBetter() else min
+        best = points[pick(range(len(points)), key=totals.__getitem__)]
+        return Validated(points, totals, best, stages(numeric, nominal, classifier(name, **{**params, **best})).fit(data))
     finally:
         data.unpersist()
 
@@ -246,7 +335,7 @@ def tune(
 ):
     """Trial table of a cross-validated search over a whole space, or over a seeded sample of `trials` points."""
     points = trial_points(space, trials)
-    fitted, points = cross_validate(train, name, numeric, nominal, points, metric, **options)
+    fitted = cross_validate(train, name, numeric, nominal, points, metric, **options)
     return trial_table(train.sparkSession, name, points, fitted.avgMetrics, metric, space_size(space))
 
 
@@ -285,8 +374,13 @@ def importances(model: PipelineModel, df: DataFrame) -> DataFrame:
     last = model.stages[-1]
     names = feature_names(model.transform(df))
     weights = last.featureImportances if hasattr(last, "featureImportances") else last.coefficients
-    rows = [(n, abs(float(w))) for n, w in zip(names, weights.toArray())]
-    return df.sparkSession.createDataFrame(rows, "feature string, importance double")
+    rows = [(i, n, abs(float(w))) for i, (n, w) in enumerate(zip(names, weights.toArray()))]
+    table = df.sparkSession.createDataFrame(rows, "place int, feature string, importance double")
+    for stage in model.stages:
+        if isinstance(stage, TableIndexerModel):  # positions of one-hot parts carry codes
+            table = table.join(stage.names("_encoded"), F.col("feature") == F.col("position"), "left")
+            table = table.select("place", F.coalesce("name", "feature").alias("feature"), "importance")
+    return table.orderBy("place").drop("place")
 
 
 def top_importances(table: DataFrame, k: int = 10) -> DataFrame:

@@ -127,22 +127,25 @@ def judged(trials):
     return trials.select("algorithm", "trial", "tried", "of_points", F.col("score").between(0, 1).alias("in_bounds"))
 
 
-@query("tune_cv_grid", trials_sql("decision_tree", 4, 4))
-def tune_cv_grid(spark, root):
-    """Cross-validation over the default grid, five folds by key."""
-    train, _ = parts(spark, root)
-    folded = split.assign_folds(train, ["c_custkey"], FOLDS)
-    fit, points = models.cross_validate(folded, "decision_tree", NUMERIC, NOMINAL, folds=FOLDS, fold_column="fold")
-    return judged(models.trial_table(spark, "decision_tree", points, fit.avgMetrics, "areaUnderROC"))
+def grid_of(kind):
+    def run(spark, root):
+        train, _ = parts(spark, root)
+        folded = split.assign_folds(train, ["c_custkey"], FOLDS)
+        tried = models.cross_validate(folded, kind, NUMERIC, NOMINAL, folds=FOLDS, fold_column="fold")
+        return judged(models.trial_table(spark, kind, tried.points, tried.avgMetrics, "areaUnderROC"))
 
+    run.__doc__ = f"Cross-validation over the default grid of the {kind.replace('_', ' ')}, five folds by key."
+    return run
 
-@query("tune_cv_grid_regression", trials_sql("logistic_regression", 9, 9))
-def tune_cv_grid_regression(spark, root):
-    """Cross-validation over the default grid of the regression, five folds by key."""
-    train, _ = parts(spark, root)
-    folded = split.assign_folds(train, ["c_custkey"], FOLDS)
-    fit, points = models.cross_validate(folded, "logistic", NUMERIC, NOMINAL, folds=FOLDS, fold_column="fold")
-    return judged(models.trial_table(spark, "logistic_regression", points, fit.avgMetrics, "areaUnderROC"))
+
+for kind, key in {
+    "decision_tree": "tune_cv_grid",
+    "logistic_regression": "tune_cv_grid_regression",
+    "random_forest": "tune_cv_grid_forest",
+    "gbt": "tune_cv_grid_boosting",
+}.items():
+    size = models.space_size(models.GRIDS[kind])
+    query(key, trials_sql(kind, size, size))(grid_of(kind))
 
 
 @query("tune_grid_trials", trials_sql("logistic_regression", 36, 36))

@@ -119,3 +119,44 @@ def test_early_stopping_and_fit_report(data):
     assert facts["training_rows"] == 600 and facts["input_columns"] == 3 and facts["training_seconds"] > 0
     with pytest.raises(ValueError, match="stop early"):
         models.fit(marked, "decision_tree", NUMERIC, NOMINAL, validation="held")
+
+
+def test_boosting_grid_scores_are_those_of_separate_fits(data):
+    folded = split.assign_folds(data, ["id"], 2)
+    points = models.trial_points({"maxIter": [1, 3, 6], "maxDepth": [2, 3]})
+    for metric in ("areaUnderROC", "f1"):
+        shared = models.cross_validate(folded, "gbt", NUMERIC, NOMINAL, points, metric, 2, "fold")
+        for point, score in list(zip(points, shared.avgMetrics))[:: 2 if metric == "f1" else 1]:
+            alone = models.cross_validate(folded, "gbt", NUMERIC, NOMINAL, [point], metric, 2, "fold")
+            assert score == pytest.approx(alone.avgMetrics[0], abs=1e-12), point
+    assert shared.bestModel.stages[-1].getNumTrees == shared.best["maxIter"]
+
+
+def test_forest_grid_scores_are_those_of_its_first_trees(data):
+    folded = split.assign_folds(data, ["id"], 2)
+    points = models.trial_points({"numTrees": [1, 3, 9], "maxDepth": [3]})
+    assert models.grown_groups("random_forest", points, "f1") == [{0: 1}, {1: 3, 2: 9}]
+    shared = models.cross_validate(folded, "random_forest", NUMERIC, NOMINAL, points, folds=2, fold_column="fold")
+    for place in (0, 2):  # a tree alone, and the forest that was grown
+        alone = models.cross_validate(folded, "random_forest", NUMERIC, NOMINAL, [points[place]], folds=2, fold_column="fold")
+        assert shared.avgMetrics[place] == pytest.approx(alone.avgMetrics[0], abs=1e-12)
+    # whole forests of every size agree with the votes of their trees, row by row
+    model = models.fit(data, "random_forest", NUMERIC, NOMINAL, numTrees=9, maxDepth=3)
+    ready = model.transform(data)
+    whole = ready.select("label", models.vector_get(F.col("rawPrediction"), 1).alias("raw"), "prediction")
+    mine = models.grown_scores(model.stages[-1], ready, [9]).select("label", "raw_9", "prediction_9")
+    assert [tuple(r) for r in mine.collect()] == [tuple(r) for r in whole.collect()]
+    few = models.grown_scores(model.stages[-1], ready, [2]).collect()
+    votes = np.zeros((600, 2))
+    for tree in model.stages[-1].trees[:2]:
+        tree.setProbabilityCol("p")
+        votes += [r["p"].toArray() for r in tree.transform(ready.select("features")).collect()]
+    assert np.allclose([r["raw_2"] for r in few], votes[:, 1])
+    assert [r["prediction_2"] for r in few] == (votes[:, 1] > votes[:, 0]).astype(float).tolist()
+
+
+def test_logloss_and_folds_of_equal_rows(data):
+    points = [{"maxIter": 1, "maxDepth": 2}, {"maxIter": 4, "maxDepth": 2}]
+    assert models.grown_groups("gbt", points, "logLoss") == [{0: 0}, {1: 0}]
+    again = [models.cross_validate(d, "gbt", NUMERIC, NOMINAL, points, folds=2).avgMetrics for d in (data, data.repartition(7))]
+    assert again[0] == pytest.approx(again[1], abs=0.02)

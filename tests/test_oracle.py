@@ -12,7 +12,10 @@ def twin(smoke):
 
 
 # A hundred boosted trees, or all points of a search space: `check.py` compares these.
-SLOW = {"fit_gbt", "compare_models", "score_batch_saved", "tune_grid_trials", "tune_random"}
+SLOW = {
+    "fit_gbt", "compare_models", "score_batch_saved", "tune_grid_trials", "tune_random", "tune_cv_grid_forest",
+    "tune_cv_grid_boosting",
+}
 
 
 @pytest.mark.parametrize("name", [n for n, q in CATALOGUE.items() if q.sql and n not in SLOW])

@@ -6,6 +6,7 @@ from pyspark.ml.feature import Imputer, MinMaxScaler, StandardScaler, StringInde
 from pyspark.sql import functions as F
 
 from tabflow.operators import binning, encoding, missing, outliers, projection, scaling, split
+from tabflow.operators.nominal import TableIndexer
 from tabflow.plans import prepare
 from tabflow.sources.shared import new_path
 from tests.conftest import counted, planned, rows
@@ -341,6 +342,6 @@ def test_preparation_is_fitted_on_train_and_survives_saving(spark):
 
 def test_ml_pipeline_of_the_same_steps(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("a", 3.0)], "s string, x double")
-    stages = [encoding.index_stage(["s"]), encoding.one_hot_stage(["s"])]
+    stages = [TableIndexer(["s"]), encoding.one_hot_stage(["s"])]
     out = Pipeline(stages=stages).fit(df).transform(df)
     assert [r["s_encoded"].size for r in out.collect()] == [3, 3, 3]
