@@ -37,6 +37,7 @@ CENTRE_TOKENS = 32  # windows of fewer tokens are centres only where there are t
 SETTLED = 1e-5  # rounds end when what they raise, the log likelihood with the prior, grows by a smaller share
 END = b"\n"  # the end token's place in vocabularies; no word holds white space
 SMOOTHING = 0.5
+FLOOR = 1e-18  # least probability in a training round
 LEANING = 50.0  # counts added to each state's emissions, in the shares of the classes
 
 
@@ -155,37 +156,41 @@ def _active(sizes: np.ndarray) -> np.ndarray:
 
 
 def _recursed(model: Model, classes: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, float]:
-    """The counts of `expected_counts` and the natural log likelihood of the sequences."""
+    """The counts of `expected_counts` and the natural log likelihood of the sequences, in the model's precision.
+
+    Arrays are states x sequences, so every step runs along the sequences.
+    """
     states = len(model.start)
     starts, moves = np.zeros(states), np.zeros((states, states))
     emits = np.zeros((states, CLASSES))
+    emit, onward = np.ascontiguousarray(model.emit.T), np.ascontiguousarray(model.move.T)
     active = _active(sizes).tolist()
     alphas, seen, scaled, log = [], [], [], 0.0
     for t, n in enumerate(active):
         seen.append(classes[first[:n] + t])
-        before = alphas[-1][:n] @ model.move if t else np.broadcast_to(model.start, (n, states))
-        emitted = model.emit[seen[t]]
-        alpha = before * emitted
-        scale = alpha.sum(1, keepdims=True)
+        alpha = onward @ alphas[-1][:, :n] if t else np.repeat(model.start[:, None], n, axis=1)
+        emitted = emit.take(seen[t], axis=1)
+        alpha *= emitted
+        scale = alpha.sum(0)
         alpha /= scale
         emitted /= scale
         alphas.append(alpha)
         scaled.append(emitted)
         log += float(np.log(scale).sum())
-    beta = np.zeros((0, states))
+    beta = np.zeros((states, 0), emit.dtype)
     for t in range(len(active) - 1, -1, -1):
-        n, later = active[t], len(beta)
-        below = np.ones((n, states))
+        n, later = active[t], beta.shape[1]
+        below = np.ones((states, n), emit.dtype)
         if later:
             ahead = np.multiply(beta, scaled[t + 1], out=scaled[t + 1])
-            moves += alphas[t][:later].T @ ahead
-            below[:later] = ahead @ model.move.T
+            moves += alphas[t][:, :later] @ ahead.T
+            below[:, :later] = model.move @ ahead
         beta = below
         # Alphas become posteriors once the moves from them are counted.
         alphas[t] *= beta
     if active:
-        starts += alphas[0].sum(0)
-        weights, held = np.concatenate(alphas).T.copy(), np.concatenate(seen)
+        starts += alphas[0].sum(1)
+        weights, held = np.concatenate(alphas, axis=1), np.concatenate(seen)
         for k in range(states):
             emits[k] = np.bincount(held, weights=weights[k], minlength=CLASSES)
     return np.concatenate([starts, (moves * model.move).ravel(), emits.ravel()]), log
@@ -197,8 +202,13 @@ def expected_counts(model: Model, classes: np.ndarray, first: np.ndarray, sizes:
 
 
 def block_counts(model: Model, classes: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The counts of all sequences, some of them at a time, and behind them the log likelihood."""
+    """The counts of all sequences, some of them at a time, and behind them the log likelihood.
+
+    The recursions run in single precision, the sums over steps and sequences in double. Probabilities
+    below FLOOR count as FLOOR, so that weights and their inverses stay within single precision.
+    """
     total = np.zeros(len(model.start) * (1 + len(model.start) + CLASSES) + 1)
+    model = Model(*(np.maximum(p, FLOOR).astype(np.float32) for p in (model.start, model.move, model.emit)))
     for at in range(0, len(first), SIDE_BY_SIDE):
         part = slice(at, at + SIDE_BY_SIDE)
         found, log = _recursed(model, classes, first[part], sizes[part])
