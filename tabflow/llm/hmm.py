@@ -29,7 +29,7 @@ STATES = 8
 CLASSES = 4096
 SUFFIX = 3  # bytes of a word's end that decide its class
 BLOCK_BYTES = 4 << 20  # text of a block; a longer text is a block of its own
-SIDE_BY_SIDE = 1024  # training sequences that are gone through together
+SIDE_BY_SIDE = 2048  # training sequences that are gone through together
 WINDOW = 512  # tokens of a training sequence: longer texts are learnt in consecutive windows
 SEGMENT = 1024  # tokens after which a long text is scored in parallel segments
 CENTRES = 512  # distinct training windows, the first by hash of all texts, that the start states are chosen from
@@ -163,13 +163,14 @@ def _recursed(model: Model, classes: np.ndarray, first: np.ndarray, sizes: np.nd
     states = len(model.start)
     starts, moves = np.zeros(states), np.zeros((states, states))
     emits = np.zeros((states, CLASSES))
-    emit, onward = np.ascontiguousarray(model.emit.T), np.ascontiguousarray(model.move.T)
+    onward = np.ascontiguousarray(model.move.T)
+    classes = classes.astype(np.intp)  # converted once, not by every step
     active = _active(sizes).tolist()
     alphas, seen, scaled, log = [], [], [], 0.0
     for t, n in enumerate(active):
         seen.append(classes[first[:n] + t])
         alpha = onward @ alphas[-1][:, :n] if t else np.repeat(model.start[:, None], n, axis=1)
-        emitted = emit.take(seen[t], axis=1)
+        emitted = np.ascontiguousarray(model.emit.take(seen[t], axis=0).T)
         alpha *= emitted
         scale = alpha.sum(0)
         alpha /= scale
@@ -177,10 +178,10 @@ def _recursed(model: Model, classes: np.ndarray, first: np.ndarray, sizes: np.nd
         alphas.append(alpha)
         scaled.append(emitted)
         log += float(np.log(scale).sum())
-    beta = np.zeros((states, 0), emit.dtype)
+    beta = np.zeros((states, 0), onward.dtype)
     for t in range(len(active) - 1, -1, -1):
         n, later = active[t], beta.shape[1]
-        below = np.ones((states, n), emit.dtype)
+        below = np.ones((states, n), onward.dtype)
         if later:
             ahead = np.multiply(beta, scaled[t + 1], out=scaled[t + 1])
             moves += alphas[t][:, :later] @ ahead.T

@@ -158,3 +158,21 @@ def test_blocks_part_long_tables(spark, odd, monkeypatch):
     monkeypatch.setattr(hmm, "BLOCK_BYTES", 50)
     parts = sorted(tuple(r) for r in hmm.score_documents(odd.filter("doc_id < 4 or doc_id > 10"), F.lit(False)).select("key", "n_tokens", "n_known").collect())
     assert whole == parts
+
+
+def test_single_precision_rounds_count_as_double_ones():
+    rng = np.random.default_rng(5)
+    classes = rng.integers(0, 40, 30_000).astype(np.uint16)
+    sizes = np.sort(rng.integers(1, hmm.WINDOW, 60))[::-1]
+    first = np.cumsum(sizes) - sizes
+    shares = np.full(hmm.CLASSES, 1 / hmm.CLASSES)
+    model = hmm._first_model(classes.astype(np.int64), first, sizes, shares, hmm.STATES)
+    # a move and emissions that hardly occur, as after many rounds over a large corpus
+    move, emit = model.move.copy(), model.emit.copy()
+    move[0, 1], emit[:20, 2] = 1e-30, 1e-25
+    model = hmm.Model(model.start, move / move.sum(1, keepdims=True), emit / emit.sum(0))
+    exact = hmm.expected_counts(model, classes, first, sizes)
+    found = hmm.block_counts(model, classes, first, sizes)
+    assert np.isfinite(found).all()
+    assert np.allclose(found[:-1], exact, rtol=1e-3, atol=1e-3)
+    assert found[-1] == pytest.approx(hmm.log_likelihoods(model, classes, sizes).sum(), rel=1e-6)
