@@ -17,7 +17,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabflow.llm.common import chunks, named, raw_texts
+from tabflow.llm.common import named, raw_texts, text_chunks
 from tabflow.llm.vocab import Vocabulary, broadcast_spec, vocabulary
 
 LEAF_CHARS = 8_192  # a text of at most twice as many characters is not cut
@@ -126,13 +126,12 @@ def encode_texts(known: Vocabulary, texts: list[bytes], leaf: int = LEAF_CHARS)
 def _encoder(spec: Broadcast, leaf: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(spec)
-        for batch in (c for b in batches for c in chunks(b)):
+        for batch in (c for b in batches for c in text_chunks(b)):
             *keys, texts = batch.columns
             coded = encode_texts(known, raw_texts(texts), leaf)
             offsets = np.cumsum([0, *map(len, coded)]).astype(np.int32)
             ids = pa.ListArray.from_arrays(offsets, np.concatenate([*coded, np.zeros(0, np.int32)]))
-            decoded = pa.array([known.decode(c) for c in coded], pa.string())
-            yield pa.RecordBatch.from_arrays([*keys, ids, decoded], [*batch.schema.names[:-1], "ids", "decoded"])
+            yield pa.RecordBatch.from_arrays([*keys, ids, known.decode(coded)], [*batch.schema.names[:-1], "ids", "decoded"])
 
     return encode
 

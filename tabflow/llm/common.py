@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,3 +62,14 @@ def chunks(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
     for at in range(0, batch.num_rows, rows):
         yield batch.slice(at, rows)
     release()
+
+
+def text_chunks(batch: pa.RecordBatch, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts, its last column, have at most `limit` bytes, or one row."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_numpy(zero_copy_only=False)
+    ends, at = np.cumsum(sizes, dtype=np.int64), 0
+    while at < batch.num_rows:
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, side="right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+    release()

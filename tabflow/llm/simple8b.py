@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tabflow.llm.common import chunks, named
+from tabflow.llm.common import chunks, named, text_chunks
 from tabflow.llm.vocab import broadcast_spec, vocabulary
 
 # The published selectors as (values per word, bits per value). Selector 0 is the escape.
@@ -183,7 +183,7 @@ def _writer(spec: Broadcast, end_id: int, block_ids: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, block = vocabulary(spec), _Block(TaskContext.get().partitionId())
         end = np.array([end_id], "<u4").tobytes()
-        for batch in (c for b in batches for c in chunks(b)):
+        for batch in (c for b in batches for c in text_chunks(b)):
             coded = known.encode_spaced([t or "" for t in batch.column(1).to_pylist()])
             for key, ids in zip(batch.column(0).to_pylist(), coded):
                 block.add(key, ids + end)

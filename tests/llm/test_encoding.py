@@ -5,12 +5,14 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tabflow.llm import bpe, simple8b
+from tabflow.llm import bpe, simple8b, vocab
+from tabflow.llm.common import text_chunks
 from tabflow.llm.vocab import Vocabulary
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -39,6 +41,40 @@ def test_pieces_are_encoded_as_whole_texts(word, byte, text):
     assert byte.encode_spaced([text, "a b", text])[2] == byte.encode(text).astype("<u4").tobytes()
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(texts, max_size=8))
+def test_texts_side_by_side_keep_apart(word, byte, many):
+    """Texts of a chunk share no piece, empty ones and those with blanks at their ends included."""
+    assert word.encode_words([t.encode() for t in many]) == [word.encode(t).astype("<u4").tobytes() for t in many]
+    assert byte.encode_spaced(many) == [byte.encode(t).astype("<u4").tobytes() for t in many]
+
+
+def test_pieces_are_forgotten_beyond_the_limit(byte, monkeypatch):
+    """Few kept pieces and few looked up together: the ids are the same."""
+    monkeypatch.setattr(vocab, "AT_ONCE", 3)
+    small = Vocabulary(Path(BYTE_BPE).read_text())
+    small.spaced.limit = 5
+    for i in range(40):
+        many = [f"a{i} b{i % 3}, c{i % 7}.d  e\n", "", f"b{i % 3} b{i % 3}"]
+        assert small.encode_spaced(many) == [byte.encode(t).astype("<u4").tobytes() for t in many]
+        assert len(small.spaced.names) <= 5 + 8
+
+
+def test_decoded_lists_are_the_library_s(word, byte):
+    for known in (word, byte):
+        coded = [known.encode(t).astype(np.int32) for t in ("", "Ab c,\n语", "", "x" * 50)]
+        library = [known.tokenizer.decode(c.tolist(), skip_special_tokens=False) for c in coded]
+        assert known.decode(coded).to_pylist() == library and known.decode([]).to_pylist() == []
+
+
+def test_text_chunks_hold_every_row():
+    column = pa.array(["x" * 10, None, "", "y" * 500, "z", *["w" * 30] * 9], pa.string())
+    batch = pa.RecordBatch.from_arrays([pa.array(range(14)), column], ["key", "text"])
+    parts = list(text_chunks(batch, 100))
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))
+    assert all(p.num_rows == 1 or sum(len(t or "") for t in p.column(1).to_pylist()) <= 100 for p in parts)
+
+
 def test_capitals_with_combining_marks(word):
     """Every capital with every mark of the block, in a short text and behind a long one."""
     long = "plain words " * 2000
