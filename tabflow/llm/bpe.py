@@ -21,6 +21,7 @@ from tabflow.llm.common import named, raw_texts, text_chunks
 from tabflow.llm.vocab import Vocabulary, broadcast_spec, vocabulary
 
 LEAF_CHARS = 8_192  # a text of at most twice as many characters is not cut
+CHUNK = 2 << 20  # bytes of texts that are encoded together; ids, places and decoded texts are many times as large
 FIRST_WINDOW = 96  # characters on each side of a cut; more than any special token has
 AGREE = 8  # tokens that must be equal on either side of a window
 
@@ -126,7 +127,7 @@ def encode_texts(known: Vocabulary, texts: list[bytes], leaf: int = LEAF_CHARS)
 def _encoder(spec: Broadcast, leaf: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(spec)
-        for batch in (c for b in batches for c in text_chunks(b)):
+        for batch in (c for b in batches for c in text_chunks(b, CHUNK)):
             *keys, texts = batch.columns
             coded = encode_texts(known, raw_texts(texts), leaf)
             offsets = np.cumsum([0, *map(len, coded)]).astype(np.int32)
