@@ -10,6 +10,7 @@ from tabflow.operators import missing, outliers, scaling
 from tabflow.plans.inputs import EVENTS_SQL, event_halves, scored_events
 from tabflow.plans.preparation import FACTOR
 from tabflow.plans.registry import query, rounded
+from tabflow.sources.files import file_count
 from tabflow.sources.shared import new_path, persist_state
 from tabflow.sources.tables import table
 from tabflow.streaming import scoring as streaming
@@ -27,6 +28,7 @@ EVENT_SCHEMA = T.StructType(
 COLUMNS = EVENT_SCHEMA.fieldNames()
 ONCE = {"availableNow": True}
 BATCH_ROWS = 25_000  # rows of a file where a query wants several micro-batches
+BATCHES = 4  # micro-batches that these files are read in, however many there are
 
 
 def event_files(events: DataFrame, path: str, mode: str = "overwrite", per_file: int = 0) -> str:
@@ -37,10 +39,17 @@ def event_files(events: DataFrame, path: str, mode: str = "overwrite", per_file:
     return path
 
 
-def event_stream(spark: SparkSession, root: str, max_files: int | None = None, per_file: int = 0) -> DataFrame:
-    """The events as a stream; `max_files` sets how many of its files a micro-batch reads (all by default)."""
-    path = event_files(table(spark, root, "events"), new_path(spark, "events"), per_file=per_file)
-    return streaming.json_stream(spark, path, EVENT_SCHEMA, max_files)
+def in_batches(spark: SparkSession, path: str) -> DataFrame:
+    """The files of a folder as a stream of at most BATCHES micro-batches. Each has its jobs, its commit of the
+    state and its task results, so their number does not grow with the files; their tasks do."""
+    files = file_count(spark, path, ".json")
+    return streaming.json_stream(spark, path, EVENT_SCHEMA, max(1, -(-files // BATCHES)))
+
+
+def event_stream(spark: SparkSession, root: str) -> DataFrame:
+    """The events as a stream of one micro-batch."""
+    path = event_files(table(spark, root, "events"), new_path(spark, "events"))
+    return streaming.json_stream(spark, path, EVENT_SCHEMA)
 
 
 def drained(stream: DataFrame, fmt: str = "parquet") -> DataFrame:
@@ -166,7 +175,8 @@ def stream_metrics(spark, root):
     The files mix all days, so the lateness spans the month and no row is late.
     """
     path, checkpoint = new_path(spark, "windows"), new_path(spark, "checkpoint")
-    scored = scored_events(event_stream(spark, root, max_files=2, per_file=BATCH_ROWS))
+    source = event_files(table(spark, root, "events"), new_path(spark, "events"), per_file=BATCH_ROWS)
+    scored = scored_events(in_batches(spark, source))
     windows = streaming.windowed_metrics(scored, "ts", "prediction", "probability", lateness="40 days")
     query_ = streaming.write_batches(windows, lambda b: b, path, checkpoint, "parquet", "update", ONCE)
     streaming.drain(query_)
@@ -237,8 +247,7 @@ def stream_key_moments(spark, root):
     with stateful.rocksdb_state(spark):
         for half in (early, late):
             event_files(half, source, "append", per_file=BATCH_ROWS)
-            events = streaming.json_stream(spark, source, EVENT_SCHEMA, 4)
-            moments = stateful.key_moments(events, "user_id", "ts", "value")
+            moments = stateful.key_moments(in_batches(spark, source), "user_id", "ts", "value")
             streaming.drain(streaming.write_batches(moments, lambda b: b, path, checkpoint, "parquet", "update", ONCE))
     schema = f"{stateful.MOMENTS}, batch_id long"
     latest = stateful.latest_of_keys(spark.read.schema(schema).parquet(path))

@@ -64,6 +64,12 @@ def is_written(spark: SparkSession, path: str) -> bool:
     return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 
 
+def file_count(spark: SparkSession, path: str, ending: str) -> int:
+    """How many files of a folder end so, on any file system."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(path, f"*{ending}")
+    return len(pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern))
+
+
 def reuse_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame], force: bool = False) -> DataFrame:
     """Read the finished table at the path; build and write it only if absent or forced."""
     if force or not is_written(spark, path):

@@ -60,9 +60,9 @@ def _partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 class KeyMoments(StatefulProcessor):
-    """Number, mean, spread and latest value per key; a key that is idle for `idle_ms` is let go."""
+    """Number, mean, spread and latest value per key, until it is idle for `idle_ms`."""
 
-    def __init__(self, idle_ms: int | None) -> None:
+    def __init__(self, idle_ms: int) -> None:
         self.idle_ms = idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -89,10 +89,9 @@ class KeyMoments(StatefulProcessor):
                 held = (*merged, at if newer else micros, last if newer else old_last)
         held = (int(held[0]), float(held[1]), float(held[2]), int(held[3]), float(held[4]))
         self.state.update(held)
-        if self.idle_ms is not None:
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer(held[3] // 1000 + self.idle_ms)
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(held[3] // 1000 + self.idle_ms)
         yield self._row(key, held, False)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -124,22 +123,30 @@ def key_moments(
 ) -> DataFrame:
     """After each micro-batch a row (key, n, mean, std, last_at, last, expired) of every key in it.
 
-    Rows with a NULL or NaN value or a NULL time are left out; a NULL key is a key. Tasks reduce their
-    rows to one per key and Arrow batch before the shuffle, so a hot key moves few rows. With `idle_ms` a
-    key whose latest row lies that far behind the watermark comes out once more, expired, and its state
-    goes; rows behind the watermark count as long as their key is there. Start it within `rocksdb_state`,
-    in update mode.
+    Rows with a NULL or NaN value or a NULL time are left out; a NULL key is a key. Keys that stay for good are
+    an aggregate of the stream: tasks reduce their rows to one per key before the shuffle and state is merged
+    without Python. With `idle_ms` a key whose latest row lies that far behind the watermark comes out once
+    more, expired, and its state goes; rows behind the watermark count as long as their key is there. That
+    needs a processor with timers, which Python calls once per key and micro-batch, after tasks have reduced their
+    rows to one per key and Arrow batch: start it within `rocksdb_state`. Both run in update mode.
     """
     rows = stream.select(
         F.col(key).cast("string").alias("key"), F.col(time).cast("timestamp").alias("at"), F.col(value).cast("double").alias("value")
     )
     rows = rows.filter(F.col("at").isNotNull() & F.col("value").isNotNull() & ~F.isnan("value"))
+    if idle_ms is None:
+        kept = rows.groupBy("key").agg(
+            F.count("*").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+            F.max(F.struct("at", "value")).alias("latest"),
+        )
+        last = [F.col("latest.at").alias("last_at"), F.col("latest.value").alias("last")]
+        return kept.select("key", "n", "mean", "std", *last, F.lit(False).alias("expired"))
     partial = rows.mapInPandas(_partials, PARTIAL).withWatermark("last_at", lateness)
     return partial.groupBy("key").transformWithStateInPandas(
         statefulProcessor=KeyMoments(idle_ms),
         outputStructType=MOMENTS,
         outputMode="Update",
-        timeMode="EventTime" if idle_ms is not None else "None",
+        timeMode="EventTime",
     )
 
 

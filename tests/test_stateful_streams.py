@@ -146,3 +146,10 @@ def test_idle_keys_expire_and_begin_anew(spark, tmp_path):
     assert of_a == [(2, 2.0, False), (2, 2.0, True), (1, 10.0, False)]
     assert [r.n for r in rows if r.key == "b" and not r.expired][-1] == 8
     assert spark.conf.get(stateful.PROVIDER) != stateful.ROCKSDB
+
+
+def test_moments_of_keys_that_stay_call_no_python(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    stream = streaming.json_stream(spark, str(tmp_path / "in"), spark.createDataFrame([], "k string, ts timestamp, v double").schema)
+    plans = [stateful.key_moments(stream, "k", "ts", "v", idle_ms=i)._jdf.queryExecution().analyzed().toString() for i in (None, 1000)]
+    assert ["InPandas" in p or "TransformWithState" in p for p in plans] == [False, True]
