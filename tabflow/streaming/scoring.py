@@ -61,13 +61,18 @@ def write_batches(
     """Call `transform` on every micro-batch and write it under its batch number.
 
     A replayed batch overwrites its own folder, so it never adds rows twice; an empty batch
-    writes nothing.
+    writes nothing. Updates of state are held while they are looked at and written, so the state is
+    read and merged once per batch.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        transform(batch).write.mode("overwrite").format(fmt).save(batch_path(root, batch_id))
+        held = batch if mode == "append" else batch.persist()
+        try:
+            if not held.isEmpty():
+                transform(held).write.mode("overwrite").format(fmt).save(batch_path(root, batch_id))
+        finally:
+            if mode != "append":
+                held.unpersist()
 
     writer = stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or TRIGGER)).start()

@@ -4,9 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabflow.plans import streams
+from tabflow.plans.catalogue import CATALOGUE
 from tabflow.sources.shared import new_path
 from tabflow.streaming import scoring as streaming
-from tests.conftest import rows
+from tests.conftest import counted, rows
 
 ONCE = {"availableNow": True}
 SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("p", T.DoubleType())])
@@ -121,3 +123,26 @@ def test_the_callers_schema_stays_as_it_is(spark, tmp_path):
     for _ in range(2):
         stream = streaming.json_stream(spark, str(tmp_path / "in"), schema, bad_record="bad")
         assert stream.columns == ["a", "bad"] and schema.names == ["a"]
+
+
+@pytest.mark.parametrize("name", ["stream_metrics", "stream_key_moments"])
+def test_micro_batches_do_not_grow_with_the_files(spark, smoke, monkeypatch, name):
+    plain, runs, drain = sorted(map(tuple, CATALOGUE[name].run(spark, smoke).collect()), key=repr), [], streaming.drain
+
+    def watched(query):
+        drain(query)
+        runs.append(sum(p["numInputRows"] > 0 for p in query.recentProgress))
+
+    monkeypatch.setattr(streams, "BATCH_ROWS", 20)
+    monkeypatch.setattr(streaming, "drain", watched)
+    assert sorted(map(tuple, CATALOGUE[name].run(spark, smoke).collect()), key=repr) == plain
+    assert 1 < max(runs) <= streams.BATCHES
+
+
+def test_updates_of_state_are_computed_once(spark, tmp_path):
+    put(tmp_path / "in", "a.json", [f'{{"id": {i}, "p": 0.5}}' for i in range(50)])
+    watched, seen = counted(streaming.json_stream(spark, str(tmp_path / "in"), SCHEMA))
+    updates = watched.groupBy("id").agg(F.avg("p").alias("p"))
+    out = str(tmp_path / "out")
+    streaming.drain(streaming.write_batches(updates, lambda b: b, out, str(tmp_path / "cp"), "parquet", "update", ONCE))
+    assert spark.read.parquet(out).count() == seen.value == 50
