@@ -6,8 +6,11 @@ import itertools
 import math
 import random
 import time
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
@@ -139,14 +142,26 @@ def fit(
     `validation` names a boolean column of `train`; boosting stops early on its true rows.
     """
     data = prepared(train, numeric, nominal, [validation] if validation else [])
+    try:
+        return _fit_prepared(data, name, numeric, nominal, scale, invalid, validation, **params)
+    finally:
+        data.unpersist()
+
+
+def _fit_prepared(data: DataFrame, name: str, numeric, nominal, scale=False, invalid="error", validation=None, **params):
     if validation:
         if kind_of(name) != "gbt":
             raise ValueError("only boosting can stop early")
         params = {**params, "validationIndicatorCol": validation}
-    try:
-        return stages(numeric, nominal, classifier(name, **params), scale, invalid).fit(data)
-    finally:
-        data.unpersist()
+    return stages(numeric, nominal, classifier(name, **params), scale, invalid).fit(data)
+
+
+def side_by_side(spark: SparkSession, calls: list[Callable], parallelism: int) -> list:
+    """Results of the calls in their order. A fit is a long row of short jobs, so several fill the cores; each
+    thread has the session's properties and the workspace of the caller."""
+    with ThreadPoolExecutor(max(1, min(parallelism, len(calls)))) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(copy_context().run), call) for call in calls]
+        return [s.result() for s in started]
 
 
 def fit_report(train: DataFrame, name: str, numeric: list[str], nominal: list[str], **options):
@@ -194,8 +209,9 @@ def trial_points(space: dict[str, list], trials: int | None = None, seed: int =
     return random.Random(seed).sample(points, trials)
 
 
-# What an ensemble of trees is grown by: the first trees of a larger one are a smaller one.
-GROWN = {"gbt": "maxIter", "random_forest": "numTrees"}
+# What a fit is grown by: the first trees of a larger ensemble are a smaller one, and a regression that
+# settles within its iterations is the same with more of them.
+GROWN = {"gbt": "maxIter", "random_forest": "numTrees", "logistic_regression": "maxIter"}
 
 
 @dataclass(frozen=True)
@@ -211,11 +227,12 @@ class Validated:
 def grown_groups(name: str, points: list[dict], metric: str, **params) -> list[dict[int, int]]:
     """Places of the points that one fit serves, with their numbers of trees (0: a fit of its own).
 
-    Points of an ensemble that differ in the number of trees alone share a fit. A forest of one tree
-    draws neither rows nor columns as larger ones do, and logLoss needs more than a prefix's sums.
+    Points of an ensemble that differ in the number of trees alone share a fit, and so do points of a
+    regression that differ in the most iterations. A forest of one tree draws neither rows nor columns as
+    larger ones do, and logLoss needs more than a prefix's sums.
     """
     kind = kind_of(name)
-    if kind not in GROWN or metric == "logLoss":
+    if kind not in GROWN or (metric == "logLoss" and kind != "logistic_regression"):
         return [{place: 0} for place in range(len(points))]
     size, groups = GROWN[kind], {}
     for place, point in enumerate(points):
@@ -251,8 +268,19 @@ def grown_scores(model, df: DataFrame, sizes: list[int]) -> DataFrame:
 def _group_scores(estimator: Estimator, name: str, points: list[dict], group: dict[int, int], metric: str, inside: DataFrame, outside: DataFrame):
     """Scores of one group of points on a fold, by place."""
     judge, sizes = evaluator(metric), list(group.values())
+    fitted = lambda place: estimator.copy({estimator.getParam(k): v for k, v in points[place].items()}).fit(inside)
+    if kind_of(name) == "logistic_regression":
+        scores, settled = {}, False
+        for place in sorted(group, key=group.get):
+            if not settled:
+                model = fitted(place)
+                # steps are the same whatever their limit: one that was not reached changes nothing
+                settled = len(model.summary.objectiveHistory) - 1 < group[place]
+                score = judge.evaluate(model.transform(outside))
+            scores[place] = score
+        return scores
     largest = max(group, key=group.get)
-    model = estimator.copy({estimator.getParam(k): v for k, v in points[largest].items()}).fit(inside)
+    model = fitted(largest)
     if len(group) == 1:
         return {largest: judge.evaluate(model.transform(outside))}
     scored = grown_scores(model, outside, sizes).cache()
@@ -276,42 +304,48 @@ def cross_validate(
     metric: str = "areaUnderROC",
     folds: int = 3,
     fold_column: str | None = None,
-    parallelism: int = 4,
+    parallelism: int = 6,
     **params,
 ) -> Validated:
     """Cross-validate parameter points (default: the classifier's grid).
 
     The stages before the classifier are fitted once per fold, and their output is cached for all points.
-    An ensemble is grown once per fold for all points that differ in its number of trees. Without a fold
-    column the folds follow from the rows' values, so they do not depend on partitioning.
+    An ensemble is grown once per fold for all points that differ in its number of trees, a regression is
+    fitted once for all limits of its iterations that it does not reach. Fits of all folds run side by side,
+    the last points of the grid first, as they are the largest. Without a fold column the folds follow from
+    the rows' values, so they do not depend on partitioning.
     """
-    estimator = classifier(name, **params)
+    estimator, spark = classifier(name, **params), train.sparkSession
     points = points if points is not None else trial_points(GRIDS[kind_of(name)])
     groups = grown_groups(name, points, metric, **params)
     if fold_column is None:
         fold_column = "fold_of_row"
         train = assign_folds(train, [*numeric, *nominal, "label"], folds, output=fold_column)
-    data = prepared(train, numeric, nominal, [fold_column])
-    totals = [0.0] * len(points)
+    data, held = prepared(train, numeric, nominal, [fold_column]), []
+
+    def parts_of(fold: int) -> list[DataFrame]:
+        out = F.col(fold_column) == fold
+        chain = Pipeline(stages=stages(numeric, nominal, estimator).getStages()[:-1]).fit(data.filter(~out))
+        parts = [chain.transform(data.filter(c)).select("label", "features").cache() for c in (~out, out)]
+        held.extend(parts)
+        return parts
+
     try:
-        with ThreadPoolExecutor(max(1, min(parallelism, len(groups)))) as pool:
-            for fold in range(folds):
-                held = F.col(fold_column) == fold
-                chain = Pipeline(stages=stages(numeric, nominal, estimator).getStages()[:-1]).fit(data.filter(~held))
-                inside, outside = (chain.transform(data.filter(c)).select("label", "features").cache() for c in (~held, held))
-                try:
-                    work = inheritable_thread_target(train.sparkSession)(_group_scores)
-                    for scores in pool.map(lambda g: work(estimator, name, points, g, metric, inside, outside), groups):
-                        for place, score in scores.items():
-                            totals[place] += score / folds
-                finally:
-                    inside.unpersist()
-                    outside.unpersist()
+        parts = side_by_side(spark, [partial(parts_of, fold) for fold in range(folds)], parallelism)
+        tasks = [(group, fold) for group in reversed(groups) for fold in range(folds)]
+        work = [partial(_group_scores, estimator, name, points, group, metric, *parts[fold]) for group, fold in tasks]
+        totals = [0.0] * len(points)
+        for scores in side_by_side(spark, work, parallelism):
+            for place, score in scores.items():
+                totals[place] += score / folds
+        for part in held:
+            part.unpersist()
         pick = max if evaluator(metric).isLargerBetter() else min
         best = points[pick(range(len(points)), key=totals.__getitem__)]
         return Validated(points, totals, best, stages(numeric, nominal, classifier(name, **{**params, **best})).fit(data))
     finally:
-        data.unpersist()
+        for part in [*held, data]:
+            part.unpersist()
 
 
 def trial_table(

@@ -1,3 +1,5 @@
+import threading
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -160,3 +162,36 @@ def test_logloss_and_folds_of_equal_rows(data):
     assert models.grown_groups("gbt", points, "logLoss") == [{0: 0}, {1: 0}]
     again = [models.cross_validate(d, "gbt", NUMERIC, NOMINAL, points, folds=2).avgMetrics for d in (data, data.repartition(7))]
     assert again[0] == pytest.approx(again[1], abs=0.02)
+
+
+def test_regression_points_share_a_fit_that_settles(data, monkeypatch):
+    folded = split.assign_folds(data, ["id"], 2)
+    points = models.trial_points({"regParam": [0.01], "elasticNetParam": [0.0], "maxIter": [2, 3, 100, 200, 500]})
+    assert models.grown_groups("logistic_regression", points, "f1") == [{0: 2, 1: 3, 2: 100, 3: 200, 4: 500}]
+    alone = [models.cross_validate(folded, "logistic", NUMERIC, NOMINAL, [points[i]], "areaUnderROC", 2, "fold").avgMetrics[0] for i in (0, 3)]
+    fits, fit = [], models.LogisticRegression.fit
+    monkeypatch.setattr(models.LogisticRegression, "fit", lambda self, *a, **k: fits.append(self.getMaxIter()) or fit(self, *a, **k))
+    shared = models.cross_validate(folded, "logistic", NUMERIC, NOMINAL, points, "areaUnderROC", 2, "fold")
+    assert [shared.avgMetrics[i] for i in (0, 3)] == pytest.approx(alone, abs=1e-12)
+    assert sorted(fits) == sorted([2, 3, 100] * 2 + [shared.best["maxIter"]])  # two folds, and the best on all rows
+
+
+@pytest.mark.parametrize("name, space", [("gbt", {"maxIter": [2], "maxDepth": [1, 2]}), ("random_forest", {"numTrees": [2], "maxDepth": [1, 2]})])
+def test_fits_of_all_folds_run_side_by_side(data, monkeypatch, name, space):
+    folded, together, peak, lock = split.assign_folds(data, ["id"], 3), [], [], threading.Lock()
+    real = models._group_scores
+
+    def watched(*args):
+        with lock:
+            together.append(1)
+            peak.append(len(together))
+        try:
+            return real(*args)
+        finally:
+            with lock:
+                together.pop()
+
+    monkeypatch.setattr(models, "_group_scores", watched)
+    models.cross_validate(folded, name, NUMERIC, NOMINAL, models.trial_points(space), folds=3, fold_column="fold", parallelism=6)
+    assert len(peak) == 6 and max(peak) > 2  # more than the two points of one fold
+    assert not folded.is_cached
