@@ -373,23 +373,31 @@ def tune(
     return trial_table(train.sparkSession, name, points, fitted.avgMetrics, metric, space_size(space))
 
 
-def compare(train: DataFrame, test: DataFrame, kinds: dict[str, dict], numeric: list[str], nominal: list[str]):
-    """Fit several classifiers and return (model, metric, value, error); a failed fit is a row."""
-    spark, tables = train.sparkSession, []
-    for name, params in kinds.items():
+def compare(
+    train: DataFrame, test: DataFrame, kinds: dict[str, dict], numeric: list[str], nominal: list[str], parallelism: int = 4
+) -> DataFrame:
+    """Fit several classifiers side by side and return (model, metric, value, error); a failed fit is a row."""
+    spark = train.sparkSession
+    marks = sorted({p["validation"] for p in kinds.values() if p.get("validation")})
+    data = prepared(train, numeric, nominal, marks)
+
+    def judged(name: str, params: dict) -> DataFrame:
         try:
-            model = fit(train, name, numeric, nominal, **params)
-            tables.append(fitted_metrics(model, test, name).withColumn("error", F.lit(None).cast("string")))
+            model = _fit_prepared(data, name, numeric, nominal, **params)
+            return fitted_metrics(model, test, name).withColumn("error", F.lit(None).cast("string"))
         except Exception as problem:  # recorded per model, as one bad model must not stop the rest
             text = f"{type(problem).__name__}: {problem}"
-            tables.append(
-                spark.range(1).select(
-                    F.lit(name).alias("model"),
-                    F.lit(None).cast("string").alias("metric"),
-                    F.lit(None).cast("double").alias("value"),
-                    F.lit(text).alias("error"),
-                )
+            return spark.range(1).select(
+                F.lit(name).alias("model"),
+                F.lit(None).cast("string").alias("metric"),
+                F.lit(None).cast("double").alias("value"),
+                F.lit(text).alias("error"),
             )
+
+    try:
+        tables = side_by_side(spark, [partial(judged, name, params) for name, params in kinds.items()], parallelism)
+    finally:
+        data.unpersist()
     united = tables[0]
     for t in tables[1:]:
         united = united.unionByName(t)

@@ -195,3 +195,16 @@ def test_fits_of_all_folds_run_side_by_side(data, monkeypatch, name, space):
     models.cross_validate(folded, name, NUMERIC, NOMINAL, models.trial_points(space), folds=3, fold_column="fold", parallelism=6)
     assert len(peak) == 6 and max(peak) > 2  # more than the two points of one fold
     assert not folded.is_cached
+
+
+def test_compared_models_are_fitted_side_by_side(data, monkeypatch):
+    met, real = threading.Barrier(2, timeout=60), models._fit_prepared
+
+    def watched(*args, **params):
+        met.wait()  # breaks where one fit waits for the other
+        return real(*args, **params)
+
+    monkeypatch.setattr(models, "_fit_prepared", watched)
+    table = models.compare(data, data, {"decision_tree": {"maxDepth": 2}, "logistic": {"maxIter": 5}}, NUMERIC, NOMINAL).collect()
+    assert len(table) == 12 and not any(r["error"] for r in table)
+    assert list(dict.fromkeys(r["model"] for r in table)) == ["decision_tree", "logistic"]
