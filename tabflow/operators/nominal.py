@@ -44,9 +44,9 @@ class TableIndexer(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWrit
     def _fit(self, dataset: DataFrame) -> "TableIndexerModel":
         columns = self.getInputCols()
         dictionary = fit_index(dataset, columns)
-        counted = {r["feature"]: r["n"] for r in dictionary.groupBy("feature").agg(F.count("*").alias("n")).collect()}
+        sizes = dictionary.agg(*[F.count_if(F.col("feature") == c) for c in columns]).first()
         model = TableIndexerModel(dictionary)
-        model._set(inputCols=columns, outputCols=self.getOutputCols(), sizes=[counted.get(c, 0) for c in columns])
+        model._set(inputCols=columns, outputCols=self.getOutputCols(), sizes=list(sizes))
         model._resetUid(self.uid)
         return model
 
