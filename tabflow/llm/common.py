@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,17 +50,23 @@ def lower_words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+# The C library's own means; others than glibc have none.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
 def release() -> None:
-    """Arrow gives back what it keeps free, such as that of the group or batch before."""
+    """Arrow and the C library give back what they keep free, such as that of the group or batch before."""
     pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
-def chunks(batch: pa.RecordBatch, rows: int = 512) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch, so that what is built per slice stays small beside very long texts.
+def chunks(batch: pa.RecordBatch | pa.Array, rows: int = 512) -> Iterator[pa.RecordBatch | pa.Array]:
+    """Slices of a batch or column, so that what is built per slice stays small beside very long texts.
 
-    After each batch Arrow gives its free memory back: workers live on for the next stages.
+    After each batch its free memory is given back: workers live on for the next stages.
     """
-    for at in range(0, batch.num_rows, rows):
+    for at in range(0, len(batch), rows):
         yield batch.slice(at, rows)
     release()
 

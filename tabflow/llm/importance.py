@@ -11,7 +11,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -133,11 +132,12 @@ def log_weight(ratios: np.ndarray, docs: DataFrame) -> Column:
     """A function of a text column: the log importance weight, 0 for a null or empty text."""
     shared = docs.sparkSession.sparkContext.broadcast(ratios)
 
-    @F.pandas_udf("double")
-    def weigh(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def weigh(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         held, codes = shared.value, Codes()
         for texts in batches:
-            yield texts.map(lambda t: float(held[ngrams((t or "").encode(), codes)].sum()), na_action=None)
+            found = [float(held[ngrams(raw, codes)].sum()) for part in chunks(texts) for raw in raw_texts(part)]
+            yield pa.array(found, pa.float64())
 
     return weigh
 

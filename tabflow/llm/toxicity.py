@@ -305,6 +305,9 @@ def fit(
 
 PASSAGE = "struct<first_word:long,end_word:long,score:double,expected:double,passage:string>"
 RESULT = f"struct<score:double,evidence:double,n_tokens:long,passages:array<{PASSAGE}>>"
+NAMES, FIELDS = ["score", "evidence", "n_tokens", "passages"], ["first_word", "end_word", "score", "expected", "passage"]
+_SPAN = pa.struct(list(zip(FIELDS, [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.string()])))
+JUDGED = pa.struct(list(zip(NAMES, [pa.float64(), pa.float64(), pa.int64(), pa.list_(_SPAN)])))
 
 
 def judge(model: Segments, raw: bytes, heads: set[bytes]) -> tuple[float, float, int, list[tuple]]:
@@ -328,17 +331,17 @@ def toxicity(model: Segments, docs: DataFrame) -> Column:
     of no segment in one token and so a score of its own.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = ["score", "evidence", "n_tokens", "passages"]
-
-    @F.pandas_udf(RESULT)
-    def judged(texts):
-        import pandas as pd
 
+    @F.arrow_udf(RESULT)
+    def judged(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         held, heads = shared.value, shared.value.heads()
-        rows = [judge(held, (t or "").encode(), heads) for t in texts]
-        frame = pd.DataFrame(rows, columns=names, index=texts.index)
-        fields = ["first_word", "end_word", "score", "expected", "passage"]
-        return frame.assign(passages=[[dict(zip(fields, p)) for p in ps] for ps in frame["passages"]])
+        for texts in batches:
+            parts = [pa.array([], JUDGED)]
+            for part in chunks(texts):
+                rows = [judge(held, raw, heads) for raw in raw_texts(part)]
+                found = [(*row, [dict(zip(FIELDS, p)) for p in passages]) for *row, passages in rows]
+                parts.append(pa.array([dict(zip(NAMES, row)) for row in found], JUDGED))
+            yield pa.concat_arrays(parts)
 
     return judged
 
