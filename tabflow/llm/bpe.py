@@ -21,7 +21,7 @@ from tabflow.llm.common import named, raw_texts, text_chunks
 from tabflow.llm.vocab import Vocabulary, broadcast_spec, vocabulary
 
 LEAF_CHARS = 8_192  # a text of at most twice as many characters is not cut
-CHUNK = 2 << 20  # bytes of texts that are encoded together; ids, places and decoded texts are many times as large
+CHUNK = 512 << 10  # bytes of texts that are encoded together; ids, places and decoded texts are many times as large
 FIRST_WINDOW = 96  # characters on each side of a cut; more than any special token has
 AGREE = 8  # tokens that must be equal on either side of a window
 

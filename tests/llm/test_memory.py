@@ -4,10 +4,13 @@ import os
 import subprocess
 import sys
 from pathlib import Path
+from types import SimpleNamespace
 
+import public_tokenizers
 import pyarrow as pa
+from tokenizers import Tokenizer
 
-from tabflow.llm import toxicity
+from tabflow.llm import bpe, toxicity
 from tabflow.llm.common import chunks
 
 ROOT = Path(__file__).parents[2]
@@ -46,3 +49,14 @@ def test_verdicts_of_many_slices_are_those_of_each_text(spark):
         score, evidence, n, passages = toxicity.judge(model, (text or "").encode(), model.heads())
         assert (found[i].score, found[i].evidence, found[i].n_tokens) == (score, evidence, n)
         assert [tuple(p) for p in found[i].passages] == passages
+
+
+def test_encoder_takes_half_a_mebibyte_at_once():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = [None, "", *(f"Word{i} and the {i * 7919} " * 40 for i in range(1500))]
+    rows = pa.record_batch({"key_0": pa.array(range(len(texts))), "text": pa.array(texts)})
+    found = list(bpe._encoder(SimpleNamespace(value=Path(path).read_text(encoding="utf-8")), bpe.LEAF_CHARS)([rows]))
+    sizes = [sum(len(texts[k] or "") for k in part["key_0"].to_pylist()) for part in found]
+    assert max(sizes) <= 512 << 10 and len(sizes) > 2
+    whole = Tokenizer.from_file(str(path)).encode_batch([t or "" for t in texts], add_special_tokens=False)
+    assert [ids for part in found for ids in part["ids"].to_pylist()] == [e.ids for e in whole]
