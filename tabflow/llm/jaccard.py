@@ -1,10 +1,11 @@
 """N-gram Jaccard join: groups of texts whose sets of word shingles are alike, by signature trees.
 
 Only sets that share enough shingles with other sets can be alike; the others are left out by exact
-counts over all texts. Sets that can be alike share one of their first shingles in a common order
-(prefix filter), so the sets that shingles connect in this way form families. Within a family
-signature trees find the links; large families are cut into parts, every part has a tree, and parts
-are joined pair by pair, first all with one part and then only those that are not connected by then.
+counts over all texts. Sets that can be alike share one of their first shingles in a common order, the
+rarest first (prefix filter), so the sets that shingles connect in this way form families, and a passage
+that very many texts share makes no family. Within a family signature trees find the links; large families
+are cut into parts, every part has a tree, and parts are joined with one part first; after that only sets
+that share one of their first shingles with a set they are not connected with meet that set's part.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from tabflow.llm.common import chunks, lower_words, named, raw_texts, release
 from tabflow.llm.sigtree import Links, Tree, link
-from tabflow.sources.shared import persist_state
+from tabflow.sources.buckets import write_buckets
+from tabflow.sources.shared import new_path, persist_state, remove, shuffles_freed
 
 SHINGLE = 5
 PERCENT = 75
@@ -132,7 +134,7 @@ def _blocks_of_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _packs(bits: int, cut: int):
-    """Per block and bucket of the hash space: the distinct hashes, and which come twice in the block.
+    """Per block and bucket of the hash space: the distinct hashes, and how often each comes in the block.
 
     The last `cut` bits of the hashes stay behind: those before them tell nearly all shingles apart.
     """
@@ -150,40 +152,50 @@ def _packs(bits: int, cut: int):
                 pa.array([block] * len(spans), pa.int64()),
                 pa.array([b - a for a, b in spans], pa.int64()),
                 pa.array([pack(distinct[a:b]) for a, b in spans], pa.binary()),
-                pa.array([np.packbits(times[a:b] > 1).tobytes() for a, b in spans], pa.binary()),
+                pa.array([_squeezed(np.minimum(times[a:b], 255)) for a, b in spans], pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["bucket", "block", "n", "hashes", "twice"])
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "block", "n", "hashes", "times"])
 
     return split
 
 
-def _bits(packed: bytes, n: int) -> np.ndarray:
-    return np.unpackbits(np.frombuffer(packed, np.uint8), count=n).astype(bool)
+def _squeezed(small: np.ndarray) -> bytes:
+    """Numbers below 256, a byte each, compressed."""
+    return zstandard.ZstdCompressor(level=1).compress(small.astype(np.uint8).tobytes())
 
 
-def _shared(group: pa.Table) -> pa.Table:
-    """Of one bucket: which hashes of each block are found in another block or twice in their own."""
+def _small(squeezed: list[bytes]) -> np.ndarray:
+    one = zstandard.ZstdDecompressor()
+    return np.concatenate([np.frombuffer(one.decompress(x), np.uint8) for x in squeezed])
+
+
+def _levels(group: pa.Table) -> pa.Table:
+    """Of one bucket: how common the hashes of each block are, from 0 (found nowhere else) to 255.
+
+    A level grows with the logarithm of the count. It depends on the hash alone (counts within a block
+    stop at 255), so it orders the shingles of all sets alike.
+    """
     release()
     sizes = group.column("n").to_pylist()
     hashes = np.concatenate([unpack(x, n) for x, n in zip(group.column("hashes").to_pylist(), sizes)])
-    shared = np.concatenate([_bits(x, n) for x, n in zip(group.column("twice").to_pylist(), sizes)])
+    times = _small(group.column("times").to_pylist())
     order = np.argsort(hashes, kind="stable")
-    equal = np.diff(hashes[order]) == 0
-    shared[order[1:][equal]] = True
-    shared[order[:-1][equal]] = True
+    hashes = hashes[order]
+    first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+    counts = np.add.reduceat(times[order], first, dtype=np.int64)
+    found = np.minimum(np.ceil(8 * np.log2(counts)), 255).astype(np.uint8)
+    levels = np.empty(len(order), np.uint8)
+    levels[order] = np.repeat(found, np.diff(first, append=len(order)))
     ends = np.cumsum(sizes)
-    flags = [np.packbits(shared[b - n : b]).tobytes() for b, n in zip(ends, sizes)]
-    return pa.table(
-        [group.column("block"), group.column("bucket"), group.column("n"), pa.array(flags, pa.binary())],
-        ["of_block", "bucket", "n", "flags"],
-    )
+    packed = [_squeezed(levels[b - n : b]) for b, n in zip(ends, sizes)]
+    return pa.table([group.column("block"), group.column("bucket"), pa.array(packed, pa.binary())], ["of_block", "bucket", "levels"])
 
 
 def _linkable(percent: int, cut: int):
-    """The sets that can be alike with others, and their first shingles in the order (shared last, hash).
+    """The sets that can be alike with others, and their first shingles in the order (level, hash).
 
     A set that is alike with another shares at least `percent` of its shingles, so its first
-    n - percent * n + 1 hold a shared one; the others of these are found nowhere else.
+    n - percent * n + 1 hold a shared one; those of level 0 among these are found nowhere else.
     """
 
     def choose(block: pa.Table, found: pa.Table) -> pa.Table:
@@ -193,17 +205,17 @@ def _linkable(percent: int, cut: int):
         rows: list[list] = [[], [], [], []]
         if block.num_rows and found.num_rows:
             found = found.sort_by("bucket")
-            flags = [_bits(x, n) for x, n in zip(found.column("flags").to_pylist(), found.column("n").to_pylist())]
             sizes = np.array(block.column("sizes")[0].as_py(), np.int64)
             values = unpack(block.column("hashes")[0].as_py(), int(sizes.sum()))
-            shared = np.concatenate(flags)[np.unique(values >> np.uint64(cut), return_inverse=True)[1]]
-            ends, upto = np.cumsum(sizes), np.concatenate([[0], np.cumsum(shared)])
+            levels = _small(found.column("levels").to_pylist())[np.unique(values >> np.uint64(cut), return_inverse=True)[1]]
+            ends, upto = np.cumsum(sizes), np.concatenate([[0], np.cumsum(levels > 0)])
             alone = sizes - (upto[ends] - upto[ends - sizes])
             wanted = sizes - -(-percent * sizes // 100) + 1 - alone
             nodes = block.column("nodes")[0].as_py()
             for i in np.flatnonzero((wanted > 0) & (sizes > 0)).tolist():
                 span = slice(ends[i] - sizes[i], ends[i])
-                first = values[span][shared[span]][: wanted[i]].astype(np.int64)
+                order = np.argsort(levels[span], kind="stable")[alone[i] : alone[i] + wanted[i]]
+                first = values[span][order].astype(np.int64)
                 for column, value in zip(rows, (nodes[i], int(sizes[i]), pack(values[span]), first)):
                     column.append(value)
         return pa.table([pa.array(c, t) for c, t in zip(rows, types)], names)
@@ -215,28 +227,44 @@ def linkable(blocks: DataFrame, percent: int) -> DataFrame:
     """Rows (node, n, hashes, prefix) of the blocks' sets that may link; exact for any data.
 
     Hashes are counted per bucket of the hash space. A block sends a hash at most once, so a shingle of
-    very many texts is as many values as there are blocks, and gets one bit back for each. As many leading
+    very many texts is as many values as there are blocks, and gets one level back for each. As many leading
     bits of a hash are sent as the number of shingles needs; two that agree in these only count as
-    shared, which can add candidates and never loses one.
+    shared, which can add candidates and never loses one. The levels are written, so what was sent can go
+    before they meet the blocks; blocks stored in buckets of their number stay where they are.
     """
     rows = blocks.select("block", "nodes", "sizes", "hashes")
     total = rows.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     bits = math.ceil(math.log2(max(2, total / BUCKET_SHINGLES)))
     cut = max(0, KEPT_BITS - max(bits, math.ceil(math.log2(max(2, total))) + SPARE_BITS))
-    packs = rows.mapInArrow(_packs(bits, cut), "bucket long, block long, n long, hashes binary, twice binary")
-    flags = packs.groupBy("bucket").applyInArrow(_shared, "of_block long, bucket long, n long, flags binary")
-    together = rows.groupBy("block").cogroup(flags.groupBy("of_block"))
+    packs = rows.mapInArrow(_packs(bits, cut), "bucket long, block long, n long, hashes binary, times binary")
+    levels = persist_state(packs.groupBy("bucket").applyInArrow(_levels, "of_block long, bucket long, levels binary"), "levels")
+    together = rows.groupBy("block").cogroup(levels.groupBy("of_block"))
     return together.applyInArrow(_linkable(percent, cut), "node long, n long, hashes binary, prefix array<long>")
 
 
-def candidates(blocks: DataFrame, percent: int) -> DataFrame:
+def _stored(blocks: DataFrame, path: str) -> DataFrame:
+    """Blocks written where they are made, in buckets of their number; as many as a shuffle has partitions,
+    since Spark would move the blocks to fewer."""
+    conf = blocks.sparkSession.conf
+    most = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) or conf.get("spark.sql.shuffle.partitions")
+    return write_buckets(blocks, ["block"], int(most), path, moved=False)
+
+
+def candidates(blocks: DataFrame, percent: int, path: str | None = None) -> DataFrame:
     """The sets of `linkable`, once each, after a second count among themselves.
 
-    The first count sees every copy of a text; in the second each set counts once.
+    The first count sees every copy of a text; in the second each set counts once. The folder `path`, that
+    of the blocks, is deleted once they are read.
     """
+    spark, own = blocks.sparkSession, new_path(blocks.sparkSession, "blocks")
     first = linkable(blocks, percent).groupBy("node").agg(F.first("n").alias("n"), F.first("hashes").alias("hashes"))
     again = first.mapInArrow(_blocks_of_sets, "block long, nodes array<long>, sizes array<long>, hashes binary")
-    return persist_state(linkable(persist_state(again, "blocks"), percent), "candidates")
+    again = _stored(again, own)
+    if path is not None:
+        remove(spark, path)
+    found = persist_state(linkable(again, percent), "candidates")
+    remove(spark, own)
+    return found
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -307,19 +335,21 @@ def _within(percent: int):
 
 def _between(percent: int):
     def joined(group: pa.Table) -> pa.Table:
-        """Links between two parts of a family, starting from what is connected already."""
+        """Links between two parts of a family, or in one part, starting from what is connected already."""
         release()
         side = group.column("side").to_numpy()
         order = np.argsort(side, kind="stable")
         group, split = group.take(pa.array(order)), int((side == 0).sum())
         sets, links = _table_sets(group), Links(len(order))
-        if not 0 < split < len(order):
-            return _edges(group.column("node").to_numpy(), links)
         first: dict[int, int] = {}
         for i, root in enumerate(group.column("root").to_pylist()):
             links.connect(i, first.setdefault(root, i))
-        left, right = sets[:split], sets[split:]
-        link(Tree(left), Tree(right), left, right, split, links, percent)
+        if group.column("i")[0] == group.column("j")[0]:
+            tree = Tree(sets)
+            link(tree, tree, sets, sets, 0, links, percent)
+        elif 0 < split < len(order):
+            left, right = sets[:split], sets[split:]
+            link(Tree(left), Tree(right), left, right, split, links, percent)
         return _edges(group.column("node").to_numpy(), links)
 
     return joined
@@ -334,21 +364,55 @@ def _with_roots(parts: DataFrame, edges: DataFrame) -> DataFrame:
     return parts.join(roots, F.col("node") == F.col("of"), "left").drop("of").withColumn("root", F.coalesce("root", "node"))
 
 
-def _pairs(parts: DataFrame, percent: int, first: Column, second: Column) -> DataFrame:
-    """Links between parts: a row takes part as left side of the parts in the array `first`, as right side
-    of those in `second`."""
+def _with_first(parts: DataFrame, percent: int) -> DataFrame:
+    """Links between the first part of each family and its other parts."""
     columns = ["family", "node", "root", "n", "hashes"]
-    left = parts.select(*columns, F.lit(0).alias("side"), F.col("part").alias("i"), F.explode(first).alias("j"))
-    right = parts.select(*columns, F.lit(1).alias("side"), F.explode(second).alias("i"), F.col("part").alias("j"))
-    return left.unionByName(right).groupBy("family", "i", "j").applyInArrow(_between(percent), EDGES)
+    number, first = F.lit(1).cast("long"), F.col("part") == 0
+    left = parts.filter(first).select(*columns, F.lit(0).alias("side"), "part", F.explode(F.sequence(number, F.col("parts") - 1)).alias("j"))
+    right = parts.filter(~first).select(*columns, F.lit(1).alias("side"), (number - 1).alias("part"), F.col("part").alias("j"))
+    return left.unionByName(right).withColumnRenamed("part", "i").groupBy("family", "i", "j").applyInArrow(_between(percent), EDGES)
+
+
+def _still_open(parts: DataFrame, percent: int, part_shingles: int) -> DataFrame:
+    """Links between sets that are not connected yet.
+
+    Two of them that link share a prefix shingle, so a shingle whose sets are all connected is done with. The
+    sets of the others are dealt out anew, those with one root together unless they need parts of their own,
+    and a set meets another part only where that has a shingle of its prefix in a set of another root. What is
+    moved so follows the sets that are left over, not the square of the family.
+    """
+    own = parts.select(F.col("node").alias("of"), F.explode("prefix").alias("shingle"))
+    roots = parts.select("node", "root")
+    each = persist_state(own.join(roots, F.col("node") == F.col("of")).select("node", "root", "shingle"), "prefixes")
+    ends = each.groupBy(F.col("shingle").alias("of")).agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    each = each.join(ends.filter("low != high").select("of"), F.col("shingle") == F.col("of"), "left_semi")
+    nodes = each.select(F.col("node").alias("of")).distinct()
+    rest = parts.select("node", "family", "root", "n").join(nodes, F.col("node") == F.col("of"), "left_semi")
+    rest = persist_state(rest, "rest")
+    sizes = rest.groupBy("family", "root").agg(F.sum(F.col("n") + BITMAP_SHINGLES).alias("total"))
+    sizes = sizes.withColumn("own", F.ceil(F.col("total") / part_shingles))
+    light = sizes.groupBy("family").agg(F.sum(F.when(F.col("own") <= 1, F.col("total"))).alias("light"))
+    light = light.select(F.col("family").alias("of_family"), F.ceil(F.col("light") / part_shingles).alias("bundles"))
+    sizes = sizes.join(light, F.col("family") == F.col("of_family")).select(F.col("root").alias("of"), "own", "bundles")
+    alone = F.xxhash64("root", F.pmod(F.xxhash64("node"), "own"))
+    place = F.when(F.col("own") > 1, alone).otherwise(F.xxhash64("family", F.pmod(F.xxhash64("root"), "bundles"), F.lit("light")))
+    places = rest.join(sizes, F.col("root") == F.col("of")).select(F.col("node").alias("of"), place.alias("place"))
+    each = persist_state(each.join(places, F.col("node") == F.col("of")).select("node", "root", "place", "shingle"), "open")
+    there = each.groupBy(F.col("shingle").alias("of"), F.col("place").alias("other")).agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    met = each.join(there, F.col("shingle") == F.col("of")).filter("low != root or high != root")
+    met = met.select(F.col("node").alias("of"), "place", "other").distinct()
+    pair = [F.least("place", "other").alias("i"), F.greatest("place", "other").alias("j"), (F.col("place") > F.col("other")).cast("int").alias("side")]
+    met = persist_state(met.select("of", *pair), "met")
+    moved = parts.join(met, F.col("node") == F.col("of")).select("node", "root", "n", "hashes", "i", "j", "side")
+    return moved.groupBy("i", "j").applyInArrow(_between(percent), EDGES)
 
 
 def link_members(held: DataFrame, percent: int = PERCENT, part_shingles: int = PART_SHINGLES) -> DataFrame:
     """Edges (a, b) that connect exactly the sets that links connect, from the members of families.
 
     Small families share a task up to `part_shingles`. A larger family has as many parts as it takes:
-    its trees are joined with themselves, with part 0, and then pair by pair where anything is left
-    unconnected, so near copies, however many, cost a multiple of their number and not its square.
+    its trees are joined with themselves, with part 0, and then where sets are left unconnected, so near
+    copies, however many, cost a multiple of their number and not its square.
     """
     totals = held.groupBy("family").agg(F.sum(F.col("n") + BITMAP_SHINGLES).alias("total"))
     totals = persist_state(totals.withColumn("parts", F.ceil(F.col("total") / part_shingles)), "families")
@@ -364,16 +428,9 @@ def link_members(held: DataFrame, percent: int = PERCENT, part_shingles: int = P
     edges = persist_state(grouped.applyInArrow(_within(percent), EDGES), "links")
     if most <= 1:
         return edges
-    large = rows.filter("parts > 1").select(*columns, "parts", "part")
-    others = F.when(F.col("part") == 0, F.sequence(F.lit(1).cast("long"), F.col("parts") - 1))
-    with_first = _pairs(_with_roots(large, edges), percent, others, F.when(F.col("part") > 0, F.array(F.lit(0).cast("long"))))
-    edges = persist_state(edges.union(with_first), "links")
-    rooted = _with_roots(large, edges)
-    open_ = rooted.groupBy("family").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
-    rooted = rooted.join(open_.select(F.col("family").alias("open")), F.col("family") == F.col("open"), "left_semi")
-    after = F.when((F.col("part") > 0) & (F.col("part") < F.col("parts") - 1), F.sequence(F.col("part") + 1, F.col("parts") - 1))
-    earlier = F.when(F.col("part") > 1, F.sequence(F.lit(1).cast("long"), F.col("part") - 1))
-    return persist_state(edges.union(_pairs(rooted, percent, after, earlier)), "links")
+    large = rows.filter("parts > 1").select(*columns, "prefix", "parts", "part")
+    edges = persist_state(edges.union(_with_first(_with_roots(large, edges), percent)), "links")
+    return persist_state(edges.union(_still_open(_with_roots(large, edges), percent, part_shingles)), "links")
 
 
 def groups(
@@ -393,21 +450,23 @@ def groups(
         f"block long, keys array<{kind.simpleString()}>, text_hashes array<long>, nodes array<long>, sizes array<long>,"
         " hashes binary"
     )
-    blocks = persist_state(rows.mapInArrow(_blocks_of_texts(to_arrow_type(kind)), schema), "sets")
-    found = candidates(blocks, percent)
-    family = families(found).select(F.col("node").alias("of"), F.col("root").alias("family"))
-    held = found.join(family, F.col("node") == F.col("of")).select("node", "family", "n", "hashes")
-    links = link_members(persist_state(held, "members"), percent, part_shingles)
-    each = F.inline(F.arrays_zip("keys", "text_hashes", "nodes", "sizes"))
-    sets = blocks.select(each).toDF("key", "text_hash", "node", "n")
-    roots = components(links).select(F.col("node").alias("of"), "root")
-    placed = sets.select("key", "text_hash", "node", F.col("n").alias("n_shingles"))
+    spark, path = docs.sparkSession, new_path(docs.sparkSession, "sets")
+    with shuffles_freed(spark):
+        blocks = _stored(rows.mapInArrow(_blocks_of_texts(to_arrow_type(kind)), schema), path)
+        each = F.inline(F.arrays_zip("keys", "text_hashes", "nodes", "sizes"))
+        placed = persist_state(blocks.select(each).toDF("key", "text_hash", "node", "n_shingles"), "keys")
+        found = candidates(blocks, percent, path)
+        family = families(found).select(F.col("node").alias("of"), F.col("root").alias("family"))
+        held = found.join(family, F.col("node") == F.col("of")).select("node", "family", "n", "hashes", "prefix")
+        links = link_members(persist_state(held, "members"), percent, part_shingles)
+        roots = components(links).select(F.col("node").alias("of"), "root")
     placed = placed.join(roots, F.col("node") == F.col("of"), "left").drop("of")
     placed = placed.withColumn("root", F.coalesce("root", "node"))
     place = F.struct(F.col("key").isNull().alias("missing"), "key", "text_hash")
     firsts = placed.filter("root is not null").groupBy("root").agg(F.min(place).alias("first"))
     # Written, so that the join below may split the rows of a very large group.
-    firsts = persist_state(firsts.select(F.col("root").alias("of"), "first"), "groups")
+    with shuffles_freed(spark):
+        firsts = persist_state(firsts.select(F.col("root").alias("of"), "first"), "groups")
     found = placed.join(firsts, F.col("root") == F.col("of"), "left")
     alone = F.col("root").isNull()
     return found.select(

@@ -71,6 +71,19 @@ def workspace(spark: SparkSession) -> Iterator[str]:
         remove(spark, root)
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """What a query that runs inside has shuffled is deleted when it ends, and not when the driver happens to
+    collect its garbage; a stage that is run again for a lost file makes it anew."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     return f"{_inner.get() or _application_root(spark)}/{label}-{uuid.uuid4().hex}"
 

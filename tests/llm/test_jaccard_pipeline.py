@@ -1,4 +1,5 @@
 import math
+import os
 import random
 import zlib
 from collections import defaultdict
@@ -14,6 +15,7 @@ import corpus_pipeline
 from tabflow.llm import jaccard, mixing, toxicity
 from tabflow.llm.common import word_count
 from tabflow.llm.sigtree import FAN_OUT, Links, Tree, alike, link
+from tabflow.sources.shared import new_path, persist_state
 
 
 def shingle_set(text):
@@ -181,6 +183,60 @@ def test_only_sets_that_share_enough_are_candidates(spark, none, monkeypatch, bl
     assert sorted(r.n for r in left) == [54, 56]
 
 
+BLOCKS = "block long, keys array<long>, text_hashes array<long>, nodes array<long>, sizes array<long>, hashes binary"
+
+
+def blocks_of(table):
+    rows = table.select(F.col("doc_id").alias("key"), F.xxhash64("text").alias("text_hash"), "text")
+    return rows.mapInArrow(jaccard._blocks_of_texts(pa.int64()), BLOCKS)
+
+
+def test_a_passage_of_all_texts_makes_no_family(spark, none):
+    passage = " ".join(f"q{j}" for j in range(30))
+    own = [[f"u{i}v{j}" for j in range(60)] for i in range(40)]
+    docs = [(2 * i + k, " ".join(words[: 60 - k]) + " " + passage) for i, words in enumerate(own) for k in range(2)]
+    table = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in docs], none.schema)
+    members = jaccard.families(jaccard.candidates(blocks_of(table).cache(), 75)).groupBy("root").count()
+    assert sorted(r["count"] for r in members.collect()) == [2] * 40
+    got = {r.key: (r.n_shingles, r.component_id) for r in jaccard.groups(table).collect()}
+    assert got == brute_groups(docs)
+
+
+def test_sets_left_over_meet_no_square_of_parts(spark, none, monkeypatch):
+    chance, kept = random.Random(4), {}
+    base = [f"w{i}" for i in range(200)]
+
+    def changed(places):
+        return " ".join(f"x{chance.randrange(10**9)}" if i in places else w for i, w in enumerate(base))
+
+    texts = [changed({chance.randrange(5, 195)}) for _ in range(60)] + [changed({10 + i, *range(40 + i, 190, 30)}) for i in range(3)]
+    docs = list(enumerate(texts))  # the last three share a prefix with the others and link with nothing
+
+    def kept_state(state, label="state", path=None):
+        kept[label] = persist_state(state, label, path)
+        return kept[label]
+
+    monkeypatch.setattr(jaccard, "persist_state", kept_state)
+    table = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in docs], none.schema)
+    got = {r.key: (r.n_shingles, r.component_id) for r in jaccard.groups(table, part_shingles=1000).collect()}
+    assert got == brute_groups(docs) and sorted({c for _, c in got.values()}) == [0, 60, 61, 62]
+    parts = kept["families"].agg(F.max("parts")).first()[0]
+    assert parts > 12 and 0 < kept["met"].count() < 4 * len(docs)  # pair by pair each would be moved parts - 2 times
+
+
+def test_blocks_stay_where_they_are_and_go_once_read(spark, none, monkeypatch):
+    paths = []
+    monkeypatch.setattr(jaccard, "new_path", lambda session, label: paths.append(new_path(session, label)) or paths[-1])
+    docs = near_copies(3, 4, 6)
+    table = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in docs], none.schema)
+    stored = jaccard._stored(blocks_of(table), new_path(spark, "sets"))
+    plan = jaccard.linkable(stored, 75)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(of_block" in plan and "hashpartitioning(block" not in plan
+    found = jaccard.groups(table)
+    assert len(paths) == 2 and not any(os.path.exists(p.removeprefix("file:")) for p in paths)
+    assert {r.key: (r.n_shingles, r.component_id) for r in found.collect()} == brute_groups(docs)
+
+
 def pipeline_rows(none, spark):
     chance, rows, labels = random.Random(8), [], []
     for i in range(260):

@@ -1,3 +1,4 @@
+import time
 from datetime import date
 
 import pytest
@@ -92,3 +93,21 @@ def test_a_workspace_leaves_nothing_behind(spark):
     folder = spark._jvm.org.apache.hadoop.fs.Path(root)
     assert not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
     assert not shared.new_path(spark, "x").startswith(root)
+
+
+def test_shuffles_of_a_block_are_freed_when_a_query_ends(spark):
+    def held():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in found.mkString("|").split("|") if "shuffle_" in f}
+
+    before, name = held(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    shared.persist_state(spark.range(1000).repartition(3, "id"))
+    assert held() - before
+    with shared.shuffles_freed(spark):
+        before = held()
+        state = shared.persist_state(spark.range(1000).repartition(3, "id"))
+        until = time.time() + 20
+        while held() - before and time.time() < until:
+            time.sleep(0.2)
+        assert not held() - before and state.count() == 1000
+    assert spark.conf.get(name) == "false"
